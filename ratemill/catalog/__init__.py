@@ -1,0 +1,12 @@
+"""Registered queries by name."""
+
+
+def all_queries() -> dict:
+    from ratemill.catalog import lifecycle, model_queries, quality, rating, registry, workload  # noqa: F401
+    return dict(registry.QUERIES)
+
+
+def all_sql() -> dict:
+    all_queries()
+    from ratemill.catalog import registry
+    return dict(registry.SQL)

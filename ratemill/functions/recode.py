@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,11 +16,12 @@ def _col(c: Column | str) -> Column:
 
 
 def mapped(c: Column | str, mapping: Mapping) -> Column:
-    """Value of ``mapping`` for ``c``; null for a value the mapping does not hold."""
-    c = _col(c)
-    (first, value), *rest = mapping.items()
-    return reduce(lambda acc, kv: acc.when(c == F.lit(kv[0]), F.lit(kv[1])), rest,
-                  F.when(c == F.lit(first), F.lit(value)))
+    """Value of ``mapping`` for ``c``; null for a value the mapping does not hold.
+
+    A constant map keeps ``c`` to one evaluation however deep recodes are nested.
+    """
+    pairs = [F.lit(x) for kv in mapping.items() for x in kv]
+    return F.try_element_at(F.create_map(*pairs), _col(c))
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -62,10 +62,10 @@ def per_100k(c: Column | str, dtype: str = "decimal(8,6)") -> Column:
 
 
 def age_band(c: Column | str) -> Column:
-    """One of 13 inclusive age bands; null outside 18 to 99."""
-    c = _col(c)
-    return reduce(lambda acc, b: acc.when(c.between(b[0], b[1]), F.lit(b[2])), fixed.AGE_BANDS[1:],
-                  F.when(c.between(*fixed.AGE_BANDS[0][:2]), F.lit(fixed.AGE_BANDS[0][2])))
+    """One of 13 inclusive age bands of a whole age; null outside 18 to 99."""
+    lowest = fixed.AGE_BANDS[0][0]
+    per_age = F.array(*[F.lit(label) for lo, hi, label in fixed.AGE_BANDS for _ in range(lo, hi + 1)])
+    return F.get(per_age, _col(c).cast("int") - lowest)
 
 
 def bmi_band(c: Column | str) -> Column:

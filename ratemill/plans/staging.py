@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratemill import fixed
 from ratemill.functions import recode as R
@@ -12,13 +13,23 @@ from ratemill.operators import filters as P
 SURVEY_CODES = ["diabetes_code", "smoker_code", "activity_code", "bmi_implied", "bmi_code", "age_code", "sex_code"]
 
 
+def code(df: DataFrame, col: str) -> Column:
+    """A numeric code column as int: whole-number types pass, doubles are checked, text is parsed strictly."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.col(col).cast("int")
+    if isinstance(kind, T.FractionalType):
+        bad = F.raise_error(F.concat(F.lit("not a whole number: "), F.col(col).cast("string"))).cast("int")
+        return F.when(F.col(col) != F.floor(col), bad).otherwise(F.col(col).cast("int"))
+    return R.strict_int(col)
+
+
 def survey_records(raw: DataFrame) -> DataFrame:
     """Respondent rows with recoded factors; a code outside its map becomes null and the row stays.
 
     Expects the columns of SURVEY_CODES as text or numbers; other columns pass through.
     """
-    code = {c: R.strict_int(c) for c in SURVEY_CODES if c != "bmi_implied"}
-    return raw.withColumns(code).withColumns({
+    return _coded(raw).withColumns({
         "age_band": R.mapped("age_code", fixed.AGE_CODES),
         "gender": R.mapped("sex_code", fixed.GENDER_CODES),
         "smoking_status": R.mapped("smoker_code", fixed.SMOKING_CODES),
@@ -29,6 +40,10 @@ def survey_records(raw: DataFrame) -> DataFrame:
     })
 
 
+def _coded(raw: DataFrame) -> DataFrame:
+    return raw.withColumns({c: code(raw, c) for c in SURVEY_CODES if c != "bmi_implied"})
+
+
 def exam_records(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Adult exam rows and the retained/excluded report.
 
@@ -60,7 +75,7 @@ def training_audit(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def training_frame(raw: DataFrame) -> DataFrame:
     """The wide modelling frame: labels, age band with one-hot columns and midpoint, sex, smoking, exercise, bmi."""
-    kept, _ = training_audit(raw.withColumns({c: R.strict_int(c) for c in SURVEY_CODES if c != "bmi_implied"}))
+    kept, _ = training_audit(_coded(raw))
     f = P.labels(kept, "diabetes_code").withColumns({
         "age_band_label": R.mapped("age_code", fixed.AGE_CODES),
         "sex": R.mapped("sex_code", {1: "male", 2: "female"}),
