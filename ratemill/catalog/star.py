@@ -13,6 +13,7 @@ from ratemill.operators import joins as J
 from ratemill.operators.ranking import version_chain
 from ratemill.plans import pricing
 from ratemill.plans.staging import survey_records
+from ratemill.session import cut_lineage
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -34,7 +35,14 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def pct(col: str) -> Column:
-    return F.round(F.col(col) * 100).cast("int")
+    """A two-digit fraction as whole percent; plain arithmetic, as round() on doubles goes through decimals."""
+    return F.floor(F.col(col) * 100 + 0.5).cast("int")
+
+
+def half_up(a: str, b: str, digits: int, dtype: str) -> str:
+    """SQL for a/b of non-negative whole numbers, rounded half up to the last digit in integer arithmetic."""
+    unit = "0." + "0" * (digits - 1) + "1"
+    return f"CAST(CAST((2*CAST({a} AS HUGEINT)*{10 ** digits} + ({b})) // (2*({b})) AS DECIMAL(20,0)) * {unit} AS {dtype})"
 
 
 # ---- respondents ------------------------------------------------------------------------------
@@ -108,33 +116,36 @@ def _age() -> Column:
     return (F.floor(F.col("l_extendedprice") / 1300) + 18).cast("int")
 
 
-def life_table(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per single age, both sexes side by side."""
+def deaths(spark: SparkSession, sf: str) -> DataFrame:
+    """Lives and deaths per single age and sex; everything below reads this small table."""
     dead = (F.col("l_returnflag") == "R") & (pct("l_tax") <= 1)
-    def side(s: str, status: str) -> list[Column]:
-        here = F.col("l_linestatus") == status
-        n = F.count_if(here)
-        return [n.cast("int").alias(f"{s}_lives"),
-                (F.count_if(here & dead).cast("decimal(12,0)") / F.nullif(n, F.lit(0))).cast("decimal(7,6)").alias(f"{s}_death_probability"),
-                (F.sum(F.when(here, F.col("l_quantity").cast("decimal(12,0)"))) / F.nullif(n, F.lit(0))).cast("decimal(5,2)").alias(f"{s}_life_expectancy")]
-    return table(spark, sf, "lineitem").groupBy(_age().alias("age")).agg(*side("male", "O"), *side("female", "F"))
+    late, ill = F.col("l_shipdate") >= F.lit("1998-01-01").cast("date"), pct("l_discount") <= 2
+    return table(spark, sf, "lineitem").groupBy(
+        _age().alias("age"), F.when(F.col("l_linestatus") == "O", "M").otherwise("F").alias("gender")).agg(
+        F.count(F.lit(1)).alias("n24"), F.count_if(late).alias("n23"), F.count_if(dead).alias("a24"), F.count_if(dead & ill).alias("d24"),
+        F.count_if(dead & late).alias("a23"), F.count_if(dead & ill & late).alias("d23"), F.sum("l_quantity").cast("bigint").alias("q"))
+
+
+def life_table(dead: DataFrame) -> DataFrame:
+    """One row per single age, both sexes side by side."""
+    def side(s: str, gender: str) -> list[Column]:
+        def of(c: str) -> Column:
+            return F.sum(F.when(F.col("gender") == gender, F.col(c))).cast("decimal(12,0)")
+        return [F.coalesce(of("n24"), F.lit(0)).cast("int").alias(f"{s}_lives"),
+                (of("a24") / of("n24")).cast("decimal(7,6)").alias(f"{s}_death_probability"),
+                (of("q") / of("n24")).cast("decimal(5,2)").alias(f"{s}_life_expectancy")]
+    return dead.groupBy("age").agg(*side("male", "M"), *side("female", "F"))
 
 
-def mortality(spark: SparkSession, sf: str) -> DataFrame:
+def mortality(dead: DataFrame) -> DataFrame:
     """Long staging table: baseline bands, and two cohorts of all-cause and condition rates."""
-    base = pricing.life_table_baseline(life_table(spark, sf)).select(
+    base = pricing.life_table_baseline(life_table(dead)).select(
         F.lit(fixed.BASELINE_YEAR).alias("source_year"), "age_band", "gender", F.lit("BASELINE").alias("condition_flag"),
         "mortality_rate", "life_expectancy")
-    dead = (F.col("l_returnflag") == "R") & (pct("l_tax") <= 1)
-    late = F.year("l_shipdate") >= 1998
-    ill = pct("l_discount") <= 2
-    def crude(cond: Column, scope: Column) -> Column:
-        return (F.count_if(cond & scope).cast("decimal(12,0)") * 100000 / F.nullif(F.count_if(scope), F.lit(0))).cast("decimal(18,1)")
-    every = F.lit(True)
-    g = table(spark, sf, "lineitem").groupBy(R.coarse_group(R.age_band(_age())).alias("age_band"),
-                                             F.when(F.col("l_linestatus") == "O", "M").otherwise("F").alias("gender")).agg(
-        crude(dead, every).alias("a24"), crude(dead & ill, every).alias("d24"),
-        crude(dead, late).alias("a23"), crude(dead & ill, late).alias("d23"))
+    def crude(a: str, n: str) -> Column:
+        return (F.sum(a).cast("decimal(12,0)") * 100000 / F.nullif(F.sum(n), F.lit(0))).cast("decimal(18,1)")
+    g = dead.groupBy(R.coarse_group(R.age_band("age")).alias("age_band"), "gender").agg(
+        crude("a24", "n24").alias("a24"), crude("d24", "n24").alias("d24"), crude("a23", "n23").alias("a23"), crude("d23", "n23").alias("d23"))
     rows = F.array(*[F.struct(F.lit(y).alias("source_year"), F.lit(flag).alias("condition_flag"), F.col(c).alias("crude"))
                      for y, flag, c in ((2024, "ALLCAUSE", "a24"), (2024, "DIABETES", "d24"), (2023, "ALLCAUSE", "a23"), (2023, "DIABETES", "d23"))])
     cohorts = g.select("age_band", "gender", F.inline(rows)).select(
@@ -146,21 +157,21 @@ def mortality(spark: SparkSession, sf: str) -> DataFrame:
 _DEAD = "(l_returnflag = 'R' AND round(l_tax*100) <= 1)"
 MORTALITY = f"""
 life AS (SELECT CAST(floor(l_extendedprice/1300) AS INT) + 18 AS age, CASE WHEN l_linestatus = 'O' THEN 'M' ELSE 'F' END AS gender,
-    count(*) AS lives, CAST(count(*) FILTER (WHERE {_DEAD})::DOUBLE / count(*) AS DECIMAL(7,6)) AS rate,
-    CAST(sum(l_quantity) / count(*) AS DECIMAL(5,2)) AS expectancy FROM lineitem GROUP BY ALL),
+    count(*) AS lives, {half_up(f'count(*) FILTER (WHERE {_DEAD})', 'count(*)', 6, 'DECIMAL(7,6)')} AS rate,
+    {half_up('sum(CAST(l_quantity AS BIGINT))', 'count(*)', 2, 'DECIMAL(5,2)')} AS expectancy FROM lineitem GROUP BY ALL),
 baseline AS (SELECT {age_case('age')} AS age_band, gender, CAST(sum(lives) AS BIGINT) AS lives,
-    CAST(sum(lives * rate)::DOUBLE / sum(lives) AS DECIMAL(8,6)) AS mortality_rate,
-    CAST(sum(lives * expectancy)::DOUBLE / sum(lives) AS DECIMAL(5,2)) AS life_expectancy FROM life GROUP BY ALL),
+    {half_up('sum(lives * CAST(rate*1000000 AS BIGINT))', 'sum(lives)*1000000', 6, 'DECIMAL(8,6)')} AS mortality_rate,
+    {half_up('sum(lives * CAST(expectancy*100 AS BIGINT))', 'sum(lives)*100', 2, 'DECIMAL(5,2)')} AS life_expectancy FROM life GROUP BY ALL),
 grouped AS (SELECT {coarse_case(age_case('CAST(floor(l_extendedprice/1300) AS INT) + 18'))} AS age_band,
     CASE WHEN l_linestatus = 'O' THEN 'M' ELSE 'F' END AS gender, count(*) AS n24, count(*) FILTER (WHERE year(l_shipdate) >= 1998) AS n23,
     count(*) FILTER (WHERE {_DEAD}) AS a24, count(*) FILTER (WHERE {_DEAD} AND round(l_discount*100) <= 2) AS d24,
     count(*) FILTER (WHERE {_DEAD} AND year(l_shipdate) >= 1998) AS a23,
     count(*) FILTER (WHERE {_DEAD} AND round(l_discount*100) <= 2 AND year(l_shipdate) >= 1998) AS d23 FROM lineitem GROUP BY ALL),
 cohort AS (
-    SELECT 2024 AS source_year, age_band, gender, 'ALLCAUSE' AS condition_flag, CAST(a24*100000.0::DOUBLE/n24 AS DECIMAL(18,1)) AS crude FROM grouped UNION ALL
-    SELECT 2024, age_band, gender, 'DIABETES', CAST(d24*100000.0::DOUBLE/n24 AS DECIMAL(18,1)) FROM grouped UNION ALL
-    SELECT 2023, age_band, gender, 'ALLCAUSE', CAST(a23*100000.0::DOUBLE/n23 AS DECIMAL(18,1)) FROM grouped UNION ALL
-    SELECT 2023, age_band, gender, 'DIABETES', CAST(d23*100000.0::DOUBLE/n23 AS DECIMAL(18,1)) FROM grouped),
+    SELECT 2024 AS source_year, age_band, gender, 'ALLCAUSE' AS condition_flag, {half_up('a24*100000', 'n24', 1, 'DECIMAL(18,1)')} AS crude FROM grouped UNION ALL
+    SELECT 2024, age_band, gender, 'DIABETES', {half_up('d24*100000', 'n24', 1, 'DECIMAL(18,1)')} FROM grouped UNION ALL
+    SELECT 2023, age_band, gender, 'ALLCAUSE', {half_up('a23*100000', 'n23', 1, 'DECIMAL(18,1)')} FROM grouped UNION ALL
+    SELECT 2023, age_band, gender, 'DIABETES', {half_up('d23*100000', 'n23', 1, 'DECIMAL(18,1)')} FROM grouped),
 mortality AS (SELECT source_year, age_band, gender, condition_flag, CAST(crude::DOUBLE/100000 AS DECIMAL(8,6)) AS mortality_rate FROM cohort)"""
 
 
@@ -173,31 +184,45 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
         (mean + F.lit(1)).cast("decimal(4,2)").alias("product_factor"))
 
 
-def probabilities(rec: DataFrame) -> DataFrame:
-    """Smoothed outcome share per full profile over the whole grid, exercise weighted out."""
-    found = rec.dropna(subset=[*fixed.PROFILE, "diabetes_status"]).groupBy(*fixed.PROFILE).agg(
-        F.count_if(F.col("diabetes_status") == "yes").alias("y"), F.count(F.lit(1)).alias("n"))
-    grid = J.profile_grid(rec.sparkSession, {"age_band": fixed.AGE_LABELS, "gender": fixed.GENDERS, "smoking_status": fixed.SMOKING_LEVELS,
-                                             "bmi_band": fixed.BMI_LEVELS, "exercise_freq": fixed.EXERCISE_LEVELS})
-    cells = grid.join(found, fixed.PROFILE, "left")
+def counts(spark: SparkSession, sf: str) -> DataFrame:
+    return A.profile_counts(records(spark, sf))
+
+
+def probabilities(n: DataFrame) -> DataFrame:
+    """Smoothed outcome share per full profile over the whole grid, exercise weighted out; ``n`` are profile counts."""
+    found = n.dropna(subset=[*fixed.PROFILE, "diabetes_status"]).groupBy(*fixed.PROFILE).agg(
+        F.sum(F.when(F.col("diabetes_status") == "yes", F.col("n")).otherwise(0)).alias("y"), F.sum("n").alias("n"))
+    grid = J.profile_grid(n.sparkSession, {"age_band": fixed.AGE_LABELS, "gender": fixed.GENDERS, "smoking_status": fixed.SMOKING_LEVELS,
+                                           "bmi_band": fixed.BMI_LEVELS, "exercise_freq": fixed.EXERCISE_LEVELS})
     p = (F.coalesce("y", F.lit(0)) + 1) / (F.coalesce("n", F.lit(0)) + 2)
-    shares = A.marginal_shares(rec, "exercise_freq", fixed.EXERCISE_LEVELS)
-    return A.marginalise(cells.withColumn("probability", p), ["age_band", "gender", "smoking_status", "bmi_band"],
-                         "exercise_freq", "probability", shares)
+    shares = A.marginal_shares(n, "exercise_freq", fixed.EXERCISE_LEVELS, weight="n")
+    return A.marginalise(grid.join(found, fixed.PROFILE, "left").withColumn("probability", p),
+                         ["age_band", "gender", "smoking_status", "bmi_band"], "exercise_freq", "probability", shares)
+
+
+class Inputs:
+    """The two small tables the whole rating chain reads, each computed by one scan and then kept."""
 
+    def __init__(self, spark: SparkSession, sf: str):
+        self.counts = cut_lineage(counts(spark, sf))
+        self.deaths = cut_lineage(deaths(spark, sf))
+        self.products = products(spark, sf)
 
-def cells(spark: SparkSession, sf: str, cohort: int) -> DataFrame:
-    m = mortality(spark, sf)
-    base = m.where(F.col("condition_flag") == "BASELINE")
-    return pricing.rating_cells(base, A.prevalence(records(spark, sf), ["age_band", "gender"]), pricing.condition_ratio(m, cohort))
+    def cells(self, cohort: int = 2023) -> DataFrame:
+        m = mortality(self.deaths)
+        base = m.where(F.col("condition_flag") == "BASELINE")
+        prev = A.prevalence(self.counts, ["age_band", "gender"], weight="n")
+        return pricing.rating_cells(base, prev, pricing.condition_ratio(m, cohort))
 
+    def factors(self, cohort: int = 2023) -> DataFrame:
+        return pricing.risk_factors(self.cells(cohort), probabilities(self.counts))
 
-def factors(spark: SparkSession, sf: str, cohort: int = 2023) -> DataFrame:
-    return pricing.risk_factors(cells(spark, sf, cohort), probabilities(records(spark, sf)))
+    def book(self, cohort: int = 2023) -> DataFrame:
+        return pricing.rate_book(self.factors(cohort), self.products)
 
 
-def book(spark: SparkSession, sf: str, cohort: int = 2023) -> DataFrame:
-    return pricing.rate_book(factors(spark, sf, cohort), products(spark, sf))
+def book(spark: SparkSession, sf: str) -> DataFrame:
+    return Inputs(spark, sf).book()
 
 
 def active_book(spark: SparkSession, sf: str) -> DataFrame:
@@ -256,8 +281,8 @@ def book_sql(cohort: int, c: str = "cells", name: str = "book") -> str:
     FROM {name}_factors, products)"""
 
 
-PRODUCTS = """
-products AS (SELECT CAST(substr(p_brand, 7) AS INT) AS product_id, CAST(1 + CAST(sum(p_size)::DOUBLE/count(*)/100 AS DECIMAL(4,2)) AS DECIMAL(4,2)) AS product_factor
+PRODUCTS = f"""
+products AS (SELECT CAST(substr(p_brand, 7) AS INT) AS product_id, CAST(1 + {half_up('sum(p_size)', 'count(*)*100', 2, 'DECIMAL(4,2)')} AS DECIMAL(4,2)) AS product_factor
     FROM part GROUP BY 1)"""
 
 RATING = RECORDS + "," + MORTALITY + "," + PREV + "," + PROBS + "," + PRODUCTS

@@ -164,12 +164,12 @@ outcome AS (SELECT age_band, gender, smoking_status, bmi_band, exercise_freq, di
   WHERE age_band IS NOT NULL AND gender IS NOT NULL AND smoking_status IS NOT NULL AND bmi_band IS NOT NULL AND exercise_freq IS NOT NULL
   AND diabetes_status IS NOT NULL GROUP BY ALL),
 profile AS (SELECT age_band, gender, smoking_status, bmi_band, exercise_freq, CAST(sum(outcome_rows) AS BIGINT) AS profile_rows FROM outcome GROUP BY ALL),
-summary AS (SELECT *, CAST(outcome_rows::DOUBLE / profile_rows AS DECIMAL(6,4)) AS prevalence_rate
+summary AS (SELECT *, """ + star.half_up('outcome_rows', 'profile_rows', 4, 'DECIMAL(6,4)') + """ AS prevalence_rate
   FROM outcome JOIN profile USING (age_band, gender, smoking_status, bmi_band, exercise_freq))"""
 
 
 def summary(spark, sf):
-    return A.conditional_prevalence(star.records(spark, sf), fixed.PROFILE)
+    return A.conditional_prevalence(star.counts(spark, sf), fixed.PROFILE, weight="n")
 
 
 @query("WITH" + _SUMMARY + """
@@ -180,11 +180,11 @@ def q9_conditional_prevalence(spark, sf):
 
 
 @query("WITH" + _SUMMARY + """,
-u AS (SELECT age_band, gender, CAST(CAST(avg(prevalence_rate) AS DECIMAL(6,4)) AS DOUBLE) AS mean_prevalence FROM summary
+u AS (SELECT age_band, gender, CAST(""" + star.half_up('sum(CAST(prevalence_rate*10000 AS BIGINT))', 'count(*)*10000', 4, 'DECIMAL(6,4)') + """ AS DOUBLE) AS mean_prevalence FROM summary
   WHERE diabetes_status = 'yes' GROUP BY ALL),
 p AS (SELECT age_band, gender, max(profile_rows) AS n, coalesce(sum(outcome_rows) FILTER (WHERE diabetes_status = 'yes'), 0) AS y
   FROM summary GROUP BY age_band, gender, smoking_status, bmi_band, exercise_freq),
-w AS (SELECT age_band, gender, CAST(CAST(sum(y)::DOUBLE/sum(n) AS DECIMAL(6,4)) AS DOUBLE) AS weighted_prevalence FROM p GROUP BY ALL)
+w AS (SELECT age_band, gender, CAST(""" + star.half_up('sum(y)', 'sum(n)', 4, 'DECIMAL(6,4)') + """ AS DOUBLE) AS weighted_prevalence FROM p GROUP BY ALL)
 SELECT age_band, gender, mean_prevalence, weighted_prevalence FROM u JOIN w USING (age_band, gender)""")
 def prevalence_by_cell(spark, sf):
     s = summary(spark, sf)

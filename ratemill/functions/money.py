@@ -37,3 +37,10 @@ def anniversary(effective: Column | str, years: Column | int) -> Column:
     """Same day in a later year; 29 Feb falls back to 28 Feb."""
     n = F.lit(years) if isinstance(years, int) else years
     return F.add_months(_col(effective), n * 12)
+
+
+def exact_ratio(num: Column, den: Column, dtype: str, digits: int = 6) -> Column:
+    """num / den rounded half up once. Both sides are narrowed first: on wide decimals Spark shortens the
+    quotient's scale, and rounding that again can turn a value just below a tie upwards."""
+    quotient = num.cast(f"decimal(22,{digits})") / F.nullif(den, F.lit(0)).cast("decimal(14,0)")
+    return quotient.cast(dtype)

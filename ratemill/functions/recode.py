@@ -29,36 +29,32 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(F.rtrim(_col(c).cast("string")), F.lit(""))
 
 
-def _number(c: Column | str) -> Column:
-    """Text as a decimal; blank is null and anything that is no number raises."""
-    text = F.nullif(F.trim(_col(c).cast("string")), F.lit(""))
-    value = text.try_cast("double").try_cast("decimal(38,18)")
-    return F.when(text.isNull(), F.lit(None).cast("decimal(38,18)")).when(
-        value.isNull(), F.raise_error(F.concat(F.lit("not a number: "), text)).cast("decimal(38,18)")
-    ).otherwise(value)
+def _trimmed(c: Column | str) -> Column:
+    return F.trim(_col(c).cast("string"))
 
 
 def strict_int(c: Column | str) -> Column:
     """Numeric code such as ``3`` or ``3.0``; blank is null, a fraction or text raises."""
-    v = _number(c)
-    return F.when(v != F.floor(v), F.raise_error(F.concat(F.lit("not a whole number: "), v.cast("string"))).cast("int")
-                  ).otherwise(v.cast("int"))
+    text = _trimmed(c)
+    v = text.try_cast("double")
+    bad = F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast("int")
+    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(None).cast("int")).when(v == F.floor(v), v.cast("int")).otherwise(bad)
 
 
 def age_int(c: Column | str) -> Column:
     """Age in whole years; a value of at least 0 and below 1 counts as 0."""
-    v = _number(c)
+    v = _trimmed(c).try_cast("double")
     return F.when((v >= 0) & (v < 1), F.lit(0)).otherwise(strict_int(c))
 
 
 def rescale(c: Column | str, by: int = 100, dtype: str = "decimal(5,2)") -> Column:
-    """Value with implied decimals, e.g. 2834 -> 28.34, rounded half up."""
-    return (_col(c).cast("decimal(20,6)") / F.lit(by)).cast(dtype)
+    """Value with implied decimals, e.g. 2834 -> 28.34, rounded half up. ``by`` is a power of ten."""
+    return (_col(c).cast("decimal(14,4)") * F.lit(Decimal(1) / Decimal(by))).cast(dtype)
 
 
 def per_100k(c: Column | str, dtype: str = "decimal(8,6)") -> Column:
     """Crude rate per 100,000 as a probability with six digits."""
-    return (F.trim(_col(c).cast("string")).try_cast("decimal(18,6)") / F.lit(100000)).cast(dtype)
+    return (_trimmed(c).try_cast("decimal(12,4)") * F.lit(Decimal("0.00001"))).cast(dtype)
 
 
 def age_band(c: Column | str) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ratemill import fixed
 from ratemill.functions import recode as R
+from ratemill.functions.money import exact_ratio
 from ratemill.operators.cumulative import numbered, quantiles
 from ratemill.operators.filters import half_open
 from ratemill.operators.sets import union_facts
@@ -25,30 +26,46 @@ def verified_counts(activity: DataFrame, lo: date, hi: date, enrollment_id=None,
     return rows.groupBy("enrollment_id").agg(F.count(F.lit(1)).alias("qualifying_activity_count"))
 
 
+def _rows(weight: str | None, cond: Column | None = None) -> Column:
+    """Number of rows (meeting a condition); on a table of counts the sum of its count column."""
+    if weight is None:
+        return F.count(F.lit(1)) if cond is None else F.count_if(cond)
+    return F.sum(weight) if cond is None else F.coalesce(F.sum(F.when(cond, F.col(weight))), F.lit(0))
+
+
+def profile_counts(df: DataFrame, cols: Sequence[str] = (*fixed.PROFILE, "diabetes_status")) -> DataFrame:
+    """Rows per combination of coded columns, nulls kept: a few thousand rows whatever the input size.
+
+    Prevalence, shares, summaries and sparsity all take this table with ``weight="n"``, so the records are
+    scanned and shuffled once for all of them.
+    """
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+
+
 def prevalence(df: DataFrame, keys: Sequence[str], col: str = "diabetes_status", yes: str = "yes",
-               in_set: Sequence[str] = tuple(fixed.OUTCOMES_IN_SET)) -> DataFrame:
+               in_set: Sequence[str] = tuple(fixed.OUTCOMES_IN_SET), weight: str | None = None) -> DataFrame:
     """Share of ``yes`` among the rows whose outcome is in the set; groups without such rows give null."""
-    hit, base = F.count_if(F.col(col) == yes), F.count_if(F.col(col).isin(*in_set))
+    hit, base = _rows(weight, F.col(col) == yes), _rows(weight, F.col(col).isin(*in_set))
     present = reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.lit(True))
     return df.where(present).groupBy(*keys).agg(hit.alias("yes_rows"), base.alias("base_rows"),
                                                 (hit / F.nullif(base, F.lit(0))).alias("prevalence"))
 
 
-def conditional_prevalence(df: DataFrame, profile: Sequence[str], outcome: str = "diabetes_status") -> DataFrame:
+def conditional_prevalence(df: DataFrame, profile: Sequence[str], outcome: str = "diabetes_status",
+                           weight: str | None = None) -> DataFrame:
     """P(outcome | profile) with four digits from one scan.
 
     Rows are counted per (profile, outcome) first; the profile total is a window over those few counts.
     """
-    cells = df.dropna(subset=[*profile, outcome]).groupBy(*profile, outcome).agg(
-        F.count(F.lit(1)).alias("outcome_rows"))
+    cells = df.dropna(subset=[*profile, outcome]).groupBy(*profile, outcome).agg(_rows(weight).alias("outcome_rows"))
     total = F.sum("outcome_rows").over(Window.partitionBy(*profile))
     rate = (F.col("outcome_rows").cast("decimal(18,8)") / total.cast("decimal(19,0)")).cast("decimal(6,4)")
     return cells.withColumns({"profile_rows": total, "prevalence_rate": rate})
 
 
-def marginal_shares(df: DataFrame, col: str, vocab: Sequence[str], check: bool = True) -> DataFrame:
+def marginal_shares(df: DataFrame, col: str, vocab: Sequence[str], check: bool = True, weight: str | None = None) -> DataFrame:
     """Share of each vocabulary level; fails when the levels found are not exactly the vocabulary."""
-    counts = df.where(F.col(col).isin(*vocab)).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(F.col(col).isin(*vocab)).groupBy(col).agg(_rows(weight).alias("n"))
     out = counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
     if check:
         found = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
@@ -60,7 +77,7 @@ def marginal_shares(df: DataFrame, col: str, vocab: Sequence[str], check: bool =
 def weighted_means(df: DataFrame, keys: Sequence[str], weight: str, cols: Mapping[str, str]) -> DataFrame:
     """Weighted mean per group; ``cols`` maps a column to its result decimal type."""
     w = F.col(weight).cast("decimal(18,0)")
-    means = [(F.sum(w * F.col(c)) / F.nullif(F.sum(w), F.lit(0))).cast(dtype).alias(c) for c, dtype in cols.items()]
+    means = [exact_ratio(F.sum(w * F.col(c)), F.sum(w), dtype).alias(c) for c, dtype in cols.items()]
     return df.groupBy(*keys).agg(F.sum(w).cast("long").alias(weight), *means)
 
 
@@ -85,7 +102,7 @@ def mean_prevalence(summary: DataFrame, outcome: str = "yes", weighted: bool = F
         per_profile = summary.groupBy(*fixed.PROFILE).agg(
             F.max("profile_rows").alias("n"),
             F.coalesce(F.sum(F.when(F.col("diabetes_status") == outcome, F.col("outcome_rows"))), F.lit(0)).alias("y"))
-        rate = (F.sum("y").cast("decimal(20,0)") / F.sum("n")).cast("decimal(6,4)")
+        rate = exact_ratio(F.sum("y"), F.sum("n"), "decimal(6,4)", 0)
         out = per_profile.groupBy("age_band", "gender").agg(rate.alias("mean_prevalence"))
     else:
         rows = summary.where((F.col("diabetes_status") == outcome) & F.col("prevalence_rate").isNotNull())
@@ -173,7 +190,7 @@ def reachability(df: DataFrame, key: str, target: str) -> DataFrame:
 def order_violation(df: DataFrame, earlier: str, later: str) -> DataFrame:
     bad, n = F.count_if(F.col(later) < F.col(earlier)), F.count(F.lit(1))
     return df.agg(n.alias("rows"), bad.alias("violations"),
-                  (bad.cast("decimal(20,0)") * 100 / F.nullif(n, F.lit(0))).cast("decimal(8,4)").alias("pct"))
+                  exact_ratio(bad * 100, n, "decimal(8,4)", 0).alias("pct"))
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -235,9 +252,9 @@ def dist_summary(df: DataFrame, col: str) -> DataFrame:
     return base.join(F.broadcast(q)).join(F.broadcast(nz))
 
 
-def sparsity(df: DataFrame, keys: Sequence[str], grid_size: int, small: int = 30) -> DataFrame:
+def sparsity(df: DataFrame, keys: Sequence[str], grid_size: int, small: int = 30, weight: str | None = None) -> DataFrame:
     """Profile of cell sizes: cells are counted per key, so the rest works on at most ``grid_size`` rows."""
-    cells = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    cells = df.dropna(subset=list(keys)).groupBy(*keys).agg(_rows(weight).alias("n"))
     p = F.percentile("n", F.array(*[F.lit(x) for x in (0.1, 0.25, 0.5, 0.75, 0.9)]))
     facts = cells.agg(F.count(F.lit(1)).alias("cells"), F.min("n").alias("min_n"), p.alias("p"), F.max("n").alias("max_n"),
                       F.count_if(F.col("n") < small).alias("small_cells"), F.count_if(F.col("n") == 1).alias("singletons"))

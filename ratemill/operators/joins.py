@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,7 +95,7 @@ def reachable_pair_facts(links: DataFrame, contract_dates: DataFrame, invoices:
     reached = links.join(per_account.select("billing_account_id"), "billing_account_id", "left_semi").agg(
         F.count_distinct("contract_id").alias("contracts_with_invoice"))
     totals = facts.agg(pairs.alias("pairs"), early.alias("before_effective"),
-                       (early.cast("decimal(20,0)") * 100 / F.nullif(pairs, F.lit(0))).cast("decimal(8,4)").alias("pct_before"))
+                       (early.cast("decimal(18,0)") * F.lit(Decimal(100)) / F.nullif(pairs, F.lit(0)).cast("decimal(18,0)")).cast("decimal(8,4)").alias("pct_before"))
     return totals.crossJoin(F.broadcast(reached))
 
 
@@ -195,7 +196,7 @@ def not_exists(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
 
 def profile_grid(spark, levels: Mapping[str, Sequence[str]]) -> DataFrame:
     """Every combination of fixed vocabularies, built by exploding literal arrays on one row."""
-    grid = spark.range(1)
+    grid = spark.range(0, 1, 1, 1)
     for name, values in levels.items():
         grid = grid.select("*", F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
     return grid.drop("id")

@@ -16,6 +16,7 @@ from ratemill.operators import joins as J
 from ratemill.operators.sets import stratified_split
 from ratemill.plans import models, pricing, publish
 from ratemill.plans.staging import survey_records
+from ratemill.session import cut_lineage
 
 
 @dataclass
@@ -70,8 +71,9 @@ def run_refresh(spark: SparkSession, root: str, raw_survey: DataFrame, key: str,
     if not verdict["passed"]:
         publish.log_failure(spark, root, None, effective, f"gate failed: {verdict}", state["source_path"])
         return RefreshResult("gate_failed", None, verdict, bundle)
-    exercise = A.marginal_shares(records, "exercise_freq", fixed.EXERCISE_LEVELS)
-    cells = pricing.rating_cells(baseline, A.prevalence(records, ["age_band", "gender"]), ratio)
+    counts = cut_lineage(A.profile_counts(records))
+    exercise = A.marginal_shares(counts, "exercise_freq", fixed.EXERCISE_LEVELS, weight="n")
+    cells = pricing.rating_cells(baseline, A.prevalence(counts, ["age_band", "gender"], weight="n"), ratio)
     factors = pricing.risk_factors(cells, probabilities(final, records, exercise), undiagnosed)
     book = pricing.rate_book(factors, pricing.product_factors(products), loading)
     n_factors = len(fixed.AGE_LABELS) * len(fixed.GENDERS) * len(fixed.SMOKING_LEVELS) * len(fixed.BMI_LEVELS) * 2
