@@ -226,9 +226,9 @@ def book(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def active_book(spark: SparkSession, sf: str) -> DataFrame:
-    """The book as the active version (the last of the order years)."""
+    """The book as the active version (the last of the order years), kept as a table like a published book."""
     v = J.ci_active(versions(spark, sf)).select("rate_version_id")
-    return book(spark, sf).join(F.broadcast(v))
+    return cut_lineage(book(spark, sf).join(F.broadcast(v)))
 
 
 _GRID = ("grid AS (SELECT * FROM (VALUES " + ",".join(f"('{v}')" for v in fixed.AGE_LABELS) + ") a(age_band), (VALUES ('F'),('M')) g(gender), "
