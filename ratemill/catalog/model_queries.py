@@ -1 +1,168 @@
-"""Registered queries."""
+"""Model fits, score metrics and the streaming path."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ratemill import fixed
+from ratemill.catalog import star
+from ratemill.catalog.registry import query
+from ratemill.catalog.star import table
+from ratemill.functions import recode as R
+from ratemill.operators import filters as P
+from ratemill.operators import joins as J
+from ratemill.operators import ranking as K
+from ratemill.operators.sets import stratified_split
+from ratemill.plans import models as M
+from ratemill.plans import pricing
+from ratemill.session import cut_lineage, shared_dir
+from ratemill.streaming import checkins as T
+
+
+def scored(spark, sf):
+    """Line items with a 0/1 outcome and a score between 0 and 1 from the price; groups by ship mode columns."""
+    return table(spark, sf, "lineitem").select(
+        (F.col("l_discount") <= 0.045).cast("int").alias("y"), (F.col("l_extendedprice") / 110000).alias("p"),
+        F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("qty"), F.col("l_returnflag").alias("grp"),
+        F.col("l_linestatus").alias("sex"))
+
+
+_SCORED = """
+scored AS (SELECT CASE WHEN l_discount <= 0.045 THEN 1 ELSE 0 END AS y, l_extendedprice/110000 AS p, l_extendedprice AS price, l_quantity AS qty,
+  l_returnflag AS grp, l_linestatus AS sex FROM lineitem)"""
+_RANKS = """
+ranked AS (SELECT *, rank() OVER (PARTITION BY {g} ORDER BY p) + (count(*) OVER (PARTITION BY {g}, p) - 1)/2.0 AS r FROM scored)"""
+
+
+@query("WITH" + _SCORED + "," + _RANKS.format(g="grp") + """
+SELECT grp, count(*) AS n_rows, CAST(sum(y) AS BIGINT) AS positive_rows,
+  round((sum(r) FILTER (WHERE y = 1) - sum(y)*(sum(y)+1)/2.0) / (sum(y)::DOUBLE*(count(*)-sum(y))), 6) AS auc FROM ranked GROUP BY 1""")
+def auc_by_group(spark, sf):
+    return M.subgroup_auc(scored(spark, sf), "grp", "y", "p")
+
+
+@query("WITH" + _SCORED + """,
+c AS (SELECT p, count(*) AS n, sum(y) AS pos FROM scored GROUP BY 1),
+k AS (SELECT *, sum(n) OVER w AS flagged, sum(pos) OVER w AS tp, sum(pos) OVER () AS positives FROM c WINDOW w AS (ORDER BY p DESC)),
+pr AS (SELECT sum((pos::DOUBLE/positives) * (CASE WHEN flagged > n THEN (tp - pos)::DOUBLE/(flagged - n) ELSE 1.0 END + tp::DOUBLE/flagged)/2) AS pr_auc FROM k),
+rk AS (SELECT y, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1)/2.0 AS r FROM scored),
+a AS (SELECT (sum(r) FILTER (WHERE y = 1) - sum(y)*(sum(y)+1)/2.0) / (sum(y)::DOUBLE*(count(*)-sum(y))) AS auc FROM rk),
+t AS (SELECT count(*) AS n_rows, avg((y-p)*(y-p)) AS brier, count(*) FILTER (WHERE y = 1 AND p >= 0.5) AS tp, count(*) FILTER (WHERE y = 0 AND p >= 0.5) AS fp,
+  count(*) FILTER (WHERE y = 1 AND p < 0.5) AS fn FROM scored)
+SELECT round(auc, 6) AS auc, n_rows, round(brier, 6) AS brier, tp, fp, fn, round(tp::DOUBLE/(tp+fp), 6) AS precision, round(tp::DOUBLE/(tp+fn), 6) AS recall,
+  round(2.0*tp/(2*tp+fp+fn), 6) AS f1, round(pr_auc, 6) AS pr_auc FROM t, a, pr""")
+def classification_metrics(spark, sf):
+    return M.classification_metrics(scored(spark, sf), "y", "p")
+
+
+@query("WITH" + _SCORED + """,
+c AS (SELECT qty, count(*) AS n, sum(y) AS pos FROM scored GROUP BY 1)
+SELECT qty AS threshold, round(sum(pos) OVER w::DOUBLE / sum(n) OVER w, 6) AS precision, round(sum(pos) OVER w::DOUBLE / sum(pos) OVER (), 6) AS recall FROM c WINDOW w AS (ORDER BY qty DESC)""")
+def pr_curve(spark, sf):
+    return K.pr_points(scored(spark, sf), "y", "qty")
+
+
+@query("WITH" + _SCORED + """,
+x AS (SELECT grp, rank() OVER (PARTITION BY grp ORDER BY price) + (count(*) OVER (PARTITION BY grp, price) - 1)/2.0 AS rx,
+  rank() OVER (PARTITION BY grp ORDER BY qty) + (count(*) OVER (PARTITION BY grp, qty) - 1)/2.0 AS ry FROM scored)
+SELECT grp, count(*) AS n_rows, round(corr(rx, ry), 6) AS spearman FROM x GROUP BY 1""")
+def spearman_by_group(spark, sf):
+    return K.spearman(scored(spark, sf), ["grp"], "price", "qty")
+
+
+@query("WITH" + _SCORED + """,
+e AS (SELECT """ + ", ".join(f"quantile_cont(p, 0.{i}) AS e{i}" for i in range(1, 10)) + """ FROM scored),
+b AS (SELECT y, p, """ + " + ".join(f"(p > e{i})::INT" for i in range(1, 10)) + """ AS bin FROM scored, e)
+SELECT CAST(bin AS BIGINT) AS bin, count(*) AS n_rows, round(avg(y), 6) AS observed, round(avg(p), 6) AS predicted FROM b GROUP BY 1""")
+def calibration_bins(spark, sf):
+    return K.calibration(scored(spark, sf), "y", "p")
+
+
+@query("WITH" + star.RECORDS + "," + star.PREV + """
+SELECT gender, count(*) FILTER (WHERE p < q) AS violations, CAST(count(*) FILTER (WHERE p < q) = 0 AS BIGINT) AS non_decreasing
+FROM (SELECT gender, p, lag(p) OVER (PARTITION BY gender ORDER BY """ + star.band_no("age_band") + """) AS q FROM prev) GROUP BY 1""")
+def monotonic_violations(spark, sf):
+    from ratemill.operators.aggregates import prevalence
+    p = prevalence(star.counts(spark, sf), ["age_band", "gender"], weight="n")
+    return K.monotonic_violations(p, ["gender"], R.ordinal("age_band", fixed.AGE_LABELS), "prevalence")
+
+
+@query("WITH" + _SCORED + """
+SELECT round(avg(y), 6) AS base_rate, round(avg(y)*(1-avg(y)), 6) AS constant_brier FROM scored""")
+def constant_brier(spark, sf):
+    return M.constant_brier(scored(spark, sf), "y")
+
+
+@query("""SELECT split, count(*) AS n_rows FROM (SELECT CASE WHEN row_number() OVER (PARTITION BY quality ORDER BY doc_id) <= floor(count(*) OVER (PARTITION BY quality)*0.2 + 0.5)
+  THEN 'test' ELSE 'train' END AS split FROM labels) GROUP BY 1""")
+def split_summary(spark, sf):
+    s = stratified_split(table(spark, sf, "labels"), "quality", ["doc_id"])
+    return M.split_summary(s, "quality").select("split", "n_rows")
+
+
+_EXT = star.RECORDS + "," + star.MORTALITY + "," + star.PREV + "," + star.cells_sql(2023) + f""",
+s AS (SELECT gender, {star.coarse_case('age_band')} AS coarse_group, CASE WHEN bmi_value >= 30 THEN 0.25::DOUBLE ELSE 0.125::DOUBLE END * age_code AS score FROM records
+  WHERE age_band IS NOT NULL AND bmi_value IS NOT NULL),
+m AS (SELECT coarse_group, s.gender, avg(score) AS mean_score, any_value(f) AS f FROM s JOIN cells_ratio r ON r.age_band = coarse_group AND r.gender = s.gender GROUP BY 1, 2)"""
+
+
+@query("WITH" + _EXT + " SELECT coarse_group, gender, round(mean_score, 6) AS mean_score, round(f, 6) AS f FROM m")
+def external_reference(spark, sf):
+    """Mean score per coarse group beside the mortality ratio."""
+    return J.external_reference(ext_scores(spark, sf), pricing.condition_ratio(star.mortality(cut_lineage(star.deaths(spark, sf))), 2023),
+                                ["coarse_group", "gender"], "score")
+
+
+def ext_scores(spark, sf):
+    rec = star.records(spark, sf).where("age_band is not null and bmi_value is not null")
+    score = F.when(F.col("bmi_value") >= 30, 0.25).otherwise(0.125) * F.col("age_code")
+    return rec.select("gender", "age_band", R.coarse_group("age_band").alias("coarse_group"), score.alias("score"))
+
+
+@query("WITH" + _EXT + """,
+r AS (SELECT gender, rank() OVER (PARTITION BY gender ORDER BY mean_score) + (count(*) OVER (PARTITION BY gender, mean_score) - 1)/2.0 AS a,
+  rank() OVER (PARTITION BY gender ORDER BY f) + (count(*) OVER (PARTITION BY gender, f) - 1)/2.0 AS b FROM m)
+SELECT gender, count(*) AS n_rows, round(corr(a, b), 6) AS spearman FROM r GROUP BY 1""")
+def external_spearman(spark, sf):
+    dead = cut_lineage(star.deaths(spark, sf))
+    m = star.mortality(dead)
+    checks = M.external_validation(ext_scores(spark, sf), pricing.condition_ratio(m, 2023), m.where("condition_flag = 'BASELINE'"), "score")
+    return checks["spearman"]
+
+
+def training(spark, sf):
+    rec = P.complete_cases(star.records(spark, sf), [*fixed.PROFILE, "bmi_value"]).where(F.col("diabetes_code").isin(1, 3))
+    return P.full_matrix(P.labels(rec.withColumn("bmi", F.col("bmi_value")), "diabetes_code").select(
+        "l_orderkey", "label", "bmi", "age_band", "gender", "smoking_status", "exercise_freq"))
+
+
+@query()
+def logit_inference(spark, sf):
+    """Wald table of the logistic fit on every labelled record."""
+    return M.inference_table(training(spark, sf), "label", P.dummy_names())
+
+
+@query()
+def kmeans_profiles(spark, sf):
+    """Profiles of the best clustering for k = 2 to 4."""
+    sweep = M.kmeans_sweep(training(spark, sf), P.full_names(), (2, 3, 4))
+    return M.cluster_profile(sweep.clustered.withColumn("bmi", F.col("bmi").cast("double")))
+
+
+@query("""SELECT user_id AS enrollment_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS qualifying_activity_count FROM events
+WHERE event_type IN ('view', 'click', 'purchase') AND user_id IN (SELECT o_custkey FROM orders) GROUP BY 1, 2""")
+def stream_verified(spark, sf):
+    """Check-ins read as a stream that delivers every event twice: validated, de-duplicated, written, counted."""
+    root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    raw = star.activity(spark, sf).select("activity_id", "enrollment_id", "activity_type", "verified_flag").join(
+        table(spark, sf, "events").select(F.col("event_id").alias("activity_id"), F.col("ts").cast("timestamp").alias("activity_ts")), "activity_id")
+    raw.unionByName(raw).write.parquet(f"{root}/in")
+    schema = spark.read.parquet(f"{root}/in").schema.simpleString()[7:-1].replace(":", " ")
+    stream = T.read_checkins(spark, f"{root}/in", schema)
+    clean = T.dedupe(T.valid_checkins(stream, star.enrollments(spark, sf), ("view", "click", "purchase")), "40 days")
+    q = clean.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/cp").trigger(availableNow=True).start()
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    return out.groupBy("enrollment_id", F.col("activity_ts").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("qualifying_activity_count"))

@@ -53,25 +53,25 @@ def with_running_total(df: DataFrame, groups: Sequence[str], bucket: str, order:
 
 
 def value_ranks(df: DataFrame, groups: Sequence[str], value: str, extra: dict[str, Column] | None = None) -> DataFrame:
-    """One row per (group, distinct value): n, cum (rows up to and with it), total, avg_rank, plus extra sums.
+    """One row per (group, distinct value): ties, cum (rows up to and with it), total, avg_rank, plus extra sums.
 
     Rows are first reduced to distinct values, so a frequent value is one row.
     """
     extra = extra or {}
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(
-        F.count(F.lit(1)).alias("n"), *[c.alias(name) for name, c in extra.items()])
+        F.count(F.lit(1)).alias("ties"), *[c.alias(name) for name, c in extra.items()])
     bucketed = with_value_bucket(counts, groups, value)
-    run = with_running_total(bucketed, groups, "_bucket", [F.col(value)], F.col("n"), "cum", "total")
-    return run.withColumn("avg_rank", F.col("cum") - (F.col("n") - 1) / F.lit(2.0)).drop("_bucket")
+    run = with_running_total(bucketed, groups, "_bucket", [F.col(value)], F.col("ties"), "cum", "total")
+    return run.withColumn("avg_rank", F.col("cum") - (F.col("ties") - 1) / F.lit(2.0)).drop("_bucket")
 
 
 def quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Exact linearly interpolated quantiles per group in long form: (groups, prob, quantile)."""
     ranks = value_ranks(df, groups, value)
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    r = ranks.select(*groups, F.col(value).cast("double").alias("_v"), "n", "cum", "total", wanted)
+    r = ranks.select(*groups, F.col(value).cast("double").alias("_v"), "ties", "cum", "total", wanted)
     r = r.withColumn("_pos", (F.col("total") - 1) * F.col("prob"))
-    lo, hi, start = F.floor("_pos"), F.ceil("_pos"), F.col("cum") - F.col("n")
+    lo, hi, start = F.floor("_pos"), F.ceil("_pos"), F.col("cum") - F.col("ties")
     r = r.where(((lo >= start) & (lo < F.col("cum"))) | ((hi >= start) & (hi < F.col("cum"))))
     at = r.groupBy(*groups, "prob", "_pos").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     step = (F.col("_hi") - F.col("_lo")) * (F.col("_pos") - F.floor("_pos"))

@@ -98,7 +98,7 @@ def auc(df: DataFrame, group: Sequence[str], label: str, score: str) -> DataFram
     Scores are reduced to distinct values, ranked in buckets, then summed: exact and spread out.
     """
     r = value_ranks(df.where(F.col(label).isNotNull()), group, score, {"pos": F.sum(F.col(label).cast("long"))})
-    g = r.groupBy(*group).agg(F.sum("n").alias("n_rows"), F.sum("pos").alias("positive_rows"),
+    g = r.groupBy(*group).agg(F.sum("ties").alias("n_rows"), F.sum("pos").alias("positive_rows"),
                               F.sum(F.col("avg_rank") * F.col("pos")).alias("_rs"))
     p, q = F.col("positive_rows").cast("double"), (F.col("n_rows") - F.col("positive_rows")).cast("double")
     return g.withColumn("auc", F.when((p > 0) & (q > 0), (F.col("_rs") - p * (p + 1) / 2) / (p * q))).drop("_rs")
