@@ -16,8 +16,15 @@ from ratemill.plans.staging import survey_records
 from ratemill.session import cut_lineage
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A star table. Its schema is read from the file footer once per path, not once per query."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def plain(df: DataFrame) -> DataFrame:

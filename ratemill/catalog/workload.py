@@ -64,9 +64,8 @@ SELECT count(*) AS pairs, CAST(sum(early) AS BIGINT) AS before_effective,
   count(DISTINCT o_orderkey) AS contracts_with_invoice FROM pairs""")
 def q2_reachable_pairs(spark, sf):
     t = billing_path(spark, sf)
-    links = J.contract_accounts(t["contracts"], t["parties"], t["customers"], t["members"], t["accounts"],
-                                t["account_billing"], t["billing"])
-    return J.reachable_pair_facts(links, t["contracts"].select("contract_id", "effective_date"), t["invoices"])
+    links = J.contract_accounts(t["contracts"], t["parties"], t["customers"], t["members"], t["accounts"])
+    return J.reachable_pair_facts(links, t["account_billing"], t["contracts"].select("contract_id", "effective_date"), t["invoices"])
 
 
 @query("""SELECT l_orderkey, l_partkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS run_date

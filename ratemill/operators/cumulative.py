@@ -6,12 +6,14 @@ running total is a small window; the ordered window itself runs inside one (grou
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITS = 256
+from ratemill.session import cut_lineage
+
+SPLIT_BITS = 8
 HASH_BITS = 12
 
 
@@ -20,54 +22,76 @@ def hash_bucket(h: Column, bits: int = HASH_BITS) -> Column:
     return F.shiftright(h, 64 - bits)
 
 
-def with_value_bucket(df: DataFrame, groups: Sequence[str], value: str, splits: int = SPLITS) -> DataFrame:
-    """Adds ``_bucket`` from approximate quantiles of ``value`` per group (bucket order = value order)."""
-    probs = F.array(*[F.lit(i / splits) for i in range(1, splits)])
-    edges = df.groupBy(*groups).agg(F.percentile_approx(value, probs, 10 * splits).alias("_edges"))
-    joined = df.crossJoin(F.broadcast(edges)) if not groups else _null_safe_join(df, edges, groups)
-    below = F.size(F.filter("_edges", lambda e: e < F.col(value)))
-    return joined.withColumn("_bucket", below).drop("_edges")
+def with_value_bucket(df: DataFrame, groups: Sequence[str], value: str, bits: int = SPLIT_BITS) -> DataFrame:
+    """Adds ``_bucket``, the number of approximate quantile edges of its group below ``value`` (bucket order =
+    value order). The 2**bits - 1 edges are searched by halving, one projection per step, inside codegen."""
+    n = 1 << bits
+    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    edges = df.groupBy(*groups).agg(F.percentile_approx(value, probs, 10 * n).alias("_edges"))
+    out = null_safe_join(df, edges, groups) if groups else df.join(F.broadcast(edges))
+    out = out.withColumn("_bucket", F.lit(0))
+    for step in (1 << i for i in reversed(range(bits))):
+        beyond = F.get("_edges", F.col("_bucket") + (step - 1)) < F.col(value)
+        out = out.withColumn("_bucket", F.when(beyond, F.col("_bucket") + step).otherwise(F.col("_bucket")))
+    return out.drop("_edges")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where null matches null; keeps the left key columns."""
     renamed = right.select([F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
     cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def with_running_total(df: DataFrame, groups: Sequence[str], bucket: str, order: Sequence[Column],
-                       amount: Column, out: str, total: str | None = None) -> DataFrame:
-    """Inclusive running sum of ``amount`` in order, per group; the order must be total inside a bucket."""
-    df = df.withColumn("_amount", amount)
-    sums = df.groupBy(*groups, bucket).agg(F.sum("_amount").alias("_part"))
+def with_running_totals(df: DataFrame, groups: Sequence[str], bucket: str, order: Sequence[Column],
+                        amounts: Mapping[str, Column], totals: Mapping[str, str] | None = None) -> DataFrame:
+    """Inclusive running sums in order, per group; the order must be total inside a bucket.
+
+    ``amounts`` maps an output column to what it sums; ``totals`` maps such a column to the name of its group total.
+    """
+    totals = totals or {}
+    df = df.withColumns({f"_a_{k}": c for k, c in amounts.items()})
+    sums = df.groupBy(*groups, bucket).agg(*[F.sum(f"_a_{k}").alias(f"_p_{k}") for k in amounts])
     w = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     before = w.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.withColumn("_before", F.coalesce(F.sum("_part").over(before), F.lit(0)))
-    if total:
-        offsets = offsets.withColumn(total, F.sum("_part").over(w))
+    offsets = sums.select(*groups, bucket,
+                          *[F.coalesce(F.sum(f"_p_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in amounts],
+                          *[F.sum(f"_p_{k}").over(w).alias(name) for k, name in totals.items()])
     inner = Window.partitionBy(*groups, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = df.withColumn("_inner", F.sum("_amount").over(inner))
-    joined = _null_safe_join(ranked, offsets.drop("_part"), [*groups, bucket])
-    return joined.withColumn(out, F.col("_inner") + F.col("_before")).drop("_inner", "_before", "_amount")
+    ranked = df.withColumns({f"_i_{k}": F.sum(f"_a_{k}").over(inner) for k in amounts})
+    joined = null_safe_join(ranked, offsets, [*groups, bucket])
+    joined = joined.withColumns({k: F.col(f"_i_{k}") + F.col(f"_o_{k}") for k in amounts})
+    return joined.drop(*[f"_{x}_{k}" for k in amounts for x in "aio"])
 
 
-def value_ranks(df: DataFrame, groups: Sequence[str], value: str, extra: dict[str, Column] | None = None) -> DataFrame:
-    """One row per (group, distinct value): ties, cum (rows up to and with it), total, avg_rank, plus extra sums.
+def tie_counts(df: DataFrame, groups: Sequence[str], value: str, extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row per (group, distinct value) with ``ties`` rows and extra sums.
 
-    Rows are first reduced to distinct values, so a frequent value is one row.
+    It is kept as a table: edges, bucket sums and ranks all read it, and the input is aggregated once.
     """
-    extra = extra or {}
-    counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(
-        F.count(F.lit(1)).alias("ties"), *[c.alias(name) for name, c in extra.items()])
+    return cut_lineage(df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(
+        F.count(F.lit(1)).alias("ties"), *[c.alias(name) for name, c in (extra or {}).items()]))
+
+
+def rank_ties(counts: DataFrame, groups: Sequence[str], value: str, extra: Sequence[str] = ()) -> DataFrame:
+    """tie_counts with cum (rows up to and with the value), total, avg_rank, and cum_/total_ of the extra sums."""
     bucketed = with_value_bucket(counts, groups, value)
-    run = with_running_total(bucketed, groups, "_bucket", [F.col(value)], F.col("ties"), "cum", "total")
+    amounts = {"cum": F.col("ties"), **{f"cum_{e}": F.col(e) for e in extra}}
+    run = with_running_totals(bucketed, groups, "_bucket", [F.col(value)], amounts,
+                              {"cum": "total", **{f"cum_{e}": f"total_{e}" for e in extra}})
     return run.withColumn("avg_rank", F.col("cum") - (F.col("ties") - 1) / F.lit(2.0)).drop("_bucket")
 
 
+def value_ranks(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    return rank_ties(tie_counts(df, groups, value), groups, value)
+
+
 def quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Exact linearly interpolated quantiles per group in long form: (groups, prob, quantile)."""
-    ranks = value_ranks(df, groups, value)
+    return quantiles_of(value_ranks(df, groups, value), groups, value, probs)
+
+
+def quantiles_of(ranks: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
     r = ranks.select(*groups, F.col(value).cast("double").alias("_v"), "ties", "cum", "total", wanted)
     r = r.withColumn("_pos", (F.col("total") - 1) * F.col("prob"))
@@ -82,7 +106,7 @@ def numbered(df: DataFrame, key: str, out: str, ties: Sequence[str] = (), start:
     """1..N in order of ``key`` (then ``ties``), spread over buckets of the key."""
     bucketed = with_value_bucket(df, [], key)
     order = [F.col(key), *[F.col(t) for t in ties]]
-    run = with_running_total(bucketed, [], "_bucket", order, F.lit(1), out)
+    run = with_running_totals(bucketed, [], "_bucket", order, {out: F.lit(1)})
     return run.drop("_bucket").withColumn(out, (F.col(out) + (start - 1)).cast("long"))
 
 
@@ -91,5 +115,6 @@ def hash_rank(df: DataFrame, groups: Sequence[str], key: Sequence[str], seed: in
     """Rank 1..n of every row of a group in a seeded, input-order-free pseudo-random order."""
     h = df.withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(k) for k in key]))
     h = h.withColumn("_hb", hash_bucket(F.col("_h")))
-    run = with_running_total(h, groups, "_hb", [F.col("_h"), *[F.col(k) for k in key]], F.lit(1), out, total)
+    run = with_running_totals(h, groups, "_hb", [F.col("_h"), *[F.col(k) for k in key]], {out: F.lit(1)},
+                              {out: total} if total else {})
     return run.drop("_h", "_hb")

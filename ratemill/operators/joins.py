@@ -38,6 +38,15 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], spread: S
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
+def left_join_spreading_nulls(left: DataFrame, right: DataFrame, key: str, spread: str, also: Sequence[str] = ()) -> DataFrame:
+    """Left join on a key that many left rows lack. Rows without it match nothing, yet a plain join would send
+    them all to one task; here they are hashed by ``spread`` instead."""
+    kind = left.schema[key].dataType
+    l = left.withColumns({"_absent": F.col(key).isNull(), "_k": F.coalesce(F.col(key), F.col(spread).cast(kind))})
+    r = right.withColumnRenamed(key, "_k").withColumn("_absent", F.lit(False))
+    return l.join(r, ["_absent", "_k", *also], "left").drop("_absent", "_k")
+
+
 def party_contracts(parties: DataFrame, contracts: DataFrame, customer_id=None) -> DataFrame:
     """Contracts of a customer, or of every customer when none is named."""
     if customer_id is not None:
@@ -54,49 +63,58 @@ def invoice_chain(contracts: DataFrame, parties: DataFrame, customers: DataFrame
     billing account - invoice. The path is reduced to distinct links before invoices are read."""
     if contract_id is not None:
         contracts = contracts.where(F.col("contract_id") == contract_id)
-    links = contract_accounts(contracts, parties, customers, members, accounts, account_billing, billing)
+    path = contract_accounts(contracts, parties, customers, members, accounts)
+    path = path.join(account_billing.select("account_id", "billing_account_id"), "account_id")
+    links = path.join(billing.select("billing_account_id"), "billing_account_id").select("contract_id", "billing_account_id").distinct()
     return links.join(invoices, "billing_account_id")
 
 
-def contract_accounts(contracts, parties, customers, members, accounts, account_billing, billing) -> DataFrame:
-    """Distinct (contract_id, billing_account_id) links of the billing path."""
+def contract_accounts(contracts, parties, customers, members, accounts) -> DataFrame:
+    """Distinct (contract_id, account_id) links of the billing path."""
     path = contracts.select("contract_id").join(parties.select("contract_id", "customer_id"), "contract_id")
     path = path.join(customers.select("customer_id"), "customer_id").distinct()
     path = path.join(members.select("customer_id", "account_id"), "customer_id")
-    path = path.join(accounts.select("account_id"), "account_id").select("contract_id", "account_id").distinct()
-    path = path.join(account_billing.select("account_id", "billing_account_id"), "account_id")
-    return path.join(billing.select("billing_account_id"), "billing_account_id").select(
-        "contract_id", "billing_account_id").distinct()
+    return path.join(accounts.select("account_id"), "account_id").select("contract_id", "account_id").distinct()
 
 
-def reachable_pair_facts(links: DataFrame, contract_dates: DataFrame, invoices: DataFrame) -> DataFrame:
+def reachable_pair_facts(contract_accounts: DataFrame, account_billing: DataFrame, contract_dates: DataFrame,
+                         invoices: DataFrame) -> DataFrame:
     """Counts over distinct (contract, invoice) pairs, computed without building a pair.
 
-    links: distinct (contract_id, billing_account_id); contract_dates: (contract_id, effective_date);
-    invoices: (invoice_id, billing_account_id, run_date), each invoice in one billing account.
-    Both sides shrink to (account, day); a running invoice count per account gives, for each contract
-    date, how many invoices came before it. An account window holds at most one row per calendar day.
+    contract_accounts: distinct (contract_id, account_id); account_billing: (account_id, billing_account_id);
+    contract_dates: (contract_id, effective_date); invoices: (invoice_id, billing_account_id, run_date), each
+    invoice in one billing account. Where every billing account belongs to one account the meeting point is the
+    account, otherwise the billing account, so that a pair reached twice counts once. Both sides shrink to one
+    row per meeting point and day; a running invoice count then gives, for each contract date, the invoices
+    before it. No window holds more rows than there are days.
     """
-    daily = invoices.groupBy("billing_account_id", F.col("run_date").alias("day")).agg(
-        F.count(F.lit(1)).alias("invoices"))
-    starts = links.join(contract_dates, "contract_id").groupBy(
-        "billing_account_id", F.col("effective_date").alias("day")).agg(F.count(F.lit(1)).alias("contracts"))
-    both = daily.select("billing_account_id", "day", "invoices", F.lit(0).cast("long").alias("contracts")).unionByName(
-        starts.select("billing_account_id", "day", F.lit(0).cast("long").alias("invoices"), "contracts"))
-    both = both.groupBy("billing_account_id", "day").agg(F.sum("invoices").alias("invoices"),
-                                                         F.sum("contracts").alias("contracts"))
-    account = Window.partitionBy("billing_account_id")
-    earlier = account.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    links = account_billing.select("account_id", "billing_account_id").distinct()
+    daily = invoices.groupBy("billing_account_id", F.col("run_date").alias("day")).agg(F.count(F.lit(1)).alias("invoices"))
+    shared = not links.groupBy("billing_account_id").count().where("count > 1").isEmpty()
+    if shared:
+        point = "billing_account_id"
+        reach = contract_accounts.join(links, "account_id").select("contract_id", point).distinct()
+    else:
+        point = "account_id"
+        reach = contract_accounts.select("contract_id", point)
+        daily = daily.join(links, "billing_account_id").groupBy(point, "day").agg(F.sum("invoices").alias("invoices"))
+    starts = reach.join(contract_dates, "contract_id").groupBy(point, F.col("effective_date").alias("day")).agg(
+        F.count(F.lit(1)).alias("contracts"))
+    none = F.lit(0).cast("long")
+    both = daily.select(point, "day", "invoices", none.alias("contracts")).unionByName(
+        starts.select(point, "day", none.alias("invoices"), "contracts")).groupBy(point, "day").agg(
+        F.sum("invoices").alias("invoices"), F.sum("contracts").alias("contracts"))
+    each = Window.partitionBy(point)
+    earlier = each.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     facts = both.select("contracts", F.coalesce(F.sum("invoices").over(earlier), F.lit(0)).alias("before"),
-                        F.sum("invoices").over(account).alias("all_invoices"))
+                        F.sum("invoices").over(each).alias("all_invoices"))
     pairs = F.sum(F.col("contracts") * F.col("all_invoices"))
     early = F.sum(F.col("contracts") * F.col("before"))
-    per_account = daily.groupBy("billing_account_id").agg(F.sum("invoices").alias("n"))
-    reached = links.join(per_account.select("billing_account_id"), "billing_account_id", "left_semi").agg(
+    reached = reach.join(daily.select(point).distinct(), point, "left_semi").agg(
         F.count_distinct("contract_id").alias("contracts_with_invoice"))
-    totals = facts.agg(pairs.alias("pairs"), early.alias("before_effective"),
-                       (early.cast("decimal(18,0)") * F.lit(Decimal(100)) / F.nullif(pairs, F.lit(0)).cast("decimal(18,0)")).cast("decimal(8,4)").alias("pct_before"))
-    return totals.crossJoin(F.broadcast(reached))
+    pct = early.cast("decimal(18,0)") * F.lit(Decimal(100)) / F.nullif(pairs, F.lit(0)).cast("decimal(18,0)")
+    totals = facts.agg(pairs.alias("pairs"), early.alias("before_effective"), pct.cast("decimal(8,4)").alias("pct_before"))
+    return totals.join(F.broadcast(reached))
 
 
 def pivot_ratio(df: DataFrame, keys: Sequence[str], flag: str, value: str, num: str, den: str,
@@ -137,7 +155,7 @@ def active_profile_rate(profiles: DataFrame, book: DataFrame, how: str = "inner"
 
 def renewal_context(contracts: DataFrame, applications: DataFrame, enrollments: DataFrame) -> DataFrame:
     """Every contract with its application and enrollment, where it has them."""
-    return contracts.join(applications, "application_id", "left").join(enrollments, "contract_id", "left")
+    return left_join_spreading_nulls(contracts, applications, "application_id", "contract_id").join(enrollments, "contract_id", "left")
 
 
 def pinned_per_version(versions: DataFrame, contracts: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratemill.functions import money
-from ratemill.operators.cumulative import value_ranks, with_value_bucket
-from ratemill.session import is_small
+from ratemill.operators.cumulative import null_safe_join, quantiles_of, rank_ties, tie_counts, value_ranks
+from ratemill.session import broadcast_if_small, is_small
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -18,27 +18,34 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*")
 
 
-def as_of_version(df: DataFrame, on: str, versions: DataFrame, max_versions: int = 10_000, how: str = "left") -> DataFrame:
+def version_segments(versions: DataFrame) -> DataFrame:
+    """Disjoint (start, end, rate_version_id) segments: between two neighbouring boundary dates the covering
+    version with the highest id holds. At most two boundaries per version, so the window is over a short list."""
+    v = versions.select("rate_version_id", F.col("effective_date").cast("date").alias("_from"),
+                        F.col("expiry_date").cast("date").alias("_to"))
+    points = v.select(F.col("_from").alias("_start")).union(v.select("_to")).where("_start is not null").distinct()
+    seg = points.withColumn("_end", F.lead("_start").over(Window.partitionBy(F.lit(0)).orderBy("_start")))
+    covers = (F.col("_from") <= F.col("_start")) & (F.col("_to").isNull() | (F.col("_start") < F.col("_to")))
+    return seg.join(F.broadcast(v), covers).groupBy("_start", "_end").agg(F.max("rate_version_id").alias("rate_version_id"))
+
+
+def as_of_version(df: DataFrame, on: str, versions: DataFrame, max_versions: int = 1000, how: str = "left") -> DataFrame:
     """Version in force at a date: effective <= date < expiry, a null expiry being open; highest id on overlap.
 
-    Dates shrink to distinct days before the interval match, so each fact row takes one equi-join.
-    The version list is counted before it is broadcast; a longer list is matched month by month instead.
+    The versions are counted, then broadcast as disjoint segments, so the facts are neither shuffled nor
+    multiplied. A longer list is spelled out per calendar day and joined on the day.
     """
-    v = versions.select("rate_version_id", F.col("effective_date").cast("date").alias("_from"),
-                        F.col("expiry_date").cast("date").alias("_to"))
-    days = df.select(F.col(on).cast("date").alias("_day")).where("_day is not null").distinct()
-    inside = (F.col("_day") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("_day") < F.col("_to")))
-    if is_small(v, max_versions):
-        hits = days.join(F.broadcast(v), inside)
-    else:
-        span = days.agg(F.max("_day").alias("_last"))
-        months = v.join(F.broadcast(span)).where(F.col("_from") <= F.col("_last")).withColumn(
-            "_month", F.explode(F.sequence(F.trunc("_from", "month"),
-                                           F.trunc(F.least(F.coalesce("_to", "_last"), "_last"), "month"),
-                                           F.expr("interval 1 month"))))
-        hits = days.withColumn("_month", F.trunc("_day", "month")).join(months, "_month").where(inside)
-    picked = hits.groupBy("_day").agg(F.max("rate_version_id").alias("rate_version_id"))
-    return df.join(picked, F.col(on).cast("date") == F.col("_day"), how).drop("_day")
+    day = F.col(on).cast("date")
+    inside = (day >= F.col("_start")) & (F.col("_end").isNull() | (day < F.col("_end")))
+    if is_small(versions, max_versions):
+        return df.join(F.broadcast(version_segments(versions)), inside, how).drop("_start", "_end")
+    last = df.agg(F.max(day).alias("_last"))
+    v = versions.select("rate_version_id", F.col("effective_date").cast("date").alias("_from"), F.col("expiry_date").cast("date").alias("_to"))
+    until = F.least(F.coalesce(F.date_sub("_to", 1), "_last"), "_last")
+    days = v.join(F.broadcast(last)).where(F.col("_from") <= until).withColumn(
+        "_day", F.explode(F.sequence("_from", until, F.expr("interval 1 day"))))
+    picked = days.groupBy("_day").agg(F.max("rate_version_id").alias("rate_version_id"))
+    return df.join(broadcast_if_small(picked), day == F.col("_day"), how).drop("_day")
 
 
 def version_chain(versions: DataFrame) -> DataFrame:
@@ -92,14 +99,22 @@ def monotonic_violations(df: DataFrame, group: Sequence[str], order: Column, val
                                     (F.count_if(F.col(value) < F.col("_prev")) == 0).alias("non_decreasing"))
 
 
+def score_counts(df: DataFrame, group: Sequence[str], label: str, score: str) -> DataFrame:
+    """Rows (ties) and positives (pos) per group and distinct score: all any metric below needs."""
+    return tie_counts(df.where(F.col(label).isNotNull()), group, score, {"pos": F.sum(F.col(label).cast("long"))})
+
+
 def auc(df: DataFrame, group: Sequence[str], label: str, score: str) -> DataFrame:
     """Rank-sum AUC per group, ties at average rank; null when a group holds one class only.
 
     Scores are reduced to distinct values, ranked in buckets, then summed: exact and spread out.
     """
-    r = value_ranks(df.where(F.col(label).isNotNull()), group, score, {"pos": F.sum(F.col(label).cast("long"))})
-    g = r.groupBy(*group).agg(F.sum("ties").alias("n_rows"), F.sum("pos").alias("positive_rows"),
-                              F.sum(F.col("avg_rank") * F.col("pos")).alias("_rs"))
+    return auc_of(score_counts(df, group, label, score), group, score)
+
+
+def auc_of(counts: DataFrame, group: Sequence[str], score: str) -> DataFrame:
+    g = rank_ties(counts, group, score).groupBy(*group).agg(
+        F.sum("ties").alias("n_rows"), F.sum("pos").alias("positive_rows"), F.sum(F.col("avg_rank") * F.col("pos")).alias("_rs"))
     p, q = F.col("positive_rows").cast("double"), (F.col("n_rows") - F.col("positive_rows")).cast("double")
     return g.withColumn("auc", F.when((p > 0) & (q > 0), (F.col("_rs") - p * (p + 1) / 2) / (p * q))).drop("_rs")
 
@@ -109,16 +124,15 @@ def spearman(df: DataFrame, group: Sequence[str], x: str, y: str) -> DataFrame:
 
     Rows are first counted per (group, x, y); ranks come back by joins on (group, value).
     """
-    pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*group, x, y).agg(
-        F.count(F.lit(1)).alias("_w"))
     full = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    pairs = full.groupBy(*group, x, y).agg(F.count(F.lit(1)).alias("_w"))
     rx = value_ranks(full, group, x).select(*group, x, F.col("avg_rank").alias("_rx"))
     ry = value_ranks(full, group, y).select(*group, y, F.col("avg_rank").alias("_ry"))
-    j = pairs.join(rx, [*group, x]).join(ry, [*group, y])
+    j = null_safe_join(null_safe_join(pairs, rx, [*group, x]), ry, [*group, y])
     w = F.col("_w").cast("double")
     # ranks average (n+1)/2, so centred sums need no second pass
-    n = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(*group).agg(F.count(F.lit(1)).alias("n_rows"))
-    j = j.join(n, list(group)) if group else j.join(F.broadcast(n))
+    n = full.groupBy(*group).agg(F.count(F.lit(1)).alias("n_rows"))
+    j = null_safe_join(j, n, group) if group else j.join(F.broadcast(n))
     mid = (F.col("n_rows") + 1) / F.lit(2.0)
     dx, dy = F.col("_rx") - mid, F.col("_ry") - mid
     s = j.groupBy(*group, "n_rows").agg(F.sum(w * dx * dy).alias("xy"), F.sum(w * dx * dx).alias("xx"),
@@ -129,47 +143,40 @@ def spearman(df: DataFrame, group: Sequence[str], x: str, y: str) -> DataFrame:
 def calibration(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFrame:
     """Calibration by quantile bins of the score: edges are interpolated quantiles, a value on an edge falls
     in the lower bin (the first bin includes its lower edge); empty bins are left out."""
-    from ratemill.operators.cumulative import quantiles
-    cells = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(score).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
-    q = quantiles(df.where(F.col(label).isNotNull()), [], score, [i / bins for i in range(1, bins)])
+    cells = score_counts(df, [], label, score)
+    q = quantiles_of(rank_ties(cells, [], score), [], score, [i / bins for i in range(1, bins)])
     edges = q.agg(F.array_sort(F.collect_list("quantile")).alias("_e"))
     b = cells.join(F.broadcast(edges)).withColumn(
         "bin", F.size(F.filter("_e", lambda e: e < F.col(score).cast("double"))))
-    return b.groupBy("bin").agg(F.sum("n").alias("n_rows"), (F.sum("pos") / F.sum("n")).alias("observed"),
-                                (F.sum(F.col("n") * F.col(score).cast("double")) / F.sum("n")).alias("predicted"))
+    return b.groupBy("bin").agg(F.sum("ties").alias("n_rows"), (F.sum("pos") / F.sum("ties")).alias("observed"),
+                                (F.sum(F.col("ties") * F.col(score).cast("double")) / F.sum("ties")).alias("predicted"))
+
+
+def cumulative_hits(counts: DataFrame, score: str) -> DataFrame:
+    """Per distinct score: rows (flagged) and positives (tp) at or above it, and all positives."""
+    r = rank_ties(counts, [], score, ["pos"])
+    return r.select(score, "ties", "pos", (F.col("total") - F.col("cum") + F.col("ties")).alias("flagged"),
+                    (F.col("total_pos") - F.col("cum_pos") + F.col("pos")).alias("tp"), F.col("total_pos").alias("positives"))
 
 
 def pr_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """Precision and recall at every distinct score used as threshold (score >= threshold is positive)."""
-    r = cumulative_hits(df, label, score)
+    r = cumulative_hits(score_counts(df, [], label, score), score)
     return r.select(F.col(score).alias("threshold"), (F.col("tp") / F.col("flagged")).alias("precision"),
                     (F.col("tp") / F.nullif(F.col("positives"), F.lit(0))).alias("recall"))
 
 
-def cumulative_hits(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Per distinct score: rows and positives at or above it, and all positives."""
-    from ratemill.operators.cumulative import with_running_total
-    cells = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(score).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
-    down = with_value_bucket(cells, [], score).withColumn("_bucket", -F.col("_bucket"))
-    order = [F.col(score).desc()]
-    run = with_running_total(down, [], "_bucket", order, F.col("n"), "flagged", "total")
-    return with_running_total(run, [], "_bucket", order, F.col("pos"), "tp", "positives").drop("_bucket")
-
-
-def pr_auc(df: DataFrame, label: str, score: str) -> DataFrame:
+def pr_auc_of(counts: DataFrame, score: str) -> DataFrame:
     """Area under the precision-recall curve by the trapezoid rule, from (recall 0, precision 1).
 
     Each point is paired with the point before it: the rows and hits before a score are its running
     totals less its own counts, so no window over all scores is needed.
     """
-    r = cumulative_hits(df, label, score)
-    before_flagged, before_tp = F.col("flagged") - F.col("n"), F.col("tp") - F.col("pos")
+    before_flagged, before_tp = F.col("flagged") - F.col("ties"), F.col("tp") - F.col("pos")
     p0 = F.when(before_flagged > 0, before_tp / F.nullif(before_flagged, F.lit(0))).otherwise(F.lit(1.0))
     p1 = F.col("tp") / F.col("flagged")
     width = F.col("pos") / F.nullif(F.col("positives"), F.lit(0))
-    return r.agg(F.sum(width * (p0 + p1) / 2).alias("pr_auc"))
+    return cumulative_hits(counts, score).agg(F.sum(width * (p0 + p1) / 2).alias("pr_auc"))
 
 
 def anniversaries(contracts: DataFrame, as_of) -> DataFrame:

@@ -74,7 +74,7 @@ def renew(requests: DataFrame, contracts: DataFrame, applications: DataFrame, en
     r = requests.select("contract_id", "renewal_date").distinct()
     done = renewals.select("contract_id", "renewal_date", F.lit(True).alias("_done")).distinct()
     r = r.join(c.withColumn("_contract", F.lit(True)), "contract_id", "left")
-    r = r.join(a, "application_id", "left").join(e, "contract_id", "left")
+    r = J.left_join_spreading_nulls(r, a, "application_id", "contract_id").join(e, "contract_id", "left")
     r = r.join(done, ["contract_id", "renewal_date"], "left")
     r = J.active_profile_rate(r, book, "left")
     reason = first_reason((F.col("renewal_date").isNull(), "invalid date"), (F.col("_contract").isNull(), "contract not found"),
@@ -82,7 +82,7 @@ def renew(requests: DataFrame, contracts: DataFrame, applications: DataFrame, en
                           (F.col("base_rate").isNull(), "no rate for profile"))
     ok, bad = _split(r, reason)
     credit = A.wellness_credit(improvements, ok, scale=credit_scale)
-    ok = ok.join(credit, ["enrollment_id", "renewal_date"], "left")
+    ok = J.left_join_spreading_nulls(ok, credit, "enrollment_id", "contract_id", ["renewal_date"])
     zero = F.lit(0).cast(f"decimal({credit_scale + 3},{credit_scale})")
     ok = ok.withColumn("credit_pct", F.coalesce("credit_pct", zero)).withColumn(
         "base_premium", money.premium_3dp("base_rate", "face_amount"))
@@ -102,7 +102,7 @@ def historical_renewals(contracts: DataFrame, enrollments: DataFrame, improvemen
     a = anniversaries(contracts.select("contract_id", "effective_date", "expiry_date", "modal_premium"), as_of)
     a = a.join(enrollments.select("contract_id", "enrollment_id"), "contract_id", "left")
     credit = A.wellness_credit(improvements, a, enrollments=enrollments)
-    a = a.join(credit, ["enrollment_id", "renewal_date"], "left").withColumn(
+    a = J.left_join_spreading_nulls(a, credit, "enrollment_id", "contract_id", ["renewal_date"]).withColumn(
         "credit_pct", F.coalesce("credit_pct", F.lit(0).cast("decimal(5,2)")))
     a = as_of_version(a, "renewal_date", versions)
     return a.select("contract_id", "renewal_date", F.col("rate_version_id").alias("new_rate_version_id"),
@@ -127,7 +127,8 @@ def projection(contracts: DataFrame, applications: DataFrame, enrollments: DataF
     credit = A.wellness_credit(improvements, p, scale=6)
     year = rollup.where(F.col("activity_period") == as_of.year).groupBy("enrollment_id").agg(
         F.sum("qualifying_activity_count").alias("activities"))
-    p = p.join(credit, ["enrollment_id", "renewal_date"], "left").join(year, "enrollment_id", "left")
+    p = J.left_join_spreading_nulls(p, credit, "enrollment_id", "contract_id", ["renewal_date"])
+    p = J.left_join_spreading_nulls(p, year, "enrollment_id", "contract_id")
     have = renewals.groupBy("contract_id", "renewal_date").agg(F.max("renewal_id").alias("existing_renewal_id"))
     p = p.join(have, ["contract_id", "renewal_date"], "left")
     credit_pct = F.coalesce("credit_pct", F.lit(0).cast("decimal(9,6)"))

@@ -60,24 +60,27 @@ def inference_table(df: DataFrame, label: str, names: Sequence[str]) -> DataFram
                           "ci_lower": lo, "ci_upper": hi, "odds_ratio_lower": F.exp(lo), "odds_ratio_upper": F.exp(hi)})
 
 
-def threshold_metrics(df: DataFrame, label: str, prob: str, cut: float = 0.5) -> DataFrame:
-    """Brier score and precision, recall and F1 at a cut; an undefined ratio counts as 0."""
-    y, flagged = F.col(label) == 1, F.col(prob) >= cut
-    d = df.where(F.col(label).isNotNull()).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.avg(F.pow(F.col(label) - F.col(prob), F.lit(2.0))).alias("brier"),
-        F.count_if(y & flagged).alias("tp"), F.count_if(~y & flagged).alias("fp"), F.count_if(y & ~flagged).alias("fn"))
-    zero = F.lit(0.0)
+def threshold_metrics_of(counts: DataFrame, prob: str, cut: float = 0.5) -> DataFrame:
+    """Brier score and precision, recall and F1 at a cut from score counts; an undefined ratio counts as 0."""
+    neg, p = F.col("ties") - F.col("pos"), F.col(prob)
+    flagged = p >= cut
+    def total(c):
+        return F.coalesce(F.sum(c), F.lit(0))
+    d = counts.agg(
+        F.sum("ties").alias("n_rows"), (F.sum(F.col("pos") * (1 - p) * (1 - p) + neg * p * p) / F.sum("ties")).alias("brier"),
+        total(F.when(flagged, F.col("pos"))).alias("tp"), total(F.when(flagged, neg)).alias("fp"), total(F.when(~flagged, F.col("pos"))).alias("fn"))
     def ratio(a, b):
-        return F.coalesce(a / F.nullif(b, F.lit(0)), zero)
+        return F.coalesce(a / F.nullif(b, F.lit(0)), F.lit(0.0))
     return d.withColumns({"precision": ratio(F.col("tp"), F.col("tp") + F.col("fp")),
                           "recall": ratio(F.col("tp"), F.col("tp") + F.col("fn")),
                           "f1": ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))})
 
 
 def classification_metrics(df: DataFrame, label: str, prob: str) -> DataFrame:
-    """AUC, Brier, precision/recall/F1 at one half, and PR-AUC, as one row."""
-    return K.auc(df, [], label, prob).select("auc").join(F.broadcast(threshold_metrics(df, label, prob))).join(
-        F.broadcast(K.pr_auc(df, label, prob)))
+    """AUC, Brier, precision/recall/F1 at one half, and PR-AUC, as one row. The scored rows are read once."""
+    counts = K.score_counts(df, [], label, prob)
+    return K.auc_of(counts, [], prob).select("auc").join(F.broadcast(threshold_metrics_of(counts, prob))).join(
+        F.broadcast(K.pr_auc_of(counts, prob)))
 
 
 @dataclass
