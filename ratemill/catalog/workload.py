@@ -69,9 +69,9 @@ def q2_reachable_pairs(spark, sf):
 
 
 @query("""SELECT l_orderkey, l_partkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS run_date
-FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE s_name = 'Supplier#000000038'""")
+FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE s_name = 'Supplier#000000003'""")
 def q2b_account_invoices(spark, sf):
-    account = P.point_lookup(table(spark, sf, "supplier"), "s_name", "Supplier#000000038").select(F.col("s_suppkey").alias("l_suppkey"))
+    account = P.point_lookup(table(spark, sf, "supplier"), "s_name", "Supplier#000000003").select(F.col("s_suppkey").alias("l_suppkey"))
     rows = table(spark, sf, "lineitem").join(account, "l_suppkey")
     return rows.select("l_orderkey", "l_partkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("run_date")).orderBy(
         "run_date", "l_orderkey")

@@ -15,13 +15,31 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def literal(v) -> str:
+    """A constant as SQL text, so that a long list of constants is one expression to build instead of many."""
+    if isinstance(v, bool):
+        return str(v).lower()
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, Decimal):
+        return f"{v}BD"
+    if isinstance(v, float):
+        return f"{v!r}D"
+    return str(v)
+
+
+def constants(values) -> Column:
+    """An array of constants."""
+    return F.expr(f"array({', '.join(literal(v) for v in values)})")
+
+
 def mapped(c: Column | str, mapping: Mapping) -> Column:
     """Value of ``mapping`` for ``c``; null for a value the mapping does not hold.
 
     A constant map keeps ``c`` to one evaluation however deep recodes are nested.
     """
-    pairs = [F.lit(x) for kv in mapping.items() for x in kv]
-    return F.try_element_at(F.create_map(*pairs), _col(c))
+    pairs = ", ".join(literal(x) for kv in mapping.items() for x in kv)
+    return F.try_element_at(F.expr(f"map({pairs})"), _col(c))
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -60,7 +78,7 @@ def per_100k(c: Column | str, dtype: str = "decimal(8,6)") -> Column:
 def age_band(c: Column | str) -> Column:
     """One of 13 inclusive age bands of a whole age; null outside 18 to 99."""
     lowest = fixed.AGE_BANDS[0][0]
-    per_age = F.array(*[F.lit(label) for lo, hi, label in fixed.AGE_BANDS for _ in range(lo, hi + 1)])
+    per_age = constants(label for lo, hi, label in fixed.AGE_BANDS for _ in range(lo, hi + 1))
     return F.get(per_age, _col(c).cast("int") - lowest)
 
 

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratemill.functions.recode import constants
 from ratemill.session import cut_lineage
 
 SPLIT_BITS = 8
@@ -26,7 +27,7 @@ def with_value_bucket(df: DataFrame, groups: Sequence[str], value: str, bits: in
     """Adds ``_bucket``, the number of approximate quantile edges of its group below ``value`` (bucket order =
     value order). The 2**bits - 1 edges are searched by halving, one projection per step, inside codegen."""
     n = 1 << bits
-    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    probs = constants(i / n for i in range(1, n))
     edges = df.groupBy(*groups).agg(F.percentile_approx(value, probs, 10 * n).alias("_edges"))
     out = null_safe_join(df, edges, groups) if groups else df.join(F.broadcast(edges))
     out = out.withColumn("_bucket", F.lit(0))

@@ -216,7 +216,7 @@ def profile_grid(spark, levels: Mapping[str, Sequence[str]]) -> DataFrame:
     """Every combination of fixed vocabularies, built by exploding literal arrays on one row."""
     grid = spark.range(0, 1, 1, 1)
     for name, values in levels.items():
-        grid = grid.select("*", F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
+        grid = grid.select("*", F.explode(R.constants(values)).alias(name))
     return grid.drop("id")
 
 

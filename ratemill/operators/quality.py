@@ -192,7 +192,7 @@ def repaired_value(col: str, index: str, start: date, end: date, blank: tuple[in
 
 def cycled(cond: Column, col: str, index: str, values: Sequence[str]) -> Column:
     """Cells that meet ``cond`` take values in turn by row index."""
-    picks = F.array(*[F.lit(v) for v in values])
+    picks = R.constants(values)
     return F.when(cond, F.get(picks, F.pmod(F.col(index), F.lit(len(values))).cast("int"))).otherwise(F.col(col))
 
 

@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def session(cores: str = "8") -> SparkSession:
     return (SparkSession.builder.master(f"local[{cores}]").appName("ratemill-tests").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-            .config("spark.driver.memory", "12g").config("spark.sql.codegen.cache.maxEntries", "2000").config("spark.sql.shuffle.partitions", "8")
+            .config("spark.driver.memory", "12g").config("spark.sql.codegen.cache.maxEntries", "2000").config("spark.python.sql.dataFrameDebugging.enabled", "false").config("spark.sql.shuffle.partitions", "8")
             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
 
 
