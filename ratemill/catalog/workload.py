@@ -47,7 +47,7 @@ def billing_path(spark, sf):
                              F.col("l_extendedprice").cast("decimal(12,2)").alias("premium_subtotal")))
 
 
-@query("""SELECT o_orderkey AS contract_id, l_suppkey AS billing_account_id, l_orderkey, l_partkey, l_linenumber,
+@query("""SELECT o_orderkey AS contract_id, l_suppkey AS billing_account_id, l_orderkey, l_partkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
   CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS run_date, l_extendedprice AS premium_subtotal
 FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN supplier ON s_nationkey = n_nationkey
 JOIN lineitem ON l_suppkey = s_suppkey WHERE 'C' || o_orderkey = 'C1'""")
@@ -68,7 +68,7 @@ def q2_reachable_pairs(spark, sf):
     return J.reachable_pair_facts(links, t["account_billing"], t["contracts"].select("contract_id", "effective_date"), t["invoices"])
 
 
-@query("""SELECT l_orderkey, l_partkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS run_date
+@query("""SELECT l_orderkey, l_partkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS run_date
 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE s_name = 'Supplier#000000003'""")
 def q2b_account_invoices(spark, sf):
     account = P.point_lookup(table(spark, sf, "supplier"), "s_name", "Supplier#000000003").select(F.col("s_suppkey").alias("l_suppkey"))
@@ -313,7 +313,7 @@ def share_of_total(spark, sf):
     return A.share_of(table(spark, sf, "part"), ["p_brand"], "p_type")
 
 
-@query("""SELECT n_nationkey, n_name FROM nation ORDER BY n_name LIMIT 10""")
+@query("""SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation ORDER BY n_name LIMIT 10""")
 def options_list(spark, sf):
     return P.options(table(spark, sf, "nation"), ["n_nationkey", "n_name"], ["n_name"], 10)
 
