@@ -115,22 +115,22 @@ FEATURE_LEVELS = {"age_band": fixed.AGE_LABELS, "gender": fixed.GENDERS,
 def dummy_columns() -> list[Column]:
     """Indicators with one reference level left out per factor, plus numeric bmi."""
     return [_indicator(c, v) for c, levels in FEATURE_LEVELS.items() for v in levels
-            if v != REFERENCE_LEVELS[c]] + [F.col("bmi").cast("double").alias("bmi_value")]
+            if v != REFERENCE_LEVELS[c]] + [F.col("bmi").cast("double").alias("bmi_num")]
 
 
 def full_columns() -> list[Column]:
     """Indicators of every level of every factor, plus numeric bmi."""
     return [_indicator(c, v) for c, levels in FEATURE_LEVELS.items() for v in levels] + [
-        F.col("bmi").cast("double").alias("bmi_value")]
+        F.col("bmi").cast("double").alias("bmi_num")]
 
 
 def dummy_names() -> list[str]:
     return [f"{c}_{v}" for c, levels in FEATURE_LEVELS.items() for v in levels
-            if v != REFERENCE_LEVELS[c]] + ["bmi_value"]
+            if v != REFERENCE_LEVELS[c]] + ["bmi_num"]
 
 
 def full_names() -> list[str]:
-    return [f"{c}_{v}" for c, levels in FEATURE_LEVELS.items() for v in levels] + ["bmi_value"]
+    return [f"{c}_{v}" for c, levels in FEATURE_LEVELS.items() for v in levels] + ["bmi_num"]
 
 
 def dummy_matrix(df: DataFrame) -> DataFrame:
