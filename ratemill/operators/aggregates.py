@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ratemill import fixed
 from ratemill.functions import recode as R
 from ratemill.functions.money import exact_ratio
-from ratemill.operators.cumulative import numbered, quantiles
+from ratemill.operators.cumulative import null_safe_join, numbered, quantiles
 from ratemill.operators.filters import half_open
 from ratemill.operators.sets import union_facts
 
@@ -229,16 +229,14 @@ def agreement(df: DataFrame, a: str, b: str, valid: Sequence) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count, mean, sample sd, min, quartiles and max per column, exact."""
-    out = []
-    for c in cols:
-        base = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("sd"),
-                      F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
-        q = quantiles(df, [], c, [0.25, 0.5, 0.75]).agg(
-            *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n) for p, n in
-              ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))])
-        out.append(base.join(F.broadcast(q)).select(F.lit(c).alias("column_name"), "*"))
-    return union_facts(*out)
+    """count, mean, sample sd, min, quartiles and max per column, exact. Moments of all columns take one pass."""
+    base = df.agg(*[F.struct(F.lit(c).alias("column_name"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("sd"),
+                             F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(f"s{i}") for i, c in enumerate(cols)])
+    base = base.select(F.inline(F.array(*[F.col(f"s{i}") for i in range(len(cols))])))
+    quarts = union_facts(*[quantiles(df, [], c, [0.25, 0.5, 0.75]).agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n) for p, n in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))]
+    ).select(F.lit(c).alias("column_name"), "*") for c in cols])
+    return base.join(F.broadcast(quarts), "column_name")
 
 
 def dist_summary(df: DataFrame, col: str) -> DataFrame:
@@ -334,7 +332,8 @@ def distribution_diff(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFr
     """Counts and shares of two populations over the same categorical columns, with the share difference."""
     def side(d: DataFrame, n: str) -> DataFrame:
         counts = value_counts(d, cols).withColumnRenamed("n", n)
-        return counts.withColumn(f"share_{n}", F.col(n) / F.sum(n).over(Window.partitionBy("column_name")))
+        totals = counts.groupBy("column_name").agg(F.sum(n).alias("_all"))  # one row per compared column
+        return counts.join(F.broadcast(totals), "column_name").withColumn(f"share_{n}", F.col(n) / F.col("_all")).drop("_all")
     l, r = side(a, "a"), side(b, "b").select(F.col("column_name").alias("cb"), F.col("value").alias("vb"), "b", "share_b")
     j = l.join(r, (F.col("column_name") == F.col("cb")) & F.col("value").eqNullSafe(F.col("vb")), "full")
     zero = F.lit(0.0)
@@ -344,6 +343,8 @@ def distribution_diff(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFr
 
 
 def share_of(df: DataFrame, group: Sequence[str], level: str) -> DataFrame:
-    """Share of each level within its group; rows are counted before the window."""
+    """Share of each level within its group; rows are counted first and group totals joined back, so that a
+    group with very many levels is not held in one window."""
     counts = df.groupBy(*group, level).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*group)))
+    totals = counts.groupBy(*group).agg(F.sum("n").alias("_all"))
+    return null_safe_join(counts, totals, group).withColumn("share", F.col("n") / F.col("_all")).drop("_all")

@@ -31,14 +31,17 @@ class TableSpec:
     date_order: Sequence[tuple[str, str]] = ()
 
 
-def _facts(df: DataFrame, table: str, check: str, facts: Sequence[tuple[str, Column, Column, str]]) -> DataFrame:
-    """One aggregate pass over all columns of a rule; keeps columns with at least one bad row."""
+Fact = tuple[str, str, Column, Column, str]
+
+
+def _facts(df: DataFrame, table: str, facts: Sequence[Fact]) -> DataFrame:
+    """Issue rows of (check, column, count, example, detail) facts, all from one aggregate pass."""
     if not facts:
         return _none(df)
-    one = df.agg(*[F.struct(n.alias("n"), ex.alias("e")).alias(f"f{i}") for i, (_, n, ex, _) in enumerate(facts)])
+    one = df.agg(*[F.struct(n.alias("n"), ex.alias("e")).alias(f"f{i}") for i, (_, _, n, ex, _) in enumerate(facts)])
     rows = [F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), F.lit(c).alias("column_name"),
                      F.col(f"f{i}.n").alias("n"), F.col(f"f{i}.e").alias("example"), F.lit(d).alias("detail"))
-            for i, (c, _, _, d) in enumerate(facts)]
+            for i, (check, c, _, _, d) in enumerate(facts)]
     return one.select(F.inline(F.array(*rows))).where("n > 0")
 
 
@@ -56,43 +59,56 @@ def column_issues(df: DataFrame, table: str, spec: TableSpec) -> DataFrame:
     return df.sparkSession.createDataFrame(found, _none(df).schema)
 
 
-def not_null_issues(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
-    return _facts(df, table, "not_null", [
-        (c, F.count_if(R.is_blank(c)), F.lit(None).cast("string"), "blank") for c in cols if c in df.columns])
+def not_null_facts(cols: Sequence[str]) -> list[Fact]:
+    return [("not_null", c, F.count_if(R.is_blank(c)), F.lit(None).cast("string"), "blank") for c in cols]
 
 
-def length_issues(df: DataFrame, table: str, limits: Mapping[str, int]) -> DataFrame:
-    facts = []
+def length_facts(limits: Mapping[str, int]) -> list[Fact]:
+    out = []
     for c, limit in limits.items():
         v = F.col(c).cast("string")
         bad = F.length(v) > limit
-        facts.append((c, F.count_if(bad), F.min_by(F.when(bad, v), F.struct(-F.length(v), v)), f"max length {limit}"))
-    return _facts(df, table, "length", facts)
+        out.append(("length", c, F.count_if(bad), F.min_by(F.when(bad, v), F.struct(-F.length(v), v)), f"max length {limit}"))
+    return out
 
 
-def numeric_issues(df: DataFrame, table: str, types: Mapping[str, tuple[int, int]]) -> DataFrame:
+def numeric_facts(types: Mapping[str, tuple[int, int]]) -> list[Fact]:
     """Text that is no number or does not fit NUMERIC(p, s) as written."""
-    facts = []
+    out = []
     for c, (p, s) in types.items():
         v = F.trim(F.col(c).cast("string"))
         fits = v.rlike(rf"^[+-]?0*[0-9]{{0,{p - s}}}(\.[0-9]{{0,{s}}})?$") & v.rlike("[0-9]")
         bad = ~R.is_blank(c) & ~fits
-        facts.append((c, F.count_if(bad), F.min(F.when(bad, v)), f"numeric({p},{s})"))
-    return _facts(df, table, "numeric", facts)
+        out.append(("numeric", c, F.count_if(bad), F.min(F.when(bad, v)), f"numeric({p},{s})"))
+    return out
 
 
-def malformed_issues(df: DataFrame, table: str, cols: Sequence[str]) -> DataFrame:
-    return _facts(df, table, "malformed", [
-        (c, F.count_if(R.malformed(c)), F.min(F.when(R.malformed(c), F.col(c).cast("string"))), "generator error text")
-        for c in cols])
+def malformed_facts(cols: Sequence[str]) -> list[Fact]:
+    return [("malformed", c, F.count_if(R.malformed(c)), F.min(F.when(R.malformed(c), F.col(c).cast("string"))), "generator error text")
+            for c in cols]
 
 
-def date_order_issues(df: DataFrame, table: str, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    facts = []
+def date_order_facts(pairs: Sequence[tuple[str, str]]) -> list[Fact]:
+    out = []
     for a, b in pairs:
         bad = R.iso_date(b) < R.iso_date(a)
-        facts.append((b, F.count_if(bad), F.min(F.when(bad, F.col(b).cast("string"))), f"before {a}"))
-    return _facts(df, table, "date_order", facts)
+        out.append(("date_order", b, F.count_if(bad), F.min(F.when(bad, F.col(b).cast("string"))), f"before {a}"))
+    return out
+
+
+def column_facts(df: DataFrame, spec: TableSpec) -> list[Fact]:
+    """Every rule that looks at one row at a time, over the declared columns the table has."""
+    here = set(df.columns)
+    return [*not_null_facts([c for c in spec.not_null if c in here]),
+            *length_facts({c: n for c, n in spec.max_length.items() if c in here}),
+            *numeric_facts({c: t for c, t in spec.numeric.items() if c in here}),
+            *malformed_facts([c for c in spec.columns if c in here]),
+            *date_order_facts([(a, b) for a, b in spec.date_order if {a, b} <= here])]
+
+
+def row_issues(df: DataFrame, table: str, spec: TableSpec) -> DataFrame:
+    """The row rules of a table in one scan."""
+    return _facts(df, table, column_facts(df, spec))
 
 
 def unique_issues(df: DataFrame, table: str, keys: Sequence[Sequence[str]]) -> DataFrame:
@@ -153,10 +169,7 @@ def issue_report(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]
     parts = []
     for name, spec in specs.items():
         df = tables[name]
-        parts += [column_issues(df, name, spec), not_null_issues(df, name, spec.not_null),
-                  length_issues(df, name, spec.max_length), numeric_issues(df, name, spec.numeric),
-                  malformed_issues(df, name, [c for c in spec.columns if c in df.columns]),
-                  date_order_issues(df, name, spec.date_order), unique_issues(df, name, spec.unique)]
+        parts += [column_issues(df, name, spec), row_issues(df, name, spec), unique_issues(df, name, spec.unique)]
         if spec.sequential_key:
             parts.append(sequential_issues(df, name, spec.sequential_key))
     if fks:

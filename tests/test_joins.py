@@ -155,3 +155,17 @@ def test_anniversaries(spark):
                               "contract_id int, effective_date date, expiry_date date")
     got = rows(K.anniversaries(c, date(2024, 3, 1)).select("contract_id", "renewal_date"))
     assert got == [(1, date(2021, 2, 28)), (1, date(2022, 2, 28)), (1, date(2023, 2, 28)), (1, date(2024, 2, 28)), (2, date(2021, 5, 1))]
+
+
+def test_lookups_for_one_key(spark):
+    act = spark.createDataFrame([(1, date(2025, 1, 1), "Y"), (1, date(2025, 12, 31), "Y"), (1, date(2026, 1, 1), "Y"), (1, date(2025, 2, 1), "N"), (2, date(2025, 2, 1), "Y")],
+                                "enrollment_id int, activity_date date, verified_flag string")
+    one = A.verified_counts(act, date(2025, 1, 1), date(2026, 1, 1), enrollment_id=1)
+    assert rows(one) == [(1, 2)]
+    rollup = A.period_rollup(act, "year")
+    assert rows(A.range_from_rollup(act, rollup, date(2025, 1, 1), date(2026, 1, 1))) == rows(A.verified_counts(act, date(2025, 1, 1), date(2026, 1, 1)))
+    assert rows(A.range_from_rollup(act, rollup, date(2025, 1, 2), date(2026, 1, 1))) == [(1, 1), (2, 1)]
+    parties = spark.createDataFrame([(1, 10), (2, 10), (1, 11)], "customer_id int, contract_id int")
+    c = spark.createDataFrame([(10, "C10", "Active", date(2024, 1, 1), None), (11, "C11", "Lapsed", date(2024, 1, 1), None)],
+                              "contract_id int, contract_number string, activity_status string, effective_date date, expiry_date date")
+    assert J.party_contracts(parties, c, 1).count() == 2 and J.party_contracts(parties, c).count() == 3

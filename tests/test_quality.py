@@ -43,7 +43,7 @@ def test_supplied_identity(spark):
 @pytest.mark.parametrize("text,bad", [("1234.56", 0), ("12345.6", 1), ("0001234.5", 0), ("-1.2", 0), ("1.234", 1), (".", 1), ("+.5", 0), ("", 0), ("1e3", 1)])
 def test_numeric_fit(spark, text, bad):
     df = spark.createDataFrame([(text,)], "amount string")
-    assert Q.numeric_issues(df, "t", {"amount": (6, 2)}).count() == bad
+    assert Q.row_issues(df, "t", Q.TableSpec(columns=[], numeric={"amount": (6, 2)})).count() == bad
 
 
 def test_repair_and_comparison(spark):
