@@ -133,9 +133,10 @@ def external_spearman(spark, sf):
 
 
 def training(spark, sf):
+    """Labelled records as weighted distinct profiles with their indicator columns."""
     rec = P.complete_cases(star.records(spark, sf), [*fixed.PROFILE, "bmi_value"]).where(F.col("diabetes_code").isin(1, 3))
-    return P.full_matrix(P.labels(rec.withColumn("bmi", F.col("bmi_value")), "diabetes_code").select(
-        "l_orderkey", "label", "bmi", "age_band", "gender", "smoking_status", "exercise_freq"))
+    rec = P.labels(rec.withColumn("bmi", F.col("bmi_value").cast("double")), "diabetes_code")
+    return P.full_matrix(M.compress(rec, ["label", "bmi", "age_band", "gender", "smoking_status", "exercise_freq"]))
 
 
 @query()
@@ -148,7 +149,7 @@ def logit_inference(spark, sf):
 def kmeans_profiles(spark, sf):
     """Profiles of the best clustering for k = 2 to 4."""
     sweep = M.kmeans_sweep(training(spark, sf), P.full_names(), (2, 3, 4))
-    return M.cluster_profile(sweep.clustered.withColumn("bmi", F.col("bmi").cast("double")))
+    return M.cluster_profile(sweep.clustered)
 
 
 @query("""SELECT user_id AS enrollment_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS qualifying_activity_count FROM events

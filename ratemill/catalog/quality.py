@@ -262,7 +262,7 @@ cells AS (SELECT DISTINCT age_band, gender, smoking_status, bmi_band, exercise_f
 SELECT grid.* FROM grid ANTI JOIN cells USING (age_band, gender, smoking_status, bmi_band, exercise_freq)""")
 def zero_cells(spark, sf):
     """Profiles without a record of the rarest outcome."""
-    rare = star.records(spark, sf).where("diabetes_status = 'gest'").dropna(subset=fixed.PROFILE)
+    rare = star.counts(spark, sf).where("diabetes_status = 'gest'").dropna(subset=fixed.PROFILE)
     return J.zero_cells(grid(spark), rare, fixed.PROFILE)
 
 

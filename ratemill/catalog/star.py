@@ -192,7 +192,8 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def counts(spark: SparkSession, sf: str) -> DataFrame:
-    return A.profile_counts(records(spark, sf))
+    """Rows per coded profile and outcome, kept as a table: later filters then run on it, not on the records."""
+    return cut_lineage(A.profile_counts(records(spark, sf)))
 
 
 def probabilities(n: DataFrame) -> DataFrame:
@@ -211,7 +212,7 @@ class Inputs:
     """The two small tables the whole rating chain reads, each computed by one scan and then kept."""
 
     def __init__(self, spark: SparkSession, sf: str):
-        self.counts = cut_lineage(counts(spark, sf))
+        self.counts = counts(spark, sf)
         self.deaths = cut_lineage(deaths(spark, sf))
         self.products = products(spark, sf)
 

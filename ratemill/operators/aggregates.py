@@ -261,18 +261,25 @@ def sparsity(df: DataFrame, keys: Sequence[str], grid_size: int, small: int = 30
                         "max_n", "small_cells", "singletons", (F.col("small_cells") / F.col("cells")).alias("small_share"))
 
 
-def group_modes(df: DataFrame, key: str, cat_cols: Sequence[str], mean_cols: Sequence[str]) -> DataFrame:
+def group_modes(df: DataFrame, key: str, cat_cols: Sequence[str], mean_cols: Sequence[str], weight: str | None = None) -> DataFrame:
     """Most frequent value per column (smallest on ties), means, size and share of all rows per group.
 
-    Values are counted per (group, column, value) before the mode is picked.
+    Values are counted per (group, column, value) before the mode is picked. On a table of counts ``weight``
+    names the count column.
     """
-    long = df.select(key, F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
-                                             for c in cat_cols]))).where("v is not null")
-    counts = long.groupBy(key, "c", "v").agg(F.count(F.lit(1)).alias("n"))
+    w = F.lit(1) if weight is None else F.col(weight)
+    df = df.withColumn("_w", w)
+    long = df.select(key, "_w", F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                                                   for c in cat_cols]))).where("v is not null")
+    counts = long.groupBy(key, "c", "v").agg(F.sum("_w").alias("n"))
     best = counts.groupBy(key, "c").agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("v"))
     modes = best.groupBy(key).agg(*[F.max(F.when(F.col("c") == c, F.col("v"))).alias(f"mode_{c}") for c in cat_cols])
-    stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(f"mean_{c}") for c in mean_cols])
-    total = df.agg(F.count(F.lit(1)).alias("_all"))
+    def mean(c: str) -> Column:
+        if weight is None:
+            return F.avg(c)
+        return F.sum(F.col("_w") * F.col(c)) / F.sum(F.when(F.col(c).isNotNull(), F.col("_w")))
+    stats = df.groupBy(key).agg(F.sum("_w").cast("long").alias("size"), *[mean(c).alias(f"mean_{c}") for c in mean_cols])
+    total = df.agg(F.sum("_w").alias("_all"))
     return stats.join(modes, key).join(F.broadcast(total)).withColumn(
         "size_percent", F.col("size") * 100.0 / F.col("_all")).drop("_all")
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -21,16 +22,37 @@ from ratemill.operators import aggregates as A
 from ratemill.operators import joins as J
 from ratemill.operators import ranking as K
 from ratemill.operators.filters import dummy_matrix, dummy_names
+from ratemill.session import cut_lineage
+
+
+WEIGHT = "weight"
+
+
+def compress(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Equal rows as one row with its count as ``weight``.
+
+    Profiles are coded, so the result has at most one row per distinct profile, bmi and label however many
+    records there are. Fits weigh rows by it, which gives the same estimates as the records. It is kept as a
+    table because iterative fits read their input many times.
+    """
+    return cut_lineage(df.groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT)))
+
+
+def weighted(df: DataFrame) -> DataFrame:
+    return df if WEIGHT in df.columns else df.withColumn(WEIGHT, F.lit(1.0))
 
 
 def vectors(df: DataFrame, names: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(names), outputCol=out, handleInvalid="error").transform(df)
 
 
+def _labelled(df: DataFrame, label: str, names: Sequence[str], *keep) -> DataFrame:
+    return vectors(weighted(df), names).select("features", F.col(label).cast("double").alias("label"), WEIGHT, *keep)
+
+
 def fit_logit(df: DataFrame, label: str, names: Sequence[str]):
-    """Unregularised logistic regression."""
-    data = vectors(df, names).select("features", F.col(label).cast("double").alias("label"))
-    return LogisticRegression(regParam=0.0, maxIter=200, tol=1e-9, standardization=True).fit(data)
+    """Unregularised logistic regression; rows count ``weight`` times where that column exists."""
+    return LogisticRegression(regParam=0.0, maxIter=200, tol=1e-9, standardization=True, weightCol=WEIGHT).fit(_labelled(df, label, names))
 
 
 def score(model, df: DataFrame, names: Sequence[str], out: str = "probability") -> DataFrame:
@@ -47,8 +69,8 @@ def coefficients(model, names: Sequence[str], spark) -> DataFrame:
 
 def inference_table(df: DataFrame, label: str, names: Sequence[str]) -> DataFrame:
     """Wald table of a binomial fit: coefficient, standard error, z, p, odds ratio and 95% limits."""
-    data = vectors(df, names).select("features", F.col(label).cast("double").alias("label"))
-    fit = GeneralizedLinearRegression(family="binomial", link="logit", regParam=0.0, maxIter=50).fit(data)
+    fit = GeneralizedLinearRegression(family="binomial", link="logit", regParam=0.0, maxIter=50, weightCol=WEIGHT).fit(
+        _labelled(df, label, names))
     s = fit.summary
     # the summary lists the intercept last
     coefs = [*[float(c) for c in fit.coefficients], float(fit.intercept)]
@@ -99,9 +121,8 @@ def tree_cv(df: DataFrame, label: str, names: Sequence[str], key: Sequence[str],
     """
     from ratemill.operators.cumulative import hash_rank
     keyed = hash_rank(df, [label], key, seed, "_rank")
-    data = vectors(keyed, names).select("features", F.col(label).cast("double").alias("label"),
-                                        F.pmod(F.col("_rank"), F.lit(folds)).cast("int").alias("fold"))
-    tree = DecisionTreeClassifier(seed=seed)
+    data = _labelled(keyed, label, names, F.pmod(F.col("_rank"), F.lit(folds)).cast("int").alias("fold"))
+    tree = DecisionTreeClassifier(seed=seed, weightCol=WEIGHT)
     grid = ParamGridBuilder().addGrid(tree.maxDepth, list(depths)).build()
     fit = CrossValidator(estimator=tree, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
                          evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"), parallelism=2).fit(data)
@@ -124,24 +145,32 @@ def kmeans_sweep(df: DataFrame, names: Sequence[str], ks: Sequence[int] = tuple(
     The scaler divides by the sample deviation and the silhouette uses squared distances, so values differ
     slightly from a population-deviation, plain-distance version.
     """
-    data = vectors(df, names, "_raw")
-    scaled = StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="features").fit(data).transform(data).persist()
+    w = F.col(WEIGHT)
+    rows = weighted(df)
+    facts = rows.agg(F.sum(w).alias("n"), *[F.sum(w * F.col(f"`{c}`")).alias(f"s{i}") for i, c in enumerate(names)],
+                     *[F.sum(w * F.col(f"`{c}`") * F.col(f"`{c}`")).alias(f"q{i}") for i, c in enumerate(names)]).first()
+    n = facts["n"]
+    means = [facts[f"s{i}"] / n for i in range(len(names))]
+    sds = [math.sqrt(max((facts[f"q{i}"] - n * m * m) / (n - 1), 0.0)) for i, m in enumerate(means)]
+    scaled_cols = [((F.col(f"`{c}`") - m) / (sd or 1.0)).alias(f"_z{i}") for i, (c, m, sd) in enumerate(zip(names, means, sds))]
+    zs = [f"_z{i}" for i in range(len(names))]
+    scaled = vectors(rows.select("*", *scaled_cols), zs).drop(*zs).persist()
     inertia, silhouette, fits = {}, {}, {}
-    judge = ClusteringEvaluator(predictionCol="cluster", metricName="silhouette")
+    judge = ClusteringEvaluator(predictionCol="cluster", metricName="silhouette", weightCol=WEIGHT)
     for k in ks:
-        model = KMeans(k=k, seed=seed, initSteps=5, maxIter=50, predictionCol="cluster").fit(scaled)
+        model = KMeans(k=k, seed=seed, initSteps=5, maxIter=50, predictionCol="cluster", weightCol=WEIGHT).fit(scaled)
         inertia[k] = float(model.summary.trainingCost)
         silhouette[k] = float(judge.evaluate(model.transform(scaled)))
         fits[k] = model
     best = max(silhouette, key=silhouette.get)
-    out = fits[best].transform(scaled).drop("_raw", "features")
+    out = fits[best].transform(scaled).drop("features")
     return ClusterSweep(best, inertia, silhouette, out)
 
 
 def cluster_profile(clustered: DataFrame, label: str = "label") -> DataFrame:
     """Modes, mean bmi, observed prevalence, size and a readable name per cluster."""
     cats = ["age_band", "gender", "smoking_status", "exercise_freq"]
-    p = A.group_modes(clustered, "cluster", cats, ["bmi", label])
+    p = A.group_modes(weighted(clustered), "cluster", cats, ["bmi", label], WEIGHT)
     name = F.concat(F.col("mode_age_band"), F.lit(" "), F.col("mode_gender"), F.lit(", "), F.col("mode_smoking_status"),
                     F.lit(" smoking, "), F.col("mode_exercise_freq"), F.lit(" exercise"))
     return p.withColumn("cluster_name", name)

@@ -59,10 +59,13 @@ def run_refresh(spark: SparkSession, root: str, raw_survey: DataFrame, key: str,
     primary = frame.where("label is not null")
     split = stratified_split(primary, "label", [key])
     names = P.dummy_names()
-    fit = models.fit_logit(split.where("split = 'train'"), "label", names)
+    features = ["label", "bmi", "age_band", "gender", "smoking_status", "exercise_freq"]
+    def fitted(rows: DataFrame):
+        return models.fit_logit(P.dummy_matrix(models.compress(rows, features)), "label", names)
+    fit = fitted(split.where("split = 'train'"))
     held_out = models.score(fit, split.where("split = 'test'"), names)
     metrics = models.classification_metrics(held_out, "label", "probability")
-    final = models.fit_logit(primary, "label", names)
+    final = fitted(primary)
     baseline = mortality.where((F.col("condition_flag") == "BASELINE") & (F.col("source_year") == fixed.BASELINE_YEAR))
     ratio = pricing.condition_ratio(mortality, cohort)
     checks = models.external_validation(models.score(final, primary, names), ratio, baseline)

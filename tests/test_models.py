@@ -70,6 +70,19 @@ def test_metrics_brute_force(spark, people):
     assert base["constant_brier"] == pytest.approx(((y - y.mean()) ** 2).mean())
 
 
+def test_weighted_rows_give_the_same_fit(spark, people):
+    names = P.dummy_names()
+    coarse = people.withColumn("bmi_num", F.round("bmi")).withColumn("bmi", F.round("bmi"))
+    small = M.compress(coarse, ["label", "bmi", *P.full_names(), "age_band", "gender", "smoking_status", "exercise_freq"])
+    assert small.count() < 8000 and small.agg(F.sum("weight")).first()[0] == 8000
+    a = {r["feature"]: r for r in M.inference_table(coarse, "label", names).collect()}
+    b = {r["feature"]: r for r in M.inference_table(small, "label", names).collect()}
+    for f in a:
+        assert b[f]["coefficient"] == pytest.approx(a[f]["coefficient"], abs=1e-6) and b[f]["std_error"] == pytest.approx(a[f]["std_error"], rel=1e-6)
+    co = {r["feature"]: r["coefficient"] for r in M.coefficients(M.fit_logit(small, "label", names), names, spark).collect()}
+    assert all(co[f] == pytest.approx(a[f]["coefficient"], abs=1e-3) for f in a)
+
+
 def test_tree_and_clusters(people):
     names = P.full_names()
     tree = M.tree_cv(people, "label", names, ["id"], depths=(1, 3), folds=3)
