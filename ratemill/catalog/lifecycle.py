@@ -6,7 +6,6 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from ratemill import fixed
 from ratemill.catalog import star
 from ratemill.catalog.registry import query
 from ratemill.catalog.star import table

@@ -10,7 +10,6 @@ from ratemill import fixed
 from ratemill.catalog import star
 from ratemill.catalog.registry import query
 from ratemill.catalog.star import table
-from ratemill.functions import recode as R
 from ratemill.operators import aggregates as A
 from ratemill.operators import filters as P
 from ratemill.operators import joins as J
