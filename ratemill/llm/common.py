@@ -60,4 +60,4 @@ def without(docs: DataFrame, removed: DataFrame) -> DataFrame:
     key, doc = free_name(docs, "_text_key"), free_name(docs, "_removed_id")
     gone = removed.select(F.col("doc_id").alias(doc), F.col("text_key").alias(key + "_r")).distinct()
     marked = docs.withColumn(key, text_key())
-    return marked.join(gone, (marked["doc_id"] == gone[doc]) & (marked[key] == gone[key + "_r"]), "left_anti").select(*[marked[c] for c in docs.columns])
+    return marked.join(gone.hint("merge"), (marked["doc_id"] == gone[doc]) & (marked[key] == gone[key + "_r"]), "left_anti").select(*[marked[c] for c in docs.columns])

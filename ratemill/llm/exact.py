@@ -38,7 +38,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         groups = stored(digits.groupBy(*by).agg(F.count("*").alias("group_size"), F.min("doc_id").alias("keep_id")).where("group_size > 1")
                         .withColumn("next_part", F.monotonically_increasing_id()), "digits")
         done = F.col("group_size").isNull() | (F.col("n_bytes") <= read)
-        step = stored(digits.join(groups, by, "left").select(
+        step = stored(digits.join(groups.hint("merge"), by, "left").select(
             "doc_id", "text_key", "text_sha256", "n_bytes", F.coalesce("next_part", F.lit(0)).alias("part"), "keep_id", "group_size",
             F.when(~done, F.expr(f"substring(rest, {width + 1})")).alias("rest"), done.alias("done")), "radix", partition_by="done")
         parts.append(step.where("done"))
