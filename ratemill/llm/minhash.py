@@ -16,6 +16,7 @@ from ratemill.session import broadcast_if_small
 
 DIMENSIONS = 1 << 22
 WINDOW_ROWS = 2048
+PARITY_LONGS = 32
 _permutations: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -42,11 +43,18 @@ def signature(shingles: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """One bit a cell of the hashed shingles: whether their number there is odd. Two sets differ in as many shingles as bits, or more."""
+    cells = 64 * PARITY_LONGS
+    odd = np.bincount((mix(shingles) >> np.uint64(32) & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sketches(k: int, bands: int, rows: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = mix(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in batches:
-            sizes, sums, mixed, keys, ends = [], [], [], [], [0]
+            sizes, sums, mixed, keys, odd, ends, odd_ends = [], [], [], [], [], [0], [0]
             for s in shingle_sets(batch["text"], k):
                 sizes.append(len(s))
                 sums.append(s.sum(dtype=np.uint64))
@@ -57,12 +65,14 @@ def _sketches(k: int, bands: int, rows: int, least: int):
                     for j in range(rows):
                         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + coordinates[:, j])
                     keys.append(key)
-                ends.append(ends[-1] + (bands if len(s) >= least else 0))
-            flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
+                    odd.append(parity(s))
+                ends.append(bands * len(keys))
+                odd_ends.append(PARITY_LONGS * len(keys))
+            flat, odd = [np.concatenate(x).view(np.int64) if x else np.zeros(0, np.int64) for x in (keys, odd)]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["text_key"], pa.array(sizes, pa.int64()), pa.array(np.array(sums, np.uint64).view(np.int64)), pa.array(np.array(mixed, np.uint64).view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                ["doc_id", "text_key", "n_shingles", "sum_1", "sum_2", "bands"])
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)), pa.ListArray.from_arrays(pa.array(odd_ends, pa.int32()), pa.array(odd))],
+                ["doc_id", "text_key", "n_shingles", "sum_1", "sum_2", "bands", "parity"])
     return run
 
 
@@ -87,14 +97,21 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_linked(k, percent), "a long, b long")
 
 
+def _mixed(placed: DataFrame, bucket: list[str]) -> DataFrame:
+    """The buckets that hold several components, and the largest one of each."""
+    parts = placed.groupBy(*bucket, "root").agg(F.count("*").alias("n")).groupBy(*bucket)
+    return parts.agg(F.count("*").alias("parts"), F.max_by("root", F.struct("n", "root")).alias("largest")).where("parts > 1").drop("parts")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bands: int = 32, rows: int = 4) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept, and text_key.
 
     Documents are linked where 100 * shared >= percent * united over their full sets of distinct k-word shingles. Documents with equal
     sets are one class with its smallest doc_id as representative. Of bands * rows coordinates, agreement in all rows of a band makes a
     bucket. A bucket's members are first compared with its smallest one; where these links leave a bucket with several components, its
-    members outside the largest component are compared with all members of other components. No pair within a component is needed, so
-    a bucket of near copies costs its size, not its square, and no bucket is cut. At similarity 0.75 a pair misses every one of 32
+    members outside the largest component are compared with all members of other components, as far as the parities of their hashed
+    shingles allow: a bound of the likeness that excludes no link, but nearly all pairs that only have a passage in common. No pair within a component is needed, so a bucket of near copies costs its size, not
+    its square, and no bucket is cut. At similarity 0.75 a pair misses every one of 32
     bands of 4 with a chance of 5 in a million.
 
     Cases: a null or empty text, or one without words, has 0 shingles and is linked with nothing. Rows that repeat a doc_id are one
@@ -104,10 +121,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bands: int =
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62   # smaller sets can only be linked with equal ones
     sketch = stored(source.withColumn("text_key", text_key()).mapInArrow(
-        _sketches(k, bands, rows, least), "doc_id long, text_key long, n_shingles long, sum_1 long, sum_2 long, bands array<long>"), "sketches")
+        _sketches(k, bands, rows, least), "doc_id long, text_key long, n_shingles long, sum_1 long, sum_2 long, bands array<long>, parity array<long>"), "sketches")
     same_set = ["sum_1", "sum_2", "n_shingles"]
     whole = sketch.where("n_shingles > 0 and doc_id is not null")
-    classes = stored(whole.groupBy(*same_set).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    classes = stored(whole.groupBy(*same_set).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("parity").alias("parity")), "classes")
 
     bucket = ["band", "key"]
     entries = classes.select("rep", "n_shingles", F.posexplode("bands").alias(*bucket))
@@ -124,19 +141,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bands: int =
 
     placed = (members.drop("centre").join(roots, members["rep"] == roots["node"], "left")
               .select(*bucket, "rep", "n_shingles", F.coalesce("root", "rep").alias("root")))
-    weights = placed.groupBy(*bucket, "root").agg(F.count("*").alias("n"))
-    mixed = weights.groupBy(*bucket).agg(F.count("*").alias("parts"), F.max_by("root", F.struct("n", "root")).alias("largest")).where("parts > 1").drop("parts")
-    split = stored(placed.join(mixed, bucket), "mixed")
-    x = split.where("root <> largest").select(*bucket, F.col("rep").alias("x"), F.col("n_shingles").alias("nx"), F.col("root").alias("root_x"))
-    y = split.select(*bucket, F.col("rep").alias("y"), F.col("n_shingles").alias("ny"), F.col("root").alias("root_y"), "largest")
+    split = stored(placed.join(_mixed(placed, bucket), bucket).join(classes.select("rep", "parity"), "rep"), "mixed")
+    x = split.where("root <> largest").select(*bucket, F.col("rep").alias("x"), F.col("n_shingles").alias("nx"), F.col("parity").alias("px"), F.col("root").alias("root_x"))
+    y = split.select(*bucket, F.col("rep").alias("y"), F.col("n_shingles").alias("ny"), F.col("parity").alias("py"), F.col("root").alias("root_y"), "largest")
+    differing = " + ".join(f"bit_count(px[{i}] ^ py[{i}])" for i in range(PARITY_LONGS))
     more = (x.join(y, bucket).where("root_x <> root_y and (root_y = largest or x < y)").where(near.format("nx", "ny"))
+            .where(f"{100 + int(percent)} * ({differing}) <= {100 - int(percent)} * (nx + ny)")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"))
     extra = stored(verified(more, texts, k, percent), "verified")
     if not extra.isEmpty():
         roots = stored(components(extra.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
 
-    found = classes.drop("bands").join(roots, classes["rep"] == roots["node"], "left").select(*same_set, F.coalesce("root", "rep").alias("root"))
-    rows_ = sketch.drop("bands").join(found, same_set, "left")
+    found = classes.drop("bands", "parity").join(roots, classes["rep"] == roots["node"], "left").select(*same_set, F.coalesce("root", "rep").alias("root"))
+    rows_ = sketch.drop("bands", "parity").join(found, same_set, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return rows_.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), "text_key")
 
