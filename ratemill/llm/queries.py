@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratemill.llm.common import table
+from ratemill.llm.common import new_folder, table
 from ratemill.llm.exact import exact_groups
 from ratemill.llm.minhash import near_duplicates
+from ratemill.llm.packing import pack
 from ratemill.llm.registry import query
+from ratemill.llm.token_files import read_tokens, token_digests, write_tokens
+from ratemill.llm.tokens import byte_bpe
+from ratemill.llm.warc import archived
 
 
 @query()
@@ -21,3 +26,27 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM plain WINDOW same AS (PARTITION BY plain)""")
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+@query()
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), folder, byte_bpe())
+    return token_digests(read_tokens(spark, folder))
+
+
+@query()
+def op8_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), byte_bpe())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query(r"""
+WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+named AS (SELECT *, octet_length(payload) AS payload_bytes, max(page_id) OVER (PARTITION BY payload) AS newest FROM payloads)
+SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN newest END AS refers_to
+FROM named""")
+def op10_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
