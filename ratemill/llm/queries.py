@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 from ratemill.llm.common import new_folder, table
 from ratemill.llm.exact import exact_groups
+from ratemill.llm.licenses import scan
 from ratemill.llm.minhash import near_duplicates
+from ratemill.llm.mixing import BLOCK_ROWS, TARGETS, mixed, period
 from ratemill.llm.packing import pack
+from ratemill.llm.perplexity import quality_rules
+from ratemill.llm.ranking import quality_scores
 from ratemill.llm.registry import query
 from ratemill.llm.token_files import read_tokens, token_digests, write_tokens
+from ratemill.llm.templates import drop_recurring_lines, template_sql
 from ratemill.llm.tokens import byte_bpe
 from ratemill.llm.warc import archived
 
@@ -28,6 +33,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).drop("text_key")
 
 
+@query()
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
@@ -35,12 +45,47 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read_tokens(spark, folder))
 
 
+def mixing_sql(targets: dict[str, int], block_rows: int) -> str:
+    """The schedule of one period as a list of values, the rest in SQL; for tables with just the sources of ``targets``."""
+    values = ", ".join(f"('{s}', {i}, {slot})" for s, i, slot in period(targets))
+    total = sum(targets.values())
+    return f"""
+WITH period(source, turn, due) AS (VALUES {values}),
+shares AS (SELECT source, count(*) AS share FROM period GROUP BY source),
+numbered AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1 AS number FROM documents),
+blocks AS (SELECT doc_id, source, number // {block_rows} AS block, number % {block_rows} AS place FROM numbered),
+out_of_rows AS (SELECT b.source, (b.n + {block_rows} - 1) // {block_rows} AS block FROM (SELECT source, count(*) AS n FROM documents GROUP BY source) b),
+horizon AS (SELECT min({total} * (o.block // s.share) + p.due) AS slot FROM out_of_rows o JOIN shares s ON o.source = s.source JOIN period p ON p.source = o.source AND p.turn = o.block % s.share)
+SELECT b.doc_id, b.source, b.block, {total} * (b.block // s.share) + p.due AS slot, b.place, {total} * (b.block // s.share) + p.due < h.slot AS on_target
+FROM blocks b JOIN shares s ON b.source = s.source JOIN period p ON p.source = b.source AND p.turn = b.block % s.share CROSS JOIN horizon h"""
+
+
+@query(mixing_sql(TARGETS, BLOCK_ROWS))
+def op5_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"), TARGETS).select("doc_id", "source", "block", "slot", "place", "on_target")
+
+
+@query()
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_key")
+
+
 @query()
 def op8_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"), byte_bpe())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query(template_sql())
+def op9_template_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_recurring_lines(table(spark, sf_dir, "documents"))
+
+
 @query(r"""
 WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 named AS (SELECT *, octet_length(payload) AS payload_bytes, max(page_id) OVER (PARTITION BY payload) AS newest FROM payloads)
