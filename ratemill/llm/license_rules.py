@@ -90,7 +90,7 @@ FORMS = [
     (3, "{title}", 0.7),
 ]
 # Of the keyword's rules only such texts are looked at, which have one of these words or word starts.
-ANCHORS = ["licen", "spdx", "commons", " cc by ", " rights reserved ", " public domain ", "gpl", " wtfpl ", " same terms as perl ", " mpl ", " epl ", " eupl ", " publicdomain "]
+ANCHORS = ["licen", "spdx", "commons", " cc by ", " rights reserved ", " public domain ", "gpl", " wtfpl ", " same terms as perl ", " mpl ", " epl ", " edl ", " eupl ", " publicdomain "]
 # The phrases and labels that count as places.
 PHRASES = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
 
