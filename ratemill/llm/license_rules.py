@@ -63,7 +63,7 @@ ruby; ruby; ruby; ruby license|licence; ruby lang org license
 perl; perl; perl; same terms as perl [itself]; dev perl org licenses
 postgresql; postgresql; postgresql; postgresql license|licence; postgresql org about licence
 openssl; openssl; openssl; openssl license|licence; openssl org source license
-ofl-1.1; sil; ofl 1 1; sil open font license|licence [v|version] [1] [1]; scripts sil org ofl
+ofl-1.1; sil; ofl 1 1; sil open font license|licence [v|version] [1] [1]; openfontlicense org
 odbl-1.0; database; odbl 1 0; open [data] [commons] open database license|licence [v|version] [1|v1] [0]; opendatacommons org licenses odbl
 odc-by; attribution; odc by 1 0; open data commons attribution license|licence; opendatacommons org licenses by
 pddl-1.0; domain; pddl 1 0; public domain dedication and license|licence; opendatacommons org licenses pddl
@@ -90,7 +90,7 @@ FORMS = [
     (3, "{title}", 0.7),
 ]
 # Of the keyword's rules only such texts are looked at, which have one of these words or word starts.
-ANCHORS = ["licen", "spdx", "commons", " cc by ", " rights reserved ", " public domain ", "gpl", " wtfpl ", " same terms as perl ", " mpl ", " epl ", " edl ", " eupl ", " publicdomain "]
+ANCHORS = ["licen", "spdx", "commons", " cc by ", " rights reserved ", " public domain ", "gpl", " wtfpl ", " same terms as perl ", " mpl ", " epl ", " edl ", " eupl ", " opensource ", " publicdomain "]
 # The phrases and labels that count as places.
 PHRASES = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
 
