@@ -61,7 +61,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange(F.col("doc_id"), tie).sortWithinPartitions(F.col("doc_id"), tie)
     (ordered.mapInArrow(_tokenised(tokenizer_path, end_id), SCHEMA).write
-     .option("compression", "zstd").option("parquet.writer.version", "v2")
+     .option("compression", "zstd").option("parquet.compression.codec.zstd.level", 1).option("parquet.writer.version", "v2")
      .option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.size", PAGE_BYTES).option("parquet.page.row.count.limit", PAGE_ROWS)
      .option("parquet.enable.dictionary", "false").option("parquet.enable.dictionary#tokens.list.element", "true")
      .parquet(folder))

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import os
+import string
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
-import numpy as np
-
 CACHED_WORDS = 400_000
+CACHED_LENGTH = 64
+# Bytes that byte-level vocabularies write as themselves; the others are written as 256 and up, in order.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_TEXT = {b: chr(b) for b in PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -17,32 +21,52 @@ class _Whole(Exception):
 
 
 class _Words(dict):
-    """Ids of words that follow a single space. Byte-level tokenizers cut before such a space, so the words of a text are independent."""
+    """Ids of words after a given character (a space, or none at the start of a line).
+
+    Byte-level tokenizers cut before a space that white space does not follow, after a line feed, and between letters and marks, so these
+    parts of a text are independent of one another. A word of letters or marks alone is one piece for the merges.
+    """
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, before: str):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.pieces, self.before, self.mark = tokenizer, tokenizer.model.tokenize, before, "".join(BYTE_TEXT[ord(c)] for c in before)
+        self.starts = self if not before else None
+        self.line = self.pack_pieces(BYTE_TEXT[10])
 
     def __missing__(self, word: str) -> bytes:
-        if not word or word[0].isspace() or word[-1].isspace():
+        if word.isalpha():
+            ids = self.pack_pieces(self.mark + (word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_TEXT)))
+        elif not word or word[0].isspace() or word[-1].isspace():
             raise _Whole
-        ids = as_bytes(self.tokenizer.encode(" " + word, add_special_tokens=False).ids)
-        if len(word) < 64:
+        elif (core := word.rstrip(string.punctuation)).isalpha():
+            ids = self[core] + self.starts[word[len(core):]]
+        elif not core:
+            ids = self.pack_pieces(self.mark + word)
+        elif "\n" in word:
+            first, *rest = word.split("\n")
+            ids = b"".join([self[first], *[self.line + self.starts[x] for x in rest]])
+        else:
+            ids = packed(self.tokenizer.encode(self.before + word, add_special_tokens=False).ids)
+        if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
                 self.clear()
             self[word] = ids
         return ids
 
+    def pack_pieces(self, text: str) -> bytes:
+        return packed([t.id for t in self.pieces(text)])
+
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit integers. A text with any white space beside another is encoded whole."""
+    """Ids as little-endian unsigned 32-bit integers. A text with white space beside white space is encoded in one piece."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # a task uses its own core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words = _Words(self.tokenizer)
+        self.starts, self.words = _Words(self.tokenizer, ""), _Words(self.tokenizer, " ")
+        self.words.starts = self.starts
 
     def ids(self, text: str | None, end_id: int) -> bytes:
         end = end_id.to_bytes(4, "little")
@@ -50,18 +74,17 @@ class Encoder:
             return end
         parts = text.split(" ")
         try:
-            if parts[0] and parts[0][-1].isspace() or not parts[0] and len(parts) > 1 and not parts[1]:
-                raise _Whole
-            head = as_bytes(self.tokenizer.encode(parts[0], add_special_tokens=False).ids) if parts[0] else b""
-            parts[0] = end
-            tail = b"".join(map(self.words.__getitem__, parts[1:]))
+            head = self.starts[parts[0]]
+            parts[0] = head
+            parts[1:] = map(self.words.__getitem__, parts[1:])
         except _Whole:
-            return as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids) + end
-        return head + tail + end
+            return packed(self.tokenizer.encode(text, add_special_tokens=False).ids) + end
+        parts.append(end)
+        return b"".join(parts)
 
 
-def as_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def encoder(path: str) -> Encoder:
