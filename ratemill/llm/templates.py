@@ -13,18 +13,23 @@ ANY = "<*>"
 
 
 def _lines(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " "), "\n")
+    """Lines with one space for each run of other white space."""
+    return F.split(F.when(text.rlike(r"[\x09\x0B-\x0D]|  "), F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " ")).otherwise(text), "\n")
 
 
 def _masked(line: Column) -> Column:
     """The line's tokens by single spaces, those with a digit as a variable field."""
-    return F.regexp_replace(F.trim(line), r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", ANY)
+    tokens = F.trim(line)
+    return F.when(tokens.rlike("[0-9]"), F.regexp_replace(tokens, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", ANY)).otherwise(tokens)
+
+
+def _size(masked: Column) -> Column:
+    return F.octet_length(masked) - F.octet_length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
 
 
 def _leaf(masked: Column, depth: int) -> Column:
     """The tree's leaf of a line: its token count and leading tokens."""
-    tokens = F.split(masked, " ")
-    return F.xxhash64(F.size(tokens), F.slice(tokens, 1, depth))
+    return F.xxhash64(_size(masked), F.substring_index(masked, " ", depth))
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = 10, min_tokens: int = 4, similarity: float = 0.5, depth: int = DEPTH) -> DataFrame:
@@ -45,12 +50,12 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 10, min_tokens: int =
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), text_or_empty().alias("text"))
     lines = rows.withColumn("lines", _lines(F.col("text")))
-    masked = F.filter(F.transform("lines", lambda x: _masked(x)), lambda x: F.size(F.split(x, " ")) >= min_tokens)
+    masked = F.filter(F.transform("lines", lambda x: _masked(x)), lambda x: _size(x) >= min_tokens)
     leaves = lines.select(F.explode(F.array_distinct(F.transform(masked, lambda x: _leaf(x, depth)))).alias("leaf"))
     reached = stored(leaves.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf"), "leaves")
 
     each = (lines.select("doc_id", "text_key", F.posexplode("lines").alias("line_no", "line")).select("doc_id", "text_key", "line_no", _masked(F.col("line")).alias("masked"))
-            .withColumn("n_tokens", F.size(F.split("masked", " "))).where(F.col("n_tokens") >= min_tokens).withColumn("leaf", _leaf(F.col("masked"), depth)))
+            .withColumn("n_tokens", _size(F.col("masked"))).where(F.col("n_tokens") >= min_tokens).withColumn("leaf", _leaf(F.col("masked"), depth)))
     found = stored(each.join(broadcast_if_small(reached, 1_000_000), "leaf", "left_semi"), "lines")
 
     kinds = stored(found.groupBy("leaf", "masked", "n_tokens").agg(F.count("*").alias("n")), "kinds")
@@ -63,15 +68,16 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 10, min_tokens: int =
                 .where(F.col("n_fixed") >= F.lit(similarity) * F.col("n_tokens")).select("leaf", "masked", F.array_join("shape.token", " ").alias("template")))
     placed = stored(found.join(template.hint("merge"), ["leaf", "masked"]).select("doc_id", "text_key", "line_no", "template"), "templates")
     recurring = placed.select("template", "doc_id", "text_key").distinct().groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("template")
+    recurring = stored(recurring, "recurring")
     gone = (placed.join(recurring.hint("merge"), "template").groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone"))
             .select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "gone"))
 
-    same = lines["doc_id"].eqNullSafe(gone["gone_id"]) & (lines["text_key"] == gone["gone_key"])
-    result = lines.join(gone.hint("merge"), same, "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
+    same = rows["doc_id"].eqNullSafe(gone["gone_id"]) & (rows["text_key"] == gone["gone_key"])
+    result = rows.join(gone.hint("merge"), same, "left").withColumn("n_lines", (F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long"))
     original = F.split("text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
-    return result.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_dropped"),
-                         F.when(F.size("gone") == 0, F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(original, i)), "\n")).alias("kept_text"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(original) - 1), "gone")
+    return result.select("doc_id", "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
+                         F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(original, i)), "\n")).alias("kept_text"))
 
 
 def template_sql(min_docs: int = 10, min_tokens: int = 4, similarity: float = 0.5, depth: int = DEPTH) -> str:
