@@ -31,6 +31,7 @@ class _Words(dict):
         super().__init__()
         self.tokenizer, self.pieces, self.before, self.mark = tokenizer, tokenizer.model.tokenize, before, "".join(BYTE_TEXT[ord(c)] for c in before)
         self.starts = self if not before else None
+        self.bytes_of = [packed([i]) for i in range(tokenizer.get_vocab_size())]
         self.line = self.pack_pieces(BYTE_TEXT[10])
 
     def __missing__(self, word: str) -> bytes:
@@ -54,7 +55,7 @@ class _Words(dict):
         return ids
 
     def pack_pieces(self, text: str) -> bytes:
-        return packed([t.id for t in self.pieces(text)])
+        return b"".join([self.bytes_of[t.id] for t in self.pieces(text)])
 
 
 class Encoder:
