@@ -45,7 +45,7 @@ class _Words(dict):
             ids = self.pack_pieces(self.mark + word)
         elif "\n" in word:
             first, *rest = word.split("\n")
-            ids = b"".join([self[first], *[self.line + self.starts[x] for x in rest]])
+            return b"".join([self[first], *[self.line + self.starts[x] for x in rest]])
         else:
             ids = packed(self.tokenizer.encode(self.before + word, add_special_tokens=False).ids)
         if len(word) <= CACHED_LENGTH:
@@ -75,13 +75,9 @@ class Encoder:
             return end
         parts = text.split(" ")
         try:
-            head = self.starts[parts[0]]
-            parts[0] = head
-            parts[1:] = map(self.words.__getitem__, parts[1:])
+            return b"".join([self.starts[parts[0]], *map(self.words.__getitem__, parts[1:]), end])
         except _Whole:
             return packed(self.tokenizer.encode(text, add_special_tokens=False).ids) + end
-        parts.append(end)
-        return b"".join(parts)
 
 
 def packed(ids: list[int]) -> bytes:
