@@ -151,7 +151,7 @@ def historical_renewals(spark, sf):
     return L.historical_renewals(star.contracts(spark, sf), star.enrollments(spark, sf), screens, star.versions(spark, sf), date(2001, 8, 1))
 
 
-_PROFILE = "product_id, applicant_age, gender, smoking_status, diabetes_status, face_amount"
+_PROFILE = "product_id, applicant_age, gender, smoking_status, diabetes_status, bmi_value, face_amount"
 
 
 @query("WITH" + star.APPLICATIONS + f""",
@@ -166,7 +166,7 @@ FROM q a LEFT JOIN p USING (application_id) LEFT JOIN q b ON b.application_id =
 def prior_quote_delta(spark, sf):
     a = star.applications(spark, sf)
     year = F.year("application_date")
-    profile = ["product_id", "applicant_age", "gender", "smoking_status", "diabetes_status", "face_amount"]
+    profile = ["product_id", "applicant_age", "gender", "smoking_status", "diabetes_status", "bmi_value", "face_amount"]
     q = a.select("application_id", *profile, (year - 1994).alias("rate_version_id"),
                  (F.col("face_amount") / 1000 + F.col("applicant_age") + year - 1990).cast("decimal(12,2)").alias("quoted_premium"))
     return K.prior_quote(q, profile).select("application_id", "rate_version_id", "prior_application_id", "prior_version_id", "prior_premium",

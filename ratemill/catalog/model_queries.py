@@ -147,8 +147,8 @@ def logit_inference(spark, sf):
 
 @query()
 def kmeans_profiles(spark, sf):
-    """Profiles of the best clustering for k = 2 to 4."""
-    sweep = M.kmeans_sweep(training(spark, sf), P.full_names(), (2, 3, 4))
+    """Profiles of the best clustering for k = 2 to 8."""
+    sweep = M.kmeans_sweep(training(spark, sf), P.full_names())
     return M.cluster_profile(sweep.clustered)
 
 

@@ -16,7 +16,7 @@ from ratemill.operators import filters as P
 from ratemill.operators import joins as J
 from ratemill.operators import quality as Q
 from ratemill.operators.cumulative import numbered
-from ratemill.operators.sets import coverage_diff, revise_stratum, sample_n, stratified_split, union_facts, vocabulary
+from ratemill.operators.sets import coverage_diff, sample_n, stratified_split, union_facts, vocabulary
 from ratemill.plans.staging import training_audit
 
 # ---- a raw text table with faults, one row per order -----------------------------------------
@@ -138,12 +138,12 @@ def dq_fk_orphans(spark, sf):
                                  ("events", "user_id", "customer", "c_custkey")])
 
 
-@query("""WITH n AS (SELECT c_custkey, count(DISTINCT l_suppkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_totalprice > 450000
+@query("""WITH n AS (SELECT c_custkey, count(DISTINCT l_suppkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey
   LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1)
 SELECT count(CASE WHEN n = 1 THEN 1 END) AS exactly_one, count(CASE WHEN n = 0 THEN 1 END) AS "none", count(CASE WHEN n > 1 THEN 1 END) AS several FROM n""")
 def dq_reachability(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey")
-    o = table(spark, sf, "orders").where("o_totalprice > 450000").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     line = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey")
     return A.reachability(c.join(o, "c_custkey", "left").join(line, "o_orderkey", "left"), "c_custkey", "l_suppkey")
 
@@ -385,20 +385,3 @@ FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1), (VALUES ('tes
 def split_counts(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("label"))
     return stratified_split(o, "label", ["o_orderkey"]).groupBy("label", "split").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
-@query("""SELECT event_type, count(*) FILTER (WHERE event_type <> 'purchase') + CASE event_type WHEN 'purchase' THEN count(*) - 25 ELSE 0 END
-  + CASE event_type WHEN 'view' THEN 25 ELSE 0 END AS n FROM events GROUP BY 1""")
-def stratum_revision(spark, sf):
-    """25 seeded purchases become views."""
-    e = table(spark, sf, "events").select("event_id", "event_type")
-    out = revise_stratum(e, F.col("event_type") == "purchase", ["event_id"], 25, 5, {"event_type": F.lit("view")})
-    return A.counts_by(out, "event_type")
-
-
-@query()
-def stratum_sample(spark, sf):
-    """The revised rows themselves (hash order is Spark's own, so rows only)."""
-    e = table(spark, sf, "events").select("event_id", "event_type")
-    out = revise_stratum(e, F.col("event_type") == "purchase", ["event_id"], 25, 5, {"event_type": F.lit("revised")})
-    return out.where("event_type = 'revised'")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratemill import fixed
@@ -176,8 +178,9 @@ def publish_roundtrip(spark, sf):
     except RuntimeError:
         pass
     active = J.active_rate_book(publish.versions(spark, root), publish.factors(spark, root), publish.rates(spark, root))
-    ids = publish.factors(spark, root).select(*fixed.FACTOR_KEY, "risk_factor_id")
-    return active.drop("mortality_multiplier").join(F.broadcast(ids), fixed.FACTOR_KEY)
+    run = publish.versions(spark, root).where("status = 'active'").select(F.col("created_by_run_id").alias("derived_from_run_id"))
+    ids = publish.factors(spark, root).join(run, "derived_from_run_id").select(*fixed.FACTOR_KEY, "risk_factor_id")
+    return active.drop("mortality_multiplier").join(ids, fixed.FACTOR_KEY)
 
 
 @query("WITH" + star.RATING + "," + star.book_sql(2023) + f""",
@@ -272,3 +275,17 @@ def lake_vs_staged(spark, sf):
     staged = pricing.life_table_baseline(life).select("age_band", "gender", F.col("mortality_rate").alias("staged_rate"))
     return J.lake_join(parsed, staged, F.col("age").between(45, 49), (F.col("gender") == "M") & (F.col("age_band") == "45-49")).select(
         "age", "male_death_probability", "age_band", "staged_rate")
+
+
+@query("""SELECT 1::BIGINT AS case_no, 0::BIGINT AS passed, 0::BIGINT AS auc_passed, 1::BIGINT AS direction_passed, count(*) AS labelled FROM labels
+UNION ALL SELECT 2, 0, 1, 0, count(*) FROM labels UNION ALL SELECT 3, 0, 0, 1, count(*) FROM labels UNION ALL SELECT 4, 0, 1, 0, count(*) FROM labels""")
+def metric_gate_undefined(spark, sf):
+    """Gates whose new AUC (cases 1 and 3) or worst group correlation (2 and 4) is null or not a number: none passes."""
+    n = table(spark, sf, "labels").agg(F.count(F.lit(1)).alias("labelled"))
+    rows = [(1, None, 0.5), (2, 0.9, None), (3, float("nan"), 0.5), (4, 0.9, float("nan"))]
+    base = spark.createDataFrame([(0.75, 1)], "auc double, violations bigint")
+    parts = []
+    for case_no, auc, low in rows:
+        new = spark.createDataFrame([(auc, low, 0)], "auc double, min_spearman double, violations bigint")
+        parts.append(publish.gate(new, base).select(F.lit(case_no).cast("bigint").alias("case_no"), "passed", "auc_passed", "direction_passed"))
+    return reduce(DataFrame.unionAll, parts).crossJoin(n)   # one row

@@ -16,6 +16,7 @@ from ratemill.operators import joins as J
 from ratemill.operators import ranking as K
 from ratemill.operators.sets import union_facts
 from ratemill.plans import lifecycle as L
+from ratemill.session import broadcast_if_small
 
 
 @query("WITH" + star.CONTRACTS + """
@@ -28,6 +29,14 @@ def q1_party_contracts(spark, sf):
     return J.party_contracts(parties, c.drop("customer_id"))
 
 
+@query("WITH" + star.CONTRACTS + """
+SELECT customer_id, contract_id, contract_number, activity_status, CAST(effective_date AS VARCHAR) AS effective_date,
+  CAST(expiry_date AS VARCHAR) AS expiry_date FROM contracts JOIN customer ON c_custkey = customer_id WHERE customer_id = 7""")
+def q1_one_customer(spark, sf):
+    c = star.contracts(spark, sf)
+    return J.party_contracts(c.select("customer_id", "contract_id"), c.drop("customer_id"), customer_id=7)
+
+
 def billing_path(spark, sf):
     """Contract - customer - nation (account) - supplier (billing account) - line item (invoice)."""
     c = star.contracts(spark, sf)
@@ -49,11 +58,9 @@ def billing_path(spark, sf):
 @query("""SELECT o_orderkey AS contract_id, l_suppkey AS billing_account_id, l_orderkey, l_partkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
   CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS run_date, l_extendedprice AS premium_subtotal
 FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN supplier ON s_nationkey = n_nationkey
-JOIN lineitem ON l_suppkey = s_suppkey WHERE 'C' || o_orderkey = 'C1'""")
+JOIN lineitem ON l_suppkey = s_suppkey WHERE o_orderkey = 1""")
 def q2_chain_invoices(spark, sf):
-    t = billing_path(spark, sf)
-    t["contracts"] = t["contracts"].where(F.col("contract_number") == "C1")
-    return J.invoice_chain(**t).orderBy("run_date", "l_orderkey", "l_linenumber")
+    return J.invoice_chain(**billing_path(spark, sf), contract_id=1).orderBy("run_date", "l_orderkey", "l_linenumber")
 
 
 @query("""WITH pairs AS (SELECT o_orderkey, CASE WHEN l_shipdate < o_orderdate THEN 1 ELSE 0 END AS early
@@ -87,6 +94,12 @@ _Q5 = """SELECT l_suppkey AS enrollment_id, count(*) AS qualifying_activity_coun
 WHERE l_shipdate >= DATE '1998-01-01' AND l_shipdate < DATE '{hi}' AND l_returnflag <> 'R' GROUP BY 1"""
 
 
+@query(_Q5.format(hi="1999-01-01").replace("GROUP BY", "AND l_suppkey = 3 GROUP BY"))
+def q4_enrollment_counts(spark, sf):
+    """The count of one enrollment in a date range."""
+    return A.verified_counts(star.shipments(spark, sf), date(1998, 1, 1), date(1999, 1, 1), enrollment_id=3)
+
+
 @query(_Q5.format(hi="1999-01-01"))
 def q5_verified_counts(spark, sf):
     return A.verified_counts(star.shipments(spark, sf), date(1998, 1, 1), date(1999, 1, 1))
@@ -149,10 +162,22 @@ def q8_status_counts(spark, sf):
                          for name, code in (("Lapsed", "F"), ("Active", "O"))])
 
 
-@query("""SELECT o_orderkey AS contract_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS effective_date, o_totalprice AS modal_premium
-FROM orders WHERE o_orderstatus = 'F'""")
+_Q8 = """SELECT o_orderkey AS contract_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS effective_date, o_totalprice AS modal_premium
+FROM orders WHERE o_orderstatus = '{status}'"""
+
+
+@query(_Q8.format(status="F"))
 def q8_status_rows(spark, sf):
-    rows = P.by_status(table(spark, sf, "orders"), "o_orderstatus", "F", ["o_orderkey", "o_orderdate", "o_totalprice"])
+    return status_rows(spark, sf, "F")
+
+
+@query(_Q8.format(status="O"))
+def q8b_common_status_rows(spark, sf):
+    return status_rows(spark, sf, "O")
+
+
+def status_rows(spark, sf, status):
+    rows = P.by_status(table(spark, sf, "orders"), "o_orderstatus", status, ["o_orderkey", "o_orderdate", "o_totalprice"])
     return rows.select(F.col("o_orderkey").alias("contract_id"), F.col("o_orderdate").cast("date").alias("effective_date"),
                        F.col("o_totalprice").alias("modal_premium"))
 
@@ -291,16 +316,16 @@ def one_to_one_merge(spark, sf):
 @query("""SELECT s_name, n_name, r_name, CAST(p_type AS VARCHAR) AS p_type, count(*) AS n, round(sum(CAST(l_extendedprice AS DECIMAL(12,2)))::DOUBLE, 6) AS billed
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey
 JOIN part ON p_partkey = l_partkey JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
-WHERE c_mktsegment <> 'MACHINERY' GROUP BY ALL""")
+GROUP BY ALL""")
 def eight_table_chain(spark, sf):
     """Line items through every dimension: one joined row each, summed before anything is sent on."""
     line = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", F.col("l_extendedprice").cast("decimal(12,2)").alias("amount"))
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    c = table(spark, sf, "customer").where("c_mktsegment <> 'MACHINERY'").select(F.col("c_custkey").alias("o_custkey"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name", F.col("s_nationkey").alias("n_nationkey"))
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     n = table(spark, sf, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("r_regionkey"))
-    chain = line.join(p, "l_partkey").join(s, "l_suppkey").join(o, "l_orderkey").join(c, "o_custkey")
+    chain = line.join(o.join(c, "o_custkey").select("l_orderkey"), "l_orderkey").join(broadcast_if_small(s), "l_suppkey").join(p, "l_partkey")
     summed = chain.groupBy("s_name", "n_nationkey", "p_type").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("billed"))
     return summed.join(n, "n_nationkey").join(table(spark, sf, "region"), "r_regionkey").select(
         "s_name", "n_name", "r_name", "p_type", "n", "billed")
@@ -312,9 +337,9 @@ def share_of_total(spark, sf):
     return A.share_of(table(spark, sf, "part"), ["p_brand"], "p_type")
 
 
-@query("""SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation ORDER BY n_name LIMIT 10""")
+@query("""SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation ORDER BY n_name""")
 def options_list(spark, sf):
-    return P.options(table(spark, sf, "nation"), ["n_nationkey", "n_name"], ["n_name"], 10)
+    return P.options(table(spark, sf, "nation"), ["n_nationkey", "n_name"], ["n_name"])
 
 
 @query("WITH" + star.CONTRACTS + "," + star.WELLNESS + """

@@ -137,8 +137,3 @@ def age_at(dob: Column | str, on: Column | str) -> Column:
     dob, on = _col(dob), _col(on)
     before = (F.month(on) * 100 + F.dayofmonth(on)) < (F.month(dob) * 100 + F.dayofmonth(dob))
     return F.year(on) - F.year(dob) - before.cast("int")
-
-
-def dec(value) -> Column:
-    """Decimal literal with its own narrow precision."""
-    return F.lit(value if isinstance(value, Decimal) else Decimal(str(value)))

@@ -95,10 +95,6 @@ def options(df: DataFrame, cols: Sequence[str], order: Sequence[str], limit: int
     return out.limit(limit) if limit else out
 
 
-def ordered_by_labels(df: DataFrame, col: str, labels: Sequence[str], *then: str) -> DataFrame:
-    return df.orderBy(R.ordinal(col, labels), *then)
-
-
 def one_hot(df: DataFrame, col: str, levels: Iterable, prefix: str) -> DataFrame:
     return df.select("*", *R.one_hot(col, list(levels), prefix))
 

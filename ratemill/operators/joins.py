@@ -10,33 +10,7 @@ from pyspark.sql import functions as F
 
 from ratemill import fixed
 from ratemill.functions import recode as R
-from ratemill.session import broadcast_if_small, is_small
-
-HOT_ROWS = 5_000_000
-SALTS = 64
-
-
-def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], spread: Sequence[str],
-                how: str = "inner", hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
-    """Equi-join whose hot keys are split.
-
-    A key with more than ``hot_rows`` rows in ``big`` is cut into ``salts`` parts by a hash of the
-    ``spread`` columns, and only its rows in ``small`` are repeated. Right and full joins are not offered,
-    as repeated unmatched rows would be emitted more than once.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"salted join does not support {how}")
-    hot = big.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
-    hot = broadcast_if_small(hot)
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts))
-    left = big.join(hot, list(keys), "left").withColumn(
-        "_salt", F.when(F.col("_hot"), part).otherwise(F.lit(0).cast("long"))).drop("_hot")
-    every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
-    only = F.array(F.lit(0).cast("long"))
-    right = small.join(hot, list(keys), "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(only))).drop("_hot")
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
-
+from ratemill.session import broadcast_if_small
 
 def left_join_spreading_nulls(left: DataFrame, right: DataFrame, key: str, spread: str, also: Sequence[str] = ()) -> DataFrame:
     """Left join on a key that many left rows lack. Rows without it match nothing, yet a plain join would send
@@ -220,23 +194,19 @@ def profile_grid(spark, levels: Mapping[str, Sequence[str]]) -> DataFrame:
     return grid.drop("id")
 
 
-def cross_products(factors: DataFrame, products: DataFrame, max_products: int = 1000) -> DataFrame:
-    """Each risk factor with each product: products are counted, packed in one array and exploded."""
-    if not is_small(products, max_products):
-        raise ValueError(f"more than {max_products} products")
-    packed = products.agg(F.collect_list(F.struct(*products.columns)).alias("_p"))
-    return factors.join(F.broadcast(packed)).select(*factors.columns, F.inline("_p"))
+def cross_products(factors: DataFrame, products: DataFrame) -> DataFrame:
+    """Each risk factor with each product, which is the rate book's shape; products are counted before they are broadcast."""
+    return factors.crossJoin(broadcast_if_small(products))
 
 
 def band_table(spark) -> DataFrame:
     return spark.createDataFrame(fixed.AGE_BANDS, "lower int, upper int, age_band string")
 
 
-def band_join(df: DataFrame, col: str, bands: DataFrame, max_bands: int = 1000) -> DataFrame:
-    """Range join into inclusive bands (lower, upper); the band table is counted before it is broadcast."""
-    if not is_small(bands, max_bands):
-        raise ValueError(f"more than {max_bands} bands")
-    return df.join(F.broadcast(bands), F.col(col).between(F.col("lower"), F.col("upper"))).drop("lower", "upper")
+def band_join(df: DataFrame, col: str, bands: DataFrame) -> DataFrame:
+    """Rows of whole numbers in inclusive bands (lower, upper): bands are spelled out by number, so the join is on equality."""
+    numbers = bands.select("*", F.explode(F.sequence("lower", "upper")).alias("_number")).drop("lower", "upper")
+    return df.join(broadcast_if_small(numbers), F.col(col) == F.col("_number")).drop("_number")
 
 
 def bridged_join(fine: DataFrame, coarse: DataFrame, value: str, keys: Sequence[str] = ("gender",)) -> DataFrame:
@@ -253,13 +223,9 @@ def merge_components(a: DataFrame, b: DataFrame, c: DataFrame, key: str) -> Data
     return a.join(b, key, "left").join(c, key, "left")
 
 
-def lake_join(lake: DataFrame, staged: DataFrame, lake_cond: Column, staged_cond: Column,
-              max_rows: int = 1000) -> DataFrame:
-    """Lake rows beside the few staged rows that satisfy constant predicates (no shared key)."""
-    right = staged.where(staged_cond)
-    if not is_small(right, max_rows):
-        raise ValueError("the staged side of a keyless join must be a few rows")
-    return lake.where(lake_cond).join(F.broadcast(right))
+def lake_join(lake: DataFrame, staged: DataFrame, lake_cond: Column, staged_cond: Column) -> DataFrame:
+    """Lake rows beside the staged rows that satisfy constant predicates (no shared key); the predicates say how many these are."""
+    return lake.where(lake_cond).crossJoin(broadcast_if_small(staged.where(staged_cond)))
 
 
 def external_reference(scores: DataFrame, reference: DataFrame, keys: Sequence[str], score: str) -> DataFrame:

@@ -177,17 +177,15 @@ def issue_report(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]
     return union_facts(*parts).select(*ISSUE_COLUMNS)
 
 
-def report_markdown(issues: DataFrame, title: str, max_rows: int = 10_000) -> str:
-    """The issue table (a few rows per column) as Markdown text."""
-    rows = issues.orderBy(*ISSUE_COLUMNS[:3]).limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError("issue table too long for a report")
+def report_markdown(issues: DataFrame, title: str) -> str:
+    """The issue table (a few rows per declared column) as Markdown text, row by row."""
     lines = [f"# {title}", ""]
+    rows = ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |"
+            for r in issues.select(*ISSUE_COLUMNS).orderBy(*ISSUE_COLUMNS[:3]).toLocalIterator()]
     if not rows:
         return "\n".join([*lines, "No issues found.", ""])
     lines += ["| " + " | ".join(ISSUE_COLUMNS) + " |", "|" + "---|" * len(ISSUE_COLUMNS)]
-    lines += ["| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in rows]
-    return "\n".join([*lines, ""])
+    return "\n".join([*lines, *rows, ""])
 
 
 def repaired_value(col: str, index: str, start: date, end: date, blank: tuple[int, int] | None = None,
@@ -266,8 +264,9 @@ def expect_columns(df: DataFrame, cols: Sequence[str], optional: Sequence[str] =
 
 
 def expect_values(df: DataFrame, col: str, allowed: Sequence) -> None:
-    odd = df.where(F.col(col).isNotNull() & ~F.col(col).isin(list(allowed))).select(col).distinct().limit(20).collect()
-    _check(not odd, f"{col} holds values outside {list(allowed)}: {[r[0] for r in odd]}")
+    odd = df.where(F.col(col).isNotNull() & ~F.col(col).isin(list(allowed))).groupBy(col).count()
+    found = odd.agg(F.count(F.lit(1)).alias("n"), F.sum("count").alias("rows"), F.min(col).alias("low"), F.max(col).alias("high")).first()
+    _check(not found["n"], f"{col} holds {found['n']} values outside {list(allowed)} in {found['rows']} rows, from {found['low']} to {found['high']}")
 
 
 def expect_count(df: DataFrame, n: int, what: str = "rows") -> None:
@@ -288,16 +287,21 @@ def expect_one_active(versions: DataFrame) -> None:
 def expect_same_groups(extracts: Mapping[str, DataFrame], group: str, sex: str, required: Sequence[str],
                        suppressed: Sequence[tuple[str, str, str]] = (), same: Sequence[Sequence[str]] = ()) -> None:
     """Extracts must share headers, hold both sexes for the required groups, lack the (extract, group, sex)
-    named as suppressed, and have equal group sets where listed in ``same``. Groups are a short list."""
+    named as suppressed, and have equal group sets where listed in ``same``. Cells are compared by joins, whatever their number."""
     headers = {tuple(d.columns) for d in extracts.values()}
     _check(len(headers) == 1, "headers differ between extracts")
-    found = {name: {(r[0], r[1]) for r in d.select(group, sex).where(F.col(sex).isin("F", "M")).distinct().limit(10_000).collect()}
-             for name, d in extracts.items()}
-    for name, cells in found.items():
-        lacking = [g for g in required if not {(g, "F"), (g, "M")} <= cells]
-        _check(not lacking, f"{name} lacks a sex for {lacking}")
+    cells = {name: d.select(group, sex).where(F.col(sex).isin("F", "M")).distinct() for name, d in extracts.items()}
+    for name, found in cells.items():
+        if required:
+            kind = found.schema[group].dataType
+            needed = found.sparkSession.createDataFrame([(str(g), s) for g in required for s in ("F", "M")], "g string, s string").select(F.col("g").cast(kind).alias(group), F.col("s").alias(sex))
+            lacking = sorted({str(r[0]) for r in needed.join(found, [group, sex], "left_anti").collect()})     # at most the required ones
+            _check(not lacking, f"{name} lacks a sex for {lacking}")
     for names in same:
-        sets = [{g for g, _ in found[n]} for n in names]
-        _check(all(s == sets[0] for s in sets), f"groups differ between {list(names)}")
+        first = cells[names[0]].select(group).distinct()
+        for other in names[1:]:
+            groups = cells[other].select(group).distinct()
+            equal = first.join(groups, group, "left_anti").isEmpty() and groups.join(first, group, "left_anti").isEmpty()
+            _check(equal, f"groups differ between {list(names)}")
     for name, g, s in suppressed:
-        _check((g, s) not in found[name], f"{name} should not hold {g}/{s}")
+        _check(cells[name].where((F.col(group) == g) & (F.col(sex) == s)).isEmpty(), f"{name} should not hold {g}/{s}")

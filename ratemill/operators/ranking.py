@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ratemill.functions import money
 from ratemill.operators.cumulative import null_safe_join, quantiles_of, rank_ties, tie_counts, value_ranks
-from ratemill.session import broadcast_if_small, is_small
+from ratemill.session import broadcast_if_small
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -18,27 +18,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*")
 
 
-def version_segments(versions: DataFrame) -> DataFrame:
-    """Disjoint (start, end, rate_version_id) segments: between two neighbouring boundary dates the covering
-    version with the highest id holds. At most two boundaries per version, so the window is over a short list."""
-    v = versions.select("rate_version_id", F.col("effective_date").cast("date").alias("_from"),
-                        F.col("expiry_date").cast("date").alias("_to"))
-    points = v.select(F.col("_from").alias("_start")).union(v.select("_to")).where("_start is not null").distinct()
-    seg = points.withColumn("_end", F.lead("_start").over(Window.partitionBy(F.lit(0)).orderBy("_start")))
-    covers = (F.col("_from") <= F.col("_start")) & (F.col("_to").isNull() | (F.col("_start") < F.col("_to")))
-    return seg.join(F.broadcast(v), covers).groupBy("_start", "_end").agg(F.max("rate_version_id").alias("rate_version_id"))
-
-
-def as_of_version(df: DataFrame, on: str, versions: DataFrame, max_versions: int = 1000, how: str = "left") -> DataFrame:
+def as_of_version(df: DataFrame, on: str, versions: DataFrame, how: str = "left") -> DataFrame:
     """Version in force at a date: effective <= date < expiry, a null expiry being open; highest id on overlap.
 
-    The versions are counted, then broadcast as disjoint segments, so the facts are neither shuffled nor
-    multiplied. A longer list is spelled out per calendar day and joined on the day.
+    Versions are spelled out per calendar day up to the last date asked for and joined on the day, so no fact is compared with a range.
     """
     day = F.col(on).cast("date")
-    inside = (day >= F.col("_start")) & (F.col("_end").isNull() | (day < F.col("_end")))
-    if is_small(versions, max_versions):
-        return df.join(F.broadcast(version_segments(versions)), inside, how).drop("_start", "_end")
     last = df.agg(F.max(day).alias("_last"))
     v = versions.select("rate_version_id", F.col("effective_date").cast("date").alias("_from"), F.col("expiry_date").cast("date").alias("_to"))
     until = F.least(F.coalesce(F.date_sub("_to", 1), "_last"), "_last")

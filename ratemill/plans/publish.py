@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ratemill import fixed
 from ratemill.operators.quality import ExpectationError, expect_one_active
 from ratemill.operators.ranking import version_chain
+from ratemill.sources.files import path_exists
 
 RUN_LOG = ("run_id int, run_type string, started_at date, completed_at date, status string, source_datasets string, "
            "rate_version_id int, notes string")
@@ -27,13 +28,8 @@ FACTOR = ("risk_factor_id int, age_band string, gender string, smoking_status st
 RATE = "rate_version_id int, risk_factor_id int, product_id int, base_rate decimal(12,2), run_id int"
 
 
-class GateError(ValueError):
-    """The new model did not pass the metric gate."""
-
-
 def _read(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if not path_exists(spark, f"{root}/{table}"):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{root}/{table}")
 
@@ -43,7 +39,7 @@ def runs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _committed(spark: SparkSession, root: str) -> DataFrame:
-    return F.broadcast(runs(spark, root).where("status = 'success'").select("run_id"))
+    return runs(spark, root).where("status = 'success'").select("run_id")
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:
@@ -96,11 +92,12 @@ def _write(df: DataFrame, root: str, table: str, run_id: int) -> int:
 
 def publish(spark: SparkSession, root: str, book: DataFrame, effective: date, *, n_factors: int, n_rates: int,
             sources: str = "", notes: str = "", state: Mapping | None = None, run_type: str = "manual",
-            first: bool = False, fail_after_state: bool = False) -> dict:
+            first: bool = False, fail_after_state: bool = False, artifacts: Mapping[str, DataFrame] | None = None) -> dict:
     """Publishes a rate book (factor key, multiplier, product_id, base_rate) as the new active version.
 
-    ``first`` allows the very first version; later ones need exactly one active version. On any failure a
-    failed run row is appended and the error raised; nothing of the run becomes visible.
+    ``first`` allows the very first version; later ones need exactly one active version. ``artifacts`` are tables kept
+    with the run, such as the model's profile and metrics. On any failure a failed run row is appended and the error
+    raised; nothing of the run becomes visible.
     """
     run_id, version_id = _next_ids(spark, root)
     try:
@@ -128,6 +125,8 @@ def publish(spark: SparkSession, root: str, book: DataFrame, effective: date, *,
         found = _write(r, root, "rate", run_id)
         if found != n_rates:
             raise ExpectationError(f"expected {n_rates} rates, wrote {found}")
+        for name, kept in (artifacts or {}).items():
+            _write(kept, root, name, run_id)
     except Exception as error:
         log_failure(spark, root, run_id, effective, str(error), sources, run_type)
         raise
@@ -138,10 +137,19 @@ def publish(spark: SparkSession, root: str, book: DataFrame, effective: date, *,
 def log_failure(spark: SparkSession, root: str, run_id: int | None, started: date, reason: str, sources: str = "",
                 run_type: str = "manual") -> int:
     run_id = run_id or _next_ids(spark, root)[0]
-    _append_log(spark, root, (run_id, run_type, started, started, "failed", sources, None, reason[:500]))
+    _append_log(spark, root, (run_id, run_type, started, started, "failed", sources, None, reason))
     return run_id
 
 
+def latest_artifact(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The table of that name that the last successful run with one kept."""
+    if not path_exists(spark, f"{root}/{name}"):
+        return None
+    kept = spark.read.parquet(f"{root}/{name}").join(_committed(spark, root), "run_id")
+    last = kept.agg(F.max("run_id")).first()[0]
+    return None if last is None else kept.where(F.col("run_id") == last).drop("run_id")
+
+
 def changed(states: DataFrame, observed: DataFrame) -> DataFrame:
     """Whether the observed hash differs from the latest known one per path; an unknown path has changed."""
     latest = states.groupBy("source_path").agg(F.max_by("content_hash", "source_state_id").alias("known_hash"))
@@ -153,19 +161,22 @@ def gate(new: DataFrame, baseline: DataFrame | None, tol: float = fixed.AUC_TOLE
     """One row: each metric with its baseline and whether it passed.
 
     ``new`` and ``baseline`` hold auc, min_spearman and violations. Without a baseline the new values become it
-    and only the direction must be right.
+    and only the direction must be right. A new value that is null or not a number never passes.
     """
     n = new.select(F.col("auc").alias("new_auc"), F.col("min_spearman"), F.col("violations").alias("new_violations"))
     b = n.limit(0).select(F.lit(0.0).alias("base_auc"), F.lit(0).cast("long").alias("base_violations")) \
         if baseline is None else baseline.select(F.col("auc").alias("base_auc"), F.col("violations").alias("base_violations"))
     j = n.join(F.broadcast(b), F.lit(True), "left")
+    def defined(name):
+        return F.col(name).isNotNull() & ~F.isnan(name)
+
     passed = F.col("auc_passed") & F.col("direction_passed") & F.col("violations_passed")
     return j.withColumns({
         "min_auc": F.col("base_auc") - tol,
         "baseline_recorded": F.col("base_auc").isNull(),
-        "auc_passed": F.coalesce(F.col("new_auc") >= F.col("base_auc") - tol, F.lit(True)),
-        "direction_passed": F.col("min_spearman") > 0,
-        "violations_passed": F.coalesce(F.col("new_violations") <= F.col("base_violations"), F.lit(True)),
+        "auc_passed": defined("new_auc") & (F.col("base_auc").isNull() | F.coalesce(F.col("new_auc") >= F.col("base_auc") - tol, F.lit(False))),
+        "direction_passed": defined("min_spearman") & F.coalesce(F.col("min_spearman") > 0, F.lit(False)),
+        "violations_passed": F.col("new_violations").isNotNull() & (F.col("base_violations").isNull() | F.coalesce(F.col("new_violations") <= F.col("base_violations"), F.lit(False))),
     }).withColumn("passed", passed)
 
 

@@ -45,14 +45,38 @@ def run_refresh(spark: SparkSession, root: str, raw_survey: DataFrame, key: str,
 
     raw_survey: coded respondents with a row ``key``; mortality: the long staging table (source_year, age_band,
     gender, condition_flag, mortality_rate, life_expectancy); state: path, hash and size of the observed source.
-    A source whose hash is already known is not retrained; a gate failure is logged and raises nothing visible.
+
+    A source whose hash is already known is not retrained: the book is derived and published from the profile that
+    the last passing run kept. A new model must pass the gate, by default against the metrics kept with that profile;
+    on a pass its profile and metrics are kept with the published run, else the run is logged as failed. Any error is
+    logged as a failed run and raised.
     """
-    observed = spark.createDataFrame([(state["source_path"], state["content_hash"], int(state["byte_size"]))],
-                                     "source_path string, content_hash string, byte_size bigint")
-    is_new = publish.changed(publish.source_states(spark, root), observed).first()["changed"]
-    if not is_new:
-        return RefreshResult("unchanged", None, None, None)
-    records = survey_records(raw_survey)
+    try:
+        return _refresh(spark, root, raw_survey, key, mortality, products, effective, state, baseline_metrics, cohort, loading, undiagnosed, first)
+    except _Logged as error:
+        raise error.__cause__ from None
+    except Exception as error:
+        publish.log_failure(spark, root, None, effective, str(error), state.get("source_path", ""))
+        raise
+
+
+class _Logged(Exception):
+    """Carries an error that the publication has logged itself."""
+
+
+def check_parameters(products: DataFrame, loading: Decimal, undiagnosed: Decimal) -> None:
+    if not loading > 0:
+        raise ValueError(f"loading must be positive, not {loading}")
+    if not 0 <= undiagnosed <= 1:
+        raise ValueError(f"undiagnosed share must lie in 0..1, not {undiagnosed}")
+    known = sorted(fixed.PRODUCT_FACTORS)
+    found = products.agg(F.count(F.lit(1)), F.count_if(F.col("product_id").isin(known)), F.countDistinct("product_id")).first()
+    if tuple(found) != (len(known),) * 3:
+        raise ValueError(f"products must be just {known}")
+
+
+def _trained(raw_survey: DataFrame, records: DataFrame, key: str, mortality: DataFrame, baseline: DataFrame, ratio: DataFrame):
+    """The final model and its gate metrics."""
     frame = P.labels(P.complete_cases(records, [*fixed.PROFILE, "bmi_value"]).where(
         F.col("diabetes_code").isin(1, 3, 4)).withColumn("bmi", F.col("bmi_value")), "diabetes_code")
     frame = P.dummy_matrix(frame)
@@ -60,27 +84,46 @@ def run_refresh(spark: SparkSession, root: str, raw_survey: DataFrame, key: str,
     split = stratified_split(primary, "label", [key])
     names = P.dummy_names()
     features = ["label", "bmi", "age_band", "gender", "smoking_status", "exercise_freq"]
+
     def fitted(rows: DataFrame):
         return models.fit_logit(P.dummy_matrix(models.compress(rows, features)), "label", names)
-    fit = fitted(split.where("split = 'train'"))
-    held_out = models.score(fit, split.where("split = 'test'"), names)
+
+    held_out = models.score(fitted(split.where("split = 'train'")), split.where("split = 'test'"), names)
     metrics = models.classification_metrics(held_out, "label", "probability")
     final = fitted(primary)
-    baseline = mortality.where((F.col("condition_flag") == "BASELINE") & (F.col("source_year") == fixed.BASELINE_YEAR))
-    ratio = pricing.condition_ratio(mortality, cohort)
-    checks = models.external_validation(models.score(final, primary, names), ratio, baseline)
-    bundle = models.gate_input(metrics, checks)
-    verdict = publish.gate(bundle, baseline_metrics).first().asDict()
-    if not verdict["passed"]:
-        publish.log_failure(spark, root, None, effective, f"gate failed: {verdict}", state["source_path"])
-        return RefreshResult("gate_failed", None, verdict, bundle)
+    return final, models.gate_input(metrics, models.external_validation(models.score(final, primary, names), ratio, baseline))
+
+
+def _refresh(spark, root, raw_survey, key, mortality, products, effective, state, baseline_metrics, cohort, loading, undiagnosed, first) -> RefreshResult:
+    check_parameters(products, loading, undiagnosed)
+    observed = spark.createDataFrame([(state["source_path"], state["content_hash"], int(state["byte_size"]))],
+                                     "source_path string, content_hash string, byte_size bigint")
+    is_new = publish.changed(publish.source_states(spark, root), observed).first()["changed"]
+    profile = None if is_new else publish.latest_artifact(spark, root, "model_profile")
+    records = survey_records(raw_survey)
     counts = cut_lineage(A.profile_counts(records))
     exercise = A.marginal_shares(counts, "exercise_freq", fixed.EXERCISE_LEVELS, weight="n")
+    baseline = mortality.where((F.col("condition_flag") == "BASELINE") & (F.col("source_year") == fixed.BASELINE_YEAR))
+    ratio = pricing.condition_ratio(mortality, cohort)
+    outcome, verdict, bundle, artifacts = "unchanged", None, None, None
+    if profile is None:
+        final, bundle = _trained(raw_survey, records, key, mortality, baseline, ratio)
+        bundle = cut_lineage(bundle)
+        against = baseline_metrics if baseline_metrics is not None else publish.latest_artifact(spark, root, "model_metrics")
+        verdict = publish.gate(bundle, against).first().asDict()
+        if not verdict["passed"]:
+            publish.log_failure(spark, root, None, effective, f"gate failed: {verdict}", state["source_path"])
+            return RefreshResult("gate_failed", None, verdict, bundle)
+        profile = cut_lineage(probabilities(final, records, exercise))
+        outcome, artifacts = "retrained", {"model_profile": profile, "model_metrics": bundle}
     cells = pricing.rating_cells(baseline, A.prevalence(counts, ["age_band", "gender"], weight="n"), ratio)
-    factors = pricing.risk_factors(cells, probabilities(final, records, exercise), undiagnosed)
+    factors = pricing.risk_factors(cells, profile, undiagnosed)
     book = pricing.rate_book(factors, pricing.product_factors(products), loading)
     n_factors = len(fixed.AGE_LABELS) * len(fixed.GENDERS) * len(fixed.SMOKING_LEVELS) * len(fixed.BMI_LEVELS) * 2
-    run = publish.publish(spark, root, book, effective, n_factors=n_factors, n_rates=n_factors * products.count(),
-                          sources=state["source_path"], notes=publish.run_notes(cohort, loading, undiagnosed),
-                          state=state, first=first)
-    return RefreshResult("retrained", run, verdict, bundle)
+    try:
+        run = publish.publish(spark, root, book, effective, n_factors=n_factors, n_rates=n_factors * products.count(),
+                              sources=state["source_path"], notes=publish.run_notes(cohort, loading, undiagnosed),
+                              state=state if is_new else None, first=first, artifacts=artifacts)
+    except Exception as error:
+        raise _Logged from error
+    return RefreshResult(outcome, run, verdict, bundle)

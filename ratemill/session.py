@@ -51,7 +51,3 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
-
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows

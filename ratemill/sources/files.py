@@ -187,21 +187,17 @@ def frame_fingerprint(df: DataFrame, source_path: str) -> DataFrame:
                        "byte_size", F.current_timestamp().alias("observed_at"))
 
 
-def write_result(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    """A result table as CSV with a header: one file when it is small, many otherwise."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    (df.coalesce(1) if small else df).write.mode("overwrite").option("header", True).csv(path)
+def write_result(df: DataFrame, path: str, single: bool = False) -> None:
+    """A result table as CSV with a header; ``single`` asks for one file."""
+    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).csv(path)
 
 
-def markdown(df: DataFrame, max_rows: int = 1000, digits: int = 3) -> str:
-    """A small result as a Markdown table."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} rows")
+def markdown(df: DataFrame, digits: int = 3) -> str:
+    """A result table for reading, as Markdown, row by row."""
     def show(v):
         return f"{v:.{digits}f}" if isinstance(v, float) else "" if v is None else str(v)
     lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
-    return "\n".join(lines + ["| " + " | ".join(show(v) for v in r) + " |" for r in rows])
+    return "\n".join(lines + ["| " + " | ".join(show(v) for v in r) + " |" for r in df.toLocalIterator()])
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:

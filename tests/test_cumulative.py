@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ratemill.operators import cumulative as C
 from ratemill.operators import ranking as K
-from ratemill.operators.sets import revise_stratum, sample_n, stratified_split
+from ratemill.operators.sets import sample_n, stratified_split
 
 
 @pytest.fixture(scope="module")
@@ -62,11 +62,6 @@ def test_sampling(frame):
     for r in split:
         test = int(np.floor(sizes[r["y"]] * 0.2 + 0.5))
         assert r["count"] == (test if r["split"] == "test" else sizes[r["y"]] - test)
-    changed = revise_stratum(df, F.col("g") == "b", ["id"], 20, 9, {"v": F.lit(-9999.0)})
-    assert changed.where("v = -9999").count() == 20
-    assert changed.count() == len(pdf)
-    with pytest.raises(Exception, match="fewer than"):
-        revise_stratum(df, F.col("id") < 5, ["id"], 20, 9, {"v": F.lit(0.0)}).collect()
 
 
 def test_auc_and_spearman(frame):

@@ -87,7 +87,7 @@ def test_tree_and_clusters(people):
     names = P.full_names()
     tree = M.tree_cv(people, "label", names, ["id"], depths=(1, 3), folds=3)
     assert set(tree.by_depth) == {1, 3} and tree.depth == 3 and 0.5 < tree.cv_auc < 1
-    sweep = M.kmeans_sweep(people, names, (2, 3))
+    sweep = M.kmeans_sweep(people, names, (2, 3), n_init=3)
     assert sweep.k in (2, 3) and sweep.inertia[3] < sweep.inertia[2]
     prof = M.cluster_profile(sweep.clustered).collect()
     assert sum(r["size"] for r in prof) == 8000 and sum(r["size_percent"] for r in prof) == pytest.approx(100)

@@ -142,6 +142,19 @@ def test_gate(spark, auc, spear, viol, passed):
     assert publish.gate(new, base).first()["passed"] is passed
 
 
+@pytest.mark.parametrize("auc,spear,viol", [(None, 0.1, 0), (float("nan"), 0.1, 0), (0.9, None, 0), (0.9, float("nan"), 0), (0.9, 0.1, None)])
+@pytest.mark.parametrize("with_base", [True, False])
+def test_undefined_metrics_fail(spark, auc, spear, viol, with_base):
+    schema = "auc double, min_spearman double, violations long"
+    base = spark.createDataFrame([(0.75, 0.3, 1)], schema) if with_base else None
+    assert publish.gate(spark.createDataFrame([(auc, spear, viol)], schema), base).first()["passed"] is False
+
+
+def test_failure_reason_is_whole(spark, folder):
+    publish.log_failure(spark, folder, None, date(2026, 1, 1), "x" * 2000)
+    assert len(publish.runs(spark, folder).first()["notes"]) == 2000
+
+
 def test_first_gate_records_a_baseline(spark):
     new = spark.createDataFrame([(0.6, 0.1, 5)], "auc double, min_spearman double, violations long")
     r = publish.gate(new, None).first()
@@ -172,8 +185,14 @@ def test_refresh_end_to_end(spark, folder):
     assert first.outcome == "retrained" and first.run == {"run_id": 1, "rate_version_id": 1}
     assert publish.rates(spark, folder).count() == 9360 and publish.factors(spark, folder).count() == 624
     again = refresh.run_refresh(spark, folder, survey(spark), "k", *args, STATE)
-    assert again.outcome == "unchanged"
-    worse = refresh.run_refresh(spark, folder, survey(spark, slope=0.0), "k", *args, {**STATE, "content_hash": "f" * 64}, baseline_metrics=first.metrics)
+    assert again.outcome == "unchanged" and again.run == {"run_id": 2, "rate_version_id": 2}
+    rates = publish.rates(spark, folder).groupBy("rate_version_id").agg(F.count(F.lit(1)).alias("n"), F.sum("base_rate").alias("total")).orderBy("rate_version_id").collect()
+    assert [r["n"] for r in rates] == [9360, 9360] and rates[0]["total"] == rates[1]["total"]
+    worse = refresh.run_refresh(spark, folder, survey(spark, slope=0.0), "k", *args, {**STATE, "content_hash": "f" * 64})
     assert worse.outcome == "gate_failed"
-    assert publish.versions(spark, folder).count() == 1
-    assert publish.runs(spark, folder).where("status = 'failed'").count() == 1
+    assert publish.versions(spark, folder).count() == 2
+    with pytest.raises(ValueError, match="loading"):
+        refresh.run_refresh(spark, folder, survey(spark), "k", *args, STATE, loading=D("0"))
+    with pytest.raises(ValueError, match="products"):
+        refresh.run_refresh(spark, folder, survey(spark), "k", mortality(spark), products.limit(3), date(2026, 1, 1), STATE)
+    assert publish.runs(spark, folder).where("status = 'failed'").count() == 3

@@ -124,3 +124,15 @@ def test_verify_pack(spark):
     assert {tuple(r) for r in out["row_counts"].collect()} == {("p", 1), ("c", 3)}
     assert tuple(out["dates"].first()) == ("p.d", date(2024, 1, 1), date(2024, 1, 1))
     assert tuple(out["orphans"].first()) == ("c.pid", "p.id", 1, "7")
+
+
+def test_extract_structure_of_many_groups(spark):
+    cells = spark.range(12_000).selectExpr("concat('g', id) as grp", "explode(array('F', 'M')) as sex")
+    Q.expect_same_groups({"a": cells, "b": cells}, "grp", "sex", ["g0", "g11999"], [("a", "g12000", "F")], [["a", "b"]])
+    with pytest.raises(Q.ExpectationError, match="groups differ"):
+        Q.expect_same_groups({"a": cells, "b": cells.where("grp <> 'g11998'")}, "grp", "sex", [], [], [["a", "b"]])
+
+
+def test_values_are_counted(spark):
+    with pytest.raises(Q.ExpectationError, match="500 values"):
+        Q.expect_values(spark.range(500).selectExpr("cast(id as string) as v"), "v", ["x"])

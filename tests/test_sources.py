@@ -77,7 +77,7 @@ def test_frames_metrics_and_source_file(spark, folder):
     assert S.read_metrics(spark, f"{folder}/m", schema) is None
     S.write_metrics(spark.createDataFrame([(0.76,)], "auc double").select(F.struct("auc").alias("logistic_regression")), f"{folder}/m")
     assert S.read_metrics(spark, f"{folder}/m", schema).first()["logistic_regression"]["auc"] == 0.76
-    S.write_result(df, f"{folder}/r")
+    S.write_result(df, f"{folder}/r", single=True)
     assert S.read_typed_csv(spark, f"{folder}/r", "k int, v string").count() == 2
     assert S.markdown(spark.createDataFrame([(1, 0.12345)], "k int, x double")) == "| k | x |\n|---|---|\n| 1 | 0.123 |"
 
