@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratemill.functions.recode import constants
-from ratemill.session import cut_lineage
+from ratemill.session import broadcast_if_small, cut_lineage
 
 SPLIT_BITS = 8
 HASH_BITS = 12
@@ -60,7 +60,9 @@ def with_running_totals(df: DataFrame, groups: Sequence[str], bucket: str, order
                           *[F.sum(f"_p_{k}").over(w).alias(name) for k, name in totals.items()])
     inner = Window.partitionBy(*groups, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     ranked = df.withColumns({f"_i_{k}": F.sum(f"_a_{k}").over(inner) for k in amounts})
-    joined = null_safe_join(ranked, offsets, [*groups, bucket])
+    there = offsets.select(*[F.col(c).alias(f"_r_{c}") if c in (*groups, bucket) else F.col(c) for c in offsets.columns])
+    same = [F.col(g).eqNullSafe(F.col(f"_r_{g}")) for g in groups]      # buckets are never null, so theirs is a plain key
+    joined = ranked.join(there, [F.col(bucket) == F.col(f"_r_{bucket}"), *same]).drop(*[f"_r_{c}" for c in (*groups, bucket)])
     joined = joined.withColumns({k: F.col(f"_i_{k}") + F.col(f"_o_{k}") for k in amounts})
     return joined.drop(*[f"_{x}_{k}" for k in amounts for x in "aio"])
 
@@ -104,11 +106,21 @@ def quantiles_of(ranks: DataFrame, groups: Sequence[str], value: str, probs: Seq
 
 
 def numbered(df: DataFrame, key: str, out: str, ties: Sequence[str] = (), start: int = 1) -> DataFrame:
-    """1..N in order of ``key`` (then ``ties``), spread over buckets of the key."""
-    bucketed = with_value_bucket(df, [], key)
+    """1..N in order of ``key`` (then ``ties``).
+
+    Rows are dealt to ranges of key and ties together, so the rows of one key are spread as far as its ties tell them apart, and
+    numbered where they are; that is the only time they are shuffled. Kept as a table, the numbers stay as they are when tasks
+    run again. Only the sizes of the ranges are summed up in order.
+    """
     order = [F.col(key), *[F.col(t) for t in ties]]
-    run = with_running_totals(bucketed, [], "_bucket", order, {out: F.lit(1)})
-    return run.drop("_bucket").withColumn(out, (F.col(out) + (start - 1)).cast("long"))
+    place = F.monotonically_increasing_id()          # range in the upper bits, row in the lower 33
+    rows = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place))
+    rows = rows.withColumns({"_range": F.shiftright("_place", 33), "_row": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)      # one row a range
+    ahead = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    run = rows.join(broadcast_if_small(ahead), "_range")
+    return run.withColumn(out, (F.col("_ahead") + F.col("_row") + start).cast("long")).drop("_place", "_range", "_row", "_ahead")
 
 
 def hash_rank(df: DataFrame, groups: Sequence[str], key: Sequence[str], seed: int, out: str,

@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
@@ -24,8 +26,8 @@ from ratemill.operators import ranking as K
 from ratemill.operators.filters import dummy_matrix, dummy_names
 from ratemill.session import cut_lineage
 
-
 WEIGHT = "weight"
+PARALLEL_STARTS = 8
 
 
 def compress(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -158,7 +160,10 @@ def kmeans_sweep(df: DataFrame, names: Sequence[str], ks: Sequence[int] = tuple(
     inertia, silhouette, fits = {}, {}, {}
     judge = ClusteringEvaluator(predictionCol="cluster", metricName="silhouette", weightCol=WEIGHT)
     for k in ks:
-        starts = [KMeans(k=k, seed=seed + i, initSteps=2, maxIter=300, predictionCol="cluster", weightCol=WEIGHT).fit(scaled) for i in range(n_init)]
+        def fit(i: int, k: int = k):
+            return KMeans(k=k, seed=seed + i, initSteps=2, maxIter=300, predictionCol="cluster", weightCol=WEIGHT).fit(scaled)
+        with ThreadPool(PARALLEL_STARTS) as pool:         # small jobs side by side
+            starts = pool.map(inheritable_thread_target(fit), range(n_init))
         model = min(starts, key=lambda m: m.summary.trainingCost)
         inertia[k] = float(model.summary.trainingCost)
         silhouette[k] = float(judge.evaluate(model.transform(scaled)))

@@ -80,3 +80,23 @@ def test_auc_and_spearman(frame):
 def test_auc_of_one_class_is_null(spark):
     df = spark.createDataFrame([(1, 0.2), (1, 0.4)], "y int, p double")
     assert K.auc(df, [], "y", "p").first()["auc"] is None
+
+
+def test_numbers_of_a_hot_key_are_spread(spark):
+    """One key holds half the rows: the ties deal it to many ranges, and the numbers still run 1..N in order."""
+    from ratemill.operators import cumulative as C
+    seen = {}
+    cut = C.cut_lineage
+
+    def watched(df):
+        out = cut(df)
+        seen.update({r[0]: r[1] for r in out.groupBy(F.shiftright("_place", 33)).count().collect()})
+        return out
+    df = spark.range(60_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 500).alias("k"), "id").repartition(8)
+    C.cut_lineage = watched
+    try:
+        rows = C.numbered(df, "k", "n", ["id"]).collect()
+    finally:
+        C.cut_lineage = cut
+    assert [r["n"] for r in sorted(rows, key=lambda r: (r["k"], r["id"]))] == list(range(1, 60_001))
+    assert len(seen) == 1 or max(seen.values()) < 20_000
