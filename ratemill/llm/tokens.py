@@ -59,13 +59,16 @@ class _Words(dict):
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit integers. A text with white space beside white space is encoded in one piece."""
+    """Ids as little-endian unsigned 32-bit integers, those of the library's own encode() of the whole text.
+
+    A text with white space beside white space, or with an added token of the vocabulary written out, is encoded in one piece.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # a task uses its own core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.starts, self.words = _Words(self.tokenizer, ""), _Words(self.tokenizer, " ")
         self.words.starts = self.starts
 
@@ -75,6 +78,8 @@ class Encoder:
             return end
         parts = text.split(" ")
         try:
+            if any(token in text for token in self.added):
+                raise _Whole
             return b"".join([self.starts[parts[0]], *map(self.words.__getitem__, parts[1:]), end])
         except _Whole:
             return packed(self.tokenizer.encode(text, add_special_tokens=False).ids) + end

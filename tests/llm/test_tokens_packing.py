@@ -18,7 +18,7 @@ from ratemill.llm.token_files import read_tokens, token_digests, write_tokens
 from ratemill.llm.tokens import byte_bpe, encoder
 
 SF = "/root/testdata/sf0.001"
-SPACES = ["", " ", "  a", "a  b", "a b ", " a b", "a\n b", "a \nb", "a\n\n  b", "a  b", "a  b c", "it's  we'll x", "a   b", "12 345  6", "\n", "tab\t x", "a <|endoftext|> b", "é è\u0085 ê"]
+SPACES = ["", " ", "  a", "a  b", "a b ", " a b", "a\n b", "a \nb", "a\n\n  b", "a  b", "a  b c", "it's  we'll x", "a   b", "12 345  6", "\n", "tab\t x", "a <|endoftext|> b", "x\n<|endoftext|>y", "é è\u0085 ê"]
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +30,6 @@ def llm(spark):
 @pytest.fixture(scope="module")
 def whole():
     t = Tokenizer.from_file(byte_bpe())
-    t.encode_special_tokens = True
     return lambda text: np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
 
 
