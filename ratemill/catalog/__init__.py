@@ -2,7 +2,7 @@
 
 
 def all_queries() -> dict:
-    from ratemill.catalog import lifecycle, model_queries, quality, rating, registry, workload  # noqa: F401
+    from ratemill.catalog import file_queries, lifecycle, model_queries, quality, rating, registry, workload  # noqa: F401
     return dict(registry.QUERIES)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,11 @@ def shared_dir(spark: SparkSession) -> str:
     return conf
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's name below the shared one, for what a single run writes."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: rows are written to the shared folder and survive executor loss."""
     sc = df.sparkSession.sparkContext

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -126,12 +127,23 @@ def assert_identity(df: DataFrame, key: str) -> DataFrame:
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
-    """Replaces the whole staging table. The new content is computed before the old is dropped, as a frame
-    that reads the same path is written elsewhere first."""
+    """Replaces the whole staging table, also by rows that come from it. The new content is written beside the old and
+    then takes its name, so a write that fails leaves the old table as it was."""
     spark = df.sparkSession
-    if path_exists(spark, path):
-        df = cut_lineage(df)
-    df.write.mode("overwrite").parquet(path)
+    name = uuid.uuid4().hex
+    beside, before = f"{path}.new-{name}", f"{path}.old-{name}"
+    df.write.parquet(beside)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    fs = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(place(path))
+    if had and not fs.rename(place(path), place(before)):
+        raise OSError(f"{path} could not be replaced")
+    if not fs.rename(place(beside), place(path)):
+        if had:
+            fs.rename(place(before), place(path))
+        raise OSError(f"{path} could not be replaced")
+    if had:
+        fs.delete(place(before), True)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -175,11 +187,16 @@ def source_state(spark: SparkSession, path: str, limit: int = FINGERPRINT_LIMIT)
 
 
 def frame_fingerprint(df: DataFrame, source_path: str) -> DataFrame:
-    """Row-order-free fingerprint of a table of any size: counts and sums of row hashes, hashed once more."""
+    """Row-order-free fingerprint of a table of any size: counts and sums of row hashes, hashed once more. ``byte_size`` counts
+    the bytes of all values as text."""
     cols = [F.col(c).cast("string") for c in sorted(df.columns)]
     row = F.sha2(F.to_json(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cols)])), 256)
-    halves = [F.conv(F.substring(row, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)") for i in range(4)]
-    sums = df.select(*[h.alias(f"h{i}") for i, h in enumerate(halves)], F.length(F.to_json(F.struct(*cols))).alias("b")).agg(
+    size = F.lit(0).cast("bigint")
+    for c in cols:
+        size = size + F.coalesce(F.octet_length(c), F.lit(0))
+    rows = df.select(row.alias("row"), size.alias("b"))
+    halves = [F.conv(F.substring("row", 1 + 15 * i, 15), 16, 10).cast("decimal(28,0)") for i in range(4)]
+    sums = rows.select(*[h.alias(f"h{i}") for i, h in enumerate(halves)], "b").agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("byte_size"),
         *[F.sum(f"h{i}").cast("string").alias(f"s{i}") for i in range(4)])
     return sums.select(F.lit(source_path).alias("source_path"),
