@@ -191,9 +191,9 @@ def stream_running_counts(spark, sf):
     return streamed(spark, sf, T.running_counts)
 
 
-@query("""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS events FROM events GROUP BY 1 HAVING count(*) >= 10""")
+@query("""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS events FROM events GROUP BY 1 HAVING count(*) >= 5""")
 def stream_threshold_alarm(spark, sf):
-    return streamed(spark, sf, lambda s: T.threshold_alarm(s, 10))
+    return streamed(spark, sf, lambda s: T.threshold_alarm(s, 5))
 
 
 @query("""SELECT 'customer' AS source, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS byte_size FROM customer

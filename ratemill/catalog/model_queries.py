@@ -95,11 +95,11 @@ def constant_brier(spark, sf):
     return M.constant_brier(scored(spark, sf), "y")
 
 
-@query("""SELECT split, count(*) AS n_rows FROM (SELECT CASE WHEN row_number() OVER (PARTITION BY quality ORDER BY doc_id) <= floor(count(*) OVER (PARTITION BY quality)*0.2 + 0.5)
+@query("""SELECT split, count(*) AS n_rows, round(avg(quality), 6) AS positive_rate FROM (SELECT quality, CASE WHEN row_number() OVER (PARTITION BY quality ORDER BY doc_id) <= floor(count(*) OVER (PARTITION BY quality)*0.2 + 0.5)
   THEN 'test' ELSE 'train' END AS split FROM labels) GROUP BY 1""")
 def split_summary(spark, sf):
     s = stratified_split(table(spark, sf, "labels"), "quality", ["doc_id"])
-    return M.split_summary(s, "quality").select("split", "n_rows")
+    return M.split_summary(s, "quality")
 
 
 _EXT = star.RECORDS + "," + star.MORTALITY + "," + star.PREV + "," + star.cells_sql(2023) + f""",
@@ -139,6 +139,44 @@ def training(spark, sf):
     return P.full_matrix(M.compress(rec, ["label", "bmi", "age_band", "gender", "smoking_status", "exercise_freq"]))
 
 
+_COMPLETE = """records WHERE age_band IS NOT NULL AND gender IS NOT NULL AND smoking_status IS NOT NULL AND bmi_band IS NOT NULL
+  AND exercise_freq IS NOT NULL AND bmi_value IS NOT NULL AND diabetes_code IN (1, 3)"""
+
+
+@query("WITH" + star.RECORDS + ",\nt AS (SELECT * FROM " + _COMPLETE + ")\n" + " UNION ALL ".join(
+    f"SELECT '{c}_{v}' AS feature, count(*) AS n_rows, count(*) FILTER (WHERE {c} = '{v}') AS with_level FROM t"
+    for c, levels in P.FEATURE_LEVELS.items() for v in levels if v != P.REFERENCE_LEVELS[c]))
+def dummy_sums(spark, sf):
+    """Records with each level, from the reference-coded matrix of weighted profiles."""
+    t = training(spark, sf).drop(*P.full_names())
+    names = [n for n in P.dummy_names() if n != "bmi_num"]
+    sums = P.dummy_matrix(t).agg(F.sum("weight").alias("n"), *[F.sum(F.col(f"`{n}`") * F.col("weight")).alias(f"s{i}") for i, n in enumerate(names)])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(n).alias("feature"), F.col("n").cast("bigint").alias("n_rows"), F.col(f"s{i}").cast("bigint").alias("with_level"))
+                                          for i, n in enumerate(names)])))
+
+
+@query("WITH" + star.RECORDS + ",\nt AS (SELECT count(*) AS n_rows, count(*) FILTER (WHERE diabetes_code = 1) AS positives FROM " + _COMPLETE + ")\n" + " UNION ALL ".join(
+    f"SELECT '{n}' AS feature, n_rows, positives, 1::BIGINT AS score_is_zero, 1::BIGINT AS odds_match, 1::BIGINT AS limits_match, 1::BIGINT AS fits_agree FROM t" for n in P.dummy_names()))
+def logit_fit_checks(spark, sf):
+    """What a maximum-likelihood fit must satisfy for each feature: residuals sum to zero over it, odds ratios and limits follow from the
+    coefficient and its error, and both solvers agree."""
+    names, t = P.dummy_names(), P.dummy_matrix(training(spark, sf).drop(*P.full_names()))
+    fit = M.fit_logit(t, "label", names)
+    w = F.col(M.WEIGHT)
+    def mean(c):
+        return F.sum(w * c) / F.sum(w)
+    gaps = M.score(fit, t, names).agg(
+        F.sum(w).cast("bigint").alias("n_rows"), F.sum(w * F.col("label")).cast("bigint").alias("positives"),
+        *[(mean((F.col("label") - F.col("probability")) * F.col(f"`{c}`")) / F.greatest(mean(F.col(f"`{c}`")), F.lit(1e-12))).alias(f"g{i}") for i, c in enumerate(names)])
+    rows = gaps.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), "n_rows", "positives", (F.abs(f"g{i}") < 1e-4).alias("score_is_zero")) for i, c in enumerate(names)])))
+    wald = M.inference_table(t, "label", names)
+    near = [(F.col("odds_ratio") / F.exp("coefficient") - 1), F.col("ci_upper") - F.col("coefficient") - 1.96 * F.col("std_error")]
+    other = M.coefficients(fit, names, spark).withColumnRenamed("coefficient", "other")
+    j = rows.join(wald, "feature").join(other, "feature")
+    return j.select("feature", "n_rows", "positives", "score_is_zero", (F.abs(near[0]) < 1e-9).alias("odds_match"), (F.abs(near[1]) < 1e-9).alias("limits_match"),
+                    (F.abs(F.col("coefficient") - F.col("other")) < 1e-3).alias("fits_agree"))
+
+
 @query()
 def logit_inference(spark, sf):
     """Wald table of the logistic fit on every labelled record."""

@@ -17,6 +17,7 @@ from ratemill.functions import recode as R
 from ratemill.operators import aggregates as A
 from ratemill.operators import filters as P
 from ratemill.operators import joins as J
+from ratemill.operators.quality import ExpectationError
 from ratemill.plans import pricing, publish, staging
 from ratemill.session import cut_lineage, shared_dir
 from ratemill.sources import files as S
@@ -64,12 +65,12 @@ SELECT CAST(age_code AS BIGINT) AS age_band, CAST(CASE age_code WHEN 1 THEN 21.0
   CASE sex_code WHEN 1 THEN 'male' ELSE 'female' END AS sex, CASE WHEN smoker_code <= 2 THEN 'current' WHEN smoker_code = 3 THEN 'former' ELSE 'never' END AS smoking_status,
   CASE activity_code WHEN 1 THEN 'yes' ELSE 'no' END AS exercise, count(*) AS n, count(CASE WHEN diabetes_code <> 4 THEN 1 END) AS labelled,
   count(CASE WHEN diabetes_code = 1 THEN 1 END) AS positives, count(CASE WHEN diabetes_code IN (1,4) THEN 1 END) AS sensitivity_positives,
-  count(CASE WHEN age_code = 5 THEN 1 END) AS band_05 FROM k GROUP BY ALL""")
+  """ + ", ".join(f"count(CASE WHEN age_code = {i} THEN 1 END) AS band_{i:02d}" for i in range(1, 14)) + """ FROM k GROUP BY ALL""")
 def frame_features(spark, sf):
     f = staging.training_frame(star.survey(spark, sf))
     return f.groupBy("age_band", F.col("age_midpoint_years").alias("midpoint"), "sex", "smoking_status", "exercise").agg(
         F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"), F.sum(F.coalesce("label", F.lit(0))).alias("positives"),
-        F.sum("label_sensitivity").alias("sensitivity_positives"), F.sum("age_band_05").alias("band_05"))
+        F.sum("label_sensitivity").alias("sensitivity_positives"), *[F.sum(f"age_band_{i:02d}").alias(f"band_{i:02d}") for i in range(1, 14)])
 
 
 @query("WITH" + star.RECORDS + """
@@ -183,6 +184,24 @@ def publish_roundtrip(spark, sf):
     return active.drop("mortality_multiplier").join(ids, fixed.FACTOR_KEY)
 
 
+@query("WITH" + star.RATING + "," + star.book_sql(2023) + f"""
+SELECT 1::BIGINT AS run_id, 'failed' AS status, NULL::BIGINT AS rate_version_id, 'expected ' || (count(*) + 1) || ' rates, wrote ' || count(*) AS notes, 0::BIGINT AS rates FROM book
+UNION ALL SELECT 2, 'success', 1, '{publish.run_notes()}', count(*) FROM book""")
+def publication_log(spark, sf):
+    """A publication that misses its row count and leaves nothing visible, then one that succeeds, with their notes."""
+    root = f"{shared_dir(spark)}/publish-{uuid.uuid4().hex}"
+    book = cut_lineage(star.book(spark, sf))
+    n = book.count()
+    for wanted in (n + 1, n):
+        try:
+            publish.publish(spark, root, book, date(2026, 1, 1), n_factors=624, n_rates=wanted, notes=publish.run_notes(), first=True)
+        except ExpectationError:
+            if wanted == n:
+                raise
+    rates = publish.rates(spark, root).groupBy("rate_version_id").agg(F.count(F.lit(1)).alias("rates"))
+    return publish.runs(spark, root).select("run_id", "status", "rate_version_id", "notes").join(rates, "rate_version_id", "left").withColumn("rates", F.coalesce("rates", F.lit(0)))
+
+
 @query("WITH" + star.RATING + "," + star.book_sql(2023) + f""",
 f AS (SELECT *, row_number() OVER (ORDER BY {_FACTOR_COLS}) AS risk_factor_id FROM book_factors)
 SELECT CAST(risk_factor_id AS BIGINT) AS risk_factor_id, CAST(product_id AS BIGINT) AS product_id, CAST(base_rate AS DOUBLE) AS base_rate

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,18 +15,31 @@ from ratemill.operators import joins as J
 from ratemill.operators.ranking import version_chain
 from ratemill.plans import pricing
 from ratemill.plans.staging import survey_records
-from ratemill.session import cut_lineage
+from ratemill.session import cut_lineage, shared_dir
+from ratemill.sources.files import path_exists, version_of, write_by_period
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A star table. Its schema is read from the file footer once per path, not once per query."""
+    """A star table. Its schema is read from the file footer once for each state of the file, not once per query."""
     path = f"{sf}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    key = path, version_of(spark, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+
+
+def stored_rollup(spark: SparkSession, sf: str, name: str, activity: DataFrame, grain: str) -> DataFrame:
+    """The rollup of a star table as a stored table by period; it is written again when the table's file has changed."""
+    source = f"{sf}/{name}.parquet"
+    folder = hashlib.sha256(f"{source} {version_of(spark, source)} {grain}".encode()).hexdigest()[:32]
+    path = f"{shared_dir(spark)}/rollup-{folder}"
+    rollup = A.period_rollup(activity, grain)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        write_by_period(rollup, path, "activity_period", ["enrollment_id"])
+    return spark.read.schema(rollup.schema).parquet(path)
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -66,14 +66,15 @@ def renew(requests: DataFrame, contracts: DataFrame, applications: DataFrame, en
           credit_scale: int = 6) -> tuple[DataFrame, DataFrame]:
     """Reprices (contract_id, renewal_date) requests under the active book; contracts stay as issued.
 
-    The premium uses the credit at six digits, the stored percentage has two.
+    The premium uses the credit at six digits, the stored percentage has two. Credits are asked for by request and
+    enrollment alone, so the long chain of lookups runs once.
     """
     c = contracts.select("contract_id", "application_id", "issued_rate_version_id")
     a = applications.select("application_id", F.lit(True).alias("_app"), *fixed.FACTOR_KEY, "product_id", "face_amount")
     e = enrollments.select("contract_id", "enrollment_id")
-    r = requests.select("contract_id", "renewal_date").distinct()
+    requested = requests.select("contract_id", "renewal_date").distinct()
     done = renewals.select("contract_id", "renewal_date", F.lit(True).alias("_done")).distinct()
-    r = r.join(c.withColumn("_contract", F.lit(True)), "contract_id", "left")
+    r = requested.join(c.withColumn("_contract", F.lit(True)), "contract_id", "left")
     r = J.left_join_spreading_nulls(r, a, "application_id", "contract_id").join(e, "contract_id", "left")
     r = r.join(done, ["contract_id", "renewal_date"], "left")
     r = J.active_profile_rate(r, book, "left")
@@ -81,7 +82,7 @@ def renew(requests: DataFrame, contracts: DataFrame, applications: DataFrame, en
                           (F.col("_app").isNull(), "no application"), (F.col("_done").isNotNull(), "already renewed"),
                           (F.col("base_rate").isNull(), "no rate for profile"))
     ok, bad = _split(r, reason)
-    credit = A.wellness_credit(improvements, ok, scale=credit_scale)
+    credit = A.wellness_credit(improvements, requested.join(e, "contract_id"), scale=credit_scale)
     ok = J.left_join_spreading_nulls(ok, credit, "enrollment_id", "contract_id", ["renewal_date"])
     zero = F.lit(0).cast(f"decimal({credit_scale + 3},{credit_scale})")
     ok = ok.withColumn("credit_pct", F.coalesce("credit_pct", zero)).withColumn(
@@ -124,7 +125,7 @@ def projection(contracts: DataFrame, applications: DataFrame, enrollments: DataF
     p = contracts.select("contract_id", "contract_number", "application_id").join(a, "application_id")
     p = p.join(enrollments.select("contract_id", "enrollment_id"), "contract_id", "left")
     p = J.active_profile_rate(p, book).withColumn("renewal_date", nxt)
-    credit = A.wellness_credit(improvements, p, scale=6)
+    credit = A.wellness_credit(improvements, enrollments.select("enrollment_id").withColumn("renewal_date", nxt), scale=6)
     year = rollup.where(F.col("activity_period") == as_of.year).groupBy("enrollment_id").agg(
         F.sum("qualifying_activity_count").alias("activities"))
     p = J.left_join_spreading_nulls(p, credit, "enrollment_id", "contract_id", ["renewal_date"])

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ratemill.functions import recode as R
-from ratemill.session import cut_lineage
+from ratemill.session import broadcast_if_small, cut_lineage
 
 FINGERPRINT_LIMIT = 1 << 30
+ROWS_PER_FILE = 5_000_000
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -20,6 +21,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def version_of(spark: SparkSession, path: str) -> str:
+    """Time of the last change and size of a file or folder, as its file system reports them."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)
+    return f"{status.getModificationTime()}-{status.getLen()}"
+
+
 def read_typed_csv(spark: SparkSession, path: str, schema: StructType | str, null: str = "", sep: str = ",") -> DataFrame:
     """Delimited file with a header and a declared schema; a byte-order mark and CRLF are fine."""
     return (spark.read.schema(schema).option("header", True).option("nullValue", null).option("sep", sep)
@@ -77,15 +85,24 @@ def read_frame(spark: SparkSession, path: str, cols: Sequence[str] | None = None
     return df.select(*cols) if cols else df
 
 
-def write_by_year(df: DataFrame, path: str, date_col: str, sort: Sequence[str], mode: str = "overwrite",
-                  files_per_year: int = 8) -> None:
-    """Year directories for partition pruning, sorted inside files for row-group skipping.
+def write_by_period(df: DataFrame, path: str, period: str, sort: Sequence[str], mode: str = "overwrite",
+                    rows_per_file: int = ROWS_PER_FILE) -> None:
+    """One directory per value of ``period`` for partition pruning, sorted inside files for row-group skipping.
 
-    Rows of one year are spread over several writers by a hash of the sort key, so a large year is split.
+    The rows of a period are counted first; as many writers as that takes share them by a hash of the sort key, so a
+    large period is split and a small one is one file. The counts are a row a period.
     """
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in sort]), F.lit(files_per_year))
-    out = df.withColumn("year", F.year(date_col)).repartition(F.col("year"), part).sortWithinPartitions("year", *sort)
-    out.write.mode(mode).partitionBy("year").parquet(path)
+    writers = df.groupBy(F.col(period).alias("_period")).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_writers"))
+    shared = df.join(broadcast_if_small(writers), F.col(period).eqNullSafe(F.col("_period"))).drop("_period")
+    out = shared.withColumn("_part", F.pmod(F.xxhash64(*[F.col(c) for c in sort]), F.col("_writers"))).drop("_writers")
+    out = out.repartition(F.col(period), F.col("_part")).drop("_part").sortWithinPartitions(period, *sort)
+    out.write.mode(mode).partitionBy(period).parquet(path)
+
+
+def write_by_year(df: DataFrame, path: str, date_col: str, sort: Sequence[str], mode: str = "overwrite",
+                  rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Year directories of a dated table."""
+    write_by_period(df.withColumn("year", F.year(date_col)), path, "year", sort, mode, rows_per_file)
 
 
 def read_metrics(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame | None:

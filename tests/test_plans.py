@@ -4,18 +4,18 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from ratemill.catalog import all_queries
 
 SF = "/root/testdata/sf0.001"
-EAGER = {"kmeans_profiles", "logit_inference", "stream_verified", "publish_roundtrip"}
+EAGER = {"kmeans_profiles", "logit_inference", "logit_fit_checks", "stream_verified", "publish_roundtrip", "publication_log", "expectation_verdicts", "load_manifest"}
 
 
 def plan(spark, name):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
-    return queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    return all_queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - EAGER))
 def test_no_cartesian_product_and_no_python(spark, name):
     p = plan(spark, name)
     assert "CartesianProduct" not in p
@@ -55,3 +55,8 @@ def test_row_rules_share_one_scan(spark):
     from ratemill.operators.quality import row_issues
     p = row_issues(quality.claims(spark, SF), "claims", quality.SPEC)._jdf.queryExecution().executedPlan().toString()
     assert p.count("FileScan") == 1
+
+
+def test_rollup_is_read_by_pruned_partitions(spark):
+    p = plan(spark, "q5_from_rollup")
+    assert "PartitionFilters: [isnotnull(activity_period" in p and "lineitem" not in p

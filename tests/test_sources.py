@@ -135,6 +135,23 @@ def test_year_layout_prunes(spark, folder):
     assert q.count() == df.where("d >= date'2022-01-01' and d < date'2023-01-01'").count()
 
 
+def test_periods_get_writers_by_their_rows(spark, folder):
+    df = spark.range(0, 1100).select(F.col("id"), F.when(F.col("id") < 1000, 1).otherwise(2).alias("p")).unionByName(spark.range(3).select("id", F.lit(None).cast("int").alias("p")))
+    S.write_by_period(df, f"{folder}/p", "p", ["id"], rows_per_file=250)
+    named = spark.read.parquet(f"{folder}/p").select("p", F.input_file_name().alias("file"))
+    files = named.groupBy("p").agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("n"))
+    assert {r["p"]: (r["files"], r["n"]) for r in files.collect()} == {1: (4, 1000), 2: (1, 100), None: (1, 3)}
+
+
+def test_refresh_that_fails_keeps_the_old_table(spark, folder):
+    S.full_refresh(spark.range(5), f"{folder}/t")
+    with pytest.raises(Exception, match="no more"):
+        S.full_refresh(spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("no more")).cast("long")).otherwise(F.col("id")).alias("id")), f"{folder}/t")
+    assert spark.read.parquet(f"{folder}/t").count() == 5
+    S.full_refresh(spark.read.parquet(f"{folder}/t").where("id < 2"), f"{folder}/t")
+    assert spark.read.parquet(f"{folder}/t").count() == 2
+
+
 def test_exam_staging(spark):
     raw = spark.createDataFrame([(1.0, "5.397605346934028e-79", 1.0, 2.0, "18.235"), (2.0, "18", 2.0, 3.0, "22.345"), (3.0, "80", 1.0, 9.0, ""), (4.0, "", 1.0, 1.0, "3")],
                                 "respondent_id double, age string, sex_code double, diabetes_code double, bmi string")
