@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratemill.session import prepare, shared_dir
+from ratemill.session import broadcast_if_small, prepare, shared_dir
 
 REPOSITORY = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -56,8 +56,24 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 
 def without(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose (doc_id, text_key) ``removed`` lists; columns and every other row stay as they are."""
+    """``docs`` without the rows whose (doc_id, text_key) ``removed`` lists, null ids included; columns and every other row stay as they are."""
     key, doc = free_name(docs, "_text_key"), free_name(docs, "_removed_id")
     gone = removed.select(F.col("doc_id").alias(doc), F.col("text_key").alias(key + "_r")).distinct()
     marked = docs.withColumn(key, text_key())
-    return marked.join(gone.hint("merge"), (marked["doc_id"] == gone[doc]) & (marked[key] == gone[key + "_r"]), "left_anti").select(*[marked[c] for c in docs.columns])
+    return marked.join(gone.hint("merge"), marked["doc_id"].eqNullSafe(gone[doc]) & (marked[key] == gone[key + "_r"]), "left_anti").select(*[marked[c] for c in docs.columns])
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with one of the rows that are alike in doc_id and text; null ids are alike, and null is another text than an empty one.
+
+    Rows that repeat are found by counts. Of these, copies are dropped before the shuffle as far as a task holds several.
+    """
+    key, doc = free_name(docs, "_text_key"), free_name(docs, "_repeated_id")
+    marked = docs.withColumn(key, text_key())
+    again = stored(marked.groupBy(F.col("doc_id").alias(doc), F.col(key).alias(key + "_r")).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeats")
+    if again.isEmpty():
+        return docs
+    again = broadcast_if_small(again)
+    same = marked["doc_id"].eqNullSafe(again[doc]) & (marked[key] == again[key + "_r"])
+    one = marked.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return marked.join(again, same, "left_anti").unionByName(one).select(*docs.columns)

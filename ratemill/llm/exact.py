@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratemill.llm.common import stored, text_key, text_or_empty, without
+from ratemill.llm.common import stored, text_key, text_or_empty, without, without_repeats
 
 FIRST_DIGIT = 64
 GROWTH = 16
@@ -55,5 +55,14 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_first_copy(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of equal texts; columns stay as they are."""
-    return without(docs, exact_groups(docs).where("not kept"))
+    """``docs`` with one row of each group of equal texts; columns stay as they are.
+
+    The rows that ``exact_groups`` marks as kept can be several: they repeat their doc_id, or none of the group has one. One of them stays.
+    A row without doc_id whose group has one stays as well.
+    """
+    marks = exact_groups(docs)
+    several = marks.where("kept and group_size > 1")
+    first = several.groupBy("text_sha256").agg(F.min("text_key").alias("first_key"))
+    others = several.join(first.hint("merge"), "text_sha256").where("text_key <> first_key")
+    gone = marks.where("not kept and doc_id is not null").select("doc_id", "text_key").union(others.select("doc_id", "text_key"))
+    return without(without_repeats(docs), gone)

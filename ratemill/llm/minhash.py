@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratemill.llm.common import stored, text_key, without
+from ratemill.llm.common import stored, text_key, without, without_repeats
 from ratemill.llm.components import components
 from ratemill.llm.words import mix, shingle_sets
 from ratemill.session import broadcast_if_small
@@ -159,5 +159,5 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bands: int =
 
 
 def keep_one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with one document of each group of near copies; columns stay as they are."""
-    return without(docs, near_duplicates(docs, **how).where("not kept"))
+    """``docs`` with one document of each group of near copies, once if its row is repeated; columns stay as they are."""
+    return without(without_repeats(docs), near_duplicates(docs, **how).where("not kept"))

@@ -60,6 +60,17 @@ def test_one_of_each_stays(llm):
         assert keep(no_docs(llm)).count() == 0
 
 
+def test_repeated_rows_stay_once(llm):
+    """A batch that was loaded three times, copies among rows without doc_id, and one doc_id with equal texts in other white space."""
+    batch = [(i, f"own text {i} " + "x y z " * i) for i in range(1, 6)]
+    rows = 3 * batch + [(None, "no id"), (None, "no  id"), (None, "no id"), (9, "one  two"), (9, "one two"), (9, "one two")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    exact = keep_first_copy(docs).collect()
+    assert sorted((r.doc_id or 0, re.sub(SPACE, " ", r.text)) for r in exact) == sorted([(0, "no id"), (9, "one two"), *[(d, re.sub(SPACE, " ", t)) for d, t in batch]])
+    near = [(r.doc_id, r.text) for r in keep_one_of_each(docs).collect()]
+    assert len(near) == len(set(near)) and {d for d, _ in near} == {None, 1, 2, 3, 4, 5, 9}
+
+
 def test_signature_estimates_similarity():
     import numpy as np
     rng = np.random.default_rng(1)
