@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from ratemill.llm.common import new_folder, table
 from ratemill.llm.exact import exact_groups
+from ratemill.llm.lexical import ranked_search
 from ratemill.llm.licenses import scan
 from ratemill.llm.minhash import near_duplicates
 from ratemill.llm.mixing import BLOCK_ROWS, TARGETS, mixed, period
 from ratemill.llm.packing import pack
+from ratemill.llm.periodic import collapse_runs, run_digests, with_planted_runs
 from ratemill.llm.perplexity import quality_rules
 from ratemill.llm.ranking import quality_scores
 from ratemill.llm.registry import query
+from ratemill.llm.simhash import simhash_groups
 from ratemill.llm.token_files import read_tokens, token_digests, write_tokens
 from ratemill.llm.templates import drop_recurring_lines, template_sql
 from ratemill.llm.tokens import byte_bpe
@@ -95,3 +98,34 @@ SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
 FROM named""")
 def op10_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(collapse_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
+@query(r"""
+WITH listed AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+lengths AS (SELECT doc_id, count(*) AS n FROM listed GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+counted AS (SELECT doc_id, term, count(*) AS tf FROM listed WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * t.docs + 2) / (2 * c.df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM counted GROUP BY term) c CROSS JOIN totals t),
+scored AS (
+  SELECT a.item_id, c.doc_id, CAST(sum(a.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (25 + (75 * l.n * t.docs) // t.terms)))) AS BIGINT) AS score
+  FROM asked a JOIN counted c ON a.term = c.term JOIN weights w ON w.term = c.term JOIN lengths l ON l.doc_id = c.doc_id CROSS JOIN totals t
+  GROUP BY a.item_id, c.doc_id)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER best <= 10""")
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
