@@ -21,6 +21,7 @@ from ratemill.plans import models as M
 from ratemill.session import run_folder
 from ratemill.sources import files as S
 from ratemill.streaming import checkins as T
+from ratemill.streaming.sinks import UpsertTable
 
 _CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
@@ -174,26 +175,41 @@ def sparse_vs_predicted(spark, sf):
     return M.sparse_vs_predicted(M.observed_profiles(star.records(spark, sf)), predicted)[0]
 
 
-def streamed(spark, sf, shape: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The last state of a running aggregate over the check-ins, delivered as a stream of files."""
+DELAY = "2 days"
+
+
+def arrivals(spark, sf) -> list[DataFrame]:
+    """The check-ins in the order they arrive, ten days each. The second part comes again at the end, and with the third one come new
+    check-ins of the first day, long after its windows have ended."""
+    e = table(spark, sf, "events").select(F.col("event_id").alias("activity_id"), F.col("user_id").alias("enrollment_id"), F.col("ts").cast("timestamp").alias("activity_ts"),
+                                          F.col("event_type").alias("activity_type"), F.lit("Y").alias("verified_flag"))
+    day = F.dayofmonth("activity_ts")
+    late = e.where(day == 1).withColumn("activity_id", -1 - F.col("activity_id"))
+    return [e.where(day <= 10), e.where(day.between(11, 20)), e.where(day > 20).unionByName(late), e.where(day.between(11, 20))]
+
+
+def streamed(spark, sf, shape: Callable[[DataFrame], DataFrame], keys: list[str], schema: str) -> DataFrame:
+    """The windows of a running aggregate over the arriving check-ins, each check-in once, kept by batch in an upsert table."""
     root = run_folder(spark, "windows")
-    table(spark, sf, "events").select(F.col("event_id").alias("activity_id"), F.col("user_id").alias("enrollment_id"), F.col("ts").cast("timestamp").alias("activity_ts"),
-                                      F.col("event_type").alias("activity_type"), F.lit("Y").alias("verified_flag")).write.parquet(f"{root}/in")
-    running = shape(T.read_checkins(spark, f"{root}/in"))
-    q = (running.writeStream.outputMode("complete").option("checkpointLocation", f"{root}/cp").trigger(availableNow=True)
-         .foreachBatch(lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{root}/out")).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{root}/out").withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+    kept = UpsertTable(spark, f"{root}/out", keys, schema, fold_after=2)
+    for part in arrivals(spark, sf):
+        part.write.mode("append").parquet(f"{root}/in")
+        once = T.dedupe(T.read_checkins(spark, f"{root}/in"), "40 days")
+        once.writeStream.option("checkpointLocation", f"{root}/cp-once").trigger(availableNow=True).format("parquet").start(f"{root}/once").awaitTermination()
+        T.upserted(shape(T.read_checkins(spark, f"{root}/once")), kept, f"{root}/cp").awaitTermination()
+    return kept.read().withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, user_id AS enrollment_id, count(*) AS qualifying_activity_count FROM events GROUP BY 1, 2""")
 def stream_running_counts(spark, sf):
-    return streamed(spark, sf, T.running_counts)
+    """Late and repeated check-ins change nothing: the former come after their windows ended, the latter are told by their id."""
+    return streamed(spark, sf, lambda s: T.running_counts(s, delay=DELAY), ["window_start", "enrollment_id"],
+                    "window_start timestamp, enrollment_id bigint, qualifying_activity_count bigint")
 
 
 @query("""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS events FROM events GROUP BY 1 HAVING count(*) >= 5""")
 def stream_threshold_alarm(spark, sf):
-    return streamed(spark, sf, lambda s: T.threshold_alarm(s, 5))
+    return streamed(spark, sf, lambda s: T.threshold_alarm(s, 5, delay=DELAY), ["window_start"], "window_start timestamp, events bigint")
 
 
 @query("""SELECT 'customer' AS source, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS byte_size FROM customer

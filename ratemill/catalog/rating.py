@@ -19,7 +19,7 @@ from ratemill.operators import filters as P
 from ratemill.operators import joins as J
 from ratemill.operators.quality import ExpectationError
 from ratemill.plans import pricing, publish, staging
-from ratemill.session import cut_lineage, shared_dir
+from ratemill.session import cut_lineage, run_folder, shared_dir
 from ratemill.sources import files as S
 
 _FACTOR_COLS = "age_band, gender, smoking_status, diabetes_status, bmi_band"
@@ -202,6 +202,32 @@ def publication_log(spark, sf):
     return publish.runs(spark, root).select("run_id", "status", "rate_version_id", "notes").join(rates, "rate_version_id", "left").withColumn("rates", F.coalesce("rates", F.lit(0)))
 
 
+@query("WITH" + star.RATING + "," + star.book_sql(2023) + "," + star.book_sql(2024, "cells24", "book24") + f""",
+n AS (SELECT (SELECT count(*) FROM book_factors) AS n),
+f AS (SELECT *, row_number() OVER (ORDER BY {_FACTOR_COLS}) AS no FROM book_factors),
+all_rates AS (SELECT 1 AS v, no, base_rate FROM book JOIN f USING ({_FACTOR_COLS}) UNION ALL SELECT 2, no, base_rate FROM book24 JOIN f USING ({_FACTOR_COLS})
+  UNION ALL SELECT 3, no, base_rate FROM book JOIN f USING ({_FACTOR_COLS}))
+SELECT CAST(v AS BIGINT) AS rate_version_id, CASE v WHEN 3 THEN 'active' ELSE 'superseded' END AS status, count(*) AS rates, round(CAST(sum(base_rate) AS DOUBLE), 6) AS total,
+  min(no + (v - 1) * n) AS first_factor, max(no + (v - 1) * n) AS last_factor, CAST(v <= 2 AS BIGINT) AS seen_before FROM all_rates, n GROUP BY ALL""")
+def publish_two_writers(spark, sf):
+    """Two runs prepared from the same state and committed in the other order, and what a reader of the position between them sees."""
+    root = run_folder(spark, "writers")
+    inputs = star.Inputs(spark, sf)
+    n = inputs.products.count()
+    size = dict(n_factors=624, n_rates=624 * n)
+    publish.publish(spark, root, inputs.book(), date(2026, 1, 1), first=True, **size)
+    slow = publish.prepare(spark, root, inputs.book(), date(2026, 3, 1), **size)
+    quick = publish.prepare(spark, root, inputs.book(2024), date(2026, 2, 1), **size)
+    publish.commit(spark, quick)
+    between = publish.position(spark, root)
+    publish.commit(spark, slow)
+    rates = publish.rates(spark, root).groupBy("rate_version_id").agg(
+        F.count(F.lit(1)).alias("rates"), F.sum("base_rate").alias("total"), F.min("risk_factor_id").alias("first_factor"), F.max("risk_factor_id").alias("last_factor"))
+    seen = publish.versions(spark, root, between).select("rate_version_id", F.lit(True).alias("seen_before"))
+    out = publish.versions(spark, root).select("rate_version_id", "status").join(rates, "rate_version_id").join(seen, "rate_version_id", "left")
+    return out.withColumn("seen_before", F.coalesce("seen_before", F.lit(False)))
+
+
 @query("WITH" + star.RATING + "," + star.book_sql(2023) + f""",
 f AS (SELECT *, row_number() OVER (ORDER BY {_FACTOR_COLS}) AS risk_factor_id FROM book_factors)
 SELECT CAST(risk_factor_id AS BIGINT) AS risk_factor_id, CAST(product_id AS BIGINT) AS product_id, CAST(base_rate AS DOUBLE) AS base_rate

@@ -13,10 +13,11 @@ from ratemill.functions import recode as R
 from ratemill.operators import aggregates as A
 from ratemill.operators import joins as J
 from ratemill.operators.ranking import version_chain
-from ratemill.plans import pricing
+from ratemill.plans import pricing, rollups
 from ratemill.plans.staging import survey_records
 from ratemill.session import cut_lineage, shared_dir
-from ratemill.sources.files import path_exists, version_of, write_by_period
+from ratemill.sources import commits
+from ratemill.sources.files import version_of
 
 
 _SCHEMAS: dict[tuple[str, str], T.StructType] = {}
@@ -32,14 +33,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def stored_rollup(spark: SparkSession, sf: str, name: str, activity: DataFrame, grain: str) -> DataFrame:
-    """The rollup of a star table as a stored table by period; it is written again when the table's file has changed."""
+    """The rollup of a star table as a stored table by period; when the table's file has changed, the periods that differ are written again."""
     source = f"{sf}/{name}.parquet"
-    folder = hashlib.sha256(f"{source} {version_of(spark, source)} {grain}".encode()).hexdigest()[:32]
-    path = f"{shared_dir(spark)}/rollup-{folder}"
-    rollup = A.period_rollup(activity, grain)
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_by_period(rollup, path, "activity_period", ["enrollment_id"])
-    return spark.read.schema(rollup.schema).parquet(path)
+    path = f"{shared_dir(spark)}/rollup-{hashlib.sha256(f'{source} {grain}'.encode()).hexdigest()[:32]}"
+    last = commits.entry(spark, path, commits.position(spark, path))
+    version = version_of(spark, source)
+    if last is None or last["version"] != version:
+        rollups.refresh(activity, path, grain, version)
+    return rollups.read(spark, path, activity, grain)
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -16,7 +16,9 @@ from ratemill.operators import joins as J
 from ratemill.operators import ranking as K
 from ratemill.operators.sets import union_facts
 from ratemill.plans import lifecycle as L
-from ratemill.session import broadcast_if_small
+from ratemill.plans import rollups
+from ratemill.session import broadcast_if_small, run_folder
+from ratemill.sources import commits
 
 
 @query("WITH" + star.CONTRACTS + """
@@ -117,6 +119,52 @@ def q5_from_rollup(spark, sf):
     return A.range_from_rollup(s, star.stored_rollup(spark, sf, "lineitem", s, "year"), date(1998, 1, 1), date(2001, 1, 1))
 
 
+_ROLLUP_CHANGED = """SELECT l_suppkey AS enrollment_id, year(l_shipdate) AS activity_period, count(*) AS qualifying_activity_count, CAST(year(l_shipdate) IN (1997, 1998) AS BIGINT) AS written_again
+FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1, 2"""
+
+
+def _before_changes(spark, sf):
+    """The shipments as they are and as they were: some of 1997 with the other flag, some of 1998 not there yet."""
+    flag = F.when(F.col("l_returnflag") == "R", "N").otherwise("Y")
+    edited = (F.year("l_shipdate") == 1997) & (F.col("l_orderkey") % 7 == 0)
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("enrollment_id"), F.col("l_shipdate").alias("activity_date"), flag.alias("verified_flag"), edited.alias("edited"),
+        ((F.year("l_shipdate") == 1998) & (F.col("l_linenumber") % 3 == 0)).alias("appended"))
+    was = rows.withColumn("verified_flag", F.when(F.col("edited"), F.when(F.col("verified_flag") == "Y", "N").otherwise("Y")).otherwise(F.col("verified_flag")))
+    return rows, was
+
+
+def _rollup_rows(spark, path, activity, before: int):
+    """The rollup beside whether a period's rows were written after position ``before``."""
+    old = rollups.read(spark, path, activity, "year", before, keep_batch=True).select("activity_period", F.col("batch").alias("old")).distinct()
+    new = rollups.read(spark, path, activity, "year", keep_batch=True)
+    return new.join(broadcast_if_small(old), "activity_period", "left").select("enrollment_id", "activity_period", "qualifying_activity_count", (~F.col("batch").eqNullSafe(F.col("old"))).alias("written_again"))
+
+
+@query(_ROLLUP_CHANGED)
+def rollup_refreshed(spark, sf):
+    """A stored rollup whose source got new and edited rows, brought up to date by comparing periods."""
+    rows, was = _before_changes(spark, sf)
+    path = run_folder(spark, "rollup")
+    rollups.refresh(was.where("not appended"), path)
+    before = commits.position(spark, path)
+    rollups.refresh(rows, path)
+    return _rollup_rows(spark, path, rows, before)
+
+
+@query(_ROLLUP_CHANGED)
+def rollup_by_changes(spark, sf):
+    """The same brought up to date by the changed rows alone: taken away as they were, added as they are."""
+    rows, was = _before_changes(spark, sf)
+    path = run_folder(spark, "rollup")
+    rollups.refresh(was.where("not appended"), path)
+    before = commits.position(spark, path)
+    rollups.apply_changes(path, rows.where("edited or appended"), was.where("edited"))
+    if rollups.refresh(rows, path):
+        raise AssertionError("the changes left periods that differ from the source")
+    return _rollup_rows(spark, path, rows, before)
+
+
 @query("""SELECT user_id AS enrollment_id, CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS activity_period,
   count(*) AS qualifying_activity_count FROM events WHERE event_type <> 'error' GROUP BY 1, 2""")
 def weekly_rollup(spark, sf):

@@ -153,12 +153,17 @@ def wellness_credit(improvements: DataFrame, requests: DataFrame, cap=fixed.CRED
     return run.select("enrollment_id", F.col("day").alias("renewal_date"), credit.alias("credit_pct"))
 
 
+def activity_period(grain: str = "year") -> Column:
+    """The period of an activity: year number, or the start date of day/week/month."""
+    if grain == "year":
+        return F.year("activity_date")
+    return F.trunc("activity_date", grain) if grain != "day" else F.col("activity_date").cast("date")
+
+
 def period_rollup(activity: DataFrame, grain: str = "year") -> DataFrame:
-    """Verified activity per enrollment and period: year number, or the start date of day/week/month."""
-    period = F.year("activity_date") if grain == "year" else F.trunc("activity_date", grain) \
-        if grain != "day" else F.col("activity_date").cast("date")
+    """Verified activity per enrollment and period."""
     return activity.where(F.col("verified_flag") == "Y").groupBy(
-        "enrollment_id", period.alias("activity_period")).agg(
+        "enrollment_id", activity_period(grain).alias("activity_period")).agg(
         F.count(F.lit(1)).alias("qualifying_activity_count"))
 
 

@@ -1,14 +1,17 @@
-"""Versioned publication on plain files.
+"""Versioned publication on plain files, by any number of writers.
 
-Everything is appended. A run writes its source state, factors and rates under its own run id and only then
-appends one row to the run log; that single-file append is the commit. Readers join through the log, so a run
-without a success row does not exist for them. Version status and expiry are derived from the log, which is why
-closing the old version needs no update. One writer at a time is assumed, as with any rate-book release.
+A run writes its source state, factors and rates under an attempt of its own and then makes the next entry of a numbered log, which is the
+commit: of two writers who prepared from the same state one gets the number, the other takes new ids and tries the next one. Files hold no
+ids that the log gives out (run, version, first factor number); readers add them from the log, so a retry writes nothing again. Readers join
+through the log, so a run without a success entry does not exist for them, and a log position that a reader keeps is one state for
+good. Version status and expiry are derived from the log, which is why closing the old version needs no update.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import date
 from decimal import Decimal
 
@@ -18,48 +21,61 @@ from pyspark.sql import functions as F
 from ratemill import fixed
 from ratemill.operators.quality import ExpectationError, expect_one_active
 from ratemill.operators.ranking import version_chain
+from ratemill.session import broadcast_if_small
+from ratemill.sources import commits
 from ratemill.sources.files import path_exists
 
 RUN_LOG = ("run_id int, run_type string, started_at date, completed_at date, status string, source_datasets string, "
            "rate_version_id int, notes string")
-STATE = "source_path string, content_hash string, byte_size bigint, observed_at timestamp, run_id int"
-FACTOR = ("risk_factor_id int, age_band string, gender string, smoking_status string, diabetes_status string, "
-          "bmi_band string, mortality_multiplier decimal(6,3), run_id int")
-RATE = "rate_version_id int, risk_factor_id int, product_id int, base_rate decimal(12,2), run_id int"
+GIVEN = "attempt string, factors_before int, n_factors int"
+STATE = "source_path string, content_hash string, byte_size bigint, observed_at timestamp, attempt string"
+FACTOR = ("factor_no int, age_band string, gender string, smoking_status string, diabetes_status string, "
+          "bmi_band string, mortality_multiplier decimal(6,3), attempt string")
+RATE = "factor_no int, product_id int, base_rate decimal(12,2), attempt string"
 
 
-def _read(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
-    if not path_exists(spark, f"{root}/{table}"):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/{table}")
+def position(spark: SparkSession, root: str) -> int:
+    """The last log entry; a reader that passes it on to the functions below keeps to one state."""
+    return commits.position(spark, root)
+
 
+def _log(spark: SparkSession, root: str, at: int | None) -> DataFrame:
+    return commits.entries(spark, root, f"{RUN_LOG}, {GIVEN}", at)
 
-def runs(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "run_log", RUN_LOG)
 
+def _read(spark: SparkSession, root: str, table: str, schema: str, at: int | None) -> DataFrame:
+    """Rows of the committed runs, each with its run's log entry."""
+    done = _log(spark, root, at).where("status = 'success'").select("attempt", "run_id", "rate_version_id", "factors_before")
+    if not path_exists(spark, f"{root}/{table}"):
+        return spark.createDataFrame([], schema).join(done, "attempt")
+    return spark.read.schema(schema).parquet(f"{root}/{table}").join(done, "attempt")
 
-def _committed(spark: SparkSession, root: str) -> DataFrame:
-    return runs(spark, root).where("status = 'success'").select("run_id")
 
+def runs(spark: SparkSession, root: str, at: int | None = None) -> DataFrame:
+    return _log(spark, root, at).select(*[c.split()[0] for c in RUN_LOG.split(", ")])
 
-def versions(spark: SparkSession, root: str) -> DataFrame:
+
+def versions(spark: SparkSession, root: str, at: int | None = None) -> DataFrame:
     """Rate versions with derived expiry and status."""
-    done = runs(spark, root).where("status = 'success'")
+    done = runs(spark, root, at).where("status = 'success'")
     return version_chain(done.select("rate_version_id", F.col("started_at").alias("effective_date"),
                                      F.col("run_id").alias("created_by_run_id")))
 
 
-def factors(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "risk_factor", FACTOR).join(_committed(spark, root), "run_id").withColumnRenamed(
-        "run_id", "derived_from_run_id")
+def _factor_id():
+    return (F.col("factor_no") + F.col("factors_before")).alias("risk_factor_id")
+
 
+def factors(spark: SparkSession, root: str, at: int | None = None) -> DataFrame:
+    return _read(spark, root, "risk_factor", FACTOR, at).select(_factor_id(), *fixed.FACTOR_KEY, "mortality_multiplier", F.col("run_id").alias("derived_from_run_id"))
 
-def rates(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "rate", RATE).join(_committed(spark, root), "run_id").drop("run_id")
 
+def rates(spark: SparkSession, root: str, at: int | None = None) -> DataFrame:
+    return _read(spark, root, "rate", RATE, at).select("rate_version_id", _factor_id(), "product_id", "base_rate")
 
-def source_states(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "source_state", STATE).join(_committed(spark, root), "run_id").select(
+
+def source_states(spark: SparkSession, root: str, at: int | None = None) -> DataFrame:
+    return _read(spark, root, "source_state", STATE, at).select(
         F.col("run_id").alias("source_state_id"), "source_path", "content_hash", "byte_size", "observed_at",
         F.col("run_id").alias("observed_by_run_id"))
 
@@ -73,81 +89,108 @@ def run_notes(cohort: int = fixed.DEFAULT_COHORT, loading: Decimal = fixed.LOADI
     return "; ".join(f"{k}={v}" for k, v in params.items())
 
 
-def _append_log(spark: SparkSession, root: str, row: tuple) -> None:
-    spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("append").parquet(f"{root}/run_log")
+def _next_ids(spark: SparkSession, root: str, at: int) -> tuple[int, int, int]:
+    """The next run and version, and how many factors there are before them, as of a log position."""
+    top = _log(spark, root, at).agg(F.max("run_id"), F.max("rate_version_id"), F.sum("n_factors")).first()
+    return (top[0] or 0) + 1, (top[1] or 0) + 1, top[2] or 0
 
 
-def _next_ids(spark: SparkSession, root: str) -> tuple[int, int]:
-    top = runs(spark, root).agg(F.max("run_id").alias("r"), F.max("rate_version_id").alias("v")).first()
-    return (top["r"] or 0) + 1, (top["v"] or 0) + 1
+def _write(df: DataFrame, root: str, table: str, attempt: str) -> int:
+    """Writes one attempt's part and returns the rows found on re-reading it."""
+    path = f"{root}/{table}/attempt={attempt}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path).count()
 
 
-def _write(df: DataFrame, root: str, table: str, run_id: int) -> int:
-    """Writes one run's part and returns the rows found on re-reading it. A leftover of a crashed run with
-    the same uncommitted id is replaced."""
-    path = f"{root}/{table}/run_id={run_id}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+@dataclass(frozen=True)
+class Prepared:
+    """A run whose tables are written but which no reader sees."""
+    root: str
+    attempt: str
+    n_factors: int
+    entry: dict
+    first: bool
 
 
-def publish(spark: SparkSession, root: str, book: DataFrame, effective: date, *, n_factors: int, n_rates: int,
+def prepare(spark: SparkSession, root: str, book: DataFrame, effective: date, *, n_factors: int, n_rates: int,
             sources: str = "", notes: str = "", state: Mapping | None = None, run_type: str = "manual",
-            first: bool = False, fail_after_state: bool = False, artifacts: Mapping[str, DataFrame] | None = None) -> dict:
+            first: bool = False, fail_after_state: bool = False, artifacts: Mapping[str, DataFrame] | None = None) -> Prepared:
+    """Writes the tables of a run (book: factor key, multiplier, product_id, base_rate). See ``publish``."""
+    if not first:
+        expect_one_active(versions(spark, root))
+    attempt = f"a{uuid.uuid4().hex}"
+    if state:
+        row = (state["source_path"], state["content_hash"], int(state["byte_size"]))
+        obs = spark.createDataFrame([row], "source_path string, content_hash string, byte_size bigint")
+        _write(obs.withColumn("observed_at", F.current_timestamp()).coalesce(1), root, "source_state", attempt)
+    if fail_after_state:
+        raise RuntimeError("forced failure after the source state")
+    # the factor grid is a fixed vocabulary product, so one ordered window numbers it
+    grid = book.select(*fixed.FACTOR_KEY, "mortality_multiplier").distinct()
+    numbered = grid.withColumn("factor_no", F.row_number().over(Window.orderBy(*fixed.FACTOR_KEY)))
+    f = numbered.select("factor_no", *fixed.FACTOR_KEY, F.col("mortality_multiplier").cast("decimal(6,3)").alias("mortality_multiplier"))
+    found = _write(f.coalesce(1), root, "risk_factor", attempt)
+    if found != n_factors:
+        raise ExpectationError(f"expected {n_factors} risk factors, wrote {found}")
+    written = spark.read.parquet(f"{root}/risk_factor/attempt={attempt}")
+    r = book.join(broadcast_if_small(written.select("factor_no", *fixed.FACTOR_KEY)), fixed.FACTOR_KEY).select(
+        "factor_no", F.col("product_id").cast("int").alias("product_id"), F.col("base_rate").cast("decimal(12,2)").alias("base_rate"))
+    found = _write(r, root, "rate", attempt)
+    if found != n_rates:
+        raise ExpectationError(f"expected {n_rates} rates, wrote {found}")
+    for name, kept in (artifacts or {}).items():
+        _write(kept, root, name, attempt)
+    entry = {"run_type": run_type, "started_at": effective, "completed_at": effective, "status": "success", "source_datasets": sources, "notes": notes}
+    return Prepared(root, attempt, n_factors, entry, first)
+
+
+def commit(spark: SparkSession, prepared: Prepared) -> dict:
+    """Makes a prepared run visible under the next free run and version; the ids follow whatever others have committed meanwhile."""
+    given = {}
+
+    def attempt(at: int, last: dict | None) -> dict:
+        if not prepared.first:
+            expect_one_active(versions(spark, prepared.root, at))
+        run_id, version_id, before = _next_ids(spark, prepared.root, at)
+        given.update(run_id=run_id, rate_version_id=version_id)
+        return {**prepared.entry, **given, "attempt": prepared.attempt, "factors_before": before, "n_factors": prepared.n_factors}
+
+    commits.committed(spark, prepared.root, attempt)
+    return given
+
+
+def publish(spark: SparkSession, root: str, book: DataFrame, effective: date, *, sources: str = "", run_type: str = "manual", **how) -> dict:
     """Publishes a rate book (factor key, multiplier, product_id, base_rate) as the new active version.
 
-    ``first`` allows the very first version; later ones need exactly one active version. ``artifacts`` are tables kept
-    with the run, such as the model's profile and metrics. On any failure a failed run row is appended and the error
-    raised; nothing of the run becomes visible.
+    ``n_factors`` and ``n_rates`` are what has to be found on re-reading. ``first`` allows the very first version; later ones need exactly
+    one active version. ``artifacts`` are tables kept with the run, such as the model's profile and metrics. On any failure a failed run is
+    logged and the error raised; nothing of the run becomes visible.
     """
-    run_id, version_id = _next_ids(spark, root)
     try:
-        if not first:
-            expect_one_active(versions(spark, root))
-        if state:
-            row = (state["source_path"], state["content_hash"], int(state["byte_size"]))
-            obs = spark.createDataFrame([row], "source_path string, content_hash string, byte_size bigint")
-            _write(obs.withColumn("observed_at", F.current_timestamp()).coalesce(1), root, "source_state", run_id)
-        if fail_after_state:
-            raise RuntimeError("forced failure after the source state")
-        # the factor grid is a fixed vocabulary product, so one ordered window numbers it
-        ids = factors(spark, root).agg(F.coalesce(F.max("risk_factor_id"), F.lit(0)).alias("top"))
-        grid = book.select(*fixed.FACTOR_KEY, "mortality_multiplier").distinct()
-        numbered = grid.withColumn("_n", F.row_number().over(Window.orderBy(*fixed.FACTOR_KEY))).join(F.broadcast(ids))
-        f = numbered.select((F.col("_n") + F.col("top")).cast("int").alias("risk_factor_id"), *fixed.FACTOR_KEY,
-                            F.col("mortality_multiplier").cast("decimal(6,3)").alias("mortality_multiplier"))
-        found = _write(f.coalesce(1), root, "risk_factor", run_id)
-        if found != n_factors:
-            raise ExpectationError(f"expected {n_factors} risk factors, wrote {found}")
-        written = spark.read.parquet(f"{root}/risk_factor/run_id={run_id}")
-        r = book.join(F.broadcast(written.select("risk_factor_id", *fixed.FACTOR_KEY)), fixed.FACTOR_KEY).select(
-            F.lit(version_id).alias("rate_version_id"), "risk_factor_id", F.col("product_id").cast("int").alias("product_id"),
-            F.col("base_rate").cast("decimal(12,2)").alias("base_rate"))
-        found = _write(r, root, "rate", run_id)
-        if found != n_rates:
-            raise ExpectationError(f"expected {n_rates} rates, wrote {found}")
-        for name, kept in (artifacts or {}).items():
-            _write(kept, root, name, run_id)
+        return commit(spark, prepare(spark, root, book, effective, sources=sources, run_type=run_type, **how))
     except Exception as error:
-        log_failure(spark, root, run_id, effective, str(error), sources, run_type)
+        log_failure(spark, root, effective, str(error), sources, run_type)
         raise
-    _append_log(spark, root, (run_id, run_type, effective, effective, "success", sources, version_id, notes))
-    return {"run_id": run_id, "rate_version_id": version_id}
 
 
-def log_failure(spark: SparkSession, root: str, run_id: int | None, started: date, reason: str, sources: str = "",
-                run_type: str = "manual") -> int:
-    run_id = run_id or _next_ids(spark, root)[0]
-    _append_log(spark, root, (run_id, run_type, started, started, "failed", sources, None, reason))
-    return run_id
+def log_failure(spark: SparkSession, root: str, started: date, reason: str, sources: str = "", run_type: str = "manual") -> int:
+    """Logs a failed run, which takes a run id but no version."""
+    def attempt(at: int, last: dict | None) -> dict:
+        return {"run_id": _next_ids(spark, root, at)[0], "run_type": run_type, "started_at": started, "completed_at": started,
+                "status": "failed", "source_datasets": sources, "notes": reason}
+
+    at = commits.committed(spark, root, attempt)
+    return commits.entry(spark, root, at)["run_id"]
 
 
-def latest_artifact(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+def latest_artifact(spark: SparkSession, root: str, name: str, at: int | None = None) -> DataFrame | None:
     """The table of that name that the last successful run with one kept."""
     if not path_exists(spark, f"{root}/{name}"):
         return None
-    kept = spark.read.parquet(f"{root}/{name}").join(_committed(spark, root), "run_id")
-    last = kept.agg(F.max("run_id")).first()[0]
-    return None if last is None else kept.where(F.col("run_id") == last).drop("run_id")
+    kept = spark.read.parquet(f"{root}/{name}")
+    done = _log(spark, root, at).where("status = 'success'").join(kept.select("attempt").distinct(), "attempt", "left_semi")
+    last = done.agg(F.max_by("attempt", "run_id")).first()[0]
+    return None if last is None else kept.where(F.col("attempt") == last).drop("attempt")
 
 
 def changed(states: DataFrame, observed: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def run_refresh(spark: SparkSession, root: str, raw_survey: DataFrame, key: str,
     except _Logged as error:
         raise error.__cause__ from None
     except Exception as error:
-        publish.log_failure(spark, root, None, effective, str(error), state.get("source_path", ""))
+        publish.log_failure(spark, root, effective, str(error), state.get("source_path", ""))
         raise
 
 
@@ -112,7 +112,7 @@ def _refresh(spark, root, raw_survey, key, mortality, products, effective, state
         against = baseline_metrics if baseline_metrics is not None else publish.latest_artifact(spark, root, "model_metrics")
         verdict = publish.gate(bundle, against).first().asDict()
         if not verdict["passed"]:
-            publish.log_failure(spark, root, None, effective, f"gate failed: {verdict}", state["source_path"])
+            publish.log_failure(spark, root, effective, f"gate failed: {verdict}", state["source_path"])
             return RefreshResult("gate_failed", None, verdict, bundle)
         profile = cut_lineage(probabilities(final, records, exercise))
         outcome, artifacts = "retrained", {"model_profile": profile, "model_metrics": bundle}

@@ -151,7 +151,7 @@ def test_undefined_metrics_fail(spark, auc, spear, viol, with_base):
 
 
 def test_failure_reason_is_whole(spark, folder):
-    publish.log_failure(spark, folder, None, date(2026, 1, 1), "x" * 2000)
+    publish.log_failure(spark, folder, date(2026, 1, 1), "x" * 2000)
     assert len(publish.runs(spark, folder).first()["notes"]) == 2000
 
 

@@ -4,7 +4,9 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from ratemill.sources import commits
 from ratemill.streaming import checkins as T
+from ratemill.streaming.sinks import UpsertTable
 
 
 def write(spark, path, rows):
@@ -57,3 +59,38 @@ def test_source_watch(spark, folder):
     seen = []
     T.source_watch(spark, f"{folder}/src", lambda: known, lambda df, i: seen.extend(r["source_path"] for r in df.collect()), f"{folder}/cp").awaitTermination()
     assert [os.path.basename(s) for s in seen] == ["b.csv"]
+
+
+COUNTS = "window_start timestamp, enrollment_id bigint, qualifying_activity_count bigint"
+
+
+def test_windows_end_and_leave_the_state(spark, folder):
+    """Forty days of check-ins, a day a file; the state never holds more than the windows of the delay."""
+    day = datetime(2024, 1, 1)
+    for d in range(40):
+        write(spark, f"{folder}/in", [(100 * d + i, i, day + timedelta(days=d, hours=i), "Gym Visit", "Y") for i in range(10)])
+    late = [(-1, 3, day, "Gym Visit", "Y"), (-2, 3, day + timedelta(days=39), "Gym Visit", "Y")]
+    write(spark, f"{folder}/in", late)
+    table = UpsertTable(spark, f"{folder}/out", ["window_start", "enrollment_id"], COUNTS, fold_after=7)
+    q = T.upserted(T.running_counts(T.read_checkins(spark, f"{folder}/in", files_per_trigger=10), delay="2 days"), table, f"{folder}/cp")
+    q.awaitTermination()
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert state and state[-1] <= 4 * 10 and max(state) < 40 * 10
+    got = {(r["window_start"], r["enrollment_id"]): r["qualifying_activity_count"] for r in table.read().collect()}
+    assert len(got) == 400 and got[(day, 3)] == 1 and got[(day + timedelta(days=39), 3)] == 2     # the late one is out, the one in time is in
+
+
+def test_a_batch_that_comes_again_changes_nothing(spark, folder):
+    table = UpsertTable(spark, folder, ["k"], "k bigint, v bigint", fold_after=3)
+    rows = lambda *r: spark.createDataFrame(list(r), "k bigint, v bigint")
+    assert table.read().count() == 0
+    assert table.upsert(rows((1, 1), (2, 1)), 0) and table.upsert(rows((2, 2), (None, 5)), 1)
+    at = commits.position(spark, folder)
+    assert not table.upsert(rows((1, 9)), 1) and not table.upsert(rows((1, 9)), 0)
+    want = {(1, 1), (2, 2), (None, 5)}
+    assert {tuple(r) for r in table.read().collect()} == want and commits.position(spark, folder) == at
+    for i in range(2, 9):
+        assert UpsertTable(spark, folder, ["k"], "k bigint, v bigint", fold_after=3).upsert(rows((i, i), (1, i)), i)
+    assert {tuple(r) for r in table.read().collect()} == {(1, 8), (2, 2), (None, 5)} | {(i, i) for i in range(3, 9)}
+    assert len(commits.entry(spark, folder, commits.position(spark, folder))["folders"]) <= 3
+    assert {tuple(r) for r in table.read(at).collect()} == want
