@@ -95,7 +95,7 @@ def constant_brier(spark, sf):
     return M.constant_brier(scored(spark, sf), "y")
 
 
-@query("""SELECT split, count(*) AS n_rows, round(avg(quality), 6) AS positive_rate FROM (SELECT quality, CASE WHEN row_number() OVER (PARTITION BY quality ORDER BY doc_id) <= floor(count(*) OVER (PARTITION BY quality)*0.2 + 0.5)
+@query("""SELECT split, count(*) AS n_rows, round(avg(quality), 6) AS positive_rate FROM (SELECT quality, CASE WHEN row_number() OVER (PARTITION BY quality ORDER BY md5('7|' || doc_id)) <= floor(count(*) OVER (PARTITION BY quality)*0.2 + 0.5)
   THEN 'test' ELSE 'train' END AS split FROM labels) GROUP BY 1""")
 def split_summary(spark, sf):
     s = stratified_split(table(spark, sf, "labels"), "quality", ["doc_id"])

@@ -385,3 +385,17 @@ FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1), (VALUES ('tes
 def split_counts(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("label"))
     return stratified_split(o, "label", ["o_orderkey"]).groupBy("label", "split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("SELECT event_id, event_type FROM events ORDER BY md5('11|' || event_id), event_id LIMIT 5000")
+def sampled_rows(spark, sf):
+    """The rows of that sample."""
+    return sample_n(table(spark, sf, "events"), ["event_id"], 5000, 11).select("event_id", "event_type")
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_returnflag, CASE WHEN row_number() OVER (PARTITION BY l_returnflag ORDER BY md5('7|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey || '|' || CAST(l_shipdate AS DATE)))
+  <= floor(count(*) OVER (PARTITION BY l_returnflag) * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split FROM lineitem""")
+def split_rows(spark, sf):
+    """Which line items are held out, a fifth of each return flag."""
+    line = table(spark, sf, "lineitem").withColumn("day", F.col("l_shipdate").cast("date"))
+    return stratified_split(line, "l_returnflag", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "day"]).select("l_orderkey", "l_linenumber", "l_returnflag", "split")

@@ -288,6 +288,30 @@ def range_band_join(spark, sf):
     return banded.groupBy("age_band", "l_linestatus").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("age")).alias("age_sum"))
 
 
+@query("""WITH bands AS (SELECT p_partkey, CAST(p_retailprice * 40 AS DECIMAL(12,2)) AS lower, CAST(p_retailprice * 40 + p_size / 4.0 AS DECIMAL(12,2)) AS upper FROM part),
+totals AS (SELECT CAST(o_totalprice AS DECIMAL(12,2)) AS total, count(*) AS n FROM orders GROUP BY 1)
+SELECT p_partkey, CAST(sum(n) AS BIGINT) AS orders, CAST(max(total) AS DOUBLE) AS highest FROM totals JOIN bands ON total BETWEEN lower AND upper GROUP BY 1""")
+def decimal_band_join(spark, sf):
+    """Orders whose total lies in a part's band of decimals; bands are a few cents to some units wide."""
+    start = (F.col("p_retailprice").cast("decimal(10,2)") * 40).cast("decimal(12,2)")
+    bands = table(spark, sf, "part").select("p_partkey", start.alias("lower"), (start + (F.col("p_size").cast("decimal(5,0)") / 4).cast("decimal(6,2)")).cast("decimal(12,2)").alias("upper"))
+    totals = table(spark, sf, "orders").groupBy(F.col("o_totalprice").cast("decimal(12,2)").alias("total")).agg(F.count(F.lit(1)).alias("n"))
+    return J.band_join(totals, "total", bands).groupBy("p_partkey").agg(F.sum("n").alias("orders"), F.max("total").alias("highest"))
+
+
+@query("""WITH bands AS (SELECT s_suppkey, CAST(DATE '1995-01-01' + CAST(s_suppkey * 3 AS INT) AS DATE) AS lower,
+  CASE WHEN s_nationkey <> 7 THEN CAST(DATE '1995-01-01' + CAST(s_suppkey * 3 + s_nationkey * s_nationkey AS INT) AS DATE) END AS upper FROM supplier),
+days AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1)
+SELECT s_suppkey, CAST(sum(n) AS BIGINT) AS orders, CAST(min(day) AS VARCHAR) AS first_day FROM days JOIN bands ON day >= lower AND (upper IS NULL OR day <= upper) GROUP BY 1""")
+def overlapping_band_join(spark, sf):
+    """Orders within each supplier's season: bands of dates that overlap, from one day to years, some without an end."""
+    start = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("s_suppkey") * 3).cast("int"))
+    end = F.when(F.col("s_nationkey") != 7, F.date_add(start, (F.col("s_nationkey") * F.col("s_nationkey")).cast("int")))
+    bands = table(spark, sf, "supplier").select("s_suppkey", start.alias("lower"), end.alias("upper"))
+    days = table(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return J.band_join(days, "day", bands).groupBy("s_suppkey").agg(F.sum("n").alias("orders"), F.min("day").alias("first_day"))
+
+
 @query("""WITH last AS (SELECT l_orderkey, max(l_shipdate) AS d, arg_max(l_extendedprice, (l_shipdate, l_partkey, l_linenumber)) AS p FROM lineitem GROUP BY 1)
 SELECT o_orderkey AS contract_id, coalesce(p, o_totalprice) AS effective_premium, CAST(CAST(d AS DATE) AS VARCHAR) AS last_renewal_date
 FROM orders LEFT JOIN last ON l_orderkey = o_orderkey""")

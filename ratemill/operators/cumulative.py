@@ -1,7 +1,8 @@
 """Exact ranks, prefix sums and order statistics without one task holding a whole group.
 
-Rows get a bucket number that never decreases with the order key. Counts per bucket are few, so their
-running total is a small window; the ordered window itself runs inside one (group, bucket) at a time.
+Rows are dealt to ranges of (group, value), cut where a sample says, as many as their number takes: a large group spans many ranges, small
+ones share one. Sums per range are few, so their running total is a small window; the ordered window itself runs inside
+one range at a time, which is the only time rows are shuffled.
 """
 
 from __future__ import annotations
@@ -11,30 +12,31 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratemill.functions.recode import constants
 from ratemill.session import broadcast_if_small, cut_lineage
 
-SPLIT_BITS = 8
-HASH_BITS = 12
+RANGE_ROWS = 200_000     # rows of a range, about
+SAMPLES = 32             # sampled rows a range
 
 
-def hash_bucket(h: Column, bits: int = HASH_BITS) -> Column:
-    """Leading bits of a 64-bit hash: evenly filled buckets in hash order."""
-    return F.shiftright(h, 64 - bits)
+def with_ranges(df: DataFrame, order: Sequence[str], out: str = "_range", range_rows: int | None = None) -> DataFrame:
+    """Adds the number of the row's range in ``order``; it never decreases with the order and rows alike in it share a range.
 
-
-def with_value_bucket(df: DataFrame, groups: Sequence[str], value: str, bits: int = SPLIT_BITS) -> DataFrame:
-    """Adds ``_bucket``, the number of approximate quantile edges of its group below ``value`` (bucket order =
-    value order). The 2**bits - 1 edges are searched by halving, one projection per step, inside codegen."""
-    n = 1 << bits
-    probs = constants(i / n for i in range(1, n))
-    edges = df.groupBy(*groups).agg(F.percentile_approx(value, probs, 10 * n).alias("_edges"))
-    out = null_safe_join(df, edges, groups) if groups else df.join(F.broadcast(edges))
-    out = out.withColumn("_bucket", F.lit(0))
-    for step in (1 << i for i in reversed(range(bits))):
-        beyond = F.get("_edges", F.col("_bucket") + (step - 1)) < F.col(value)
-        out = out.withColumn("_bucket", F.when(beyond, F.col("_bucket") + step).otherwise(F.col("_bucket")))
-    return out.drop("_edges")
+    ``df`` is read three times, so it should be a table. The cuts are taken from sorted samples, ``SAMPLES`` a range, in one task, and kept;
+    each row finds its range by halving, one projection a step.
+    """
+    n = df.count()
+    ranges = -(-n // (range_rows or RANGE_ROWS))
+    if ranges <= 1:
+        return df.withColumn(out, F.lit(0))
+    key = F.struct(*[F.col(c) for c in order])
+    sampled = df.sample(min(1.0, 1.25 * ranges * SAMPLES / n), 17).agg(F.array_sort(F.collect_list(key)).alias("_s"))
+    every = F.size("_s") / F.lit(float(ranges))
+    cuts = F.filter(F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("_s", F.floor(i * every).cast("int"))), lambda c: c.isNotNull())
+    out_df = df.crossJoin(F.broadcast(cut_lineage(sampled.select(cuts.alias("_cuts"))))).withColumn(out, F.lit(0))      # one row
+    for step in (1 << i for i in reversed(range((ranges - 1).bit_length()))):
+        beyond = F.get("_cuts", F.col(out) + (step - 1)) < key
+        out_df = out_df.withColumn(out, F.when(beyond, F.col(out) + step).otherwise(F.col(out)))
+    return out_df.drop("_cuts")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -44,33 +46,32 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def with_running_totals(df: DataFrame, groups: Sequence[str], bucket: str, order: Sequence[Column],
+def with_running_totals(df: DataFrame, groups: Sequence[str], range_: str, order: Sequence[Column],
                         amounts: Mapping[str, Column], totals: Mapping[str, str] | None = None) -> DataFrame:
-    """Inclusive running sums in order, per group; the order must be total inside a bucket.
+    """Inclusive running sums in order, per group; the order must be total inside a range, and ranges rise with it.
 
-    ``amounts`` maps an output column to what it sums; ``totals`` maps such a column to the name of its group total.
+    ``amounts`` maps an output column to what it sums; ``totals`` maps such a column to the name of its group total. A group is
+    compared as a struct, in which nulls are alike, so windows and the join of the ranges' sums share one partitioning.
     """
     totals = totals or {}
-    df = df.withColumns({f"_a_{k}": c for k, c in amounts.items()})
-    sums = df.groupBy(*groups, bucket).agg(*[F.sum(f"_a_{k}").alias(f"_p_{k}") for k in amounts])
-    w = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    before = w.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*groups, bucket,
+    group = F.struct(*[F.col(g) for g in groups]) if groups else F.lit(0)
+    df = df.withColumns({"_g": group, **{f"_a_{k}": c for k, c in amounts.items()}})
+    sums = df.groupBy(range_, "_g").agg(*[F.sum(f"_a_{k}").alias(f"_p_{k}") for k in amounts])
+    w = Window.partitionBy("_g")
+    before = w.orderBy(range_).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(range_, "_g",
                           *[F.coalesce(F.sum(f"_p_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in amounts],
                           *[F.sum(f"_p_{k}").over(w).alias(name) for k, name in totals.items()])
-    inner = Window.partitionBy(*groups, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy(range_, "_g").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     ranked = df.withColumns({f"_i_{k}": F.sum(f"_a_{k}").over(inner) for k in amounts})
-    there = offsets.select(*[F.col(c).alias(f"_r_{c}") if c in (*groups, bucket) else F.col(c) for c in offsets.columns])
-    same = [F.col(g).eqNullSafe(F.col(f"_r_{g}")) for g in groups]      # buckets are never null, so theirs is a plain key
-    joined = ranked.join(there, [F.col(bucket) == F.col(f"_r_{bucket}"), *same]).drop(*[f"_r_{c}" for c in (*groups, bucket)])
-    joined = joined.withColumns({k: F.col(f"_i_{k}") + F.col(f"_o_{k}") for k in amounts})
-    return joined.drop(*[f"_{x}_{k}" for k in amounts for x in "aio"])
+    joined = ranked.join(offsets, [range_, "_g"]).withColumns({k: F.col(f"_i_{k}") + F.col(f"_o_{k}") for k in amounts})
+    return joined.drop("_g", *[f"_{x}_{k}" for k in amounts for x in "aio"])
 
 
 def tie_counts(df: DataFrame, groups: Sequence[str], value: str, extra: Mapping[str, Column] | None = None) -> DataFrame:
     """One row per (group, distinct value) with ``ties`` rows and extra sums.
 
-    It is kept as a table: edges, bucket sums and ranks all read it, and the input is aggregated once.
+    It is kept as a table: cuts, sums of ranges and ranks all read it, and the input is aggregated once.
     """
     return cut_lineage(df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(
         F.count(F.lit(1)).alias("ties"), *[c.alias(name) for name, c in (extra or {}).items()]))
@@ -78,11 +79,11 @@ def tie_counts(df: DataFrame, groups: Sequence[str], value: str, extra: Mapping[
 
 def rank_ties(counts: DataFrame, groups: Sequence[str], value: str, extra: Sequence[str] = ()) -> DataFrame:
     """tie_counts with cum (rows up to and with the value), total, avg_rank, and cum_/total_ of the extra sums."""
-    bucketed = with_value_bucket(counts, groups, value)
+    ranged = with_ranges(counts, [*groups, value])
     amounts = {"cum": F.col("ties"), **{f"cum_{e}": F.col(e) for e in extra}}
-    run = with_running_totals(bucketed, groups, "_bucket", [F.col(value)], amounts,
+    run = with_running_totals(ranged, groups, "_range", [F.col(value)], amounts,
                               {"cum": "total", **{f"cum_{e}": f"total_{e}" for e in extra}})
-    return run.withColumn("avg_rank", F.col("cum") - (F.col("ties") - 1) / F.lit(2.0)).drop("_bucket")
+    return run.withColumn("avg_rank", F.col("cum") - (F.col("ties") - 1) / F.lit(2.0)).drop("_range")
 
 
 def value_ranks(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
@@ -125,9 +126,11 @@ def numbered(df: DataFrame, key: str, out: str, ties: Sequence[str] = (), start:
 
 def hash_rank(df: DataFrame, groups: Sequence[str], key: Sequence[str], seed: int, out: str,
               total: str | None = None) -> DataFrame:
-    """Rank 1..n of every row of a group in a seeded, input-order-free pseudo-random order."""
+    """Rank 1..n of every row of a group in a seeded, input-order-free pseudo-random order. Ranges are leading bits of the hash, as many as
+    the rows take."""
+    bits = max(1, -(-df.count() // RANGE_ROWS)).bit_length() - 1
     h = df.withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(k) for k in key]))
-    h = h.withColumn("_hb", hash_bucket(F.col("_h")))
+    h = h.withColumn("_hb", F.shiftright(F.col("_h"), 64 - bits) if bits else F.lit(0))
     run = with_running_totals(h, groups, "_hb", [F.col("_h"), *[F.col(k) for k in key]], {out: F.lit(1)},
                               {out: total} if total else {})
     return run.drop("_h", "_hb")

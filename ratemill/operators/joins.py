@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
@@ -12,6 +13,9 @@ from ratemill import fixed
 from ratemill.functions import recode as R
 from ratemill.session import broadcast_if_small
 
+OPEN = 1 << 20      # stands for the power of two of a band without one of its ends
+
+
 def left_join_spreading_nulls(left: DataFrame, right: DataFrame, key: str, spread: str, also: Sequence[str] = ()) -> DataFrame:
     """Left join on a key that many left rows lack. Rows without it match nothing, yet a plain join would send
     them all to one task; here they are hashed by ``spread`` instead."""
@@ -203,10 +207,41 @@ def band_table(spark) -> DataFrame:
     return spark.createDataFrame(fixed.AGE_BANDS, "lower int, upper int, age_band string")
 
 
-def band_join(df: DataFrame, col: str, bands: DataFrame) -> DataFrame:
-    """Rows of whole numbers in inclusive bands (lower, upper): bands are spelled out by number, so the join is on equality."""
-    numbers = bands.select("*", F.explode(F.sequence("lower", "upper")).alias("_number")).drop("lower", "upper")
-    return df.join(broadcast_if_small(numbers), F.col(col) == F.col("_number")).drop("_number")
+_POSITION = {"date": lambda c: F.unix_date(c).cast("double"), "timestamp": lambda c: c.cast("double")}
+
+
+def band_join(df: DataFrame, col: str, bands: DataFrame, lower: str = "lower", upper: str = "upper") -> DataFrame:
+    """Rows in inclusive bands of any numbers, dates or timestamps; bands may overlap, and a null end is open.
+
+    A band belongs to the power of two that its length does not exceed and is keyed by the bins of that width which it touches, at most two. A row
+    is keyed by its bin of each width that the bands have, so a row and a band meet in one bin at most, by equality, and are compared
+    exactly there. What a band costs does not depend on its length or kind. Bands with an open end have one key for all.
+    """
+    place = _POSITION.get(bands.schema[lower].dataType.simpleString(), lambda c: c.cast("double"))
+    ends = bands.withColumnsRenamed({lower: "_lower", upper: "_upper"}).withColumns({"_lo": place(F.col("_lower")), "_hi": place(F.col("_upper"))})
+    ends = ends.where("_lower is null or _upper is null or _lower <= _upper")
+    top = ends.agg(F.max(F.greatest(F.abs("_lo"), F.abs("_hi"), F.lit(1e-300)))).first()[0] or 1.0
+    finest = math.ceil(math.log2(top)) - 50          # bins are numbered exactly
+    length = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(2.0 ** max(finest, -1000)))
+    power = F.when(F.col("_lo").isNotNull() & F.col("_hi").isNotNull(), F.ceil(F.log2(length)).cast("int"))
+    keyed = ends.withColumn("_power", F.coalesce(power, F.lit(OPEN)))
+    widths = [r[0] for r in keyed.select("_power").distinct().collect()]       # at most one a power of two
+
+    def bins(value: Column, power: Column) -> Column:
+        return F.floor(value / F.pow(F.lit(2.0), power)).cast("bigint")
+
+    touched = F.when(F.col("_power") == OPEN, F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(bins(F.col("_lo"), F.col("_power")), bins(F.col("_hi"), F.col("_power"))))
+    keyed = keyed.withColumn("_bin", F.explode(touched)).drop("_lo", "_hi")
+    if not widths:
+        return df.join(keyed.drop("_power", "_bin", "_lower", "_upper"), F.lit(False))
+    value = place(F.col(col))
+    own = F.array(*[F.struct(F.lit(p).alias("_power"), (F.lit(0).cast("bigint") if p == OPEN else bins(value, F.lit(p))).alias("_bin")) for p in widths])
+    near = df.where(F.col(col).isNotNull() & ((F.abs(value) <= top) | F.lit(OPEN in widths)))
+    if OPEN in widths:      # values beyond all closed bands have only the open ones' key
+        own = F.filter(own, lambda x: (x["_power"] == OPEN) | (F.abs(value) <= top))
+    rows = near.select("*", F.inline(own))
+    inside = (F.col("_lower").isNull() | (F.col("_lower") <= F.col(col))) & (F.col("_upper").isNull() | (F.col(col) <= F.col("_upper")))
+    return rows.join(broadcast_if_small(keyed), ["_power", "_bin"]).where(inside).drop("_power", "_bin", "_lower", "_upper")
 
 
 def bridged_join(fine: DataFrame, coarse: DataFrame, value: str, keys: Sequence[str] = ("gender",)) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ratemill.functions import recode as R
 from ratemill.operators.aggregates import duplicates
-from ratemill.operators.cumulative import with_running_totals, with_value_bucket
+from ratemill.operators.cumulative import numbered
 from ratemill.operators.sets import union_facts
 
 ISSUE_COLUMNS = ["table_name", "check_name", "column_name", "n", "example", "detail"]
@@ -135,8 +135,7 @@ def sequential_issues(df: DataFrame, table: str, key: str) -> DataFrame:
 
 def sequence_in_order(df: DataFrame, key: str, order: str) -> DataFrame:
     """Rows whose key differs from their position in ``order`` (1..n), with the first such key."""
-    b = with_value_bucket(df.select(key, order), [], order)
-    run = with_running_totals(b, [], "_bucket", [F.col(order)], {"_pos": F.lit(1)})
+    run = numbered(df.select(F.col(key), F.col(order).alias("_order")), "_order", "_pos", [key])
     bad = ~F.col(key).eqNullSafe(F.col("_pos"))
     return run.agg(F.count_if(bad).alias("n"), F.min_by(F.when(bad, F.col(key)), F.when(bad, F.col("_pos"))).alias("example"))
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratemill.functions import money
-from ratemill.operators.cumulative import null_safe_join, quantiles_of, rank_ties, tie_counts, value_ranks
-from ratemill.session import broadcast_if_small
+from ratemill.operators.cumulative import null_safe_join, quantiles_of, rank_ties, tie_counts, value_ranks, with_ranges
+from ratemill.session import broadcast_if_small, cut_lineage
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -18,19 +18,48 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*")
 
 
+def version_segments(versions: DataFrame) -> DataFrame:
+    """(at, rate_version_id): from each time on which a version begins or ends, the version in force until the next one; null where none is.
+
+    Where versions overlap the highest id counts. A version covers a range of these times' numbers; the range is cut into blocks of powers of
+    two, at most two a power, and a time meets the blocks that hold it by equality. So overlaps cost a logarithm, not a product. The
+    version list is one row per published rate book, so one window numbers its times.
+    """
+    v = versions.select("rate_version_id", F.col("effective_date").cast("timestamp").alias("_from"), F.col("expiry_date").cast("timestamp").alias("_to"))
+    v = v.where("_from is not null and (_to is null or _from < _to)")
+    times = v.select(F.explode(F.array("_from", "_to")).alias("at")).where("at is not null").distinct()
+    times = cut_lineage(times.withColumn("_no", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("at")) - 1).cast("long")))
+    powers = max(1, times.count()).bit_length()
+    end = F.coalesce(F.col("_end_no"), F.lit(1 << powers).cast("long"))
+    placed = v.join(times.select(F.col("at").alias("_from"), F.col("_no").alias("_first")), "_from").join(
+        times.select(F.col("at").alias("_to"), F.col("_no").alias("_end_no")), "_to", "left").withColumn("_end", end)
+    level = placed.withColumn("_power", F.explode(F.sequence(F.lit(0), F.lit(powers))))
+    a, b = F.expr("shiftright(_first + shiftleft(1L, _power) - 1, _power)"), F.expr("shiftright(_end, _power)")
+    ends = F.when(a < b, F.array(F.when(a % 2 == 1, a), F.when(b % 2 == 1, b - 1)))
+    blocks = level.select("rate_version_id", "_power", F.explode(ends).alias("_block")).where("_block is not null")
+    best = blocks.groupBy("_power", "_block").agg(F.max("rate_version_id").alias("rate_version_id"))
+    asked = times.select("at", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(powers)), lambda p: F.call_function("shiftright", F.col("_no"), p))).alias("_power", "_block"))
+    return asked.join(best, ["_power", "_block"], "left").groupBy("at").agg(F.max("rate_version_id").alias("rate_version_id"))
+
+
 def as_of_version(df: DataFrame, on: str, versions: DataFrame, how: str = "left") -> DataFrame:
-    """Version in force at a date: effective <= date < expiry, a null expiry being open; highest id on overlap.
+    """Version in force at a date or time: effective <= time < expiry, a null expiry being open; highest id on overlap.
 
-    Versions are spelled out per calendar day up to the last date asked for and joined on the day, so no fact is compared with a range.
+    The distinct times of the facts and the times on which the version changes are merged in order within ranges: each time takes the last change
+    before it in its range, or else the one that the small scan over ranges carries in. Facts then meet their time's version by equality. Nothing
+    depends on how many days lie between.
     """
-    day = F.col(on).cast("date")
-    last = df.agg(F.max(day).alias("_last"))
-    v = versions.select("rate_version_id", F.col("effective_date").cast("date").alias("_from"), F.col("expiry_date").cast("date").alias("_to"))
-    until = F.least(F.coalesce(F.date_sub("_to", 1), "_last"), "_last")
-    days = v.join(F.broadcast(last)).where(F.col("_from") <= until).withColumn(
-        "_day", F.explode(F.sequence("_from", until, F.expr("interval 1 day"))))
-    picked = days.groupBy("_day").agg(F.max("rate_version_id").alias("rate_version_id"))
-    return df.join(broadcast_if_small(picked), day == F.col("_day"), how).drop("_day")
+    at = F.col(on).cast("timestamp")
+    facts = df.select(at.alias("at")).where("at is not null").distinct().withColumn("_change", F.lit(None).cast(f"struct<v: {versions.schema['rate_version_id'].dataType.simpleString()}>"))
+    changes = version_segments(versions).select("at", F.struct(F.col("rate_version_id").alias("v")).alias("_change"))
+    merged = with_ranges(cut_lineage(changes.unionByName(facts)), ["at"])
+    last = F.max_by("_change", F.when(F.col("_change").isNotNull(), F.col("at")))
+    w = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)      # one row a range
+    ahead = merged.groupBy("_range").agg(last.alias("_l")).select("_range", F.last("_l", ignorenulls=True).over(w).alias("_ahead"))
+    inner = Window.partitionBy("_range").orderBy("at", F.col("_change").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    run = merged.withColumn("_own", F.last("_change", ignorenulls=True).over(inner)).where("_change is null").join(ahead, "_range")
+    picked = run.select(F.col("at").alias("_at"), F.coalesce("_own", "_ahead")["v"].alias("rate_version_id")).where("rate_version_id is not null")
+    return df.join(broadcast_if_small(cut_lineage(picked)), at == F.col("_at"), how).drop("_at")
 
 
 def version_chain(versions: DataFrame) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratemill.operators.cumulative import hash_rank
+from ratemill.session import broadcast_if_small, cut_lineage
 
 
 def union_facts(*dfs: DataFrame) -> DataFrame:
@@ -28,14 +28,48 @@ def coverage_diff(observed: DataFrame, expected: DataFrame, keys: Sequence[str])
         e.join(o, list(keys), "left_anti").withColumn("problem", F.lit("missing")))
 
 
+DIGITS = 4      # hex digits a round: 65,536 counts a group
+
+
+def sample_hash(key: Sequence[str], seed: int) -> Column:
+    """32 hex digits, md5 of the seed and the key's columns as text, joined by ``|``; a null column is empty."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]).cast("binary"))
+
+
+def hash_cuts(df: DataFrame, group: Column, h: Column, wanted: Callable[[Column], Column]) -> DataFrame:
+    """(_g, _cut): the hash up to which a group has ``wanted(size)`` rows. Groups of which none are wanted are left out.
+
+    Rows are counted by the hash's first digits; the running count says in which of these the cut lies. Its rows are counted by twice the
+    digits, and the rest, one in four billion, hash by hash. Only counts are shuffled. ``df`` is read three times.
+    """
+    rows = df.select(group.alias("_g"), h.alias("_h"))
+    at = None
+    for digits in (DIGITS, 2 * DIGITS, 32):
+        prefix = F.substring("_h", 1, digits)
+        part = rows if at is None else rows.join(broadcast_if_small(at), (rows["_g"] == at["_bg"]) & F.col("_h").startswith(at["_at"]))
+        counts = part.groupBy("_g", prefix.alias("_p"), *([] if at is None else ["_left"])).agg(F.count(F.lit(1)).alias("_n"))
+        w = Window.partitionBy("_g")
+        upto = F.sum("_n").over(w.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0))
+        runs = counts.withColumns({"_upto": upto, "_size": F.sum("_n").over(w)})
+        left = F.least(wanted(F.col("_size")), F.col("_size")).cast("bigint") if at is None else F.col("_left")
+        runs = runs.withColumn("_want", left).where((F.col("_upto") - F.col("_n") < F.col("_want")) & (F.col("_want") <= F.col("_upto")))
+        at = cut_lineage(runs.select(F.col("_g").alias("_bg"), F.col("_p").alias("_at"), (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_left")))
+    return at.select(F.col("_bg").alias("_g"), F.col("_at").alias("_cut"))
+
+
 def sample_n(df: DataFrame, key: Sequence[str], n: int, seed: int) -> DataFrame:
-    """Exactly n rows, uniform and independent of input order (rows ranked by a seeded hash of ``key``)."""
-    return hash_rank(df, [], key, seed, "_rank").where(F.col("_rank") <= n).drop("_rank")
+    """Exactly n rows (all, when there are fewer), uniform and independent of input order: those with the smallest seeded hash of the unique
+    ``key``. The table itself is only filtered, by one hash; were keys repeated, rows alike would stay or go together."""
+    h = sample_hash(key, seed)
+    cut = hash_cuts(df, F.lit(0), h, lambda size: F.lit(n)).first()
+    return df.where(h <= F.lit(cut["_cut"])) if cut else df.where(F.lit(False))
 
 
 def stratified_split(df: DataFrame, label: str, key: Sequence[str], test_fraction: float = 0.2,
                      seed: int = 7) -> DataFrame:
-    """Adds ``split`` = test / train with the exact rounded test share inside each label."""
-    ranked = hash_rank(df, [label], key, seed, "_rank", "_size")
-    cut = F.round(F.col("_size") * F.lit(test_fraction))
-    return ranked.withColumn("split", F.when(F.col("_rank") <= cut, "test").otherwise("train")).drop("_rank", "_size")
+    """Adds ``split`` = test / train with the exact rounded test share inside each label (null is one): the smallest hashes of the unique
+    ``key``. Rows are not shuffled, they meet their label's cut."""
+    group, h = F.struct(F.col(label)), sample_hash(key, seed)
+    cuts = hash_cuts(df, group, h, lambda size: F.round(size * F.lit(test_fraction)))
+    marked = df.withColumn("_g", group).join(broadcast_if_small(cuts), "_g", "left")
+    return marked.withColumn("split", F.when(h <= F.col("_cut"), "test").otherwise("train")).drop("_g", "_cut")

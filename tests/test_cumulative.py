@@ -100,3 +100,63 @@ def test_numbers_of_a_hot_key_are_spread(spark):
         C.cut_lineage = cut
     assert [r["n"] for r in sorted(rows, key=lambda r: (r["k"], r["id"]))] == list(range(1, 60_001))
     assert len(seen) == 1 or max(seen.values()) < 20_000
+
+
+@pytest.mark.parametrize("range_rows", [7, 60, 10_000])
+def test_ranges_follow_the_size(frame, monkeypatch, range_rows):
+    """Ranks, quantiles and curves do not depend on where ranges are cut; ranges rise with group and value and are as many as the rows take."""
+    df, pdf = frame
+    monkeypatch.setattr(C, "RANGE_ROWS", range_rows)
+    counts = C.tie_counts(df, ["g"], "v")
+    ranged = C.with_ranges(counts, ["g", "v"]).toPandas().assign(g=lambda x: x.g.fillna("")).sort_values(["g", "v"])
+    assert ranged._range.is_monotonic_increasing
+    n = len(ranged)
+    assert n / range_rows / 2 <= ranged._range.nunique() <= -(-n // range_rows) and ranged._range.value_counts().max() <= max(8 * range_rows, n // 3)
+    test_average_ranks(frame)
+    test_quantiles(frame, [0.0, 0.1, 0.5, 0.99, 1.0])
+    test_auc_and_spearman(frame)
+    test_hash_rank_is_a_permutation_and_ignores_input_order(frame)
+
+
+def test_one_shuffle_of_the_counts(frame, monkeypatch):
+    """Past the aggregate the rows move once, into their ranges; what else is exchanged are sums of ranges."""
+    df, _ = frame
+    monkeypatch.setattr(C, "RANGE_ROWS", 60)
+    spark = df.sparkSession
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = C.rank_ties(C.tie_counts(df, ["g"], "v"), ["g"], "v")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 4 and sum("_range" in line.split("hashpartitioning")[1].split(",")[0] for line in exchanges) == 3
+    window = plan[plan.index("Window"):]
+    assert window.count("Window") >= 2 and "CartesianProduct" not in plan
+
+
+def plain_order(rows, seed):
+    import hashlib
+    return sorted(rows, key=lambda r: hashlib.md5(f"{seed}|{r}".encode()).hexdigest())
+
+
+@pytest.mark.parametrize("digits", [1, 4])
+def test_samples_are_the_smallest_hashes(frame, monkeypatch, digits):
+    from ratemill.operators import sets
+    monkeypatch.setattr(sets, "DIGITS", digits)
+    df, pdf = frame
+    for n in (0, 1, 499, 2999, 3000, 5000):
+        assert sorted(r["id"] for r in sample_n(df, ["id"], n, 3).collect()) == sorted(plain_order(pdf.id, 3)[:n])
+    got = {r["id"] for r in stratified_split(df, "g", ["id"], 0.35).where("split = 'test'").collect()}
+    want = set()
+    for _, part in pdf.fillna("-").groupby("g"):
+        want |= set(plain_order(part.id, 7)[:int(np.floor(len(part) * 0.35 + 0.5))])
+    assert got == want
+    assert sample_n(df.limit(0), ["id"], 5, 3).count() == 0 and stratified_split(df.limit(0), "g", ["id"]).count() == 0
+
+
+def test_sampling_does_not_shuffle_the_table(frame):
+    df, _ = frame
+    for out in (sample_n(df, ["id"], 500, 1), stratified_split(df, "y", ["id"])):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "Window" not in plan and "Sort" not in plan

@@ -1,6 +1,7 @@
 """Joins, as-of matching, pair-free counts and credits against brute force."""
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 from decimal import Decimal as D
 
 import numpy as np
@@ -38,6 +39,32 @@ def test_as_of_version(spark):
         assert got[d] == (max(hits) if hits else None)
 
 
+def as_of(spark, versions, times, kind):
+    v = spark.createDataFrame(versions, f"rate_version_id int, effective_date {kind}, expiry_date {kind}")
+    return {r["t"]: r["rate_version_id"] for r in K.as_of_version(spark.createDataFrame([(t,) for t in times], f"t {kind}"), "t", v).collect()}
+
+
+@pytest.mark.parametrize("range_rows", [3, 10_000])
+def test_as_of_far_dates_and_times(spark, monkeypatch, range_rows):
+    """A date of the year 9999 costs nothing, times within a day count, many overlapping versions are one by one the highest."""
+    from ratemill.operators import cumulative
+    monkeypatch.setattr(cumulative, "RANGE_ROWS", range_rows)
+    assert as_of(spark, VERSIONS, [date(9999, 12, 31), date(1, 1, 1), date(2022, 6, 15), None], "date") == {date(9999, 12, 31): 4, date(1, 1, 1): None, date(2022, 6, 15): 3, None: None}
+    rng = np.random.default_rng(8)
+    t0 = datetime(2024, 1, 1)
+    versions = []
+    for i in range(60):
+        a = int(rng.integers(0, 500))
+        versions.append((i, t0 + timedelta(hours=a), None if i % 17 == 3 else t0 + timedelta(hours=a + int(rng.integers(-3, 120)))))
+    times = [t0 + timedelta(minutes=int(m)) for m in rng.integers(-600, 45_000, 300)] + [v[1] for v in versions]
+    got = as_of(spark, versions, times, "timestamp")
+    for t in times:
+        hits = [i for i, a, b in versions if a <= t and (b is None or t < b)]
+        assert got[t] == (max(hits) if hits else None), t
+    none = spark.createDataFrame([], "rate_version_id int, effective_date date, expiry_date date")
+    assert [r["rate_version_id"] for r in K.as_of_version(spark.createDataFrame([(date(2020, 1, 1),)], "t date"), "t", none).collect()] == [None]
+
+
 def test_version_chain_leaves_one_active(spark):
     v = spark.createDataFrame([(i, date(2020 + i, 1, 1)) for i in range(1, 5)], "rate_version_id int, effective_date date")
     out = K.version_chain(v).orderBy("rate_version_id").collect()
@@ -77,6 +104,26 @@ def test_band_join_of_many_bands(spark):
     assert got == {0: "b0", 1: "b0", 2999: "b1499"}
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(20,4)", "bigint", "date", "timestamp"])
+def test_band_join_of_any_kind(spark, kind):
+    rng = np.random.default_rng(2)
+    def value(x):
+        if kind == "date":
+            return date(2020, 1, 1) + timedelta(days=int(x))
+        if kind == "timestamp":
+            return datetime(2020, 1, 1) + timedelta(seconds=float(x))
+        return {"double": float, "bigint": int}.get(kind, lambda y: Decimal(str(round(float(y), 4))))(x)
+    low = rng.integers(-1000, 1000, 80)
+    bands = [(i, None if i % 19 == 5 else value(a), None if i % 23 == 7 else value(a + n)) for i, (a, n) in enumerate(zip(low, rng.choice([0, 1, 7, 300, 1500, -5], 80)))]
+    rows = [(i, value(x)) for i, x in enumerate(rng.integers(-2500, 2500, 200))] + [(900, None), (901, value(low[0])), (902, value(10 ** 6))]
+    got = J.band_join(spark.createDataFrame(rows, f"id int, v {kind}").withColumn("lower", F.lit("mine")), "v", spark.createDataFrame(bands, f"band int, lower {kind}, upper {kind}"))
+    assert got.columns == ["id", "v", "lower", "band"]
+    want = {(i, b) for i, v in rows if v is not None for b, a, z in bands if (a is None or a <= v) and (z is None or v <= z) and (a is None or z is None or a <= z)}
+    found = [(r["id"], r["band"]) for r in got.collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    assert J.band_join(spark.createDataFrame(rows, f"id int, v {kind}"), "v", spark.createDataFrame([], f"band int, lower {kind}, upper {kind}")).count() == 0
+
+
 def test_guards(spark):
     a = spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string")
     b = spark.createDataFrame([(1, 2)], "k int, w int")
