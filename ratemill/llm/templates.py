@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratemill.llm.common import stored, text_key, text_or_empty
+from ratemill.llm.common import stored, text_key, text_or_empty, without_repeats
 from ratemill.session import broadcast_if_small
 
 DEPTH = 3
@@ -24,7 +24,7 @@ def _masked(line: Column) -> Column:
 
 
 def _size(masked: Column) -> Column:
-    return F.octet_length(masked) - F.octet_length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
+    return F.when(masked == "", 0).otherwise(F.octet_length(masked) - F.octet_length(F.replace(masked, F.lit(" "), F.lit(""))) + 1)
 
 
 def _leaf(masked: Column, depth: int) -> Column:
@@ -32,47 +32,72 @@ def _leaf(masked: Column, depth: int) -> Column:
     return F.xxhash64(_size(masked), F.substring_index(masked, " ", depth))
 
 
-def drop_recurring_lines(docs: DataFrame, min_docs: int = 10, min_tokens: int = 4, similarity: float = 0.5, depth: int = DEPTH) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, min_docs: int = 10, min_tokens: int = 1, similarity: float = 0.5, depth: int = DEPTH, min_share: float = 0.05) -> DataFrame:
     """One row per document: doc_id, n_lines, n_dropped, kept_text (the other lines).
 
     Lines are \\n-split; tokens are runs other than the bytes 20 and 09-0D (hex); a token with a digit is a variable field. A line falls to
-    the leaf of its token count and first ``depth`` tokens. In a leaf that at least ``min_docs`` documents reach, a token at a position is
-    fixed if at least ``min_docs`` lines have it there, else it is a variable field too. The line with variable fields blotted out is its
-    template if at least the share ``similarity`` of its tokens is fixed. Lines whose template at least ``min_docs`` documents have are
-    dropped, in all of them. Lines of fewer than ``min_tokens`` tokens are kept.
+    the leaf of its token count and first ``depth`` tokens. Beyond these, a token at a position is fixed if at least ``min_docs`` documents
+    of the leaf, and at least the share ``min_share`` of them, have it there, or if the line itself, but for fields with digits, stands in
+    ``min_docs`` documents; else it is a variable field too. The line with variable fields blotted out is its template if
+
+    * it has no more than ``depth`` tokens and no variable field,
+    * or at least the share ``similarity`` of its tokens beyond the first ``depth`` is fixed (the first ones are alike in any leaf and prove nothing),
+    * or the line itself stands in ``min_docs`` documents and at least that share of its tokens has no digit.
+
+    Lines whose template at least ``min_docs`` documents have are dropped, in all of them. Blank lines, and lines of fewer than
+    ``min_tokens`` tokens, are kept. ``min_docs`` says from how many documents on a line is no longer one's own; ``min_share`` follows the size of a leaf,
+    so that words which are merely common do not become fixed as the corpus grows.
 
     Leaves are counted from each row's own distinct ones, before any shuffle; later steps take only the lines of leaves that recur, and
-    equal lines are one row there. A line that a third of all documents have is counted in part first and otherwise is one join key.
+    equal lines are one row there. Documents with a token are bounded by the sums over lines; only where that bound and the largest line
+    disagree are they counted one by one. A line that a third of all documents have is counted in part first and otherwise is one join key.
 
-    Cases: null is an empty text, of one empty line. Rows that are alike in doc_id and text count as separate documents for a leaf but once
-    for a template, and are changed alike. Rows without doc_id are told apart by their text. An empty table gives no rows. Other columns
-    are not looked at.
+    Cases: null is an empty text, of one blank line. Rows that are alike in doc_id and text count as one document and are changed alike;
+    rows that repeat a doc_id with another text, or have none, are told apart by their text. An empty table gives no rows. Other columns are
+    not looked at.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), text_or_empty().alias("text"))
-    lines = rows.withColumn("lines", _lines(F.col("text")))
-    masked = F.filter(F.transform("lines", lambda x: _masked(x)), lambda x: _size(x) >= min_tokens)
+    once = without_repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    lines = once.select("doc_id", text_key().alias("text_key"), _lines(text_or_empty()).alias("lines"))
+    masked = F.filter(F.transform("lines", lambda x: _masked(x)), lambda x: _size(x) >= max(1, min_tokens))
     leaves = lines.select(F.explode(F.array_distinct(F.transform(masked, lambda x: _leaf(x, depth)))).alias("leaf"))
-    reached = stored(leaves.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf"), "leaves")
+    reached = stored(leaves.groupBy("leaf").agg(F.count("*").alias("leaf_docs")).where(F.col("leaf_docs") >= min_docs), "leaves")
 
     each = (lines.select("doc_id", "text_key", F.posexplode("lines").alias("line_no", "line")).select("doc_id", "text_key", "line_no", _masked(F.col("line")).alias("masked"))
-            .withColumn("n_tokens", _size(F.col("masked"))).where(F.col("n_tokens") >= min_tokens).withColumn("leaf", _leaf(F.col("masked"), depth)))
-    found = stored(each.join(broadcast_if_small(reached, 1_000_000), "leaf", "left_semi"), "lines")
-
-    kinds = stored(found.groupBy("leaf", "masked", "n_tokens").agg(F.count("*").alias("n")), "kinds")
-    tokens = kinds.select("leaf", "masked", "n_tokens", "n", F.posexplode(F.split("masked", " ")).alias("position", "token"))
-    fixed = (tokens.where(F.col("token") != ANY).groupBy("leaf", "position", "token").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
-             .select("leaf", "position", "token", F.lit(True).alias("fixed")))
-    marked = tokens.join(fixed.hint("merge"), ["leaf", "position", "token"], "left")
-    shape = F.array_sort(F.collect_list(F.struct("position", F.when(F.col("fixed"), F.col("token")).otherwise(ANY).alias("token"))))
-    template = (marked.groupBy("leaf", "masked", "n_tokens").agg(shape.alias("shape"), F.count("fixed").alias("n_fixed"))
-                .where(F.col("n_fixed") >= F.lit(similarity) * F.col("n_tokens")).select("leaf", "masked", F.array_join("shape.token", " ").alias("template")))
-    placed = stored(found.join(template.hint("merge"), ["leaf", "masked"]).select("doc_id", "text_key", "line_no", "template"), "templates")
+            .withColumn("n_tokens", _size(F.col("masked"))).where(F.col("n_tokens") >= max(1, min_tokens)).withColumn("leaf", _leaf(F.col("masked"), depth)))
+    found = stored(each.join(broadcast_if_small(reached, 1_000_000), "leaf"), "lines")
+
+    kind = ["leaf", "masked", "n_tokens", "leaf_docs"]
+    kinds = stored(found.groupBy(*kind, "doc_id", "text_key").agg(F.lit(1).alias("one")).groupBy(*kind).agg(F.count("*").alias("docs")), "kinds")
+    at = ["leaf", "position", "token"]
+    tokens = kinds.where(F.col("n_tokens") > depth).select(*kind, "docs", F.posexplode(F.split("masked", " ")).alias("position", "token"))
+    beyond = F.col("position") >= depth
+    needed = F.greatest(F.lit(min_docs), F.ceil(F.lit(min_share) * F.col("leaf_docs")))
+    bound = (tokens.where(beyond & (F.col("token") != ANY)).groupBy(*at).agg(F.sum("docs").alias("most"), F.max("docs").alias("least"), F.max(needed).alias("needed"))
+             .where("most >= needed"))
+    bound = stored(bound, "tokens")
+    unsure = bound.where("least < needed").select(*at, "needed")
+    told = found.where(F.col("n_tokens") > depth).join(broadcast_if_small(unsure.select("leaf").distinct()), "leaf", "left_semi").select(
+        "leaf", "doc_id", "text_key", F.posexplode(F.split("masked", " ")).alias("position", "token")).where(beyond)
+    told = told.join(broadcast_if_small(unsure), at).groupBy(*at, "needed", "doc_id", "text_key").agg(F.lit(1).alias("one"))
+    counted = told.groupBy(*at, "needed").agg(F.count("*").alias("docs")).where("docs >= needed")
+    fixed = bound.where("least >= needed").select(*at).union(counted.select(*at)).withColumn("fixed", F.lit(True))
+
+    marked = tokens.join(fixed.hint("merge"), at, "left")
+    own = F.col("docs") >= min_docs
+    stays = (F.col("token") != ANY) & (~beyond | own | F.coalesce("fixed", F.lit(False)))
+    shape = F.array_sort(F.collect_list(F.struct("position", F.when(stays, F.col("token")).otherwise(ANY).alias("token"))))
+    long = (marked.groupBy(*kind, "docs").agg(shape.alias("shape"), F.count_if(stays & beyond).alias("n_fixed"), F.count_if(F.col("token") != ANY).alias("n_words"))
+            .where((F.col("n_fixed") >= F.lit(similarity) * (F.col("n_tokens") - depth)) | (own & (F.col("n_words") >= F.lit(similarity) * F.col("n_tokens"))))
+            .select("leaf", "masked", F.array_join("shape.token", " ").alias("template")))
+    short = kinds.where((F.col("n_tokens") <= depth) & ~F.array_contains(F.split("masked", " "), ANY)).select("leaf", "masked", F.col("masked").alias("template"))
+    placed = stored(found.join(long.union(short).hint("merge"), ["leaf", "masked"]).select("doc_id", "text_key", "line_no", "template"), "templates")
     recurring = placed.select("template", "doc_id", "text_key").distinct().groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("template")
     recurring = stored(recurring, "recurring")
     gone = (placed.join(recurring.hint("merge"), "template").groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone"))
             .select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"), "gone"))
 
-    same = rows["doc_id"].eqNullSafe(gone["gone_id"]) & (rows["text_key"] == gone["gone_key"])
+    same = rows["doc_id"].eqNullSafe(gone["gone_id"]) & (F.coalesce(rows["text_key"] == gone["gone_key"], F.lit(False)))
     result = rows.join(gone.hint("merge"), same, "left").withColumn("n_lines", (F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long"))
     original = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(original) - 1), "gone")
@@ -80,7 +105,7 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 10, min_tokens: int =
                          F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get(original, i)), "\n")).alias("kept_text"))
 
 
-def template_sql(min_docs: int = 10, min_tokens: int = 4, similarity: float = 0.5, depth: int = DEPTH) -> str:
+def template_sql(min_docs: int = 10, min_tokens: int = 1, similarity: float = 0.5, depth: int = DEPTH, min_share: float = 0.05) -> str:
     """The same in SQL, over a table with distinct doc_id."""
     return rf"""
 WITH lines AS (
@@ -88,14 +113,22 @@ WITH lines AS (
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
 masked AS (
   SELECT *, string_split(regexp_replace(trim(regexp_replace(line, '[\x20\x09\x0B-\x0D]+', ' ', 'g'), ' '), '[^ ]*[0-9][^ ]*', '{ANY}', 'g'), ' ') AS tokens FROM lines),
-leaves AS (SELECT *, len(tokens) AS n_tokens, tokens[1:{depth}] AS lead FROM masked WHERE len(tokens) >= {min_tokens}),
-found AS (SELECT * FROM leaves WHERE (n_tokens, lead) IN (SELECT (n_tokens, lead) FROM leaves GROUP BY n_tokens, lead HAVING count(DISTINCT doc_id) >= {min_docs})),
-tokens AS (SELECT doc_id, line_no, n_tokens, lead, unnest(range(len(tokens))) AS position, unnest(tokens) AS token FROM found),
-fixed AS (SELECT n_tokens, lead, position, token FROM tokens WHERE token <> '{ANY}' GROUP BY ALL HAVING count(*) >= {min_docs}),
+leaves AS (SELECT *, len(tokens) AS n_tokens, tokens[1:{depth}] AS lead FROM masked WHERE len(tokens) >= {max(1, min_tokens)} AND tokens <> ['']),
+reached AS (SELECT n_tokens, lead, count(DISTINCT doc_id) AS leaf_docs FROM leaves GROUP BY n_tokens, lead HAVING count(DISTINCT doc_id) >= {min_docs}),
+kinds AS (SELECT tokens, count(DISTINCT doc_id) AS docs FROM leaves GROUP BY tokens),
+found AS (SELECT l.*, r.leaf_docs, k.docs FROM leaves l JOIN reached r ON l.n_tokens = r.n_tokens AND l.lead = r.lead JOIN kinds k ON k.tokens = l.tokens),
+tokens AS (SELECT doc_id, line_no, n_tokens, lead, leaf_docs, docs, unnest(range(len(tokens))) AS position, unnest(tokens) AS token FROM found),
+fixed AS (SELECT n_tokens, lead, position, token FROM tokens WHERE token <> '{ANY}' AND position >= {depth} GROUP BY n_tokens, lead, position, token, leaf_docs
+  HAVING count(DISTINCT doc_id) >= greatest({min_docs}, ceil({min_share} * leaf_docs))),
+marked AS (
+  SELECT t.*, t.token <> '{ANY}' AND (t.position < {depth} OR t.docs >= {min_docs} OR f.token IS NOT NULL) AS stays
+  FROM tokens t LEFT JOIN fixed f ON t.n_tokens = f.n_tokens AND t.lead = f.lead AND t.position = f.position AND t.token = f.token),
 templates AS (
-  SELECT t.doc_id, t.line_no, string_agg(CASE WHEN f.token IS NULL THEN '{ANY}' ELSE t.token END, ' ' ORDER BY t.position) AS template
-  FROM tokens t LEFT JOIN fixed f ON t.n_tokens = f.n_tokens AND t.lead = f.lead AND t.position = f.position AND t.token = f.token
-  GROUP BY t.doc_id, t.line_no, t.n_tokens HAVING count(f.token) >= {similarity} * t.n_tokens),
+  SELECT doc_id, line_no, string_agg(CASE WHEN stays THEN token ELSE '{ANY}' END, ' ' ORDER BY position) AS template
+  FROM marked GROUP BY doc_id, line_no, n_tokens, docs
+  HAVING CASE WHEN n_tokens <= {depth} THEN count(*) FILTER (WHERE token <> '{ANY}') = n_tokens
+    ELSE count(*) FILTER (WHERE stays AND position >= {depth}) >= {similarity} * (n_tokens - {depth})
+      OR (docs >= {min_docs} AND count(*) FILTER (WHERE token <> '{ANY}') >= {similarity} * n_tokens) END),
 recurring AS (SELECT template FROM templates GROUP BY template HAVING count(DISTINCT doc_id) >= {min_docs}),
 gone AS (SELECT doc_id, line_no FROM templates WHERE template IN (SELECT template FROM recurring))
 SELECT l.doc_id, count(*) AS n_lines, count(g.line_no) AS n_dropped, coalesce(string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (WHERE g.line_no IS NULL), '') AS kept_text
