@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,9 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and address of its file system. Spark resolves a bare path on the default file system, a task would on its own disk."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return re.sub(r"^(\w+):/(?!/)", r"\1:///", full)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of its own for one run, below the folder that driver and executors share."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A folder of its own for one run, below the folder that driver and executors share, with its file system's address."""
+    return qualified(spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
 
 
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:

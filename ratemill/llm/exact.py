@@ -58,11 +58,12 @@ def keep_first_copy(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts; columns stay as they are.
 
     The rows that ``exact_groups`` marks as kept can be several: they repeat their doc_id, or none of the group has one. One of them stays.
-    A row without doc_id whose group has one stays as well.
+
+    Cases: null texts are empty ones and equal. A row without doc_id goes where its group has a row with one. An empty table stays empty.
     """
     marks = exact_groups(docs)
     several = marks.where("kept and group_size > 1")
     first = several.groupBy("text_sha256").agg(F.min("text_key").alias("first_key"))
     others = several.join(first.hint("merge"), "text_sha256").where("text_key <> first_key")
-    gone = marks.where("not kept and doc_id is not null").select("doc_id", "text_key").union(others.select("doc_id", "text_key"))
+    gone = marks.where("not kept").select("doc_id", "text_key").union(others.select("doc_id", "text_key"))
     return without(without_repeats(docs), gone)

@@ -115,7 +115,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bands: int =
     bands of 4 with a chance of 5 in a million.
 
     Cases: a null or empty text, or one without words, has 0 shingles and is linked with nothing. Rows that repeat a doc_id are one
-    document, linked by any of its texts. A row without doc_id is not compared: its component_id is null and it is kept. An empty table
+    document: what any of its texts is linked with, it is, and all its rows have one component. A row without doc_id is not compared: its component_id is null and it is kept. An empty table
     gives no rows. Other columns are not looked at.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -136,7 +136,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bands: int =
                    .select(F.col("centre.rep").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts = stored(source.where("doc_id is not null").join(broadcast_if_small(wanted, 1_000_000), "doc_id", "left_semi"), "texts")
-    links = stored(verified(stars, texts, k, percent), "verified")
+    several = sketch.where("doc_id is not null").groupBy("doc_id").agg(F.min("text_key").alias("a"), F.max("text_key").alias("z")).where("a <> z").select("doc_id")
+    several = broadcast_if_small(stored(several, "several"))
+    own = stored(whole.join(several, "doc_id").select("doc_id", *same_set).join(classes.select(*same_set, "rep"), same_set).select("doc_id", "rep"), "own")
+    first = own.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    same_doc = stored(own.join(first.hint("merge"), "doc_id").select("a", F.col("rep").alias("b")).where("a <> b").distinct(), "same")
+    links = stored(verified(stars, texts, k, percent), "verified").union(same_doc)
     roots = stored(components(links), "roots")
 
     placed = (members.drop("centre").join(roots, members["rep"] == roots["node"], "left")
@@ -152,12 +157,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bands: int =
     if not extra.isEmpty():
         roots = stored(components(extra.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
 
-    found = classes.drop("bands", "parity").join(roots, classes["rep"] == roots["node"], "left").select(*same_set, F.coalesce("root", "rep").alias("root"))
-    rows_ = sketch.drop("bands", "parity").join(found, same_set, "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
+    found = classes.drop("bands", "parity").join(roots, classes["rep"] == roots["node"], "left").select(*same_set, "rep", F.coalesce("root", "rep").alias("root"))
+    rows_ = sketch.drop("bands", "parity").join(found.drop("rep"), same_set, "left")
+    told = stored(own.join(found.select("rep", "root"), "rep").groupBy("doc_id").agg(F.min("root").alias("doc_root")), "told")
+    rows_ = rows_.join(broadcast_if_small(told), "doc_id", "left")     # the empty texts of a doc_id follow its others
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("doc_root", "root", "doc_id"))
     return rows_.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), "text_key")
 
 
 def keep_one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with one document of each group of near copies, once if its row is repeated; columns stay as they are."""
-    return without(without_repeats(docs), near_duplicates(docs, **how).where("not kept"))
+    """``docs`` with one document of each group of near copies, once if its row is repeated; columns stay as they are.
+
+    Cases: a row without doc_id is compared like any other, under a number beyond 2**62 that its text gives it, so a document with an id
+    stays in its place. Texts without words are linked with nothing and stay. Rows of one doc_id with several texts stay or go together.
+    An empty table stays empty.
+    """
+    stand_in = F.lit(1 << 62) + F.pmod(text_key(), F.lit(1 << 61))
+    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), stand_in).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    gone = near_duplicates(named, **how).where("not kept")
+    gone = gone.select(F.when(F.col("doc_id") < F.lit(1 << 62), F.col("doc_id")).alias("doc_id"), "text_key")
+    return without(without_repeats(docs), gone)
