@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratemill.llm.common import free_name, text_key
@@ -40,14 +40,17 @@ def period(shares: dict[str, int]) -> list[tuple[str, int, int]]:
 def mixed(docs: DataFrame, targets: dict[str, int] | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``docs`` with block (of its source), slot (in the mixture), place (in the block) and on_target; every row stays, once.
 
-    A source's rows are ordered by a hash of doc_id and cut into blocks of ``block_rows``. The schedule of one period is a table of as many
+    A source's rows are ordered by a hash of doc_id and text and cut into blocks of ``block_rows``. The schedule of one period is a table of as many
     rows as the shares sum up to; block b takes the slot of its equal in the period, so no schedule of the whole corpus is made anywhere.
     Rows are numbered within hash ranges of about 1000 rows a source, so a source with a third of all rows is spread; only counts of ranges
     are summed up in order. ``on_target`` marks the slots before the first source has run out: there every prefix is less than one block
     off each target. Later slots keep the other sources' order. Names that ``docs`` has already get a leading underscore.
 
-    Cases: a null source is a source of its own. Rows without doc_id come first within it. Rows alike in doc_id and text follow one
-    another. The text is not looked at otherwise. An empty table gives no rows.
+    The driver has a row a source and a slot for each share of a period, so sources are to be some thousands at most, such as crawls or
+    collections, not host names.
+
+    Cases: a null source is a source of its own. Rows without doc_id, or that repeat one, are spread by their texts; rows alike in doc_id and
+    text follow one another. An empty table gives no rows.
     """
     targets = targets or {}
     names = {n: free_name(docs, n) for n in ("block", "slot", "place", "on_target")}
@@ -63,7 +66,10 @@ def mixed(docs: DataFrame, targets: dict[str, int] | None = None, block_rows: in
     blocks = {s: -(-n // block_rows) for s, n in counts.items()}
     horizon = min(total * (b // shares[s]) + at[s, b % shares[s]] for s, b in blocks.items())
 
-    hexes = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    def digest(c: str) -> Column:
+        return F.md5(F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary"))
+
+    hexes = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest("text")).cast("binary"))
     ranges = spark.createDataFrame([(s, max(1, n // BUCKET_ROWS), shares[s]) for s, n in counts.items()], f"`{own['name']}` string, `{own['n']}` long, `{own['share']}` long")
     rows = docs.withColumns({own["name"]: name, own["order"]: hexes, own["key"]: text_key()})
     rows = rows.join(F.broadcast(ranges), own["name"])   # a row a source, made from the counts above

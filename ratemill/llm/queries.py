@@ -55,7 +55,7 @@ def mixing_sql(targets: dict[str, int], block_rows: int) -> str:
     return f"""
 WITH period(source, turn, due) AS (VALUES {values}),
 shares AS (SELECT source, count(*) AS share FROM period GROUP BY source),
-numbered AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1 AS number FROM documents),
+numbered AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR) || '|' || md5(coalesce(text, ''))), doc_id) - 1 AS number FROM documents),
 blocks AS (SELECT doc_id, source, number // {block_rows} AS block, number % {block_rows} AS place FROM numbered),
 out_of_rows AS (SELECT b.source, (b.n + {block_rows} - 1) // {block_rows} AS block FROM (SELECT source, count(*) AS n FROM documents GROUP BY source) b),
 horizon AS (SELECT min({total} * (o.block // s.share) + p.due) AS slot FROM out_of_rows o JOIN shares s ON o.source = s.source JOIN period p ON p.source = o.source AND p.turn = o.block % s.share)

@@ -87,6 +87,15 @@ def test_hot_source_is_numbered_in_ranges(llm):
     assert len(by["hot"]) == 8_000 and max(b for b, _ in by["hot"]) == 799
 
 
+def test_rows_without_doc_id_are_spread(llm):
+    """Half the rows have no doc_id, a third repeat one: their order still deals them evenly over blocks' hash ranges."""
+    docs = llm.range(12_000).selectExpr("if(id % 2 = 0, null, if(id % 3 = 0, 7, id)) as doc_id", "concat('text ', id) as text", "'s' as source")
+    rows = mixed(docs, block_rows=10).collect()
+    assert sorted((r.block, r.place) for r in rows) == [(i // 10, i % 10) for i in range(12_000)]
+    nulls = sorted(r.block for r in rows if r.doc_id is None)
+    assert abs(nulls[len(nulls) // 2] - 600) < 60
+
+
 def lines_docs():
     out = []
     for i in range(30):
