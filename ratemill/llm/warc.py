@@ -6,6 +6,7 @@ import base64
 import hashlib
 import re
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -106,7 +107,8 @@ def _written(folder: str, date: str, level: int):
             rows = []
             for x in zip(*[batch[c].to_pylist() for c in ("page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to")]):
                 if bundle is None:
-                    bundle = _Bundle(files, path, f"part-{task.partitionId():06d}-{number:04d}.warc.zst", f"{task.taskAttemptId()}", level)
+                    name = f"part-{task.partitionId():06d}-{number:04d}-{uuid.uuid4().hex}.warc.zst"     # of one attempt; the index lists the bundles of those that ended
+                    bundle = _Bundle(files, path, name, "open", level)
                 rows.append((record_name(x[0]), *bundle.add(record_bytes(*x, date))))
                 if bundle.size >= BUNDLE_BYTES:
                     bundle.close()

@@ -7,7 +7,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from ratemill.llm import warc
+from ratemill.llm import common, warc
 from ratemill.llm.common import new_folder, ready
 
 SCHEMA = "page_id long, url string, html string, record_type string, same string, n int, refers_to string"
@@ -58,3 +58,20 @@ def test_damaged_payload_is_noticed():
     record = warc.record_bytes(1, "u", b"abc", 3, hashlib.sha1(b"abd").hexdigest(), "response", None, "2000-01-01T00:00:00Z")
     with pytest.raises(ValueError):
         warc.record_row(*next(warc.parsed(record)))
+
+
+def test_bare_folder_gets_its_address(spark, monkeypatch, tmp_path):
+    """Tasks must not take a folder without a scheme for one of their own disk."""
+    monkeypatch.setattr(common, "shared_dir", lambda s: str(tmp_path))
+    assert common.new_folder(spark, "x").startswith(f"file://{tmp_path}/x-")
+    monkeypatch.setattr(common, "shared_dir", lambda s: f"file://{tmp_path}")
+    assert common.new_folder(spark, "x").startswith(f"file://{tmp_path}/x-")
+
+
+def test_a_second_attempt_writes_other_bundles(spark, folder):
+    """The index of one attempt names its own bundles; what another attempt of the same task wrote beside them is not read."""
+    pages = warc.with_record_types(spark.createDataFrame([(i, f"u{i}", f"<p>{i}</p>" * 300) for i in range(20)], "page_id long, url string, html string")).coalesce(1)
+    first = {r.bundle for r in warc.write_bundles(pages, f"file://{folder}").collect()}
+    again = pages.mapInArrow(warc._written(f"file://{folder}/bundles", "1970-01-01T00:00:00Z", 3), warc.INDEX)
+    assert not first & {r.bundle for r in again.collect()}
+    assert sorted(r.page_id for r in warc.read_bundles(spark, f"file://{folder}").collect()) == list(range(20))
