@@ -59,13 +59,16 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 10, min_tokens: int =
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), text_or_empty().alias("text"))
     once = without_repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     lines = once.select("doc_id", text_key().alias("text_key"), _lines(text_or_empty()).alias("lines"))
-    masked = F.filter(F.transform("lines", lambda x: _masked(x)), lambda x: _size(x) >= max(1, min_tokens))
+    masked = F.transform(F.filter("lines", lambda x: F.trim(x) != ""), lambda x: _masked(x))
+    if min_tokens > 1:
+        masked = F.filter(masked, lambda x: _size(x) >= min_tokens)
     leaves = lines.select(F.explode(F.array_distinct(F.transform(masked, lambda x: _leaf(x, depth)))).alias("leaf"))
     reached = stored(leaves.groupBy("leaf").agg(F.count("*").alias("leaf_docs")).where(F.col("leaf_docs") >= min_docs), "leaves")
 
-    each = (lines.select("doc_id", "text_key", F.posexplode("lines").alias("line_no", "line")).select("doc_id", "text_key", "line_no", _masked(F.col("line")).alias("masked"))
-            .withColumn("n_tokens", _size(F.col("masked"))).where(F.col("n_tokens") >= max(1, min_tokens)).withColumn("leaf", _leaf(F.col("masked"), depth)))
-    found = stored(each.join(broadcast_if_small(reached, 1_000_000), "leaf"), "lines")
+    each = (lines.select("doc_id", "text_key", F.posexplode("lines").alias("line_no", "line")).where(F.trim("line") != "").select("doc_id", "text_key", "line_no", _masked(F.col("line")).alias("masked"))
+            .withColumn("n_tokens", _size(F.col("masked"))).withColumn("leaf", _leaf(F.col("masked"), depth)))     # no filter here: it would mask each line once more
+    found = each.join(broadcast_if_small(reached, 1_000_000), "leaf")
+    found = stored(found.where(F.col("n_tokens") >= min_tokens) if min_tokens > 1 else found, "lines")
 
     kind = ["leaf", "masked", "n_tokens", "leaf_docs"]
     kinds = stored(found.groupBy(*kind, "doc_id", "text_key").agg(F.lit(1).alias("one")).groupBy(*kind).agg(F.count("*").alias("docs")), "kinds")
