@@ -322,15 +322,19 @@ def lake_vs_staged(spark, sf):
         "age", "male_death_probability", "age_band", "staged_rate")
 
 
-@query("""SELECT 1::BIGINT AS case_no, 0::BIGINT AS passed, 0::BIGINT AS auc_passed, 1::BIGINT AS direction_passed, count(*) AS labelled FROM labels
-UNION ALL SELECT 2, 0, 1, 0, count(*) FROM labels UNION ALL SELECT 3, 0, 0, 1, count(*) FROM labels UNION ALL SELECT 4, 0, 1, 0, count(*) FROM labels""")
+@query(f"""WITH l AS (SELECT toxic AS y, n_chars AS s FROM labels JOIN documents USING (doc_id)), a AS (SELECT {_AUC.format(t='l')} AS auc), n AS (SELECT count(*) AS labelled FROM l)
+SELECT case_no, new_auc, passed, auc_passed, direction_passed, labelled FROM n, (
+  SELECT 1::BIGINT AS case_no, NULL::DOUBLE AS new_auc, 0::BIGINT AS passed, 0::BIGINT AS auc_passed, 1::BIGINT AS direction_passed
+  UNION ALL SELECT 2, round(auc, 6), 0, 1, 0 FROM a UNION ALL SELECT 3, NULL, 0, 0, 0 UNION ALL SELECT 4, round(auc, 6), 1, 1, 1 FROM a)""")
 def metric_gate_undefined(spark, sf):
-    """Gates whose new AUC (cases 1 and 3) or worst group correlation (2 and 4) is null or not a number: none passes."""
-    n = table(spark, sf, "labels").agg(F.count(F.lit(1)).alias("labelled"))
-    rows = [(1, None, 0.5), (2, 0.9, None), (3, float("nan"), 0.5), (4, 0.9, float("nan"))]
-    base = spark.createDataFrame([(0.75, 1)], "auc double, violations bigint")
+    """Gates of the labelled documents: every row of one class has no AUC, a constant score no correlation; neither passes, both defined do."""
+    from ratemill.operators.ranking import auc, spearman
+    d = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id").withColumns({"one": F.lit(1), "same": F.col("n_chars") * 0})
+    base = auc(d, [], "toxic", "n_chars").select("auc", F.lit(0).cast("bigint").alias("violations"))
     parts = []
-    for case_no, auc, low in rows:
-        new = spark.createDataFrame([(auc, low, 0)], "auc double, min_spearman double, violations bigint")
-        parts.append(publish.gate(new, base).select(F.lit(case_no).cast("bigint").alias("case_no"), "passed", "auc_passed", "direction_passed"))
-    return reduce(DataFrame.unionAll, parts).crossJoin(n)   # one row
+    for case_no, label, score in ((1, "one", "n_chars"), (2, "toxic", "same"), (3, "one", "same"), (4, "toxic", "n_chars")):
+        steps = d.agg(F.count_if(F.col(score) < 0).alias("violations"), F.count(F.lit(1)).alias("labelled"))
+        new = auc(d, [], label, "n_chars").select("auc").join(F.broadcast(spearman(d, [], score, "n_chars").select(F.col("spearman").alias("min_spearman")))).join(F.broadcast(steps))
+        gated = publish.gate(new.drop("labelled"), base).join(F.broadcast(steps.select("labelled")))     # one row each
+        parts.append(gated.select(F.lit(case_no).cast("bigint").alias("case_no"), "new_auc", "passed", "auc_passed", "direction_passed", "labelled"))
+    return reduce(DataFrame.unionAll, parts)
