@@ -70,7 +70,7 @@ def test_mixture_cases(llm):
 def test_files_follow_the_mixture(llm):
     docs = llm.createDataFrame([(i, f"text {i}", f"s{i % 4}") for i in range(400)], "doc_id long, text string, source string")
     want = [r.doc_id for r in mixed(docs, block_rows=5).orderBy("slot", "place").collect()]
-    folder = new_folder(llm, "mixture")
+    folder = new_folder(llm, "mixture").removeprefix("file://")
     in_mixed_order(docs, block_rows=5).write.parquet(folder)
     import glob
 

@@ -54,7 +54,7 @@ def test_token_files(llm, whole):
 
 
 def test_token_file_format(llm, whole):
-    folder = new_folder(llm, "tokens")
+    folder = new_folder(llm, "tokens").removeprefix("file://")
     docs = llm.createDataFrame(documents(), "doc_id long, text string")
     write_tokens(docs, folder, byte_bpe())
     files = [pq.ParquetFile(f) for f in glob.glob(f"{folder}/*.parquet")]
