@@ -330,11 +330,12 @@ def metric_gate_undefined(spark, sf):
     """Gates of the labelled documents: every row of one class has no AUC, a constant score no correlation; neither passes, both defined do."""
     from ratemill.operators.ranking import auc, spearman
     d = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id").withColumns({"one": F.lit(1), "same": F.col("n_chars") * 0})
-    base = auc(d, [], "toxic", "n_chars").select("auc", F.lit(0).cast("bigint").alias("violations"))
+    schema = "auc double, min_spearman double, violations bigint"
+    base = spark.createDataFrame([(auc(d, [], "toxic", "n_chars").first()["auc"], 0)], "auc double, violations bigint")
     parts = []
     for case_no, label, score in ((1, "one", "n_chars"), (2, "toxic", "same"), (3, "one", "same"), (4, "toxic", "n_chars")):
-        steps = d.agg(F.count_if(F.col(score) < 0).alias("violations"), F.count(F.lit(1)).alias("labelled"))
-        new = auc(d, [], label, "n_chars").select("auc").join(F.broadcast(spearman(d, [], score, "n_chars").select(F.col("spearman").alias("min_spearman")))).join(F.broadcast(steps))
-        gated = publish.gate(new.drop("labelled"), base).join(F.broadcast(steps.select("labelled")))     # one row each
-        parts.append(gated.select(F.lit(case_no).cast("bigint").alias("case_no"), "new_auc", "passed", "auc_passed", "direction_passed", "labelled"))
+        steps = d.agg(F.count_if(F.col(score) < 0).alias("violations"), F.count(F.lit(1)).alias("labelled")).first()
+        row = auc(d, [], label, "n_chars").first()["auc"], spearman(d, [], score, "n_chars").first()["spearman"], steps["violations"]
+        gated = publish.gate(spark.createDataFrame([row], schema), base)       # a row of metrics, as a bundle holds it
+        parts.append(gated.select(F.lit(case_no).cast("bigint").alias("case_no"), "new_auc", "passed", "auc_passed", "direction_passed", F.lit(steps["labelled"]).cast("bigint").alias("labelled")))
     return reduce(DataFrame.unionAll, parts)
