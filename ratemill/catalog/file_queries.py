@@ -212,6 +212,21 @@ def stream_threshold_alarm(spark, sf):
     return streamed(spark, sf, lambda s: T.threshold_alarm(s, 5, delay=DELAY), ["window_start"], "window_start timestamp, events bigint")
 
 
+@query("""WITH f AS (SELECT c_nationkey AS source, string_agg(c_name || chr(10), '' ORDER BY c_custkey) AS content FROM customer GROUP BY 1),
+i AS (SELECT source, content, unnest(generate_series(0, (strlen(content) + 255)//256 - 1)) AS block_no FROM f),
+b AS (SELECT source, block_no, sha256(substr(content, 1 + block_no*256, 256)) AS h FROM i),
+n AS (SELECT source, block_no//4 AS node_no, sha256(string_agg(h, '' ORDER BY block_no)) AS h FROM b GROUP BY 1, 2),
+t AS (SELECT source, sha256(string_agg(h, '' ORDER BY node_no)) AS content_hash FROM n GROUP BY 1)
+SELECT CAST(t.source AS BIGINT) AS source, content_hash, CAST(strlen(content) AS BIGINT) AS byte_size FROM t JOIN f ON f.source = t.source""")
+def source_block_hashes(spark, sf):
+    """Customers written as a file a nation; each file's hash from its ranges of 256 bytes, four ranges a node."""
+    root = run_folder(spark, "blocks")
+    names = table(spark, sf, "customer").select("c_nationkey", "c_custkey", "c_name").repartition("c_nationkey")
+    names.sortWithinPartitions("c_nationkey", "c_custkey").select("c_nationkey", "c_name").write.partitionBy("c_nationkey").text(root)
+    state = S.source_state(spark, f"{root}/*/*.txt", 256, 4)
+    return state.select(F.regexp_extract("source_path", r"c_nationkey=(\d+)", 1).cast("bigint").alias("source"), "content_hash", "byte_size")
+
+
 @query("""SELECT 'customer' AS source, CAST(sum(strlen(c_name) + 1) AS BIGINT) AS byte_size FROM customer
 UNION ALL SELECT 'part', CAST(sum(strlen(p_name) + 1) AS BIGINT) FROM part""")
 def source_watch_changes(spark, sf):

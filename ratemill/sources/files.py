@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from urllib.parse import quote
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,7 +16,9 @@ from pyspark.sql.types import StructType
 from ratemill.functions import recode as R
 from ratemill.session import broadcast_if_small, cut_lineage
 
-FINGERPRINT_LIMIT = 1 << 30
+BLOCK_BYTES = 64 << 20
+NODE_BLOCKS = 4096
+READ_BYTES = 1 << 20
 ROWS_PER_FILE = 5_000_000
 
 
@@ -193,14 +199,59 @@ def backfill(df: DataFrame, col: str, value: Column, key: str, lo: int, hi: int)
     return df.withColumn(col, F.when(F.col(key).between(lo, hi), value).otherwise(F.col(col)))
 
 
-def source_state(spark: SparkSession, path: str, limit: int = FINGERPRINT_LIMIT) -> DataFrame:
-    """(source_path, content_hash, byte_size, observed_at) per file. Files are hashed in parallel, each as one
-    value, so a file above ``limit`` raises; use frame_fingerprint for such a source."""
-    f = spark.read.format("binaryFile").load(path)
-    too_big = F.raise_error(F.concat(F.lit("too large to hash as one value: "), F.col("path"))).cast("string")
-    return f.select(F.col("path").alias("source_path"),
-                    F.when(F.col("length") > limit, too_big).otherwise(F.sha2("content", 256)).alias("content_hash"),
-                    F.col("length").alias("byte_size"), F.current_timestamp().alias("observed_at"))
+def _hash_ranges(block: int):
+    """Reads byte ranges through the file system of each file's address, a megabyte at a time."""
+    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+        for pdf in frames:
+            found = []
+            for path, size, no in zip(pdf["source_path"], pdf["byte_size"], pdf["block_no"]):
+                system, name = fs.FileSystem.from_uri(quote(re.sub("^s3[an]:", "s3:", path), safe=":/"))
+                value, left = hashlib.sha256(), int(min(block, size - no * block))
+                with system.open_input_file(name) as f:
+                    f.seek(int(no * block))
+                    while left and (piece := f.read(min(left, READ_BYTES))):
+                        value.update(piece)
+                        left -= len(piece)
+                if left:
+                    raise OSError(f"{path} is shorter than its listing said")
+                found.append(value.hexdigest())
+            yield pd.DataFrame({"source_path": pdf["source_path"], "byte_size": pdf["byte_size"], "block_no": pdf["block_no"], "block_hash": found})
+    return hashed
+
+
+def block_hashes(files: DataFrame, block: int = BLOCK_BYTES) -> DataFrame:
+    """(source_path, byte_size, block_no, block_hash) per byte range of ``block`` bytes of files given by path and size.
+
+    Ranges are rows of their own, dealt to as many tasks as there are ranges, so one large file is read side by side. An empty file has
+    one empty range; a file that shrinks while it is read raises.
+    """
+    blocks = F.greatest(F.expr(f"(byte_size + {block - 1}) div {block}"), F.lit(1).cast("bigint"))
+    total = files.agg(F.coalesce(F.sum(blocks), F.lit(1))).first()[0]
+    ranges = files.select("source_path", "byte_size", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block_no"))
+    return ranges.repartition(int(total), "source_path", "block_no").mapInPandas(
+        _hash_ranges(block), "source_path string, byte_size bigint, block_no bigint, block_hash string")
+
+
+def hash_files(files: DataFrame, block: int = BLOCK_BYTES, node: int = NODE_BLOCKS) -> DataFrame:
+    """(source_path, content_hash, byte_size) of files of any size, given by path and size.
+
+    The hash is a tree of SHA-256 values: of each range of ``block`` bytes, of each ``node`` range hashes in a row, and of those in order.
+    No task holds more than ``node`` hashes of one file at the first level. It is the same however the ranges are dealt to tasks, and
+    differs from a plain SHA-256 of the bytes.
+    """
+    def joined(no: str) -> Column:
+        return F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(no, "block_hash"))), lambda s: s["block_hash"]), ""), 256)
+
+    nodes = block_hashes(files, block).groupBy("source_path", "byte_size", F.expr(f"block_no div {node}").alias("node_no")).agg(
+        joined("block_no").alias("block_hash"))
+    return nodes.groupBy("source_path", "byte_size").agg(joined("node_no").alias("content_hash")).select("source_path", "content_hash", "byte_size")
+
+
+def source_state(spark: SparkSession, path: str, block: int = BLOCK_BYTES, node: int = NODE_BLOCKS) -> DataFrame:
+    """(source_path, content_hash, byte_size, observed_at) per file of any size, hashed by ``hash_files``. Spark lists no empty files."""
+    listed = spark.read.format("binaryFile").load(path).select(F.col("path").alias("source_path"), F.col("length").alias("byte_size"))
+    return hash_files(listed, block, node).withColumn("observed_at", F.current_timestamp())
 
 
 def frame_fingerprint(df: DataFrame, source_path: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratemill import fixed
 from ratemill.plans.publish import changed
+from ratemill.sources.files import hash_files
 from ratemill.streaming.sinks import UpsertTable
 
 CHECKIN = "activity_id bigint, enrollment_id bigint, activity_ts timestamp, activity_type string, verified_flag string"
@@ -58,12 +59,12 @@ def upserted(counts: DataFrame, table: UpsertTable, checkpoint: str):
 
 def source_watch(spark: SparkSession, path: str, known_states: Callable[[], DataFrame],
                  on_change: Callable[[DataFrame, int], None], checkpoint: str):
-    """Starts a query that hashes new source files and passes those with a new hash to ``on_change``."""
+    """Starts a query that hashes new source files, as ``source_state`` does, and passes those with a new hash to ``on_change``."""
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     files = spark.readStream.schema(schema).format("binaryFile").load(path).select(
-        F.col("path").alias("source_path"), F.sha2("content", 256).alias("content_hash"), F.col("length").alias("byte_size"))
+        F.col("path").alias("source_path"), F.col("length").alias("byte_size"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        on_change(changed(known_states(), batch).where("changed"), batch_id)
+        on_change(changed(known_states(), hash_files(batch)).where("changed"), batch_id)
 
     return files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -112,13 +112,30 @@ def test_backfill_and_literals(spark):
     assert got == [(1, 1), (2, 2), (9, 5)]
 
 
+def tree_hash(data, block=S.BLOCK_BYTES, node=S.NODE_BLOCKS):
+    def joined(hashes):
+        return hashlib.sha256("".join(hashes).encode()).hexdigest()
+    blocks = [hashlib.sha256(data[i:i + block]).hexdigest() for i in range(0, max(len(data), 1), block)]
+    return joined(joined(blocks[i:i + node]) for i in range(0, len(blocks), node))
+
+
 def test_fingerprints(spark, folder):
     data = os.urandom(5000)
     put(folder, "x.bin", data)
-    r = S.source_state(spark, f"{folder}/x.bin").first()
-    assert (r["content_hash"], r["byte_size"]) == (hashlib.sha256(data).hexdigest(), 5000)
-    with pytest.raises(Exception, match="too large"):
-        S.source_state(spark, f"{folder}/x.bin", limit=10).collect()
+    put(folder, "with space%.bin", b"abc")
+    got = {r["source_path"].rsplit("/", 1)[1]: (r["content_hash"], r["byte_size"]) for r in S.source_state(spark, f"{folder}/*.bin").collect()}
+    assert got == {"x.bin": (tree_hash(data), 5000), "with space%.bin": (tree_hash(b"abc"), 3)}
+    small = S.source_state(spark, f"{folder}/x.bin", block=700, node=3)
+    assert small.first()["content_hash"] == tree_hash(data, 700, 3)
+    files = spark.read.format("binaryFile").load(f"{folder}/x.bin").select(F.col("path").alias("source_path"), F.col("length").alias("byte_size"))
+    blocks = S.block_hashes(files, 700)
+    assert blocks.rdd.getNumPartitions() == blocks.count() == 8                # the file is not read by one task
+    with pytest.raises(Exception, match="shorter"):
+        S.hash_files(files.withColumn("byte_size", F.lit(6000).cast("bigint"))).collect()
+    assert S.hash_files(files.limit(0)).count() == 0
+    put(folder, "empty", b"")
+    empty = spark.createDataFrame([(f"file:{folder}/empty", 0)], "source_path string, byte_size bigint")
+    assert S.hash_files(empty).first()["content_hash"] == tree_hash(b"")
     df = spark.createDataFrame([(i, str(i % 3)) for i in range(100)], "k int, v string")
     one = S.frame_fingerprint(df, "t").first()["content_hash"]
     assert one == S.frame_fingerprint(df.orderBy(F.desc("k")).repartition(5), "t").first()["content_hash"]

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from ratemill.sources import commits
+from ratemill.sources import files as S
 from ratemill.streaming import checkins as T
 from ratemill.streaming.sinks import UpsertTable
 
@@ -54,8 +55,7 @@ def test_source_watch(spark, folder):
     for name, text in (("a.csv", "one"), ("b.csv", "two")):
         with open(f"{folder}/src/{name}", "w") as f:
             f.write(text)
-    state = "source_path string, content_hash string, source_state_id int"
-    known = spark.createDataFrame([(f"file:{folder}/src/a.csv", __import__("hashlib").sha256(b"one").hexdigest(), 1)], state)
+    known = S.source_state(spark, f"{folder}/src/a.csv").withColumn("source_state_id", F.lit(1)).select("source_path", "content_hash", "source_state_id")
     seen = []
     T.source_watch(spark, f"{folder}/src", lambda: known, lambda df, i: seen.extend(r["source_path"] for r in df.collect()), f"{folder}/cp").awaitTermination()
     assert [os.path.basename(s) for s in seen] == ["b.csv"]
