@@ -183,6 +183,33 @@ def logit_inference(spark, sf):
     return M.inference_table(training(spark, sf), "label", P.dummy_names())
 
 
+@query("WITH" + star.RECORDS + """
+SELECT count(*) AS n_rows, 1::BIGINT AS sizes_add_up, 0::BIGINT AS nearer_elsewhere, 1::BIGINT AS centres_are_means, 1::BIGINT AS inertia_adds_up, 1::BIGINT AS inertia_falls,
+  1::BIGINT AS silhouettes_in_range, 7::BIGINT AS ks FROM """ + _COMPLETE)
+def kmeans_checks(spark, sf):
+    """What clusterings of the weighted profiles must satisfy: every row is with its nearest centre, centres are the means of their rows,
+    sizes and distances add up to all rows and to the inertia, and more clusters cost less."""
+    names, t = P.full_names(), training(spark, sf)
+    sweep = M.kmeans_sweep(t, names)
+    w = F.col(M.WEIGHT)
+    rows = sweep.clustered
+    n, *moments = rows.agg(F.sum(w), *[F.sum(w * F.col(f"`{c}`")) for c in names],
+                           *[F.sum(w * F.col(f"`{c}`") * F.col(f"`{c}`")) for c in names]).first()
+    mean = [m / n for m in moments[:len(names)]]
+    scale = [max(q / n - m * m, 0.0) ** 0.5 or 1.0 for q, m in zip(moments[len(names):], mean)]
+    z = [(F.col(f"`{c}`") - m) / s for c, m, s in zip(names, mean, scale)]
+    far = [sum(((v - float(g)) * (v - float(g)) for v, g in zip(z, centre)), F.lit(0.0)) for centre in sweep.centres[sweep.k]]
+    by_cluster = rows.groupBy("cluster").agg(F.sum(w).alias("n"), *[(F.sum(w * v) / F.sum(w)).alias(f"m{i}") for i, v in enumerate(z)]).collect()
+    gap = max(abs(r[f"m{i}"] - sweep.centres[sweep.k][r["cluster"]][i]) for r in by_cluster for i in range(len(names)))
+    costs = [sweep.inertia[k] for k in sorted(sweep.inertia)]
+    return rows.agg(
+        F.sum(w).cast("bigint").alias("n_rows"), (F.lit(sum(r["n"] for r in by_cluster)) == F.sum(w)).alias("sizes_add_up"),
+        F.count_if(F.least(*far) < F.col("cluster_distance") - 1e-9).alias("nearer_elsewhere"), F.lit(bool(gap < 1e-4)).alias("centres_are_means"),
+        (F.abs(F.sum(w * F.col("cluster_distance")) / sweep.inertia[sweep.k] - 1) < 1e-6).alias("inertia_adds_up"),
+        F.lit(all(b <= a * 1.001 for a, b in zip(costs, costs[1:]))).alias("inertia_falls"),
+        F.lit(all(-1 <= v <= 1 for v in sweep.silhouette.values())).alias("silhouettes_in_range"), F.lit(len(sweep.silhouette)).alias("ks"))
+
+
 @query()
 def kmeans_profiles(spark, sf):
     """Profiles of the best clustering for k = 2 to 8."""

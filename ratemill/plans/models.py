@@ -5,12 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
@@ -27,7 +26,6 @@ from ratemill.operators.filters import dummy_matrix, dummy_names
 from ratemill.session import cut_lineage
 
 WEIGHT = "weight"
-PARALLEL_STARTS = 8
 
 
 def compress(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -138,40 +136,160 @@ class ClusterSweep:
     k: int
     inertia: dict[int, float]
     silhouette: dict[int, float]
+    centres: dict[int, np.ndarray]
     clustered: DataFrame
 
 
-def kmeans_sweep(df: DataFrame, names: Sequence[str], ks: Sequence[int] = tuple(range(2, 9)), seed: int = 7, n_init: int = 20) -> ClusterSweep:
+def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.maximum((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1)[None], 0.0)
+
+
+def _each(points: DataFrame, work, schema: str) -> DataFrame:
+    """``work(x, weights, ids)`` on every batch of points."""
+    def run(frames):
+        for pdf in frames:
+            if len(pdf):
+                yield work(np.stack(pdf["x"]), pdf["w"].to_numpy(), pdf["id"].to_numpy())
+    return points.mapInPandas(run, schema)
+
+
+def _seeded_centres(points: DataFrame, runs: Sequence[tuple[int, int]], seed: int) -> dict[tuple[int, int], np.ndarray]:
+    """First centres of all (k, start): each next one is drawn by weight times squared distance to those before.
+
+    All starts draw side by side: a point's lot is an exponential variable, made from its id, over its share; the smallest lot is drawn.
+    One aggregate a round.
+    """
+    centres: dict[tuple[int, int], np.ndarray] = {}
+    for step in range(max(k for k, _ in runs)):
+        todo = [r for r in runs if r[0] > step]
+
+        def lots(x, w, ids, todo=todo, step=step):
+            found = []
+            for no, run in enumerate(todo):
+                share = w * _squared(x, centres[run]).min(1) if step else w
+                salt = ((seed * 1_000_003 + run[0] * 10_007 + run[1]) * 101 + step) * 0x9E3779B97F4A7C15
+                z = ids.astype(np.uint64) + np.uint64(salt % 2 ** 64)
+                for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                    z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+                u = ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) + 1.0
+                lot = np.where(share > 0, -np.log(u / (2.0 ** 53 + 1)) / np.where(share > 0, share, 1.0), np.inf)
+                best = int(lot.argmin())
+                found.append((no, float(lot[best]), x[best].tolist()))
+            return pd.DataFrame(found, columns=["run", "lot", "x"])
+
+        drawn = _each(points, lots, "run int, lot double, x array<double>").groupBy("run").agg(F.min_by("x", F.struct("lot", "x")).alias("x")).collect()
+        for r in drawn:
+            run = todo[r["run"]]
+            centres[run] = np.vstack([*centres.get(run, np.empty((0, len(r["x"])))), r["x"]])
+    return centres
+
+
+def _moved(points: DataFrame, runs: Sequence[tuple[int, int]], centres: dict[tuple[int, int], np.ndarray]) -> dict[tuple[int, int], tuple[np.ndarray, float]]:
+    """Centres after one step of each run, and the cost before it. A cluster without points keeps its centre."""
+    def sums(x, w, ids):
+        found = []
+        for no, run in enumerate(runs):
+            d = _squared(x, centres[run])
+            own = d.argmin(1)
+            cost = w * d[np.arange(len(x)), own]
+            dealt = np.zeros_like(d)
+            dealt[np.arange(len(x)), own] = w
+            for c, (n, total) in enumerate(zip(dealt.sum(0), dealt.T @ x)):
+                found.append((no, c, float(cost[own == c].sum()), [float(n), *total.tolist()]))
+        return pd.DataFrame(found, columns=["run", "c", "cost", "s"])
+
+    width = next(iter(centres.values())).shape[1] + 1
+    got = _each(points, sums, "run int, c int, cost double, s array<double>").groupBy("run", "c").agg(
+        F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("s")[i]) for i in range(width)]).alias("s")).collect()
+    out = {run: (centres[run].copy(), 0.0) for run in runs}
+    for r in got:
+        run = runs[r["run"]]
+        moved, cost = out[run]
+        if r["s"][0] > 0:
+            moved[r["c"]] = np.array(r["s"][1:]) / r["s"][0]
+        out[run] = moved, cost + r["cost"]
+    return out
+
+
+def _silhouettes(points: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, float]:
+    """Mean silhouette by squared distance for each k. A cluster's size, sum and sum of squares give a point's mean distance to it."""
+    ks = sorted(centres)
+
+    def sums(x, w, ids):
+        found, squares = [], (x * x).sum(1)
+        for k in ks:
+            own = _squared(x, centres[k]).argmin(1)
+            for c in range(k):
+                v = w * (own == c)
+                found.append((k, c, [float(v.sum()), float((v * squares).sum()), *(v @ x).tolist()]))
+        return pd.DataFrame(found, columns=["k", "c", "s"])
+
+    width = next(iter(centres.values())).shape[1] + 2
+    facts: dict[int, np.ndarray] = {k: np.zeros((k, width)) for k in ks}
+    for r in _each(points, sums, "k int, c int, s array<double>").groupBy("k", "c").agg(F.array(*[F.sum(F.col("s")[i]) for i in range(width)]).alias("s")).collect():
+        facts[r["k"]][r["c"]] = r["s"]
+
+    def scores(x, w, ids):
+        found, at = [], np.arange(len(x))
+        for k in ks:
+            n, squares, total = facts[k][:, 0], facts[k][:, 1], facts[k][:, 2:]
+            some = np.maximum(n, 1e-300)
+            mean = np.where(n > 0, (x * x).sum(1)[:, None] + squares / some - 2 * x @ (total / some[:, None]).T, np.inf)
+            own = _squared(x, centres[k]).argmin(1)
+            alone = n[own] <= 1
+            inner = np.where(alone, 0.0, mean[at, own] * n[own] / np.where(alone, 1.0, n[own] - 1))
+            mean[at, own] = np.inf
+            outer = mean.min(1)
+            top = np.maximum(inner, outer)
+            value = np.where(alone | ~np.isfinite(outer) | (top <= 0), 0.0, (outer - inner) / np.where((top > 0) & np.isfinite(top), top, 1.0))
+            found.append((k, float((w * value).sum()), float(w.sum())))
+        return pd.DataFrame(found, columns=["k", "total", "n"])
+
+    rows = _each(points, scores, "k int, total double, n double").groupBy("k").agg((F.sum("total") / F.sum("n")).alias("s")).collect()
+    return {r["k"]: float(r["s"]) for r in rows}
+
+
+def kmeans_sweep(df: DataFrame, names: Sequence[str], ks: Sequence[int] = tuple(range(2, 9)), seed: int = 7, n_init: int = 20,
+                 max_iter: int = 300, tol: float = 1e-6) -> ClusterSweep:
     """Standardised k-means over several k, the cheapest of ``n_init`` starts each; the highest silhouette wins.
 
-    The scaler divides by the sample deviation and the silhouette uses squared distances, so values differ
-    slightly from a population-deviation, plain-distance version.
+    All starts of all k move in one aggregate an iteration: tasks return sums for each centre, so what reaches the driver depends on
+    ``ks``, ``n_init`` and ``names`` alone. A start has settled when its centres move by ``tol`` at most. Columns are divided by their
+    population deviation; the silhouette uses squared distances over all points. Rows count ``weight`` times; ``cluster`` is added to
+    the rows, and a point as near to several centres belongs to the first.
     """
     w = F.col(WEIGHT)
     rows = weighted(df)
     facts = rows.agg(F.sum(w).alias("n"), *[F.sum(w * F.col(f"`{c}`")).alias(f"s{i}") for i, c in enumerate(names)],
                      *[F.sum(w * F.col(f"`{c}`") * F.col(f"`{c}`")).alias(f"q{i}") for i, c in enumerate(names)]).first()
     n = facts["n"]
+    if not n:
+        raise ValueError("k-means needs at least one row")
     means = [facts[f"s{i}"] / n for i in range(len(names))]
-    sds = [math.sqrt(max((facts[f"q{i}"] - n * m * m) / (n - 1), 0.0)) for i, m in enumerate(means)]
-    scaled_cols = [((F.col(f"`{c}`") - m) / (sd or 1.0)).alias(f"_z{i}") for i, (c, m, sd) in enumerate(zip(names, means, sds))]
-    zs = [f"_z{i}" for i in range(len(names))]
-    scaled = vectors(rows.select("*", *scaled_cols), zs).drop(*zs).persist()
-    inertia, silhouette, fits = {}, {}, {}
-    judge = ClusteringEvaluator(predictionCol="cluster", metricName="silhouette", weightCol=WEIGHT)
-    for k in ks:
-        def fit(i: int, k: int = k):
-            return KMeans(k=k, seed=seed + i, initSteps=2, maxIter=300, predictionCol="cluster", weightCol=WEIGHT).fit(scaled)
-        with ThreadPool(PARALLEL_STARTS) as pool:         # small jobs side by side
-            starts = pool.map(inheritable_thread_target(fit), range(n_init))
-        model = min(starts, key=lambda m: m.summary.trainingCost)
-        inertia[k] = float(model.summary.trainingCost)
-        silhouette[k] = float(judge.evaluate(model.transform(scaled)))
-        fits[k] = model
+    sds = [math.sqrt(max(facts[f"q{i}"] / n - m * m, 0.0)) for i, m in enumerate(means)]
+    zs = [((F.col(f"`{c}`") - m) / (sd or 1.0)).cast("double") for c, m, sd in zip(names, means, sds)]
+    raw = rows.groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.sum(w).cast("double").alias("w"))
+    points = raw.select(F.array(*zs).alias("x"), "w", F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("id")).persist()
+    runs = [(k, i) for k in ks for i in range(n_init)]
+    centres = _seeded_centres(points, runs, seed)
+    active, cost = list(runs), {}
+    for _ in range(max_iter):
+        step = _moved(points, active, centres)
+        still = [r for r in active if np.abs(step[r][0] - centres[r]).max() > tol]
+        for r in active:
+            centres[r], cost[r] = step[r]
+        active = still
+        if not active:
+            break
+    cheapest = {k: min((r for r in runs if r[0] == k), key=cost.get) for k in ks}
+    kept = {k: centres[r] for k, r in cheapest.items()}
+    silhouette = _silhouettes(points, kept)
+    points.unpersist()
     best = max(silhouette, key=silhouette.get)
-    out = cut_lineage(fits[best].transform(scaled).drop("features"))
-    scaled.unpersist()
-    return ClusterSweep(best, inertia, silhouette, out)
+    far = F.array(*[sum(((z - float(v)) * (z - float(v)) for z, v in zip(zs, centre)), F.lit(0.0)) for centre in kept[best]])
+    nearest = (F.array_position("_far", F.array_min("_far")) - 1).cast("int")
+    out = cut_lineage(rows.withColumn("_far", far).withColumns({"cluster": nearest, "cluster_distance": F.array_min("_far")}).drop("_far"))
+    return ClusterSweep(best, {k: cost[r] for k, r in cheapest.items()}, silhouette, kept, out)
 
 
 def cluster_profile(clustered: DataFrame, label: str = "label") -> DataFrame:

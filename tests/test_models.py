@@ -94,6 +94,33 @@ def test_tree_and_clusters(people):
     assert all(r["cluster_name"].endswith("exercise") for r in prof)
 
 
+def test_clusters_by_plain_steps(spark):
+    rng = np.random.default_rng(5)
+    at = np.array([[0, 0], [8, 1], [1, 9]])
+    x = np.round(at[rng.integers(0, 3, 400)] + rng.normal(0, 1, (400, 2)), 1)
+    df = spark.createDataFrame(pd.DataFrame(x, columns=["a", "b"])).repartition(5)
+    sweep = M.kmeans_sweep(df, ["a", "b"], (2, 3, 4), n_init=6)
+    z = (x - x.mean(0)) / x.std(0)
+    assert sweep.k == 3
+    for k, centres in sweep.centres.items():
+        far = ((z[:, None] - centres[None]) ** 2).sum(2)
+        own = far.argmin(1)
+        assert sweep.inertia[k] == pytest.approx(far.min(1).sum(), rel=1e-6)
+        assert np.allclose([z[own == c].mean(0) for c in range(k)], centres, atol=1e-5)
+        pair = ((z[:, None] - z[None]) ** 2).sum(2)
+        inner = np.array([pair[i][(own == own[i])].sum() / max((own == own[i]).sum() - 1, 1) for i in range(len(z))])
+        outer = np.array([min(pair[i][own == c].mean() for c in range(k) if c != own[i]) for i in range(len(z))])
+        assert sweep.silhouette[k] == pytest.approx(((outer - inner) / np.maximum(inner, outer)).mean(), abs=1e-9)
+    again = M.kmeans_sweep(df.repartition(2), ["a", "b"], (2, 3, 4), n_init=6)
+    assert again.inertia == pytest.approx(sweep.inertia)                       # starts do not hang on how rows are dealt to tasks
+    doubled = M.kmeans_sweep(df.withColumn("weight", F.lit(2.0)), ["a", "b"], (3,), n_init=6)
+    assert doubled.inertia[3] == pytest.approx(2 * sweep.inertia[3])
+    same = M.kmeans_sweep(spark.createDataFrame([(1.0, 2.0)] * 4, "a double, b double"), ["a", "b"], (2,), n_init=2)
+    assert same.inertia[2] == 0 and same.silhouette[2] == 0 and same.clustered.count() == 4
+    with pytest.raises(ValueError, match="at least one row"):
+        M.kmeans_sweep(df.limit(0), ["a", "b"], (2,))
+
+
 def test_sensitivity(spark):
     a = spark.createDataFrame([("x", 0.5), ("y", -0.1)], "feature string, coefficient double")
     b = spark.createDataFrame([("x", 0.7), ("y", 0.1)], "feature string, coefficient double")
