@@ -18,7 +18,7 @@ from ratemill.operators import aggregates as A
 from ratemill.operators import filters as P
 from ratemill.operators import joins as J
 from ratemill.operators.quality import ExpectationError
-from ratemill.plans import pricing, publish, staging
+from ratemill.plans import pricing, publish, refresh, staging
 from ratemill.session import cut_lineage, run_folder, shared_dir
 from ratemill.sources import files as S
 
@@ -240,6 +240,46 @@ def rate_factor_ids(spark, sf):
     return J.attach_factor_ids(inputs.book(), f, 7).select("risk_factor_id", "product_id", "base_rate")
 
 
+@query("""WITH n AS (SELECT count(DISTINCT p_partkey % 15) AS products FROM part), l AS (SELECT count(*) AS respondents FROM lineitem)
+SELECT step, outcome, run_id, version AS rate_version_id, run_status, version_status, CASE WHEN version IS NULL THEN 0 ELSE 624 END AS factors,
+  CASE WHEN version IS NULL THEN 0 ELSE 624*products END AS rates, CAST(gated AS BIGINT) AS gated, CAST(direction AS BIGINT) AS direction_passed, CAST(kept AS BIGINT) AS book_of_first, respondents
+FROM n, l, (VALUES (1::BIGINT, 'retrained', 1::BIGINT, 1::BIGINT, 'success', 'superseded', 1, 1, 1), (2, 'unchanged', 2, 2, 'success', 'active', 0, NULL, 1),
+  (3, 'gate_failed', 3, NULL, 'failed', NULL, 1, 0, 0)) t(step, outcome, run_id, version, run_status, version_status, gated, direction, kept)""")
+def refresh_outcomes(spark, sf):
+    """Three whole refresh runs over all respondents: a first source, the same again, and one whose risk falls with age while deaths from the
+    condition rise with it. The last stops at the gate; the others publish a version each, the second from the profile the first one kept."""
+    root = run_folder(spark, "refresh")
+    raw = cut_lineage(star.survey(spark, sf).withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_partkey", "l_shipdate", "bmi_implied")))
+    deaths = star.mortality(cut_lineage(star.deaths(spark, sf)))
+    of_condition = (F.col("mortality_rate") * R.ordinal("age_band", fixed.COARSE_LABELS) / 10).cast("decimal(8,6)")
+    every = deaths.where("condition_flag = 'ALLCAUSE'")
+    mortality = cut_lineage(deaths.where("condition_flag = 'BASELINE'").unionByName(every).unionByName(
+        every.withColumns({"condition_flag": F.lit("DIABETES"), "mortality_rate": of_condition})))
+    products = cut_lineage(table(spark, sf, "part").select((F.pmod("p_partkey", F.lit(15)) + 1).cast("int").alias("product_id")).distinct())
+
+    def source(slope: int) -> DataFrame:
+        """Respondents whose share of cases rises by ``slope`` percent a step of the age code, by the key's hash."""
+        limit = 50 + slope * (F.col("age_code") - 7)
+        return raw.withColumn("diabetes_code", F.when(F.pmod(F.xxhash64("row_key"), F.lit(100)) < limit, 1).otherwise(3))
+
+    steps = []
+    for step, slope in enumerate((4, 4, -4), 1):
+        state = S.frame_fingerprint(source(slope), "survey").first().asDict()
+        done = refresh.run_refresh(spark, root, source(slope), "row_key", mortality, products, date(2026, step, 1), state, cohort=2024, first=step == 1)
+        direction = None if done.gate is None else bool(done.gate["direction_passed"])
+        steps.append((step, done.outcome, done.run and done.run["rate_version_id"], done.gate is not None, direction))
+    made = spark.createDataFrame(steps, "step bigint, outcome string, rate_version_id bigint, gated boolean, direction_passed boolean")
+    log = publish.runs(spark, root).select(F.col("run_id").cast("bigint").alias("run_id"), F.col("status").alias("run_status"))
+    rates = publish.rates(spark, root).groupBy("rate_version_id").agg(
+        F.count(F.lit(1)).alias("rates"), F.countDistinct("risk_factor_id").alias("factors"), F.sum("base_rate").alias("total"))
+    chain = publish.versions(spark, root).select("rate_version_id", F.col("status").alias("version_status"))
+    first = rates.where("rate_version_id = 1").select(F.col("total").alias("first_total"))
+    out = made.join(log, made["step"] == log["run_id"]).join(rates, "rate_version_id", "left").join(chain, "rate_version_id", "left").join(F.broadcast(first))
+    return out.join(F.broadcast(raw.agg(F.count(F.lit(1)).alias("respondents")))).select(
+        "step", "outcome", "run_id", "rate_version_id", "run_status", "version_status", F.coalesce("factors", F.lit(0)).alias("factors"),
+        F.coalesce("rates", F.lit(0)).alias("rates"), "gated", "direction_passed", F.coalesce(F.col("total") == F.col("first_total"), F.lit(False)).alias("book_of_first"), "respondents")
+
+
 _DOCS = """
 obs AS (SELECT source || '/' || lang AS source_path, arg_max(sha256(text), doc_id) AS content_hash, arg_max(strlen(text), doc_id) AS byte_size FROM documents GROUP BY 1),
 known AS (SELECT source || '/' || lang AS source_path, arg_max(sha256(text), doc_id) AS known_hash FROM documents JOIN labels USING (doc_id) GROUP BY 1)"""
