@@ -66,6 +66,16 @@ def bind_batch(spark, sf):
     return new.select("contract_id", "contract_number", "application_id", "modal_premium", "issued_rate_version_id", "effective_date")
 
 
+@query(_QUOTE + """
+SELECT application_id, CASE WHEN diabetes_status = 'no' THEN 'bound' ELSE 'withdrawn' END AS status, CASE WHEN diabetes_status = 'yes' THEN 'not available to bind' END AS reason FROM priced""")
+def bind_outcomes(spark, sf):
+    """Each quote's state after binding, and why it was refused."""
+    ok, _ = L.quote(requests(spark, sf), customers(spark, sf), star.active_book(spark, sf))
+    ok = ok.withColumn("status", F.when(F.col("diabetes_status") == "yes", "withdrawn").otherwise(F.col("status")))
+    _, after, bad = L.bind(ok, star.contracts(spark, sf), date(2024, 6, 1))
+    return after.select("application_id", "status").join(bad.select("application_id", "reason"), "application_id", "left")
+
+
 _RENEW = "WITH" + _BOOK + "," + star.APPLICATIONS + "," + star.CONTRACTS + "," + star.WELLNESS + f""",
 req AS (SELECT contract_id, CAST(effective_date + to_years(2024 - CAST(year(effective_date) AS INT)) AS DATE) AS renewal_date FROM contracts
   UNION ALL SELECT -1 - contract_id, DATE '2024-03-01' FROM enrollments),
@@ -176,18 +186,21 @@ def prior_quote_delta(spark, sf):
 @query("WITH" + _BOOK + "," + star.APPLICATIONS + "," + star.CONTRACTS + "," + star.WELLNESS + f""",
 act AS (SELECT user_id AS enrollment_id, count(*) AS activities FROM events WHERE event_type <> 'error' AND year(ts) = 2024 GROUP BY 1),
 cr AS (SELECT enrollment_id, CAST(sum(improvement_pct)*100 AS BIGINT) AS cents, count(*) AS n FROM improvements WHERE improvement_pct > 0 AND measure_date < DATE '2025-01-20' GROUP BY 1),
+have AS (SELECT o_orderkey AS contract_id, o_orderkey + 7 AS existing_renewal_id FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'O'),
 p AS (SELECT c.contract_id, contract_number, e.enrollment_id, coalesce(activities, 0) AS activities,
     least(coalesce({star.half_up('cents', 'n*100', 6, 'DECIMAL(11,6)')}, 0), 15)::DECIMAL(9,6) AS credit,
     CAST(CAST(round(base_rate * CAST(face_amount AS DECIMAL(12,2)), 0) AS DECIMAL(22,0)) * 0.001 AS DECIMAL(18,3)) AS base
   FROM contracts c JOIN applications USING (application_id) LEFT JOIN enrollments e ON e.contract_id = c.contract_id JOIN book USING ({_KEY})
   LEFT JOIN act ON act.enrollment_id = e.enrollment_id LEFT JOIN cr ON cr.enrollment_id = e.enrollment_id)
 SELECT contract_id, contract_number, '2025-01-20' AS renewal_date, enrollment_id, activities, CAST(CAST(credit AS DECIMAL(5,2)) AS DOUBLE) AS credit_pct,
-  CAST(base AS DOUBLE) AS base_premium, CAST(CAST(CAST(base AS DECIMAL(15,3)) * CAST(100 - credit AS DECIMAL(9,6)) * 0.01 AS DECIMAL(12,2)) AS DOUBLE) AS projected_premium FROM p""")
+  CAST(base AS DOUBLE) AS base_premium, CAST(CAST(CAST(base AS DECIMAL(15,3)) * CAST(100 - credit AS DECIMAL(9,6)) * 0.01 AS DECIMAL(12,2)) AS DOUBLE) AS projected_premium, h.existing_renewal_id
+FROM p LEFT JOIN have h USING (contract_id)""")
 def wellness_projection(spark, sf):
     apps = star.profiled(star.applications(spark, sf))
-    out = L.projection(star.contracts(spark, sf), apps, star.enrollments(spark, sf), A.period_rollup(star.activity(spark, sf), "year"),
-                       star.improvements(spark, sf), star.active_book(spark, sf), star.renewals_2024(spark, sf), date(2024, 1, 20))
-    return out.drop("existing_renewal_id")
+    ahead = table(spark, sf, "orders").where("o_orderpriority = '5-LOW' and o_orderstatus = 'O'").select(
+        F.col("o_orderkey").alias("contract_id"), F.lit(date(2025, 1, 20)).alias("renewal_date"), (F.col("o_orderkey") + 7).alias("renewal_id"))
+    return L.projection(star.contracts(spark, sf), apps, star.enrollments(spark, sf), A.period_rollup(star.activity(spark, sf), "year"),
+                        star.improvements(spark, sf), star.active_book(spark, sf), star.renewals_2024(spark, sf).unionByName(ahead), date(2024, 1, 20))
 
 
 @query("""WITH r AS (SELECT o_orderkey, o_custkey AS contract_id, CASE WHEN o_orderstatus = 'P' THEN 99 ELSE CAST(substr(o_orderpriority, 1, 1) AS INT) END AS program_id,

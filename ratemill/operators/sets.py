@@ -36,25 +36,29 @@ def sample_hash(key: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]).cast("binary"))
 
 
-def hash_cuts(df: DataFrame, group: Column, h: Column, wanted: Callable[[Column], Column]) -> DataFrame:
-    """(_g, _cut): the hash up to which a group has ``wanted(size)`` rows. Groups of which none are wanted are left out.
+def hash_cuts(df: DataFrame, group: Column, h: Column, *wanted: Callable[[Column], Column]) -> DataFrame:
+    """(_g, _k, _cut): the hash up to which a group has as many rows as the k-th of ``wanted`` says of its size. Where none are, the row is
+    left out.
 
-    Rows are counted by the hash's first digits; the running count says in which of these the cut lies. Its rows are counted by twice the
-    digits, and the rest, one in four billion, hash by hash. Only counts are shuffled. ``df`` is read three times.
+    Rows are counted by the hash's first digits; the running count says in which of these a cut lies. Its rows are counted by twice the
+    digits, and the rest, one in four billion, hash by hash. Only counts are shuffled. ``df`` is read three times, whatever the number of cuts.
     """
     rows = df.select(group.alias("_g"), h.alias("_h"))
     at = None
     for digits in (DIGITS, 2 * DIGITS, 32):
         prefix = F.substring("_h", 1, digits)
         part = rows if at is None else rows.join(broadcast_if_small(at), (rows["_g"] == at["_bg"]) & F.col("_h").startswith(at["_at"]))
-        counts = part.groupBy("_g", prefix.alias("_p"), *([] if at is None else ["_left"])).agg(F.count(F.lit(1)).alias("_n"))
-        w = Window.partitionBy("_g")
+        keys = ["_g"] if at is None else ["_g", "_k", "_left"]
+        counts = part.groupBy(*keys, prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+        w = Window.partitionBy(*keys)
         upto = F.sum("_n").over(w.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0))
         runs = counts.withColumns({"_upto": upto, "_size": F.sum("_n").over(w)})
-        left = F.least(wanted(F.col("_size")), F.col("_size")).cast("bigint") if at is None else F.col("_left")
-        runs = runs.withColumn("_want", left).where((F.col("_upto") - F.col("_n") < F.col("_want")) & (F.col("_want") <= F.col("_upto")))
-        at = cut_lineage(runs.select(F.col("_g").alias("_bg"), F.col("_p").alias("_at"), (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_left")))
-    return at.select(F.col("_bg").alias("_g"), F.col("_at").alias("_cut"))
+        if at is None:
+            left = [F.least(want(F.col("_size")), F.col("_size")).cast("bigint") for want in wanted]
+            runs = runs.select("*", F.posexplode(F.array(*left)).alias("_k", "_left"))
+        runs = runs.where((F.col("_upto") - F.col("_n") < F.col("_left")) & (F.col("_left") <= F.col("_upto")))
+        at = cut_lineage(runs.select(F.col("_g").alias("_bg"), "_k", F.col("_p").alias("_at"), (F.col("_left") - F.col("_upto") + F.col("_n")).alias("_left")))
+    return at.select(F.col("_bg").alias("_g"), "_k", F.col("_at").alias("_cut"))
 
 
 def sample_n(df: DataFrame, key: Sequence[str], n: int, seed: int) -> DataFrame:
@@ -72,4 +76,15 @@ def stratified_split(df: DataFrame, label: str, key: Sequence[str], test_fractio
     group, h = F.struct(F.col(label)), sample_hash(key, seed)
     cuts = hash_cuts(df, group, h, lambda size: F.round(size * F.lit(test_fraction)))
     marked = df.withColumn("_g", group).join(broadcast_if_small(cuts), "_g", "left")
-    return marked.withColumn("split", F.when(h <= F.col("_cut"), "test").otherwise("train")).drop("_g", "_cut")
+    return marked.withColumn("split", F.when(h <= F.col("_cut"), "test").otherwise("train")).drop("_g", "_k", "_cut")
+
+
+def stratified_folds(df: DataFrame, label: str, key: Sequence[str], folds: int = 5, seed: int = 7) -> DataFrame:
+    """Adds ``fold``, 0 to folds - 1, of sizes that differ by one at most inside each label (null is one): ranges of the unique ``key``'s
+    hashes. Rows are not shuffled, they meet their label's cuts; rows alike in ``key`` share a fold."""
+    group, h = F.struct(F.col(label)), sample_hash(key, seed)
+    found = hash_cuts(df, group, h, *[lambda size, k=k: F.floor(size * k / folds) for k in range(1, folds)])
+    cuts = found.groupBy("_g").agg(F.collect_list("_cut").alias("_cuts"))      # folds - 1 a label
+    marked = df.withColumn("_g", group).join(broadcast_if_small(cuts), "_g", "left").withColumn("_h", h)
+    within = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<string>")), lambda c: F.col("_h") <= c))
+    return marked.withColumn("fold", F.lit(folds - 1) - within).drop("_g", "_cuts", "_h")

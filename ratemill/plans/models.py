@@ -8,12 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,32 +103,6 @@ def classification_metrics(df: DataFrame, label: str, prob: str) -> DataFrame:
         F.broadcast(K.pr_auc_of(counts, prob)))
 
 
-@dataclass
-class TreeSearch:
-    model: object
-    depth: int
-    cv_auc: float
-    by_depth: dict[int, float]
-
-
-def tree_cv(df: DataFrame, label: str, names: Sequence[str], key: Sequence[str], depths: Sequence[int] = tuple(range(1, 9)),
-            folds: int = 5, seed: int = 7) -> TreeSearch:
-    """Depth of a decision tree by cross-validated AUC; folds are spread evenly within each label.
-
-    ``key`` is a unique row key, so the hash order that deals rows to folds has no heavy ties.
-    """
-    from ratemill.operators.cumulative import hash_rank
-    keyed = hash_rank(df, [label], key, seed, "_rank")
-    data = _labelled(keyed, label, names, F.pmod(F.col("_rank"), F.lit(folds)).cast("int").alias("fold"))
-    tree = DecisionTreeClassifier(seed=seed, weightCol=WEIGHT)
-    grid = ParamGridBuilder().addGrid(tree.maxDepth, list(depths)).build()
-    fit = CrossValidator(estimator=tree, estimatorParamMaps=grid, numFolds=folds, foldCol="fold",
-                         evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"), parallelism=2).fit(data)
-    by_depth = dict(zip(depths, (float(m) for m in fit.avgMetrics)))
-    best = max(by_depth, key=by_depth.get)
-    return TreeSearch(fit.bestModel, best, by_depth[best], by_depth)
-
-
 @dataclass
 class ClusterSweep:
     k: int

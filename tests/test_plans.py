@@ -7,7 +7,7 @@ import pytest
 from ratemill.catalog import all_queries
 
 SF = "/root/testdata/sf0.001"
-EAGER = {"kmeans_profiles", "logit_inference", "logit_fit_checks", "stream_verified", "publish_roundtrip", "publication_log", "expectation_verdicts", "load_manifest"}
+EAGER = {"kmeans_profiles", "logit_inference", "logit_fit_checks", "tree_depth_search", "tree_nodes", "wald_checks", "sensitivity_refit", "scored_grid", "sparse_cells_scored", "stream_verified", "publish_roundtrip", "publication_log", "expectation_verdicts", "load_manifest"}
 
 
 def plan(spark, name):
