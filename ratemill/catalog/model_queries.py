@@ -298,8 +298,8 @@ r AS (SELECT gender, rank() OVER (PARTITION BY gender ORDER BY mean_score) + (co
   rank() OVER (PARTITION BY gender ORDER BY f) + (count(*) OVER (PARTITION BY gender, f) - 1)/2.0 AS b FROM m),
 sp AS (SELECT gender, corr(a, b) AS spearman FROM r GROUP BY 1),
 lb AS (SELECT quality, count(*) AS n, floor(count(*)*0.2 + 0.5) AS n_test FROM labels GROUP BY 1),
-base AS (SELECT gender, mortality_rate, lag(mortality_rate) OVER (PARTITION BY gender ORDER BY {star.band_no("age_band")}) AS q FROM mortality
-  WHERE condition_flag = 'BASELINE' AND age_band IN (SELECT age_band FROM records))
+base AS (SELECT gender, mortality_rate, lag(mortality_rate) OVER (PARTITION BY gender ORDER BY {star.band_no("age_band")}) AS q FROM baseline
+  WHERE age_band IN (SELECT age_band FROM records))
 SELECT (SELECT round((sum(r) FILTER (WHERE y = 1) - sum(y)*(sum(y)+1)/2.0) / (sum(y)::DOUBLE*(count(*)-sum(y))), 6) FROM ranked) AS auc,
   (SELECT round(avg((y-p)*(y-p)), 6) FROM scored) AS brier, (SELECT round(spearman, 6) FROM sp WHERE gender = 'F') AS spearman_f,
   (SELECT round(spearman, 6) FROM sp WHERE gender = 'M') AS spearman_m, (SELECT CAST(sum(n_test) AS BIGINT) FROM lb) AS n_test, (SELECT CAST(sum(n - n_test) AS BIGINT) FROM lb) AS n_train,
