@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import re
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from urllib.parse import quote
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,6 +20,8 @@ from ratemill.session import broadcast_if_small, cut_lineage
 BLOCK_BYTES = 64 << 20
 NODE_BLOCKS = 4096
 READ_BYTES = 1 << 20
+TASK_BYTES = 64 << 20   # read by a task that hashes ranges, about
+MIN_TASKS = 32
 ROWS_PER_FILE = 5_000_000
 
 
@@ -200,36 +203,44 @@ def backfill(df: DataFrame, col: str, value: Column, key: str, lo: int, hi: int)
 
 
 def _hash_ranges(block: int):
-    """Reads byte ranges through the file system of each file's address, a megabyte at a time."""
-    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Reads runs of byte ranges through the file system of each file's address, a megabyte at a time, and opens a file once a run."""
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
-        for pdf in frames:
-            found = []
-            for path, size, no in zip(pdf["source_path"], pdf["byte_size"], pdf["block_no"]):
+        for batch in batches:
+            for path, size, first, past in zip(*[batch[c].to_pylist() for c in ("source_path", "byte_size", "first", "past")]):
                 system, name = fs.FileSystem.from_uri(quote(re.sub("^s3[an]:", "s3:", path), safe=":/"))
-                value, left = hashlib.sha256(), int(min(block, size - no * block))
+                found = []
                 with system.open_input_file(name) as f:
-                    f.seek(int(no * block))
-                    while left and (piece := f.read(min(left, READ_BYTES))):
-                        value.update(piece)
-                        left -= len(piece)
-                if left:
-                    raise OSError(f"{path} is shorter than its listing said")
-                found.append(value.hexdigest())
-            yield pd.DataFrame({"source_path": pdf["source_path"], "byte_size": pdf["byte_size"], "block_no": pdf["block_no"], "block_hash": found})
+                    f.seek(first * block)
+                    data = io.BufferedReader(f, READ_BYTES)
+                    for no in range(first, past):
+                        value, left = hashlib.sha256(), min(block, size - no * block)
+                        while left and (piece := data.read(min(left, READ_BYTES))):
+                            value.update(piece)
+                            left -= len(piece)
+                        if left:
+                            raise OSError(f"{path} is shorter than its listing said")
+                        found.append(value.hexdigest())
+                n = len(found)
+                yield pa.RecordBatch.from_arrays([pa.array([path] * n), pa.array([size] * n, pa.int64()), pa.array(range(first, past), pa.int64()), pa.array(found)],
+                                                 ["source_path", "byte_size", "block_no", "block_hash"])
     return hashed
 
 
 def block_hashes(files: DataFrame, block: int = BLOCK_BYTES) -> DataFrame:
     """(source_path, byte_size, block_no, block_hash) per byte range of ``block`` bytes of files given by path and size.
 
-    Ranges are rows of their own, dealt to as many tasks as there are ranges, so one large file is read side by side. An empty file has
-    one empty range; a file that shrinks while it is read raises.
+    Consecutive ranges of a file are runs, and runs are dealt to tasks: as many as ``TASK_BYTES`` of bytes or ``NODE_BLOCKS`` ranges each take, and
+    ``MIN_TASKS`` where there are that many ranges. So one large file is read side by side, and short ranges or files share a task. An empty file
+    has one empty range; a file that shrinks while it is read raises.
     """
     blocks = F.greatest(F.expr(f"(byte_size + {block - 1}) div {block}"), F.lit(1).cast("bigint"))
-    total = files.agg(F.coalesce(F.sum(blocks), F.lit(1))).first()[0]
-    ranges = files.select("source_path", "byte_size", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("block_no"))
-    return ranges.repartition(int(total), "source_path", "block_no").mapInPandas(
+    total, size = files.agg(F.coalesce(F.sum(blocks), F.lit(1)), F.coalesce(F.sum("byte_size"), F.lit(0))).first()
+    tasks = min(total, max(MIN_TASKS, -(-size // TASK_BYTES), -(-total // NODE_BLOCKS)))
+    run = total // tasks
+    runs = files.select("source_path", "byte_size", blocks.alias("n"), F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1, F.lit(run).cast("bigint"))).alias("first"))
+    runs = runs.withColumn("past", F.least(F.col("first") + run, F.col("n"))).drop("n")
+    return runs.repartition(int(tasks), "source_path", "first").mapInArrow(
         _hash_ranges(block), "source_path string, byte_size bigint, block_no bigint, block_hash string")
 
 

@@ -130,6 +130,10 @@ def test_fingerprints(spark, folder):
     files = spark.read.format("binaryFile").load(f"{folder}/x.bin").select(F.col("path").alias("source_path"), F.col("length").alias("byte_size"))
     blocks = S.block_hashes(files, 700)
     assert blocks.rdd.getNumPartitions() == blocks.count() == 8                # the file is not read by one task
+    put(folder, "many.bin", data * 20)
+    many = S.block_hashes(spark.createDataFrame([(f"file:{folder}/many.bin", 100_000), (f"file:{folder}/x.bin", 5000)], "source_path string, byte_size bigint"), 16)
+    assert many.rdd.getNumPartitions() == S.MIN_TASKS and many.count() == 6250 + 313      # short ranges share tasks
+    assert S.source_state(spark, f"{folder}/many.bin", block=16, node=5).first()["content_hash"] == tree_hash(data * 20, 16, 5)
     with pytest.raises(Exception, match="shorter"):
         S.hash_files(files.withColumn("byte_size", F.lit(6000).cast("bigint"))).collect()
     assert S.hash_files(files.limit(0)).count() == 0
