@@ -106,6 +106,22 @@ def test_every_gram_has_its_own_probability(llm, monkeypatch):
     assert all(math.isclose(got[d], want[lang, x.encode()], rel_tol=1e-9) for d, lang, x in rows if x)
 
 
+def test_languages_and_starts_are_told_apart(llm):
+    """Languages whose checksums meet have models of their own, and a control character in a text is not taken for the start of one."""
+    seen, pair = {}, None
+    for name in (f"{i * 0x9E3779B97F4A7C15 % 2 ** 64:x}" for i in range(200_000)):
+        if (other := seen.setdefault(zlib.crc32(name.encode()) >> 8, name)) != name:
+            pair = other, name
+            break
+    rows = [(i, pair[i % 2], f"{'abc cab' if i % 2 else 'xyz abz'} {i}") for i in range(8)]
+    rows += [(10 + i, "en", x) for i, x in enumerate(["\x02\x02b", "abab", "ab \x02\x02ba", "b\x02\x02a"])]
+    want = plain_model([(lang, x.encode().replace(b"\x02", b"\xFE")) for _, lang, x in rows], 3)      # a byte that is no mark
+    got = {r.doc_id: r.log_perplexity for r in quality_rules(llm.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    assert all(math.isclose(got[d], want[lang, x.encode().replace(b"\x02", b"\xFE")], rel_tol=1e-9) for d, lang, x in rows)
+    with pytest.raises(ValueError, match="order"):
+        quality_rules(odd_docs(llm), order=6)
+
+
 def test_clean_documents_are_kept(llm):
     labels = {r["doc_id"]: r["quality"] for r in pq.read_table(f"{SF}/labels.parquet").to_pylist()}
     rows = [r for r in QUERIES["op6_quality_rules"](llm, SF).collect() if r.doc_id in labels and not r.base_failed]
