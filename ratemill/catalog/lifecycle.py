@@ -13,6 +13,7 @@ from ratemill.operators import aggregates as A
 from ratemill.operators import joins as J
 from ratemill.operators import ranking as K
 from ratemill.plans import lifecycle as L
+from ratemill.session import spread
 
 _BOOK = star.RATING + "," + star.book_sql(2023) + "," + star.VERSIONS
 _KEY = "age_band, gender, smoking_status, diabetes_status, bmi_band, product_id"
@@ -155,7 +156,8 @@ SELECT contract_id, CAST(renewal_date AS VARCHAR) AS renewal_date, CAST(year(ren
 def historical_renewals(spark, sf):
     """Past anniversaries; screenings are line items of the enrolled customer."""
     owner = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("enrollment_id"))
-    screens = table(spark, sf, "lineitem").join(owner, "l_orderkey").select(
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate", "l_tax")
+    screens = spread(lines, lines.count(), "l_orderkey").join(owner, "l_orderkey").select(
         "enrollment_id", F.col("l_shipdate").cast("date").alias("measure_date"),
         (star.pct("l_tax") * 4 - 6).cast("decimal(5,2)").alias("improvement_pct"))
     return L.historical_renewals(star.contracts(spark, sf), star.enrollments(spark, sf), screens, star.versions(spark, sf), date(2001, 8, 1))

@@ -15,6 +15,7 @@ from ratemill.functions.money import exact_ratio
 from ratemill.operators.cumulative import null_safe_join, numbered, quantiles
 from ratemill.operators.filters import half_open
 from ratemill.operators.sets import union_facts
+from ratemill.session import spread
 
 
 def verified_counts(activity: DataFrame, lo: date, hi: date, enrollment_id=None,
@@ -130,23 +131,30 @@ def wellness_credit(improvements: DataFrame, requests: DataFrame, cap=fixed.CRED
     The mean of positive improvement percents measured strictly before the renewal date, rounded to
     ``scale`` digits and capped; 0 without any. With ``enrollments`` only measures from the enroll date on
     count. Improvements and requests shrink to one row per enrollment and day, so the running sums of an
-    enrollment never hold more rows than there are days.
+    enrollment never hold more rows than there are days. Both are counted first and dealt to as many tasks as that takes.
     """
     good = improvements.where(F.col("improvement_pct") > 0)
+    rows = good.count()
     if enrollments is not None:
-        good = good.join(enrollments.select("enrollment_id", "enroll_date"), "enrollment_id").where(
+        good = spread(good, rows, "enrollment_id", "measure_date").groupBy("enrollment_id", "measure_date").agg(
+            F.sum("improvement_pct").alias("improvement_pct"), F.count(F.lit(1)).alias("n"))
+        good = spread(good, rows, "enrollment_id").join(spread(enrollments.select("enrollment_id", "enroll_date"), rows, "enrollment_id"), "enrollment_id").where(
             F.col("measure_date") >= F.col("enroll_date"))
+    else:
+        good = spread(good, rows, "enrollment_id", "measure_date").withColumn("n", F.lit(1))
     zero = F.lit(0).cast("decimal(20,2)")
     daily = good.groupBy("enrollment_id", F.col("measure_date").alias("day")).agg(
-        F.sum("improvement_pct").cast("decimal(20,2)").alias("total"), F.count(F.lit(1)).alias("n")
+        F.sum("improvement_pct").cast("decimal(20,2)").alias("total"), F.sum("n").alias("n")
     ).withColumn("asked", F.lit(False))
     marks = requests.select("enrollment_id", F.col("renewal_date").alias("day")).where(
-        "enrollment_id is not null and day is not null").distinct().select(
+        "enrollment_id is not null and day is not null")
+    asked = marks.count()
+    marks = spread(marks, asked, "enrollment_id", "day").distinct().select(
         "enrollment_id", "day", zero.alias("total"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("asked"))
     # On one day the request sorts before the measures, which makes the comparison strict.
     upto = Window.partitionBy("enrollment_id").orderBy("day", F.when(F.col("asked"), 0).otherwise(1)).rowsBetween(
         Window.unboundedPreceding, 0)
-    run = daily.unionByName(marks).select("enrollment_id", "day", "asked", F.sum("total").over(upto).alias("total"),
+    run = spread(daily.unionByName(marks), rows + asked, "enrollment_id").select("enrollment_id", "day", "asked", F.sum("total").over(upto).alias("total"),
                                           F.sum("n").over(upto).alias("n")).where("asked")
     mean = (F.col("total") / F.nullif(F.col("n"), F.lit(0)).cast("decimal(19,0)")).cast(f"decimal(20,{scale})")
     credit = F.least(F.coalesce(mean, F.lit(0).cast(f"decimal(20,{scale})")), F.lit(cap)).cast(f"decimal({scale + 3},{scale})")

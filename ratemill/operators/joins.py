@@ -9,20 +9,21 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratemill import fixed
+from ratemill import fixed, session
 from ratemill.functions import recode as R
 from ratemill.session import broadcast_if_small
 
 OPEN = 1 << 20      # stands for the power of two of a band without one of its ends
 
 
-def left_join_spreading_nulls(left: DataFrame, right: DataFrame, key: str, spread: str, also: Sequence[str] = ()) -> DataFrame:
+def left_join_spreading_nulls(left: DataFrame, right: DataFrame, key: str, spread: str, also: Sequence[str] = (), rows: int = 0) -> DataFrame:
     """Left join on a key that many left rows lack. Rows without it match nothing, yet a plain join would send
-    them all to one task; here they are hashed by ``spread`` instead."""
+    them all to one task; here they are hashed by ``spread`` instead. ``rows``, the left rows where they have been
+    counted, sets the number of tasks."""
     kind = left.schema[key].dataType
     l = left.withColumns({"_absent": F.col(key).isNull(), "_k": F.coalesce(F.col(key), F.col(spread).cast(kind))})
     r = right.withColumnRenamed(key, "_k").withColumn("_absent", F.lit(False))
-    return l.join(r, ["_absent", "_k", *also], "left").drop("_absent", "_k")
+    return session.spread(l, rows, "_k", *also).join(r, ["_absent", "_k", *also], "left").drop("_absent", "_k")
 
 
 def party_contracts(parties: DataFrame, contracts: DataFrame, customer_id=None) -> DataFrame:
@@ -263,9 +264,10 @@ def lake_join(lake: DataFrame, staged: DataFrame, lake_cond: Column, staged_cond
     return lake.where(lake_cond).crossJoin(broadcast_if_small(staged.where(staged_cond)))
 
 
-def external_reference(scores: DataFrame, reference: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
-    """Mean score per reference cell beside the reference values."""
-    return scores.groupBy(*keys).agg(F.avg(score).alias(f"mean_{score}")).join(reference, list(keys))
+def external_reference(scores: DataFrame, reference: DataFrame, keys: Sequence[str], score: str, weight: str | None = None) -> DataFrame:
+    """Mean score, weighted where a ``weight`` is named, per reference cell beside the reference values."""
+    mean = F.sum(F.col(score) * F.col(weight)) / F.sum(F.when(F.col(score).isNotNull(), F.col(weight))) if weight else F.avg(score)
+    return scores.groupBy(*keys).agg(mean.alias(f"mean_{score}")).join(reference, list(keys))
 
 
 def lineage(states: DataFrame, runs: DataFrame, versions: DataFrame, rates: DataFrame,

@@ -13,6 +13,7 @@ from ratemill.functions import recode as R
 from ratemill.operators import aggregates as A
 from ratemill.operators import joins as J
 from ratemill.operators.ranking import anniversaries, as_of_version
+from ratemill.session import spread
 
 
 def first_reason(*checks: tuple[Column, str]) -> Column:
@@ -101,9 +102,10 @@ def historical_renewals(contracts: DataFrame, enrollments: DataFrame, improvemen
                         as_of: date) -> DataFrame:
     """Every past anniversary with its credit (measures from enrollment on), version in force and premium."""
     a = anniversaries(contracts.select("contract_id", "effective_date", "expiry_date", "modal_premium"), as_of)
-    a = a.join(enrollments.select("contract_id", "enrollment_id"), "contract_id", "left")
+    rows = a.count()
+    a = spread(a, rows, "contract_id").join(enrollments.select("contract_id", "enrollment_id"), "contract_id", "left")
     credit = A.wellness_credit(improvements, a, enrollments=enrollments)
-    a = J.left_join_spreading_nulls(a, credit, "enrollment_id", "contract_id", ["renewal_date"]).withColumn(
+    a = J.left_join_spreading_nulls(a, credit, "enrollment_id", "contract_id", ["renewal_date"], rows).withColumn(
         "credit_pct", F.coalesce("credit_pct", F.lit(0).cast("decimal(5,2)")))
     a = as_of_version(a, "renewal_date", versions)
     return a.select("contract_id", "renewal_date", F.col("rate_version_id").alias("new_rate_version_id"),

@@ -1,5 +1,6 @@
 """Quote, bind, renew and wellness requests on small fixtures."""
 
+import re
 from datetime import date
 from decimal import Decimal as D
 
@@ -111,3 +112,19 @@ def test_dashboard(spark):
     assert [tuple(r) for r in d["participation"].collect()] == [(2023, 1, 1, 2), (2024, 2, 12, 2)]
     assert [(r["run_id"], r["retrained"]) for r in d["runs"].collect()] == [(2, False), (1, True)]
     assert tuple(d["tiles"].first()) == (2, 1, 13)
+
+
+def test_credit_tasks_follow_the_rows(spark, monkeypatch):
+    """Sums, joins and windows of past renewals take more tasks where there are more rows, and give what they give in few."""
+    from ratemill import session
+    from ratemill.catalog import all_queries
+
+    def run():
+        return all_queries()["historical_renewals"](spark, "/root/testdata/sf0.001")
+
+    few = run()
+    monkeypatch.setattr(session, "TASK_ROWS", 100, raising=False)
+    many = run()
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    tasks = [int(x) for x in re.findall(r"(?:Exchange|Shuffle)[^\n]*hashpartitioning\([^)\n]*, (\d+)\)", plan) if int(x) > 8]
+    assert len(tasks) >= 6 and sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
