@@ -191,6 +191,26 @@ def test_sample_holds_a_document_once(llm, monkeypatch):
     assert len(seen) <= 2 and max(seen) <= 100 and seen[-1] == 100
 
 
+def test_fit_takes_every_labelled_row(llm, monkeypatch):
+    """All rows in one bucket give the plain fit; in many buckets, with a rare side, every row still counts and the model is close to it."""
+    from ratemill.llm import ranking
+    monkeypatch.setattr(ranking, "fit_pairs", None)
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(30_000, 14)), 3)
+    good = x @ np.linspace(-1, 1, 14) + rng.normal(size=30_000) > 3
+    schema = "doc_id long, text_key long, features array<double>"
+    docs = llm.createDataFrame([(3 * i, 0, v) for i, v in enumerate(x.tolist())], schema)
+    labels = llm.createDataFrame([(3 * i, int(g)) for i, g in enumerate(good.tolist())], "doc_id long, quality int")
+    own = np.array([zlib.crc32(str(3 * i).encode()) % 3 != 1 for i in range(30_000)])
+    order = np.lexsort([3 * np.flatnonzero(own), *x[own].T, good[own]])
+    plain = fit_pairs(x[own][order], good[own][order])
+    for rows, tolerance in ((50_000, 1e-7), (1_000, 0.1)):
+        monkeypatch.setattr(ranking, "BUCKET_ROWS", rows, raising=False)
+        model = ranking.learned(docs, labels)
+        assert np.allclose(model.mean, plain.mean) and np.allclose(model.scale, plain.scale) and np.allclose(model.weights, plain.weights, atol=tolerance)
+        assert (model.scores(x[own]) >= 0.5).sum() == good[own].sum()
+
+
 def test_fit_and_scores_against_plain_descent(llm):
     """The pairwise fit against gradient steps on the same loss, and the query's scores against that model worked out text by text."""
     from ratemill.llm import ranking
