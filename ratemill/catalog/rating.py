@@ -249,7 +249,10 @@ def refresh_outcomes(spark, sf):
     """Three whole refresh runs over all respondents: a first source, the same again, and one whose risk falls with age while deaths from the
     condition rise with it. The last stops at the gate; the others publish a version each, the second from the profile the first one kept."""
     root = run_folder(spark, "refresh")
-    raw = cut_lineage(star.survey(spark, sf).withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_partkey", "l_shipdate", "bmi_implied")))
+    raw = star.survey(spark, sf).withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_partkey", "l_shipdate", "bmi_implied"))
+    kept = run_folder(spark, "respondents")
+    raw.write.parquet(kept)         # by columns: most steps read a few of them
+    raw = spark.read.schema(raw.schema).parquet(kept)
     deaths = star.mortality(cut_lineage(star.deaths(spark, sf)))
     of_condition = (F.col("mortality_rate") * R.ordinal("age_band", fixed.COARSE_LABELS) / 10).cast("decimal(8,6)")
     every = deaths.where("condition_flag = 'ALLCAUSE'")

@@ -64,17 +64,17 @@ def with_running_totals(df: DataFrame, groups: Sequence[str], range_: str, order
                           *[F.sum(f"_p_{k}").over(w).alias(name) for k, name in totals.items()])
     inner = Window.partitionBy(range_, "_g").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     ranked = df.withColumns({f"_i_{k}": F.sum(f"_a_{k}").over(inner) for k in amounts})
-    joined = ranked.join(offsets, [range_, "_g"]).withColumns({k: F.col(f"_i_{k}") + F.col(f"_o_{k}") for k in amounts})
+    joined = ranked.join(offsets if groups else F.broadcast(offsets), [range_, "_g"]).withColumns({k: F.col(f"_i_{k}") + F.col(f"_o_{k}") for k in amounts})
     return joined.drop("_g", *[f"_{x}_{k}" for k in amounts for x in "aio"])
 
 
-def tie_counts(df: DataFrame, groups: Sequence[str], value: str, extra: Mapping[str, Column] | None = None) -> DataFrame:
-    """One row per (group, distinct value) with ``ties`` rows and extra sums.
+def tie_counts(df: DataFrame, groups: Sequence[str], value: str, extra: Mapping[str, Column] | None = None, weight: str | None = None) -> DataFrame:
+    """One row per (group, distinct value) with ``ties`` rows and extra sums; a row counts ``weight`` times where that is named.
 
     It is kept as a table: cuts, sums of ranges and ranks all read it, and the input is aggregated once.
     """
     return cut_lineage(df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(
-        F.count(F.lit(1)).alias("ties"), *[c.alias(name) for name, c in (extra or {}).items()]))
+        (F.sum(weight).cast("long") if weight else F.count(F.lit(1))).alias("ties"), *[c.alias(name) for name, c in (extra or {}).items()]))
 
 
 def rank_ties(counts: DataFrame, groups: Sequence[str], value: str, extra: Sequence[str] = ()) -> DataFrame:

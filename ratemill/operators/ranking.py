@@ -113,9 +113,11 @@ def monotonic_violations(df: DataFrame, group: Sequence[str], order: Column, val
                                     (F.count_if(F.col(value) < F.col("_prev")) == 0).alias("non_decreasing"))
 
 
-def score_counts(df: DataFrame, group: Sequence[str], label: str, score: str) -> DataFrame:
-    """Rows (ties) and positives (pos) per group and distinct score: all any metric below needs."""
-    return tie_counts(df.where(F.col(label).isNotNull()), group, score, {"pos": F.sum(F.col(label).cast("long"))})
+def score_counts(df: DataFrame, group: Sequence[str], label: str, score: str, weight: str | None = None) -> DataFrame:
+    """Rows (ties) and positives (pos) per group and distinct score: all any metric below needs. A row counts ``weight`` times where that is named."""
+    positive = F.col(label).cast("long")
+    pos = F.sum(positive * F.col(weight)).cast("long") if weight else F.sum(positive)
+    return tie_counts(df.where(F.col(label).isNotNull()), group, score, {"pos": pos}, weight)
 
 
 def auc(df: DataFrame, group: Sequence[str], label: str, score: str) -> DataFrame:

@@ -76,22 +76,24 @@ def check_parameters(products: DataFrame, loading: Decimal, undiagnosed: Decimal
 
 
 def _trained(raw_survey: DataFrame, records: DataFrame, key: str, mortality: DataFrame, baseline: DataFrame, ratio: DataFrame):
-    """The final model and its gate metrics."""
+    """The final model and its gate metrics.
+
+    Respondents are reduced to their distinct profiles by split, once; fits, scores and metrics weigh these by their rows.
+    """
     frame = P.labels(P.complete_cases(records, [*fixed.PROFILE, "bmi_value"]).where(
         F.col("diabetes_code").isin(1, 3, 4)).withColumn("bmi", F.col("bmi_value")), "diabetes_code")
-    frame = P.dummy_matrix(frame)
     primary = frame.where("label is not null")
     split = stratified_split(primary, "label", [key])
     names = P.dummy_names()
     features = ["label", "bmi", "age_band", "gender", "smoking_status", "exercise_freq"]
 
-    def fitted(rows: DataFrame):
-        return models.fit_logit(P.dummy_matrix(models.compress(rows, features)), "label", names)
-
-    held_out = models.score(fitted(split.where("split = 'train'")), split.where("split = 'test'"), names)
-    metrics = models.classification_metrics(held_out, "label", "probability")
-    final = fitted(primary)
-    return final, models.gate_input(metrics, models.external_validation(models.score(final, primary, names), ratio, baseline))
+    parts = P.dummy_matrix(models.compress(split, [*features, "split"]))
+    whole = P.dummy_matrix(cut_lineage(parts.groupBy(*features).agg(F.sum(models.WEIGHT).alias(models.WEIGHT))))
+    held_out = models.score(models.fit_logit(parts.where("split = 'train'"), "label", names), parts.where("split = 'test'"), names)
+    metrics = models.classification_metrics(held_out, "label", "probability", models.WEIGHT)
+    final = models.fit_logit(whole, "label", names)
+    validation = models.external_validation(models.score(final, whole, names), ratio, baseline, weight=models.WEIGHT)
+    return final, models.gate_input(metrics, validation)
 
 
 def _refresh(spark, root, raw_survey, key, mortality, products, effective, state, baseline_metrics, cohort, loading, undiagnosed, first) -> RefreshResult:

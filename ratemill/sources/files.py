@@ -274,10 +274,13 @@ def frame_fingerprint(df: DataFrame, source_path: str) -> DataFrame:
     for c in cols:
         size = size + F.coalesce(F.octet_length(c), F.lit(0))
     rows = df.select(row.alias("row"), size.alias("b"))
-    halves = [F.conv(F.substring("row", 1 + 15 * i, 15), 16, 10).cast("decimal(28,0)") for i in range(4)]
-    sums = rows.select(*[h.alias(f"h{i}") for i, h in enumerate(halves)], "b").agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("byte_size"),
-        *[F.sum(f"h{i}").cast("string").alias(f"s{i}") for i in range(4)])
+    parts = [F.conv(F.substring("row", 1 + 15 * i, 15), 16, 10).cast("bigint") for i in range(4)]
+    thirds = [(i, j, F.shiftright(f"h{i}", 20 * j).bitwiseAND((1 << 20) - 1)) for i in range(4) for j in range(3)]      # sums of 20 bits each stay plain integers
+    sums = rows.select(*[h.alias(f"h{i}") for i, h in enumerate(parts)], "b").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("byte_size"), *[F.sum(t).alias(f"t{i}{j}") for i, j, t in thirds])
+    def total(i: int) -> Column:
+        return sum((F.col(f"t{i}{j}").cast("decimal(19,0)") * F.lit(1 << 20 * j).cast("decimal(14,0)") for j in (1, 2)), F.col(f"t{i}0").cast("decimal(19,0)"))
+    sums = sums.select("n", "byte_size", *[total(i).cast("string").alias(f"s{i}") for i in range(4)])
     return sums.select(F.lit(source_path).alias("source_path"),
                        F.sha2(F.concat_ws("|", F.col("n").cast("string"), *[F.col(f"s{i}") for i in range(4)]), 256).alias("content_hash"),
                        "byte_size", F.current_timestamp().alias("observed_at"))
