@@ -155,3 +155,18 @@ def test_grid_validation_and_bundle(spark, people, folder):
 def test_subgroup_auc_is_null_for_one_class(spark):
     df = spark.createDataFrame([("a", 1, 0.2), ("a", 0, 0.1), ("b", 1, 0.3)], "g string, y int, p double")
     assert {r["g"]: r["auc"] for r in M.subgroup_auc(df, "g", "y", "p").collect()} == {"a": 1.0, "b": None}
+
+
+def test_weighted_rows_count_as_their_copies(spark):
+    """Metrics and reference means of distinct rows with weights are those of the rows written out."""
+    from ratemill.operators import joins
+    from ratemill.plans import models
+    rows = [(i % 2 if i < 6 else None, round(0.1 + 0.13 * (i % 5), 2), "a" if i % 3 else "b", 1.0 + i % 4) for i in range(8)]
+    few = spark.createDataFrame(rows, "label int, p double, g string, weight double")
+    many = spark.createDataFrame([r[:3] for r in rows for _ in range(int(r[3]))], "label int, p double, g string")
+    reference = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "g string, f double")
+    for x, y in ((models.classification_metrics(few, "label", "p", "weight"), models.classification_metrics(many, "label", "p")),
+                 (joins.external_reference(few, reference, ["g"], "p", "weight"), joins.external_reference(many, reference, ["g"], "p"))):
+        assert x.columns == y.columns
+        for a, b in zip(sorted(x.collect()), sorted(y.collect())):
+            assert all(u == v or abs(u - v) < 1e-12 for u, v in zip(a, b))
