@@ -71,9 +71,10 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 10, min_tokens: int =
     found = stored(found.where(F.col("n_tokens") >= min_tokens) if min_tokens > 1 else found, "lines")
 
     kind = ["leaf", "masked", "n_tokens", "leaf_docs"]
-    kinds = stored(found.groupBy(*kind, "doc_id", "text_key").agg(F.lit(1).alias("one")).groupBy(*kind).agg(F.count("*").alias("docs")), "kinds")
+    kinds = found.groupBy(*kind, "doc_id", "text_key").agg(F.lit(1).alias("one")).groupBy(*kind).agg(F.count("*").alias("docs"))
+    kinds = stored(kinds.withColumn("kind_id", F.monotonically_increasing_id()), "kinds")     # tokens go by this number, not by their line's text
     at = ["leaf", "position", "token"]
-    tokens = kinds.where(F.col("n_tokens") > depth).select(*kind, "docs", F.posexplode(F.split("masked", " ")).alias("position", "token"))
+    tokens = kinds.where(F.col("n_tokens") > depth).select("kind_id", "leaf", "leaf_docs", "docs", F.posexplode(F.split("masked", " ")).alias("position", "token"))
     beyond = F.col("position") >= depth
     needed = F.greatest(F.lit(min_docs), F.ceil(F.lit(min_share) * F.col("leaf_docs")))
     bound = (tokens.where(beyond & (F.col("token") != ANY)).groupBy(*at).agg(F.sum("docs").alias("most"), F.max("docs").alias("least"), F.max(needed).alias("needed"))
@@ -86,13 +87,17 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 10, min_tokens: int =
     counted = told.groupBy(*at, "needed").agg(F.count("*").alias("docs")).where("docs >= needed")
     fixed = bound.where("least >= needed").select(*at).union(counted.select(*at)).withColumn("fixed", F.lit(True))
 
-    marked = tokens.join(fixed.hint("merge"), at, "left")
-    own = F.col("docs") >= min_docs
-    stays = (F.col("token") != ANY) & (~beyond | own | F.coalesce("fixed", F.lit(False)))
+    own = F.col("docs") >= min_docs      # the template of such a line is the line itself
+    marked = tokens.where(~own).select("kind_id", *at).join(fixed.hint("merge"), at, "left")
+    stays = (F.col("token") != ANY) & (~beyond | F.coalesce("fixed", F.lit(False)))
     shape = F.array_sort(F.collect_list(F.struct("position", F.when(stays, F.col("token")).otherwise(ANY).alias("token"))))
-    long = (marked.groupBy(*kind, "docs").agg(shape.alias("shape"), F.count_if(stays & beyond).alias("n_fixed"), F.count_if(F.col("token") != ANY).alias("n_words"))
-            .where((F.col("n_fixed") >= F.lit(similarity) * (F.col("n_tokens") - depth)) | (own & (F.col("n_words") >= F.lit(similarity) * F.col("n_tokens"))))
-            .select("leaf", "masked", F.array_join("shape.token", " ").alias("template")))
+    shapes = (marked.groupBy("kind_id").agg(shape.alias("shape"), F.count_if(stays & beyond).alias("n_fixed"), F.count("*").alias("n"))
+              .where(F.col("n_fixed") >= F.lit(similarity) * (F.col("n") - depth)).select("kind_id", F.array_join("shape.token", " ").alias("template")))
+    shaped = kinds.select("kind_id", "leaf", "masked").join(shapes.hint("merge"), "kind_id").select("leaf", "masked", "template")
+    words = F.filter(F.split("masked", " "), lambda x: x != ANY)
+    leading = F.filter(F.slice(F.split("masked", " "), 1, depth), lambda x: x != ANY)
+    enough = (F.size(words) - F.size(leading) >= F.lit(similarity) * (F.col("n_tokens") - depth)) | (F.size(words) >= F.lit(similarity) * F.col("n_tokens"))
+    long = shaped.union(kinds.where((F.col("n_tokens") > depth) & own & enough).select("leaf", "masked", F.col("masked").alias("template")))
     short = kinds.where((F.col("n_tokens") <= depth) & ~F.array_contains(F.split("masked", " "), ANY)).select("leaf", "masked", F.col("masked").alias("template"))
     placed = stored(found.join(long.union(short).hint("merge"), ["leaf", "masked"]).select("doc_id", "text_key", "line_no", "template"), "templates")
     recurring = placed.select("template", "doc_id", "text_key").distinct().groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("template")

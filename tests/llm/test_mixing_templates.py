@@ -1,5 +1,6 @@
 """Mixtures by target weights, and recurring line templates."""
 
+import re
 from collections import Counter, defaultdict
 from fractions import Fraction
 
@@ -9,7 +10,8 @@ from helpers import no_docs, odd_docs, odd_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ratemill.llm.common import new_folder, ready
+from ratemill.llm import templates
+from ratemill.llm.common import new_folder, ready, stored
 from ratemill.llm.mixing import in_mixed_order, mixed, period
 from ratemill.llm.registry import QUERIES, SQL
 from ratemill.llm.templates import drop_recurring_lines, template_sql
@@ -155,6 +157,23 @@ def test_common_words_follow_the_leaf(llm):
     assert sum(dropped(llm, texts, min_share=0.0)[0].values()) == 10
 
 
+def test_tokens_go_by_number_not_by_line(llm, monkeypatch):
+    """What tokens are joined and gathered by is a number: a row a token with its line's text would grow with the square of the line's length."""
+    plans = {}
+
+    def kept(df, name, *how):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, name, *how)
+
+    monkeypatch.setattr(templates, "stored", kept)
+    same = " ".join(f"w{letters(j)}" for j in range(100, 160))
+    texts = [f"{same} {letters(i)}\n{same}\nNote {same} {i}\nThe {' '.join(letters(i + 100 * j) for j in range(1, 40))}" for i in range(12)]
+    n, kept_text = dropped(llm, texts)
+    assert all(n[i] == 3 and kept_text[i].startswith("The ") and "\n" not in kept_text[i] for i in range(12))
+    carried = [x for name in ("tokens", "templates") for x in re.findall(r"Generate posexplode\(split\(masked[^\n]*?\)\), \[([^\]]*)\]", plans[name])]
+    assert len(carried) > 1 and not any("masked" in x for x in carried)
+
+
 def test_template_cases(llm):
     out = drop_recurring_lines(odd_docs(llm), min_docs=2)
     rows = out.collect()
